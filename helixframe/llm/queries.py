@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from helixframe.llm import licences, packing, vectors
+from helixframe.llm import licences, near_join, packing, vectors
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -18,6 +18,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), WORD_TOKENIZER)
 
 
+def op4_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_join.link_documents(_table(spark, sf_dir, "documents"))
+
+
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.nearest(_table(spark, sf_dir, "embeddings"))
 
@@ -30,7 +34,7 @@ def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op6_nearest, op7_top_k, op8_licences)}
+QUERIES = {f.__name__: f for f in (op2_packing, op4_near_join, op6_nearest, op7_top_k, op8_licences)}
 
 ORACLE_SQL = {
     "op7_top_k": """
