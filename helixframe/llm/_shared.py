@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,39 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of the bitmaps of ``likely``: one megabyte, whatever the input.
+BITMAP_BITS = 23
+
+
+def likely(rows: DataFrame, col: str, ids: DataFrame) -> DataFrame:
+    """Those rows whose ``col`` may be among ``ids``, by a bitmap of fixed size over hashed ids.
+
+    A filter before a join that ships wide rows: no row that joins is lost, and
+    a row that the bitmap lets through by accident only costs time.
+    """
+    spark = rows.sparkSession
+    slots = 1 << BITMAP_BITS
+    parts = (
+        ids.select(F.pmod(F.xxhash64(ids.columns[0]), F.lit(slots)).alias("slot"))
+        .groupBy(F.shiftright("slot", 15).alias("part"))
+        .agg(F.bitmap_construct_agg(F.pmod("slot", F.lit(1 << 15))).alias("bits"))
+        .collect()  # at most 2**(BITMAP_BITS - 15) rows of 4 KB
+    )
+    bits = np.zeros(slots >> 3, np.uint8)
+    for r in parts:
+        bits[r["part"] << 12 : (r["part"] + 1) << 12] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    shared = spark.sparkContext.broadcast(bits)
+
+    def marked(batches):
+        for batch in batches:
+            slot = batch.column("_slot").to_numpy(zero_copy_only=False)
+            keep = (shared.value[slot >> 3] >> (slot & 7) & 1).astype(bool)
+            yield batch.drop_columns(["_slot"]).filter(pa.array(keep))
+
+    slot = F.pmod(F.xxhash64(col), F.lit(slots)).alias("_slot")
+    return rows.select("*", slot).mapInArrow(marked, rows.schema)
+
+
 def _star(edges: DataFrame, small: bool) -> DataFrame:
     """One large-star or small-star step over edges (u > v)."""
     if small:

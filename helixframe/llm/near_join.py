@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm._shared import components, materialize
+from helixframe.llm._shared import components, likely, materialize
 from helixframe.llm._text import (
     LOWER,
     NOT_SPACE,
@@ -49,9 +49,7 @@ from helixframe.llm._text import (
 
 WORDS = 5
 #: 2**SKETCH_BITS counters of shingles, dealt out in blocks of 2**BLOCK_BITS.
-SKETCH_BITS, BLOCK_BITS = 20, 14
-#: Bits of the bitmap that marks the documents of candidate pairs; others of its slots only cost time.
-BITMAP_BITS = 23
+SKETCH_BITS, BLOCK_BITS = 20, 15
 #: Documents of one shingle in one tile.
 TILE_ROWS = 200_000
 FIRST = 3
@@ -178,30 +176,6 @@ def _rarest(rarity):
 # Verification
 
 
-def _bitmap(ids: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size over hashed ids."""
-    slot = F.pmod(F.xxhash64("id"), F.lit(1 << BITMAP_BITS))
-    rows = (
-        ids.select(slot.alias("slot"))
-        .groupBy((F.shiftright("slot", 15)).alias("part"))
-        .agg(F.bitmap_construct_agg(F.pmod("slot", F.lit(1 << 15))).alias("bits"))
-        .collect()  # at most 2**(BITMAP_BITS - 15) rows of 4 KB
-    )
-    bits = np.zeros(1 << BITMAP_BITS >> 3, np.uint8)
-    for r in rows:
-        bits[r["part"] << 12 : (r["part"] + 1) << 12] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return bits
-
-
-def _marked(bits):
-    def run(batches):
-        for batch in batches:
-            slot = batch.column("slot").to_numpy(zero_copy_only=False)
-            yield batch.select(["doc_id", "text"]).filter(pa.array((bits.value[slot >> 3] >> (slot & 7) & 1).astype(bool)))
-
-    return run
-
-
 def _check(batches):
     last: dict = {}
 
@@ -222,11 +196,8 @@ def _check(batches):
 
 def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of ids whose texts link; each pair's texts meet once."""
-    spark = docs.sparkSession
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
-    bits = spark.sparkContext.broadcast(_bitmap(ids))
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITMAP_BITS)).alias("slot")
-    texts = docs.where("doc_id is not null").select("doc_id", "text", slot).mapInArrow(_marked(bits), "doc_id long, text string")
+    texts = likely(docs.where("doc_id is not null").select("doc_id", "text"), "doc_id", ids)
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(_check, "a long, b long")
