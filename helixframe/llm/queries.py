@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from helixframe.llm import licences, near_join, packing, vectors
+from helixframe.llm import licences, near_join, packing, suffix_dedup, vectors
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -22,6 +22,11 @@ def op4_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_join.link_documents(_table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).drop("kept_text", "removed")
+
+
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.nearest(_table(spark, sf_dir, "embeddings"))
 
@@ -34,7 +39,7 @@ def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op4_near_join, op6_nearest, op7_top_k, op8_licences)}
+QUERIES = {f.__name__: f for f in (op2_packing, op4_near_join, op5_suffix_dedup, op6_nearest, op7_top_k, op8_licences)}
 
 ORACLE_SQL = {
     "op7_top_k": """
