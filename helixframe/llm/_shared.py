@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,48 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Counters in one block of a count vector.
+BLOCK = 1 << 15
+
+
+def count_blocks(counts: np.ndarray) -> pa.RecordBatch:
+    """A vector of counts as rows (block, counts) of its blocks that are not all zero."""
+    parts = [(k, counts[k * BLOCK : (k + 1) * BLOCK]) for k in range(-(-len(counts) // BLOCK))]
+    parts = [(k, zlib.compress(x.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)) for k, x in parts if x.any()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([k for k, _ in parts], pa.int64()), pa.array([x for _, x in parts], pa.binary())], names=["block", "counts"]
+    )
+
+
+def _block(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
+def _add_blocks(batches):
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for k, raw in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+            x = _block(raw)
+            total[k] = total[k] + x if k in total else x
+    for k, x in total.items():
+        one = np.zeros((k + 1) * BLOCK, np.int64)[: k * BLOCK + len(x)]
+        one[k * BLOCK :] = x
+        yield count_blocks(one)
+
+
+def sum_counts(rows: DataFrame, size: int) -> np.ndarray:
+    """The sum of count vectors given by rows (block, counts): ``size`` numbers, whatever the input.
+
+    Blocks are summed where they meet, as a stream; each task holds its blocks' sums only.
+    """
+    counts = np.zeros(size, np.int64)
+    summed = rows.select("block", "counts").repartition(-(-size // BLOCK), "block")
+    for r in summed.mapInArrow(_add_blocks, "block long, counts binary").collect():
+        x = _block(r["counts"])
+        counts[r["block"] * BLOCK : r["block"] * BLOCK + len(x)] = x
+    return counts
+
+
 #: Bits of the bitmaps of ``likely``: one megabyte, whatever the input.
 BITMAP_BITS = 23
 

@@ -29,14 +29,12 @@ empty result; further columns are not read.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm._shared import components, likely, materialize
+from helixframe.llm._shared import components, count_blocks, likely, materialize, sum_counts
 from helixframe.llm._text import (
     LOWER,
     NOT_SPACE,
@@ -48,8 +46,8 @@ from helixframe.llm._text import (
 )
 
 WORDS = 5
-#: 2**SKETCH_BITS counters of shingles, dealt out in blocks of 2**BLOCK_BITS.
-SKETCH_BITS, BLOCK_BITS = 20, 15
+#: 2**SKETCH_BITS counters of shingles.
+SKETCH_BITS = 20
 #: Documents of one shingle in one tile.
 TILE_ROWS = 200_000
 FIRST = 3
@@ -118,31 +116,9 @@ def _profile(batches):
                 [docs.slice(lo, hi - lo), pa.array(n), pa.array(fp[0]), pa.array(fp[1]), none, pa.nulls(hi - lo, pa.binary())],
                 names=["doc_id", "n", "fp1", "fp2", "block", "counts"],
             )
-    size = 1 << BLOCK_BITS
-    parts = [(k, counts[k * size : (k + 1) * size]) for k in range(len(counts) // size)]
-    parts = [(k, zlib.compress(x.astype(np.uint32 if x.max() < 1 << 32 else np.uint64).tobytes(), 1)) for k, x in parts if x.any()]
-    none = pa.nulls(len(parts), pa.int64())
-    yield pa.RecordBatch.from_arrays(
-        [none, none, none, none, pa.array([k for k, _ in parts], pa.int64()), pa.array([x for _, x in parts], pa.binary())],
-        names=["doc_id", "n", "fp1", "fp2", "block", "counts"],
-    )
-
-
-def _unpack(raw: bytes) -> np.ndarray:
-    raw = zlib.decompress(raw)
-    return np.frombuffer(raw, np.uint32 if len(raw) == 4 << BLOCK_BITS else np.uint64).astype(np.int64)
-
-
-def _add_blocks(batches):
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for k, raw in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            x = _unpack(raw)
-            total[k] = total[k] + x if k in total else x
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(total), pa.int64()), pa.array([zlib.compress(x.astype(np.uint64).tobytes(), 1) for x in total.values()], pa.binary())],
-        names=["block", "counts"],
-    )
+    part = count_blocks(counts)
+    none = pa.nulls(part.num_rows, pa.int64())
+    yield pa.RecordBatch.from_arrays([none] * 4 + part.columns, names=["doc_id", "n", "fp1", "fp2", "block", "counts"])
 
 
 def _order(rarity: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -330,10 +306,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     seen = materialize(docs.mapInArrow(_profile, "doc_id long, n long, fp1 long, fp2 long, block long, counts binary"))
     profile = seen.where("block is null").drop("block", "counts")
 
-    summed = seen.where("block is not null").select("block", "counts").repartition(1 << SKETCH_BITS - BLOCK_BITS, "block")
-    counts = np.zeros(1 << SKETCH_BITS, np.int64)
-    for r in summed.mapInArrow(_add_blocks, "block long, counts binary").collect():  # 2**SKETCH_BITS numbers
-        counts[r["block"] << BLOCK_BITS : (r["block"] + 1) << BLOCK_BITS] = np.frombuffer(zlib.decompress(r["counts"]), np.uint64)
+    counts = sum_counts(seen.where("block is not null"), 1 << SKETCH_BITS)
     level = np.minimum(63, np.round(2 * np.log2(counts + 1))).astype(np.uint64)
     rarity = context.broadcast(level)
     # Tiles for each level of rarity: its most frequent counter's documents over those of one tile.

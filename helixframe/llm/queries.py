@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from helixframe.llm import licences, near_join, packing, suffix_dedup, vectors
+from helixframe.llm import language_id, licences, near_join, packing, quality, suffix_dedup, vectors
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -39,7 +39,20 @@ def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op4_near_join, op5_suffix_dedup, op6_nearest, op7_top_k, op8_licences)}
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.fit(docs)
+    return language_id.predict(docs.select("doc_id", language_id.held_out().alias("held_out"), "text"), model)
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.select(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op2_packing, op4_near_join, op5_suffix_dedup, op6_nearest, op7_top_k, op8_licences, op9_language_id, op10_quality)
+}
 
 ORACLE_SQL = {
     "op7_top_k": """
