@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from helixframe.llm import language_id, licences, near_join, packing, quality, suffix_dedup, vectors
+from helixframe.llm import language_id, licences, mixing, near_join, packing, quality, suffix_dedup, vectors
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -14,6 +14,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score(_table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), WORD_TOKENIZER)
 
@@ -51,7 +55,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_packing, op4_near_join, op5_suffix_dedup, op6_nearest, op7_top_k, op8_licences, op9_language_id, op10_quality)
+    for f in (op1_mixing, op2_packing, op4_near_join, op5_suffix_dedup, op6_nearest, op7_top_k, op8_licences, op9_language_id, op10_quality)
 }
 
 ORACLE_SQL = {
