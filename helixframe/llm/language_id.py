@@ -203,20 +203,23 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> ByteTagger | None:
     return ByteTagger(labels).train([t.encode() for _, _, t in rows], np.array([index[x] for _, x, _ in rows]))
 
 
+def _label(model: ByteTagger | None, data: np.ndarray, off: np.ndarray) -> tuple[list[str], np.ndarray]:
+    n = len(off) - 1
+    if model is None:
+        return [UNKNOWN] * n, np.zeros(n)
+    p = model.probabilities(data, off)
+    best = p.argmax(1)
+    letters = _letters(data, off)
+    score = np.where(letters, np.minimum(1.0, p[np.arange(n), best]), 0.0)
+    return [model.labels[k] if ok else UNKNOWN for k, ok in zip(best, letters, strict=True)], score
+
+
 def _predict(shared):
     def run(batches):
-        model = shared.value
         for batch in batches:
             keep = batch.drop_columns(["text"])
             for lo, hi, data, off in text_slices(batch.column("text")):
-                if model is None:
-                    score, names = np.zeros(hi - lo), [UNKNOWN] * (hi - lo)
-                else:
-                    p = model.probabilities(data, off)
-                    best = p.argmax(1)
-                    letters = _letters(data, off)
-                    score = np.where(letters, np.minimum(1.0, p[np.arange(hi - lo), best]), 0.0)
-                    names = [model.labels[k] if ok else UNKNOWN for k, ok in zip(best, letters, strict=True)]
+                names, score = _label(shared.value, data, off)
                 rows = keep.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns, pa.array(names, pa.string()), pa.array(score)], names=[*rows.schema.names, "lang_pred", "score"]
@@ -244,3 +247,19 @@ def predict(docs: DataFrame, model: ByteTagger | None) -> DataFrame:
     others = [f for f in docs.schema if f.name != "text"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in others), "lang_pred string, score double"])
     return docs.mapInArrow(_predict(shared), schema)
+
+
+def keep_known(docs: DataFrame, model: ByteTagger | None, least: float = 0.35) -> DataFrame:
+    """The rows of ``docs`` whose text is in a learned language with a score of ``least`` or more; all without a model."""
+    if model is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi, data, off in text_slices(batch.column("text")):
+                names, score = _label(shared.value, data, off)
+                keep = [n != UNKNOWN and s >= least for n, s in zip(names, score, strict=True)]
+                yield batch.slice(lo, hi - lo).filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -104,9 +104,9 @@ def _weigh(shared):
     def run(batches):
         for batch in batches:
             for lo, hi, data, off in text_slices(batch.column("text")):
-                rows = batch.slice(lo, hi - lo).drop_columns(["text"])
+                rows = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
-                    [*rows.columns, pa.array(shared.value.weights(data, off))], names=[*rows.schema.names, "log_weight"]
+                    [*rows.columns, pa.array(shared.value.weights(data, off))], names=[*rows.schema.names, "_log_weight"]
                 )
 
     return run
@@ -142,24 +142,50 @@ def kth_largest(rows: DataFrame, col: str, k: int) -> int | None:
     return low
 
 
-def select(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, temperature: float = TEMPERATURE) -> DataFrame:
+class Selection:
+    """The fitted models and the least key of the k selected documents of ``docs`` (doc_id, text, ...)."""
+
+    def __init__(self, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, temperature: float = TEMPERATURE):
+        context = docs.sparkSession.sparkContext
+        self.temperature = temperature
+        known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+        known = materialize(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
+        # At most ``sample`` rows: a bounded broadcast.
+        rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id", "left")
+        counts = sum_counts(rows.select("text", "quality").mapInArrow(_count, "block long, counts binary"), 2 * SIZE)
+        self.model = context.broadcast(RatioModel(counts[:SIZE], counts[SIZE:]))
+        self.keys = materialize(self.weigh(rows).drop("text"))
+        shown = self.keys.where("quality is not null").select("quality", "_log_weight").limit(2 * sample).toPandas()
+        q, w = shown["quality"].to_numpy(), shown["_log_weight"].to_numpy()
+        self.limit = best_limit(w[q == 1], w[q == 0])
+        self.last = None
+        if self.limit > -math.inf:
+            self.last = kth_largest(self.keys, "_fixed", self.keys.where(F.col("_log_weight") >= self.limit).count())
+
+    def weigh(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with their log weights, keys, and keys as integers."""
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+        u = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(10)), 11).cast("double") + 0.5) / float(1 << 53)
+        key = F.col("_log_weight") / self.temperature - F.log(-F.log(u))
+        fixed = F.round(F.greatest(F.lit(-1e7), F.least(F.lit(1e7), "_key")) * (1 << 20)).cast("long")
+        weighed = rows.mapInArrow(_weigh(self.model), fields + ", _log_weight double")
+        return weighed.withColumn("_key", key).withColumn("_fixed", fixed)
+
+    def chosen(self):
+        """Whether a weighed row is among the k of largest key; all are where nothing tells good from bad."""
+        if self.limit == -math.inf:
+            return F.lit(True)
+        return F.lit(False) if self.last is None else F.col("_fixed") >= self.last
+
+
+def select(docs: DataFrame, labels: DataFrame, **fitting) -> DataFrame:
     """(doc_id, log_weight, key, selected) of each row of ``docs``, given labels (doc_id, quality)."""
-    spark = docs.sparkSession
-    known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    known = materialize(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    # At most ``sample`` rows: a bounded broadcast.
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id", "left")
-    counts = sum_counts(rows.select("text", "quality").mapInArrow(_count, "block long, counts binary"), 2 * SIZE)
-    model = spark.sparkContext.broadcast(RatioModel(counts[:SIZE], counts[SIZE:]))
-    weighed = rows.mapInArrow(_weigh(model), "doc_id long, quality int, log_weight double")
-    u = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(10)), 11).cast("double") + 0.5) / float(1 << 53)
-    key = F.col("log_weight") / temperature - F.log(-F.log(u))
-    fixed = F.round(F.greatest(F.lit(-1e7), F.least(F.lit(1e7), "key")) * (1 << 20)).cast("long")
-    weighed = materialize(weighed.withColumn("key", key).withColumn("fixed", fixed))
-    shown = weighed.where("quality is not null").select("quality", "log_weight").limit(2 * sample).toPandas()
-    q, w = shown["quality"].to_numpy(), shown["log_weight"].to_numpy()
-    limit = best_limit(w[q == 1], w[q == 0])
-    k = weighed.where(F.col("log_weight") >= limit).count() if limit > -math.inf else 0
-    last = kth_largest(weighed, "fixed", k)
-    chosen = F.lit(True) if limit == -math.inf else F.lit(False) if last is None else F.col("fixed") >= last
-    return weighed.select("doc_id", "log_weight", "key", chosen.alias("selected"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    chosen = Selection(docs, labels, **fitting)
+    return chosen.keys.select("doc_id", F.col("_log_weight").alias("log_weight"), F.col("_key").alias("key"), chosen.chosen().alias("selected"))
+
+
+def keep_selected(docs: DataFrame, labels: DataFrame, **fitting) -> DataFrame:
+    """The selected rows of ``docs``, with their columns."""
+    chosen = Selection(docs, labels, **fitting)
+    return chosen.weigh(docs).where(chosen.chosen()).select(*[f"`{c}`" for c in docs.columns])

@@ -5,9 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from helixframe.llm import language_id, licences, mixing, near_join, packing, quality, suffix_dedup, vectors
+from helixframe.llm import language_id, licences, mixing, near_join, packing, piece_sampling, quality, suffix_dedup, vectors
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), WORD_TOKENIZER)
 
 
+def op3_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_sampling.round_trip(_table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 def op4_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_join.link_documents(_table(spark, sf_dir, "documents"))
 
@@ -55,7 +60,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_mixing, op2_packing, op4_near_join, op5_suffix_dedup, op6_nearest, op7_top_k, op8_licences, op9_language_id, op10_quality)
+    for f in (op1_mixing, op2_packing, op3_piece_sampling, op4_near_join, op5_suffix_dedup, op6_nearest, op7_top_k, op8_licences, op9_language_id, op10_quality)
 }
 
 ORACLE_SQL = {
