@@ -118,16 +118,6 @@ def polymer_class(chain_type: Column, polymer_type: Column) -> Column:
     )
 
 
-def mhc_class(description: Column) -> Column:
-    """I, II or unknown, from a description."""
-    d = F.upper(F.coalesce(description, F.lit("")))
-    return (
-        F.when(d.rlike(r"CLASS[ -]?II(\b|[^I])|HLA[- ]?D[PQRMO]|\bI-[AE]\b"), "II")
-        .when(d.rlike(r"CLASS[ -]?I\b|HLA[- ]?[ABCEFG]\b|\bH-?2\b|MICROGLOBULIN"), "I")
-        .otherwise("unknown")
-    )
-
-
 def confidence(score: Column, least: Column) -> Column:
     """High from 140, medium from the limit, else low."""
     return F.when(score >= 140, "high").when(score >= least, "medium").otherwise("low")
@@ -144,10 +134,9 @@ def overlap(a0: Column, a1: Column, b0: Column, b1: Column) -> Column:
 
 
 def interface_label(type_1: Column, type_2: Column, same_entity: Column) -> Column:
-    """Both types in order, joined; one type marked as its own partner for one entity."""
-    return F.when(same_entity, F.concat(type_1, F.lit("__same_entity"))).otherwise(
-        F.array_join(F.array_sort(F.array(type_1, type_2)), "__")
-    )
+    """Both types in order, joined; for one entity only the first of them, marked."""
+    types = F.array_sort(F.array(type_1, type_2))
+    return F.when(same_entity, F.concat(F.lit("same-entity:"), types[0])).otherwise(F.array_join(types, "__"))
 
 
 def monomer_id(entry: Column, assembly: Column, chain: Column) -> Column:

@@ -7,8 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from helixframe.functions import chains
 from helixframe.functions import scalars as S
-from helixframe.operators import geometry, graphs
+from helixframe.operators import geometry, graphs, multimers
 from helixframe.plans import catalogue
 from helixframe.sources import mmcif
 
@@ -39,11 +40,43 @@ def test_text_rules(spark):
     assert value(spark, S.entry_from_name(v), "5ywo-assembly1.cif.gz", "long_name.cif") == ["5ywo", None]
     assert value(spark, S.assembly_from_name(v), "5YWO-assembly2.cif.gz", "5ywo.cif") == ["2", None]
     assert value(spark, S.operations(v), None, "1-3,5", "(1,2)(3-4)") == [["1"], ["1", "2", "3", "5"], ["1x3", "1x4", "2x3", "2x4"]]
-    assert value(spark, S.mhc_class(v), "HLA class II histocompatibility", "HLA-A heavy chain", "HLA-DRA chain", "MHC") == ["II", "I", "II", "unknown"]
+    assert value(spark, chains.mhc_class(v), "HLA class II histocompatibility", "HLA-A heavy chain", "HLA-DRA chain", "MHC") == ["II", "I", "II", "unknown"]
     assert value(spark, S.confidence(F.col("v"), F.lit(100)), 140, 100, 79, schema="v int") == ["high", "medium", "low"]
     assert value(spark, S.date_decision(v, F.lit("2021-09-30").cast("date")), "2021-09-29", "2021-09-30", "2021-9-1", "", None) == ["kept", "too_recent", "invalid", "missing", "missing"]
 
 
+def test_chain_classes(spark):
+    rows = [
+        ("polymer", "polypeptide(L)", "Beta-2-microglobulin", None, False, "beta2m or auxiliary immune chain", "beta2m", 0.8),
+        ("polymer", "polypeptide(L)", "HLA-A heavy chain", None, False, "MHC heavy chain", "class_i", 0.8),
+        ("polymer", "polypeptide(L)", "T cell receptor beta chain", None, False, "TCR chain", "beta", 0.8),
+        ("polymer", "polypeptide(L)", "lysozyme", None, False, "other protein chain", "protein", 0.95),
+        ("polymer", "polypeptide(L)", "Fab", "antibody heavy chain", False, "antibody heavy chain", "heavy", 0.95),
+        ("polymer", "polydeoxyribonucleotide", None, None, False, "DNA chain", "DNA", 0.95),
+        ("polymer", "polydeoxyribonucleotide/polyribonucleotide hybrid", None, None, False, "other nucleic acid chain", "dna/rna hybrid", 0.95),
+        ("branched", None, None, None, False, "glycan / branched component", "glycan", 0.95),
+        ("non-polymer", None, None, None, True, "metal ion", "ion", 0.95),
+        ("non-polymer", None, None, None, False, "small molecule compound", "ligand", 0.9),
+        ("water", None, None, None, False, "other entity", "water", 0.9),
+        (None, None, None, None, False, "other entity", None, 0.4),
+    ]
+    df = spark.createDataFrame([r[:5] for r in rows], "e string, p string, d string, immune string, metal boolean")
+    subtype = F.when(F.col("immune").isNotNull(), "heavy")
+    got = df.select(chains.chain_class(F.col("e"), F.col("p"), F.col("d"), F.col("immune"), subtype, F.lit(0.7), F.col("metal")).alias("c")).select("c.*")
+    assert [tuple(r) for r in got.collect()] == [r[5:] for r in rows]
+    v = F.col("v")
+    assert value(spark, chains.mhc_role(v), "class II alpha chain", "HLA-DRB1", "HLA-B", "x") == ["class_ii_alpha", "class_ii_beta", "class_i_heavy", "unknown"]
+    parts = spark.createDataFrame([("ZN", "ZINC ION", "Zn 2+"), ("FE", "FERRIC", "Fe"), ("GOL", "GLYCEROL", "C3 H8 O3"), ("HOH", "ION WATER", "H2 O")], "id string, name string, formula string")
+    assert [r[0] for r in parts.select(chains.is_metal(F.col("id"), F.col("name"), F.col("formula"))).collect()] == [True, True, False, False]
+
+
+def test_multimers(spark):
+    rows = [("c", f"A@{i}", f"A@{j}", "A", "A", 900.0, 30) for i, j in itertools.combinations(range(1, 4), 2)] + [("c", "A@1", "B@1", "A", "B", 100.0, 5)]
+    df = spark.createDataFrame(rows, "case string, instance_1 string, instance_2 string, entity_1 string, entity_2 string, buried_area double, num_atom_contacts int")
+    out = multimers.tight_multimers(df, least_area=500).collect()
+    assert [(r.num_member_instances, r.num_internal_edges, r.multimer_type, r.support_score) for r in out] == [(3, 3, "homomultimer", 30.0)]
+
+
 CIF = """data_1ABC
 _entry.id 1ABC # comment
 _struct.title 'a title with it's quote'
