@@ -7,6 +7,8 @@ own), so the memory of the numpy temporaries is bounded by the longest text.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 
@@ -158,3 +160,29 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     step[0] = starts[0]
     step[at] = starts[1:] - starts[:-1] - lengths[:-1] + 1
     return np.cumsum(step)
+
+
+def pack_keys(key: np.ndarray, count: np.ndarray) -> bytes:
+    """Sorted keys as differences, with counts; by byte planes, compressed."""
+    step = np.diff(key, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    planes = [step.T.tobytes(), count.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()]
+    return zlib.compress(b"".join(planes), 1)
+
+
+def unpack_keys(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(10, -1)
+    step = np.zeros((planes.shape[1], 8), np.uint8)
+    step[:, :6] = planes[:6].T
+    return np.cumsum(step.view("<u8").ravel().astype(np.uint64)), np.ascontiguousarray(planes[6:].T).view("<u4").ravel().astype(np.int64)
+
+
+def merge_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys of several (keys, counts), with sums of their counts."""
+    key = np.concatenate([k for k, _ in parts])
+    count = np.concatenate([c for _, c in parts])
+    if not len(key):
+        return key, count
+    order = np.argsort(key, kind="stable")
+    key, count = key[order], count[order]
+    at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    return key[at], np.add.reduceat(count, at)

@@ -1,23 +1,27 @@
 """Similarity join of documents on word n-grams: exact Jaccard links by prefix filtering, and their components.
 
 A document's set holds its distinct shingles of ``WORDS`` words. Sets are
-ordered rare-first by the counts of a bounded sketch over all documents, which
-gives one total order everywhere. Two sets with Jaccard similarity of at least
-3/4 share a shingle in their prefixes (a quarter of each set), so candidates
-come from an equi-join on prefix shingles with length and positional filters;
-each candidate pair is then verified once, behind a suffix filter, on texts.
+ordered rare-first by how many sets hold each shingle. Two sets with Jaccard
+similarity of at least 3/4 share a shingle in their prefixes (a quarter of each
+set), so candidates come from an equi-join on prefix shingles with length and
+positional filters; each candidate pair is then verified once, behind a suffix
+filter, on texts. Shingles of one set only cannot join and do not travel.
 
 To keep groups of copies linear:
 
 1. Documents with equal sets are one node, found by a fingerprint and a minimum.
-2. A first round links each node with one pivot for each of its three rarest
-   shingles; components of these links come next.
-3. A second round takes whole prefixes, and pairs only documents whose
+2. A first round tries each node with one pivot for each of its three rarest
+   shared shingles; two more, where components of these links still differ, for
+   its next dozen and for the rest of its prefix. A shingle's pivot is the
+   document of the least hash with it, so that pivots vary.
+3. The last round takes whole prefixes, and pairs only documents whose
    components still differ. No link between components is lost: every linked
    pair shares a prefix shingle, and is either verified or inside one component.
 
-Shingles that the sketch calls very frequent are dealt to tiles of salts, so
-that no task gathers all their documents.
+The counts come from batches of documents that deal their shingles to buckets,
+where they are summed, and get the sums back; hashes of 32 bits within a bucket
+do for that, as any order is a valid one. Very frequent shingles are dealt to
+tiles of salts, so that no task gathers all their documents.
 
 Edge cases: null and empty texts have empty sets and link with nothing (their
 component is their own id); texts of one to four words are one shingle; rows
@@ -29,28 +33,35 @@ empty result; further columns are not read.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm._shared import components, count_blocks, likely, materialize, sum_counts
+from helixframe.llm._shared import components, likely, materialize
 from helixframe.llm._text import (
     LOWER,
     NOT_SPACE,
+    distinct_counts,
     distinct_sorted,
+    merge_counts,
     mix,
+    pack_keys,
     text_slices,
+    unpack_keys,
     word_bounds,
     word_hashes,
 )
 
 WORDS = 5
-#: 2**SKETCH_BITS counters of shingles.
-SKETCH_BITS = 20
+#: Documents in a batch that counts its shingles at once.
+BATCH_DOCS = 1500
 #: Documents of one shingle in one tile.
 TILE_ROWS = 200_000
-FIRST = 3
+#: Shared shingles (first, how many) of each pivot round; the last takes the rest of the prefix.
+ROUNDS = ((1, 3), (4, 12), (16, 1 << 30))
 _WEIGHTS = np.array([pow(0x9FB21C651E98DF25, k, 1 << 64) for k in range(WORDS)], np.uint64)
 
 
@@ -94,37 +105,62 @@ def links(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * same >= 75 * (n + m - same)
 
 
-# First pass: fingerprints of sets, and the sketch
+# Fingerprints of sets
 
 
 def _profile(batches):
-    counts = np.zeros(1 << SKETCH_BITS, np.int64)
     for batch in batches:
         docs = batch.column("doc_id")
         for lo, hi, data, off in text_slices(batch.column("text")):
             sets = shingle_sets(data, off)
             n = np.array([len(x) for x in sets], np.int64)
             flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            counts += np.bincount((flat >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
             owner = np.cumsum(np.concatenate([[0], n]))
             fp = []
             for salt in (0x2545F4914F6CDD1D, 0x5851F42D4C957F2D):
                 sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(flat ^ np.uint64(salt)))])
                 fp.append((sums[owner[1:]] - sums[owner[:-1]]).view(np.int64))
-            none = pa.nulls(hi - lo, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [docs.slice(lo, hi - lo), pa.array(n), pa.array(fp[0]), pa.array(fp[1]), none, pa.nulls(hi - lo, pa.binary())],
-                names=["doc_id", "n", "fp1", "fp2", "block", "counts"],
+                [docs.slice(lo, hi - lo), pa.array(n), pa.array(fp[0]), pa.array(fp[1])], names=["doc_id", "n", "fp1", "fp2"]
             )
-    part = count_blocks(counts)
-    none = pa.nulls(part.num_rows, pa.int64())
-    yield pa.RecordBatch.from_arrays([none] * 4 + part.columns, names=["doc_id", "n", "fp1", "fp2", "block", "counts"])
 
 
-def _order(rarity: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """The set rare-first: sorted keys that lead with the rarity of the shingle's counter."""
-    level = rarity[(x >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-    return np.sort(level << np.uint64(58) | x >> np.uint64(6))
+# How many sets hold each shingle
+
+
+def _sets_of(table: pa.Table) -> list[np.ndarray]:
+    return [x for _, _, data, off in text_slices(table.column("text")) for x in shingle_sets(data, off)]
+
+
+def _codes(flat: np.ndarray, buckets: int) -> np.ndarray:
+    """A bucket and 32 further bits of each shingle."""
+    return (flat & np.uint64(0xFFFFFFFF)) % np.uint64(buckets) << np.uint64(32) | flat >> np.uint64(32)
+
+
+def _deal_shingles(buckets: int):
+    def run(table: pa.Table) -> pa.Table:
+        code, count = distinct_counts(_codes(np.concatenate(_sets_of(table)), buckets))
+        bucket = (code >> np.uint64(32)).astype(np.int64)
+        at = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(code) else np.zeros(0, np.int64)
+        ends = np.append(at[1:], len(code))
+        packed = [pack_keys(code[i:j] & np.uint64(0xFFFFFFFF), count[i:j]) for i, j in zip(at, ends, strict=False)]
+        return pa.table(
+            {
+                "bucket": pa.array(bucket[at]),
+                "batch": pa.array([table.column("batch")[0].as_py()] * len(at), pa.int64()),
+                "shingles": pa.array(packed, pa.binary()),
+            }
+        )
+
+    return run
+
+
+def _sum_shingles(table: pa.Table) -> pa.Table:
+    parts = [unpack_keys(x) for x in table.column("shingles").to_pylist()]
+    key, total = merge_counts(parts)
+    level = np.minimum(63, np.ceil(2 * np.log2(np.maximum(total, 1)))).astype(np.uint8)
+    back = [zlib.compress(level[np.searchsorted(key, k)].tobytes(), 1) for k, _ in parts]
+    return pa.table({"batch": table.column("batch"), "bucket": table.column("bucket"), "levels": pa.array(back, pa.binary())})
 
 
 def prefix_length(n):
@@ -132,19 +168,29 @@ def prefix_length(n):
     return n - -(-3 * n // 4) + 1
 
 
-def _rarest(rarity):
-    def run(batches):
-        for batch in batches:
-            docs = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            for lo, _, data, off in text_slices(batch.column("text")):
-                sets = shingle_sets(data, off)
-                first = [_order(rarity.value, x)[: min(FIRST, prefix_length(len(x)))] if len(x) else x for x in sets]
-                n = [len(x) for x in first]
-                at = np.repeat(np.arange(len(sets)), n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(first).view(np.int64)), pa.array(docs[lo + at], pa.int64()), pa.array(np.array([len(x) for x in sets], np.int64)[at])],
-                    names=["f", "doc_id", "n"],
-                )
+PREFIX = "doc_id long, n long, keys array<long>, places array<int>"
+
+
+def _prefixes(buckets: int):
+    """Rare-first prefixes of a batch's sets, without the shingles of one set."""
+
+    def run(table: pa.Table, back: pa.Table) -> pa.Table:
+        sets = _sets_of(table)
+        code = _codes(np.concatenate(sets or [np.zeros(0, np.uint64)]), buckets)
+        distinct = distinct_sorted(code)
+        rows = sorted(back.select(["bucket", "levels"]).to_pylist(), key=lambda r: r["bucket"])
+        levels = np.frombuffer(b"".join(zlib.decompress(r["levels"]) for r in rows), np.uint8)
+        level = levels[np.searchsorted(distinct, code)].astype(np.uint64)
+        keys, places, begin = [], [], 0
+        for x in sets:
+            own = level[begin : begin + len(x)]
+            begin += len(x)
+            key = np.sort(own << np.uint64(58) | x >> np.uint64(6))[: prefix_length(len(x)) if len(x) else 0]
+            shared = np.flatnonzero(key >> np.uint64(58))
+            keys.append(key[shared].view(np.int64))
+            places.append(shared.astype(np.int32))
+        n = np.array([len(x) for x in sets], np.int64)
+        return pa.table({"doc_id": table.column("doc_id"), "n": n, "keys": pa.array(keys, pa.list_(pa.int64())), "places": pa.array(places, pa.list_(pa.int32()))})
 
     return run
 
@@ -179,42 +225,28 @@ def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(_check, "a long, b long")
 
 
-# Second round: whole prefixes
+# Last round: whole prefixes
 
+POSTINGS = "bucket long, ids binary, sizes binary, alone binary, parts binary, keys binary, doc binary, place binary"
 
-def _prefixes(rarity):
-    def run(batches):
-        for batch in batches:
-            docs = batch.column("doc_id")
-            for lo, hi, data, off in text_slices(batch.column("text")):
-                sets = shingle_sets(data, off)
-                raw = [_order(rarity.value, x)[: prefix_length(len(x))].tobytes() if len(x) else b"" for x in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [docs.slice(lo, hi - lo), pa.array([len(x) for x in sets], pa.int64()), pa.array(raw, pa.binary())],
-                    names=["doc_id", "n", "prefix"],
-                )
-
-    return run
 
+def _deal(buckets: int, tile_rows: int):
+    # A level holds shingles of up to 2**(level / 2) sets.
+    tiles = np.maximum(1, np.ceil(2 ** (np.arange(64) / 2) / tile_rows)).astype(np.int64)
 
-POSTINGS = "bucket long, ids binary, sizes binary, parts binary, keys binary, doc binary, place binary"
-
-
-def _deal(buckets: int, heavy):
     def run(batches):
         held, count = [], 0
 
         def flush():
             ids = np.array([x[0] for x in held], np.int64)
             sizes = np.array([x[1] for x in held], np.int32)
+            alone = np.array([x[4][0] for x in held], np.int32)
             parts = np.array([x[2] for x in held], np.int64)
             keys = np.concatenate([x[3] for x in held])
-            n = [len(x[3]) for x in held]
-            doc = np.repeat(np.arange(len(held), dtype=np.int32), n)
-            place = np.concatenate([np.arange(k, dtype=np.int32) for k in n])
+            doc = np.repeat(np.arange(len(held), dtype=np.int32), [len(x[3]) for x in held])
+            place = np.concatenate([x[4] for x in held])
             # A very frequent shingle is dealt to tiles of two salts each, so that all its pairs meet.
-            level = (keys >> np.uint64(58)).astype(np.int64)
-            salts = heavy.value[level]
+            salts = tiles[(keys >> np.uint64(58)).astype(np.int64)]
             hot = salts > 1
             if hot.any():
                 at = np.flatnonzero(hot)
@@ -231,19 +263,21 @@ def _deal(buckets: int, heavy):
             rows = []
             for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
                 who, index = np.unique(doc[part], return_inverse=True)
-                rows.append((int(bucket[part[0]]), ids[who].tobytes(), sizes[who].tobytes(), parts[who].tobytes(), keys[part].tobytes(), index.astype(np.int32).tobytes(), place[part].tobytes()))
+                rows.append((int(bucket[part[0]]), ids[who].tobytes(), sizes[who].tobytes(), alone[who].tobytes(), parts[who].tobytes(), keys[part].tobytes(), index.astype(np.int32).tobytes(), place[part].tobytes()))
             cols = list(zip(*rows, strict=True))
             return pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.int64()), *(pa.array(c, pa.binary()) for c in cols[1:])],
-                names=["bucket", "ids", "sizes", "parts", "keys", "doc", "place"],
+                names=["bucket", "ids", "sizes", "alone", "parts", "keys", "doc", "place"],
             )
 
         for batch in batches:
-            for doc, n, part, raw in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "part", "prefix")), strict=True):
-                if raw:
-                    held.append((doc, n, part, np.frombuffer(raw, np.uint64)))
-                    count += len(raw) // 8
-                if count > 1_000_000:
+            columns = [batch.column(c) for c in ("doc_id", "n", "part", "keys", "places")]
+            for i in range(batch.num_rows):
+                doc, n, part = (c[i].as_py() for c in columns[:3])
+                keys, places = (c[i].values.to_numpy() for c in columns[3:])
+                held.append((doc, n, part, keys.view(np.uint64), places))
+                count += len(keys)
+            if count > 1_000_000:
                     yield flush()
                     held, count = [], 0
         if held:
@@ -254,14 +288,14 @@ def _deal(buckets: int, heavy):
 
 def _pairs(table: pa.Table) -> pa.Table:
     """Pairs of documents of different components that share a shingle of this bucket and pass the filters."""
-    cols: dict[str, list] = {k: [] for k in ("ids", "sizes", "parts", "keys", "place")}
+    cols: dict[str, list] = {k: [] for k in ("ids", "sizes", "alone", "parts", "keys", "place")}
     for row in table.to_pylist():
         doc = np.frombuffer(row["doc"], np.int32)
-        for k, kind in (("ids", np.int64), ("sizes", np.int32), ("parts", np.int64)):
+        for k, kind in (("ids", np.int64), ("sizes", np.int32), ("alone", np.int32), ("parts", np.int64)):
             cols[k].append(np.frombuffer(row[k], kind)[doc])
         cols["keys"].append(np.frombuffer(row["keys"], np.uint64))
         cols["place"].append(np.frombuffer(row["place"], np.int32))
-    ids, sizes, parts, keys, place = (np.concatenate(x) for x in cols.values())
+    ids, sizes, alone, parts, keys, place = (np.concatenate(x) for x in cols.values())
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))
@@ -280,13 +314,14 @@ def _pairs(table: pa.Table) -> pa.Table:
     found = [np.zeros((0, 2), np.int64)]
     for i, j in zip(begin.tolist(), end.tolist(), strict=True):
         run = order[i:j]
-        n, p, c, d = sizes[run].astype(np.int64), place[run].astype(np.int64), parts[run], ids[run]
+        n, p, w, c, d = sizes[run].astype(np.int64), place[run].astype(np.int64), alone[run].astype(np.int64), parts[run], ids[run]
         for lo in range(0, len(run), 256):
             x, y = slice(lo, lo + 256), slice(None)
             n1, n2, p1, p2 = n[x, None], n[None, y], p[x, None], p[None, y]
             ok = (c[x, None] != c[None, y]) & (d[x, None] < d[None, y])
             ok &= 4 * np.minimum(n1, n2) >= 3 * np.maximum(n1, n2)
-            most = np.minimum(p1, p2) + np.minimum(n1 - p1, n2 - p2)
+            # Shingles of one set only come first and are not shared.
+            most = np.minimum(p1 - w[x, None], p2 - w[None, y]) + np.minimum(n1 - p1, n2 - p2)
             ok &= 7 * most >= 3 * (n1 + n2)
             u, v = np.nonzero(ok)
             if len(u):
@@ -298,46 +333,65 @@ def _pairs(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
 
-def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tile_rows: int = TILE_ROWS) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row of ``docs``."""
-    spark = docs.sparkSession
-    context = spark.sparkContext
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    seen = materialize(docs.mapInArrow(_profile, "doc_id long, n long, fp1 long, fp2 long, block long, counts binary"))
-    profile = seen.where("block is null").drop("block", "counts")
-
-    counts = sum_counts(seen.where("block is not null"), 1 << SKETCH_BITS)
-    level = np.minimum(63, np.round(2 * np.log2(counts + 1))).astype(np.uint64)
-    rarity = context.broadcast(level)
-    # Tiles for each level of rarity: its most frequent counter's documents over those of one tile.
-    most = np.array([counts[level == k].max(initial=0) for k in range(64)])
-    tiles = np.maximum(1, -(-most // tile_rows)).astype(np.int64)
-
-    nodes = profile.where("n > 0 and doc_id is not null").groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("rep"))
-    nodes = materialize(nodes)
-    reps = nodes.select(F.col("rep").alias("doc_id"), "n")
+def _with_parts(prefixes: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Prefixes with the component of their document so far; documents without links are their own."""
+    if found is None:
+        return prefixes.withColumn("part", F.col("doc_id"))
+    named = found.select(F.col("node").alias("doc_id"), "component")
+    return prefixes.join(named, "doc_id", "left").withColumn("part", F.coalesce("component", "doc_id")).drop("component")
+
 
-    first = docs.where("doc_id is not null").mapInArrow(_rarest(rarity), "f long, doc_id long, n long")
-    first = materialize(first.join(reps, ["doc_id", "n"], "left_semi"))
-    pivot = first.groupBy("f").agg(F.min(F.struct("n", "doc_id")).alias("p"), F.count("*").alias("c")).where("c > 1")
-    pairs = (
-        first.join(pivot.select("f", F.col("p.n").alias("m"), F.col("p.doc_id").alias("a")), "f")
-        .where("doc_id <> a and 4 * m >= 3 * n")
+def _pivots(prefixes: DataFrame, begin: int, count: int) -> DataFrame:
+    """Pairs of each document with the pivots of some of its shared shingles, where components differ and sizes allow a link."""
+    rows = prefixes.select("doc_id", "n", "part", F.col("places")[0].alias("u"), F.explode(F.slice("keys", begin, count)).alias("f"))
+    order = F.xxhash64("f", "doc_id").alias("o")
+    pivot = rows.groupBy("f").agg(
+        F.min(F.struct(order, "part", "n", "doc_id", "u")).alias("p"), F.min("part").alias("low"), F.max("part").alias("high")
+    )
+    pivot = pivot.where("low < high").select("f", "p.part", "p.n", "p.doc_id", "p.u").toDF("f", "part_p", "m", "a", "w")
+    return (
+        rows.join(pivot, "f")
+        .where("part <> part_p and 4 * least(n, m) >= 3 * greatest(n, m) and 7 * least(n - u, m - w) >= 3 * (n + m)")
         .select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b"))
         .distinct()
     )
-    joined = components(verify(docs, materialize(pairs)))
 
-    prefixes = docs.where("doc_id is not null").mapInArrow(_prefixes(rarity), "doc_id long, n long, prefix binary")
-    parts = reps.join(joined.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
-        "doc_id", "n", F.coalesce("component", "doc_id").alias("part")
+
+def _untried(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
+    """The pairs that no earlier round has verified, written to the shared folder."""
+    return materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+
+
+def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tile_rows: int = TILE_ROWS) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row of ``docs``."""
+    spark = docs.sparkSession
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    profile = materialize(docs.mapInArrow(_profile, "doc_id long, n long, fp1 long, fp2 long"))
+    nodes = materialize(
+        profile.where("n > 0 and doc_id is not null").groupBy("fp1", "fp2", "n").agg(F.min("doc_id").alias("rep"))
     )
-    total = profile.agg(F.sum("n")).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // 4 // 1_000_000)
-    dealt = prefixes.join(parts, ["doc_id", "n"]).mapInArrow(_deal(buckets, context.broadcast(tiles)), POSTINGS)
-    pairs = materialize(dealt.groupBy("bucket").applyInArrow(_pairs, "a long, b long").distinct())
-    more = verify(docs, pairs)
-    found = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    reps = nodes.select(F.col("rep").alias("doc_id"), "n")
+    batches = max(1, -(-nodes.count() // BATCH_DOCS))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), batches // 4)
+
+    texts = likely(docs.where("doc_id is not null"), "doc_id", reps)
+    texts = texts.withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)))
+    shingles = texts.groupBy("batch").applyInArrow(_deal_shingles(buckets), "bucket long, batch long, shingles binary")
+    levels = shingles.groupBy("bucket").applyInArrow(_sum_shingles, "batch long, bucket long, levels binary")
+    prefixes = texts.groupBy("batch").cogroup(levels.groupBy("batch")).applyInArrow(_prefixes(buckets), PREFIX)
+    prefixes = materialize(prefixes.where("size(keys) > 0").join(reps, ["doc_id", "n"], "left_semi"))
+
+    found = tried = None
+    for begin, count in ROUNDS:
+        pairs = _untried(_pivots(_with_parts(prefixes, found), begin, count), tried)
+        linked = verify(docs, pairs)
+        found = components(linked if found is None else linked.union(found))
+        tried = pairs if tried is None else tried.union(pairs)
+
+    parts = _with_parts(prefixes, found)
+    dealt = parts.mapInArrow(_deal(buckets, tile_rows), POSTINGS)
+    pairs = dealt.groupBy("bucket").applyInArrow(_pairs, "a long, b long").distinct()
+    found = components(verify(docs, _untried(pairs, tried)).union(found))
 
     label = nodes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "fp1", "fp2", "n", F.coalesce("component", "rep").alias("component")
@@ -346,3 +400,14 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id")
     )
     return linked.union(profile.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of linked documents: that of the smallest id; rows with null ids stay."""
+    linked = materialize(link_documents(docs, id_col, text_col))
+    first = linked.where("doc_id = component_id").groupBy("doc_id").count()
+    kept = docs.join(first.select(F.col("doc_id").alias(id_col)), id_col, "left_semi")
+    if not first.where("count > 1").isEmpty():
+        kept = kept.dropDuplicates([id_col])
+    rest = docs.where(F.col(id_col).isNull())
+    return kept.select(docs.columns).union(rest)

@@ -64,6 +64,19 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op4_near_join": """
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w from documents),
+s as (
+  select distinct doc_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                             when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select x.doc_id as a, y.doc_id as b, count(*) as k from s x join s y on x.s = y.s and x.doc_id < y.doc_id group by 1, 2),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 75 * (x.n + y.n - k)),
+e as (select a, b from l union all select b, a from l),
+r(doc_id, root) as (select doc_id, doc_id from documents union select e.b, r.root from r join e on e.a = r.doc_id where r.root < e.b)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, min(r.root)::bigint as component_id
+from documents d left join n using (doc_id) join r using (doc_id) group by d.doc_id, n.n""",
     "op7_top_k": """
         with v as (
             select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as e from embeddings
