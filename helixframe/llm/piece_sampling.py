@@ -34,7 +34,7 @@ from helixframe.llm._text import mix, prefix_hash, span_hash, spread, text_slice
 ALPHA = 1.0
 SEED = 3
 #: Chunks whose sums a worker keeps.
-MEMO_CHUNKS = 400_000
+MEMO_CHUNKS = 250_000
 SPACE = 0x20
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
