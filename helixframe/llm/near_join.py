@@ -168,7 +168,9 @@ def prefix_length(n):
     return n - -(-3 * n // 4) + 1
 
 
-PREFIX = "doc_id long, n long, keys array<long>, places array<int>"
+#: Bins of a set's shared shingles by hash, for the suffix filter on candidates.
+BINS = 64
+PREFIX = "doc_id long, n long, keys array<long>, places array<int>, bins binary"
 
 
 def _prefixes(buckets: int):
@@ -181,7 +183,7 @@ def _prefixes(buckets: int):
         rows = sorted(back.select(["bucket", "levels"]).to_pylist(), key=lambda r: r["bucket"])
         levels = np.frombuffer(b"".join(zlib.decompress(r["levels"]) for r in rows), np.uint8)
         level = levels[np.searchsorted(distinct, code)].astype(np.uint64)
-        keys, places, begin = [], [], 0
+        keys, places, bins, begin = [], [], [], 0
         for x in sets:
             own = level[begin : begin + len(x)]
             begin += len(x)
@@ -189,8 +191,11 @@ def _prefixes(buckets: int):
             shared = np.flatnonzero(key >> np.uint64(58))
             keys.append(key[shared].view(np.int64))
             places.append(shared.astype(np.int32))
+            count = np.bincount((x[own > 0] >> np.uint64(8)).astype(np.int64) % BINS, minlength=BINS)
+            # Sets with too many in a bin for a byte are told by full bins, and are not filtered.
+            bins.append((count if count.max() < 255 else np.full(BINS, 255)).astype(np.uint8).tobytes())
         n = np.array([len(x) for x in sets], np.int64)
-        return pa.table({"doc_id": table.column("doc_id"), "n": n, "keys": pa.array(keys, pa.list_(pa.int64())), "places": pa.array(places, pa.list_(pa.int32()))})
+        return pa.table({"doc_id": table.column("doc_id"), "n": n, "keys": pa.array(keys, pa.list_(pa.int64())), "places": pa.array(places, pa.list_(pa.int32())), "bins": pa.array(bins, pa.binary())})
 
     return run
 
@@ -227,7 +232,7 @@ def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 # Last round: whole prefixes
 
-POSTINGS = "bucket long, ids binary, sizes binary, alone binary, parts binary, keys binary, doc binary, place binary"
+POSTINGS = "bucket long, ids binary, sizes binary, alone binary, parts binary, bins binary, keys binary, doc binary, place binary"
 
 
 def _deal(buckets: int, tile_rows: int):
@@ -243,6 +248,7 @@ def _deal(buckets: int, tile_rows: int):
             alone = np.array([x[4][0] for x in held], np.int32)
             parts = np.array([x[2] for x in held], np.int64)
             keys = np.concatenate([x[3] for x in held])
+            bins = np.frombuffer(b"".join(x[5] for x in held), np.uint8).reshape(-1, BINS)
             doc = np.repeat(np.arange(len(held), dtype=np.int32), [len(x[3]) for x in held])
             place = np.concatenate([x[4] for x in held])
             # A very frequent shingle is dealt to tiles of two salts each, so that all its pairs meet.
@@ -263,19 +269,19 @@ def _deal(buckets: int, tile_rows: int):
             rows = []
             for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
                 who, index = np.unique(doc[part], return_inverse=True)
-                rows.append((int(bucket[part[0]]), ids[who].tobytes(), sizes[who].tobytes(), alone[who].tobytes(), parts[who].tobytes(), keys[part].tobytes(), index.astype(np.int32).tobytes(), place[part].tobytes()))
+                rows.append((int(bucket[part[0]]), ids[who].tobytes(), sizes[who].tobytes(), alone[who].tobytes(), parts[who].tobytes(), bins[who].tobytes(), keys[part].tobytes(), index.astype(np.int32).tobytes(), place[part].tobytes()))
             cols = list(zip(*rows, strict=True))
             return pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.int64()), *(pa.array(c, pa.binary()) for c in cols[1:])],
-                names=["bucket", "ids", "sizes", "alone", "parts", "keys", "doc", "place"],
+                names=["bucket", "ids", "sizes", "alone", "parts", "bins", "keys", "doc", "place"],
             )
 
         for batch in batches:
-            columns = [batch.column(c) for c in ("doc_id", "n", "part", "keys", "places")]
+            columns = [batch.column(c) for c in ("doc_id", "n", "part", "keys", "places", "bins")]
             for i in range(batch.num_rows):
                 doc, n, part = (c[i].as_py() for c in columns[:3])
-                keys, places = (c[i].values.to_numpy() for c in columns[3:])
-                held.append((doc, n, part, keys.view(np.uint64), places))
+                keys, places = (c[i].values.to_numpy() for c in columns[3:5])
+                held.append((doc, n, part, keys.view(np.uint64), places, columns[5][i].as_py()))
                 count += len(keys)
             if count > 1_000_000:
                     yield flush()
@@ -288,14 +294,19 @@ def _deal(buckets: int, tile_rows: int):
 
 def _pairs(table: pa.Table) -> pa.Table:
     """Pairs of documents of different components that share a shingle of this bucket and pass the filters."""
-    cols: dict[str, list] = {k: [] for k in ("ids", "sizes", "alone", "parts", "keys", "place")}
+    cols: dict[str, list] = {k: [] for k in ("ids", "sizes", "alone", "parts", "keys", "place", "row")}
+    bins, known = [], 0
     for row in table.to_pylist():
         doc = np.frombuffer(row["doc"], np.int32)
+        bins.append(np.frombuffer(row["bins"], np.uint8).reshape(-1, BINS))
+        cols["row"].append(doc + known)
+        known += len(bins[-1])
         for k, kind in (("ids", np.int64), ("sizes", np.int32), ("alone", np.int32), ("parts", np.int64)):
             cols[k].append(np.frombuffer(row[k], kind)[doc])
         cols["keys"].append(np.frombuffer(row["keys"], np.uint64))
         cols["place"].append(np.frombuffer(row["place"], np.int32))
-    ids, sizes, alone, parts, keys, place = (np.concatenate(x) for x in cols.values())
+    bins = np.concatenate(bins)
+    ids, sizes, alone, parts, keys, place, row_of = (np.concatenate(x) for x in cols.values())
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))
@@ -324,6 +335,14 @@ def _pairs(table: pa.Table) -> pa.Table:
             most = np.minimum(p1 - w[x, None], p2 - w[None, y]) + np.minimum(n1 - p1, n2 - p2)
             ok &= 7 * most >= 3 * (n1 + n2)
             u, v = np.nonzero(ok)
+            # Suffix filter: shared shingles of one bin only meet there.
+            fits = np.ones(len(u), bool)
+            for k in range(0, len(u), 65536):
+                a, b = bins[row_of[run[lo + u[k : k + 65536]]]], bins[row_of[run[v[k : k + 65536]]]]
+                both = np.minimum(a, b).sum(1, dtype=np.int64)
+                full = (a[:, 0] == 255) | (b[:, 0] == 255)
+                fits[k : k + 65536] = full | (7 * both >= 3 * (n[lo + u[k : k + 65536]] + n[v[k : k + 65536]]))
+            u, v = u[fits], v[fits]
             if len(u):
                 found.append(np.stack([d[lo + u], d[v]], 1))
     pairs = np.concatenate(found)
