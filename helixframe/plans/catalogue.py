@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from helixframe.functions import scalars as S
 from helixframe.operators import clustering as C
+from helixframe.operators import geometry as G3
 from helixframe.operators import graphs as G
 from helixframe.operators import relational as R
 
@@ -517,3 +518,32 @@ def bbox_filter(spark, sf_dir):
     lo1, hi1, lo2, hi2 = (f(half(i)).cast("double") for i in (1, 33) for f in (F.array_min, F.array_max))
     gap = F.greatest(F.lit(0.0), lo1 - hi2, lo2 - hi1)
     return _t(spark, sf_dir, "embeddings").select("vec_id", gap.alias("gap"), (gap <= 0).alias("near"))
+
+
+def _places(spark, sf_dir):
+    """The first three components as places, in double precision; two groups of owners by id."""
+    rows = _t(spark, sf_dir, "embeddings")
+    xyz = [F.element_at("embedding", i + 1).cast("double").alias(c) for i, c in enumerate("xyz")]
+    return rows.select(F.col("label").alias("case"), F.col("vec_id").alias("id"), F.pmod("vec_id", F.lit(7)).alias("owner"), *xyz)
+
+
+_PAIRS = """
+    with p as (select label as "case", vec_id as id, vec_id % 7 as owner, embedding[1]::double as x, embedding[2]::double as y, embedding[3]::double as z from embeddings),
+    d as (select a."case", a.id, b.id as id_2, a.owner, b.owner as owner_2,
+                 sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)) as d
+          from p a join p b on a."case" = b."case" and a.id < b.id)"""
+
+
+@query(_PAIRS + """ select "case", id, id_2 from d where d <= 0.1""")
+def distance_contacts(spark, sf_dir):
+    """Pairs within a distance, by a grid join."""
+    rows = _places(spark, sf_dir)
+    return G3.contacts(rows, rows, "case", 0.1).where("id < id_2").select("case", "id", "id_2")
+
+
+@query(_PAIRS.replace("a.id < b.id", "a.id <> b.id") + """
+    select "case", id, arg_min(owner_2, row(d, id_2)) as owner from d where d <= 0.1 group by 1, 2""")
+def nearest_owner(spark, sf_dir):
+    """The owner of the nearest row within a distance."""
+    rows = _places(spark, sf_dir)
+    return G3.nearest_owner(G3.contacts(rows, rows, "case", 0.1).where("id <> id_2"), "case").select("case", "id", "owner")
