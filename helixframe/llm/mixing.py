@@ -2,22 +2,24 @@
 
 A text is its UTF-8 bytes and an end symbol. Each bit of a byte is predicted
 from counts of that bit after the same 0 to 5 bytes, or after the same word so
-far (and the bits before it in its byte), in hashed tables of fixed size. A mixer whose
+far (and the bits before it in its byte). A mixer whose
 weights are gated by the bit's place and by how much the longer contexts have
 seen combines the predictors' logits; an adaptive probability map refines the
 result. Logarithms of the bits' probabilities add up to the text's.
 
-The counts are of all training texts: every task ships its distinct contexts
-with their counts, which are summed by key and then folded into the tables.
-Mixer and map then learn online, bit by bit batch, over a bounded sample of
+The counts are of all training texts and exact, however many contexts there
+are: batches of documents deal their distinct contexts with the bytes after
+them to buckets by a hash of the context, each bucket sums whole keys and sends
+every batch the levels of the keys it asked for, so that no table grows on the
+driver or is shipped whole. Byte contexts are their own keys; words so far are
+56 bits of hash. Mixer and map then learn online, bit by bit batch, over a bounded sample of
 training texts (whose own occurrence is taken out of the counts); every text
 is scored from that state, so that scores depend neither on order nor on how
 rows are dealt out. As a byte's probability depends on the bytes and the word up to
 it, each slice of texts evaluates each of its distinct contexts once.
 
-The word-level baseline needs each word's count over all training texts;
-``word_counts`` deals the words of batches of documents to buckets by hash,
-sums there, and sends the sums back to the batches.
+The word-level baseline needs each word's count over all training texts, which
+go the same way.
 
 Edge cases: null texts are empty (one end symbol, one end token); rows with
 null ids are held out; repeated rows are scored and learned from once each; with
@@ -42,11 +44,9 @@ from helixframe.llm._text import (
     distinct_sorted,
     merge_counts,
     mix,
-    pack_keys,
     prefix_hash,
     span_hash,
     text_slices,
-    unpack_keys,
     word_bounds,
     word_hashes,
 )
@@ -54,7 +54,7 @@ from helixframe.llm._text import (
 ORDERS = 6
 #: Predictors: the orders of bytes, and the word so far.
 INPUTS = ORDERS + 1
-#: Slots of the table of each order, and of that of the words.
+#: Slots of each order, and of the words, in a hashed table given to a model.
 TABLE_BITS, WORD_BITS = 20, 22
 END = 0xFF
 SLICE = 2 << 20
@@ -65,7 +65,6 @@ SAMPLE_DOCS, SAMPLE_CHARS = 1600, 800
 LEAD = 32
 BATCH_DOCS = 1500
 FOLDS, FOLD = 7, 2
-PART_BITS = 15
 
 
 def held_out():
@@ -78,7 +77,7 @@ def held_out():
 
 def grams(data: np.ndarray, off: np.ndarray):
     """For each byte and end symbol: the 48-bit key of it and the five bytes before, the key of it and
-    the word so far (40 bits of its hash), and its document."""
+    the word so far (56 bits of its hash), and its document."""
     docs = len(off) - 1
     lead = ORDERS - 1
     text = np.full(len(data) + docs * (lead + 1), END, np.uint8)
@@ -93,7 +92,7 @@ def grams(data: np.ndarray, off: np.ndarray):
     inside = NOT_SPACE[text] & (text != END)
     begin = np.maximum.accumulate(np.where(inside, 0, np.arange(1, len(text) + 1)))
     begin = np.minimum(begin[at - 1], at) if len(at) else at
-    word = span_hash(c, begin, at) & np.uint64((1 << 48) - 256) | key & np.uint64(255)
+    word = span_hash(c, begin, at) & ~np.uint64(255) | key & np.uint64(255)
     size = np.diff(off) + 1
     start = np.cumsum(size + lead) - size - lead
     keep = np.ones(len(key), bool)
@@ -112,6 +111,11 @@ def _nodes(key: np.ndarray) -> np.ndarray:
     return np.stack([1 << k | byte >> 8 - k for k in range(8)])
 
 
+def _bits(key: np.ndarray) -> np.ndarray:
+    """The bits of the byte: shape (8, keys)."""
+    return (key & np.uint64(255)).astype(np.int64) >> np.arange(7, -1, -1)[:, None] & 1
+
+
 def _cells(context: np.ndarray, key: np.ndarray, order: int) -> np.ndarray:
     """Table cells (2 * slot + bit) of an order's contexts: shape (8, keys)."""
     bits = TABLE_BITS if order < ORDERS else WORD_BITS
@@ -142,10 +146,20 @@ def cells(key: np.ndarray, word: np.ndarray) -> np.ndarray:
 _LEVELS = np.concatenate([np.arange(33), 32 * 2 ** (np.arange(1, 224) / 8)])
 
 
-def to_level(count: np.ndarray) -> np.ndarray:
+def _to_level(count: np.ndarray) -> np.ndarray:
     return np.minimum(np.searchsorted(_LEVELS, count, side="right") - 1, 255).astype(np.uint8)
 
 
+_LOW = _to_level(np.arange(4096))
+
+
+def to_level(count: np.ndarray) -> np.ndarray:
+    low = _LOW[np.minimum(count, 4095)]
+    high = np.flatnonzero(count > 4095)
+    low[high] = _to_level(count[high])
+    return low
+
+
 _PAIRS = np.arange(65536)
 _N0, _N1 = _LEVELS[_PAIRS >> 8], _LEVELS[_PAIRS & 255]
 #: Logit and amount seen of a pair of levels.
@@ -188,16 +202,15 @@ class Mixer:
         refined = self.map[node, cell] * (1 - part) + self.map[node, cell + 1] * part
         return p, cell + (part >= 0.5), np.clip((p + refined) / 2, 1e-5, 1 - 1e-5)
 
-    def learn(self, table: np.ndarray, key: np.ndarray, word: np.ndarray, batch: int = 1024, rounds: int = 2) -> None:
+    def learn(self, find, key: np.ndarray, word: np.ndarray, batch: int = 1024, rounds: int = 2) -> None:
         """Online over keys in order: predict a batch, then move weights and map by its errors."""
         total = rounds * -(-len(key) // batch)
         place = np.arange(8)[:, None]
         for step in range(total):
             lo = step % max(1, total // rounds) * batch
             part = key[lo : lo + batch]
-            cell = cells(part, word[lo : lo + batch])
-            bit = cell[0] & 1
-            pair = _less_one(table[cell >> 1].astype(np.int64), bit[None])
+            bit = _bits(part)
+            pair = _less_one(find(part, word[lo : lo + batch]).astype(np.int64), bit[None])
             logit, gate = self.inputs(pair)
             node = _nodes(part)
             p, spot, _ = self.predict(logit, gate, place, node)
@@ -217,20 +230,26 @@ class Mixer:
 
 
 class Model:
-    """Tables of levels, mixer and map; log10 probabilities of keys and texts."""
+    """Levels, mixer and map; log10 probabilities of keys and texts.
 
-    def __init__(self, table: np.ndarray, mixer: Mixer):
+    ``find`` gives the pairs of levels of keys; without one they come from a hashed table.
+    """
+
+    def __init__(self, table: np.ndarray | None, mixer: Mixer, find=None):
         self.table, self.mixer, self.memo = table, mixer, None
+        self.find = find or self._hashed
+
+    def _hashed(self, key: np.ndarray, word: np.ndarray) -> np.ndarray:
+        return self.table[cells(key, word) >> 1]
 
     def log10(self, key: np.ndarray, word: np.ndarray) -> np.ndarray:
         out = np.empty(len(key))
         place = np.arange(8)[:, None]
         for lo in range(0, len(key), 8192):
             part = key[lo : lo + 8192]
-            cell = cells(part, word[lo : lo + 8192])
-            logit, gate = self.mixer.inputs(self.table[cell >> 1])
+            logit, gate = self.mixer.inputs(self.find(part, word[lo : lo + 8192]))
             p = self.mixer.predict(logit, gate, place, _nodes(part))[2]
-            out[lo : lo + 8192] = np.log10(np.where(cell[0] & 1, p, 1 - p)).sum(0)
+            out[lo : lo + 8192] = np.log10(np.where(_bits(part), p, 1 - p)).sum(0)
         return out
 
     def scores(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -252,7 +271,9 @@ class Model:
             seen = both[miss[order]]
             new = np.concatenate(([True], seen[1:] != seen[:-1]))
             first = miss[order[new]]
-            fresh = self.log10(key[first], word[first])
+            near = np.argsort(key[first])
+            fresh = np.empty(len(first))
+            fresh[near] = self.log10(key[first[near]], word[first[near]])
             value[miss[order]] = fresh[np.cumsum(new) - 1]
             known[slot[first]] = both[first]
             # Of contexts that share a slot the last one written counts; its value is written with its hash.
@@ -264,110 +285,129 @@ class Model:
 # Counts of all training texts
 
 
-def _count_grams(buckets: int):
-    """Distinct keys of each task with their counts, by kind (bytes, words) and bucket."""
-
-    def run(batches):
-        held: list[list] = [[], []]
-
-        def rows():
-            out = []
-            for kind in (0, 1):
-                key, count = merge_counts(held[kind])
-                bucket = (mix(key >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                for p in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-                    out.append((kind, int(bucket[p[0]]), pack_keys(key[p], np.minimum(count[p], 2**32 - 1))))
-            cols = list(zip(*out, strict=True))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary())], names=["kind", "bucket", "keys"]
-            )
-
-        for batch in batches:
-            for _, _, data, off in text_slices(batch.column("text"), SLICE):
-                for kind, key in enumerate(grams(data, off)[:2]):
-                    held[kind].append(distinct_counts(key))
-                if len(held[0]) > 6:
-                    held = [[merge_counts(x)] for x in held]
-                    if len(held[0][0][0]) + len(held[1][0][0]) > 4_000_000:
-                        yield rows()
-                        held = [[], []]
-        if held[0]:
-            yield rows()
+def _kept(key: np.ndarray, order: int) -> np.ndarray:
+    """Keys of an order: its context and the byte; the words' are whole."""
+    return key & np.uint64((1 << 8 * (order + 1)) - 1) if order < ORDERS else key
 
-    return run
 
+def contexts(column, train: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each order, and the words: distinct keys of a column of texts, and how often they are in training texts."""
+    held: list[list] = [[], []]
+    for lo, _, data, off in text_slices(column, SLICE):
+        *keys, doc = grams(data, off)
+        learned = train[lo + doc]
+        for kind, key in enumerate(keys):
+            every = distinct_sorted(key)
+            held[kind] += [(every, np.zeros(len(every), np.int64)), distinct_counts(key[learned])]
+    whole, words = (merge_counts(x) if x else (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for x in held)
+    return [merge_counts([(_kept(whole[0], k), whole[1])]) for k in range(ORDERS)] + [words]
 
-def _to_cells(table: pa.Table) -> pa.Table:
-    """Sums of a bucket's keys of one kind, folded into counts of table cells, by part of the tables."""
-    of = word_cells if table.column("kind")[0].as_py() else gram_cells
-    key, count = merge_counts([unpack_keys(x) for x in table.column("keys").to_pylist()])
-    found = []
-    for lo in range(0, len(key), 65536):
-        cell = of(key[lo : lo + 65536])
-        n = np.tile(count[lo : lo + 65536], cell.shape[0] * 8)
-        found.append(merge_counts([(cell.ravel(), n)]))
-    cell, count = merge_counts(found)
-    part = cell >> PART_BITS + 1
-    at = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-    ends = np.append(at[1:], len(part))
-    return pa.table(
-        {
-            "part": pa.array(part[at]),
-            "cells": pa.array([pack_keys((cell[i:j] & (2 << PART_BITS) - 1).astype(np.uint64), np.minimum(count[i:j], 2**32 - 1)) for i, j in zip(at, ends, strict=True)], pa.binary()),
-        }
-    )
 
+def _buckets(key: np.ndarray, order: int, buckets: int) -> np.ndarray:
+    """All bytes after one context meet in one bucket."""
+    return (mix((key >> np.uint64(8)) * np.uint64(ORDERS + 1) + np.uint64(order + 1)) % np.uint64(buckets)).astype(np.int64)
 
-def _levels(batches):
-    """Levels of the table parts dealt to this task, from a stream of their cells' counts."""
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for part, raw in zip(batch.column("part").to_pylist(), batch.column("cells").to_pylist(), strict=True):
-            cell, count = unpack_keys(raw)
-            held = total.setdefault(part, np.zeros(2 << PART_BITS, np.int64))
-            held[cell.astype(np.int64)] += count
-    for part, held in total.items():
-        level = to_level(held).astype(np.uint16)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([part], pa.int64()), pa.array([zlib.compress((level[0::2] << 8 | level[1::2]).tobytes(), 1)], pa.binary())],
-            names=["part", "levels"],
-        )
+
+def _split(bucket: np.ndarray, buckets: int):
+    """Rows by bucket in their order, and each bucket's end among them."""
+    return np.argsort(bucket.astype(np.uint16) if buckets <= 65536 else bucket, kind="stable"), np.cumsum(np.bincount(bucket, minlength=buckets))
+
+
+def pack_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
+    """Keys (sorted, as differences) and counts of each order, by byte planes, compressed."""
+    step = np.concatenate([np.diff(k, prepend=np.uint64(0)) for k, _ in parts])
+    count = np.concatenate([c for _, c in parts])
+    planes = [x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes() for x in (step, count.astype(np.uint64))]
+    return np.array([len(k) for k, _ in parts], "<i8").tobytes() + zlib.compress(b"".join(planes), 1)
 
 
-def count_table(texts: DataFrame) -> np.ndarray:
-    """The hashed tables of all given texts: two bytes a slot."""
-    buckets = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = texts.select("text").mapInArrow(_count_grams(buckets), "kind long, bucket long, keys binary")
-    folded = keys.groupBy("kind", "bucket").applyInArrow(_to_cells, "part long, cells binary")
-    parts = folded.repartition(64, "part").mapInArrow(_levels, "part long, levels binary")
-    table = np.zeros(int(BASE[-1]), np.uint16)
-    for r in parts.collect():  # the tables' fixed size
-        table[r["part"] << PART_BITS : (r["part"] + 1) << PART_BITS] = np.frombuffer(zlib.decompress(r["levels"]), np.uint16)
-    return table
+def unpack_counts(raw: bytes) -> list[tuple[np.ndarray, np.ndarray]]:
+    ends = np.cumsum(np.frombuffer(raw, "<i8", ORDERS + 1))
+    planes = np.frombuffer(zlib.decompress(raw[8 * (ORDERS + 1) :]), np.uint8).reshape(2, 8, -1)
+    step, count = (np.ascontiguousarray(x.T).view("<u8").ravel() for x in planes)
+    return [(np.cumsum(step[e - n : e]), count[e - n : e].astype(np.int64)) for e, n in zip(ends, np.diff(ends, prepend=0), strict=True)]
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Tables over all training texts of (doc_id, text, held_out); mixer and map over a bounded sample."""
-    texts = docs.where("not held_out")
-    table = count_table(texts)
+def levels_of(key: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Pairs of levels at each bit of sorted distinct keys that hold all bytes of their contexts: shape (8, keys)."""
+    out = np.empty((8, len(key)), np.uint16)
+    if not len(key):
+        return out
+    bit = _bits(key)
+    node = None
+    for k in range(9):
+        top = key >> np.uint64(8 - k)
+        at = np.flatnonzero(np.concatenate(([True], top[1:] != top[:-1])))
+        total = np.repeat(np.add.reduceat(count, at), np.diff(np.append(at, len(key))))
+        if k:
+            same, other = to_level(total).astype(np.uint16), to_level(node - total).astype(np.uint16)
+            out[k - 1] = np.where(bit[k - 1] == 1, other << 8 | same, same << 8 | other)
+        node = total
+    return out
+
+
+def _answers(requests: list[bytes]) -> list[bytes]:
+    """For each request of a bucket, the levels of its keys by the bucket's summed counts."""
+    parts = [unpack_counts(x) for x in requests]
+    answers: list[list] = [[] for _ in parts]
+    for k in range(ORDERS + 1):
+        key, count = merge_counts([p[k] for p in parts])
+        level = levels_of(key, count)
+        for p, out in zip(parts, answers, strict=True):
+            out.append(level[:, np.searchsorted(key, p[k][0])])
+    found = [np.concatenate(x, axis=1) for x in answers]
+    return [zlib.compress(np.stack([x & 255, x >> 8]).astype(np.uint8).tobytes(), 1) for x in found]
+
+
+class Contexts:
+    """The levels of a batch's keys, as the buckets answered."""
+
+    def __init__(self, keys: list[np.ndarray], buckets: int, rows: list[dict]):
+        self.keys, self.level = keys, [np.zeros((8, len(k)), np.uint16) for k in keys]
+        split = [_split(_buckets(k, n, buckets), buckets) for n, k in enumerate(keys)]
+        for r in rows:
+            b, at = r["bucket"], 0
+            got = np.frombuffer(zlib.decompress(r["levels"]), np.uint8).reshape(2, 8, -1)
+            got = got[0].astype(np.uint16) | got[1].astype(np.uint16) << 8
+            for level, (order, ends) in zip(self.level, split, strict=True):
+                own = order[ends[b - 1] if b else 0 : ends[b]]
+                level[:, own] = got[:, at : at + len(own)]
+                at += len(own)
+
+    def find(self, key: np.ndarray, word: np.ndarray) -> np.ndarray:
+        out = np.empty((INPUTS, 8, len(key)), np.uint16)
+        for k, (known, level) in enumerate(zip(self.keys, self.level, strict=True)):
+            out[k] = level[:, np.searchsorted(known, _kept(key, k) if k < ORDERS else word)]
+        return out
+
+
+def sampled(texts: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """(doc_id, text): a bounded sample of windows of training texts, for mixer and map."""
     ids = texts.where("text <> ''").select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(sample_docs).distinct()
     room = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1
     window = F.substr("text", F.pmod(F.xxhash64("doc_id", F.lit(1)), room).cast("int") + 1, F.lit(SAMPLE_CHARS))
-    # At most sample_docs ids: a bounded broadcast, and a bounded sample on the driver.
-    rows = texts.join(F.broadcast(ids), "doc_id").select("doc_id", window.alias("text")).distinct().limit(2 * sample_docs).collect()
-    mixer = Mixer()
-    keys, words = [], []
-    for _, text in sorted((r["doc_id"], r["text"]) for r in rows):
-        raw = np.frombuffer(text.encode(), np.uint8)
-        key, word, _ = grams(raw, np.array([0, len(raw)]))
-        keys.append(key[LEAD:-1])
-        words.append(word[LEAD:-1])
-    if keys:
+    # At most sample_docs ids: a bounded broadcast.
+    return texts.join(F.broadcast(ids), "doc_id").select("doc_id", window.alias("text")).distinct()
+
+
+def _learn_batch(buckets: int):
+    """Weights and map of a mixer that learned from a batch of windows."""
+
+    def run(docs: pa.Table, back: pa.Table) -> pa.Table:
+        keys = [k for k, _ in contexts(docs.column("text"), np.zeros(docs.num_rows, bool))]
+        found = Contexts(keys, buckets, back.select(["bucket", "levels"]).to_pylist())
+        mixer, key, word = Mixer(), [], []
+        for _, text in sorted(zip(docs.column("doc_id").to_pylist(), docs.column("text").to_pylist(), strict=True)):
+            raw = np.frombuffer(text.encode(), np.uint8)
+            k, w, _ = grams(raw, np.array([0, len(raw)]))
+            key.append(k[LEAD:-1])
+            word.append(w[LEAD:-1])
         # Each batch holds bytes of many texts.
-        order = np.random.default_rng(5).permutation(sum(map(len, keys)))
-        mixer.learn(table, np.concatenate(keys)[order], np.concatenate(words)[order])
-    return Model(table, mixer)
+        order = np.random.default_rng(5).permutation(sum(map(len, key)))
+        mixer.learn(found.find, np.concatenate(key)[order], np.concatenate(word)[order])
+        return pa.table({"weights": pa.array([mixer.weights.tobytes()], pa.binary()), "map": pa.array([mixer.map.tobytes()], pa.binary())})
+
+    return run
 
 
 # Word counts for the baseline
@@ -386,30 +426,36 @@ def _words(text_column):
     return h, doc
 
 
-def _batch_words(buckets: int):
+def _batch_counts(buckets: int):
+    """A batch's distinct words and contexts with their counts in training texts, by bucket."""
+
     def run(table: pa.Table) -> pa.Table:
         h, doc = _words(table.column("text"))
         train = ~table.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
         distinct = distinct_sorted(h)
         count = np.bincount(np.searchsorted(distinct, h[train[doc]]), minlength=len(distinct))
-        bucket = (mix(distinct) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        parts = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []
-        batch = table.column("batch")[0].as_py()
+        order, ends = _split((mix(distinct) % np.uint64(buckets)).astype(np.int64), buckets)
+        words = np.split(order, ends[:-1])
+        grown = []
+        for k, (key, n) in enumerate(contexts(table.column("text"), train)):
+            at, ends = _split(_buckets(key, k, buckets), buckets)
+            grown.append([(key[p], n[p]) for p in np.split(at, ends[:-1])])
+        used = [b for b in range(buckets) if len(words[b]) or any(len(x[b][0]) for x in grown)]
         return pa.table(
             {
-                "bucket": pa.array([int(bucket[p[0]]) for p in parts], pa.int64()),
-                "batch": pa.array([batch] * len(parts), pa.int64()),
-                "words": pa.array([distinct[p].tobytes() for p in parts], pa.binary()),
-                "counts": pa.array([count[p].astype("<u4").tobytes() for p in parts], pa.binary()),
+                "bucket": pa.array(used, pa.int64()),
+                "batch": pa.array([table.column("batch")[0].as_py()] * len(used), pa.int64()),
+                "words": pa.array([distinct[words[b]].tobytes() for b in used], pa.binary()),
+                "counts": pa.array([count[words[b]].astype("<u4").tobytes() for b in used], pa.binary()),
+                "grams": pa.array([pack_counts([x[b] for x in grown]) for b in used], pa.binary()),
             }
         )
 
     return run
 
 
-def _sum_words(table: pa.Table) -> pa.Table:
-    rows = table.to_pylist()
+def _sum_counts(table: pa.Table) -> pa.Table:
+    rows = sorted(table.to_pylist(), key=lambda r: -r["batch"])
     words = [np.frombuffer(r["words"], np.uint64) for r in rows]
     key, total = merge_counts([(w, np.frombuffer(r["counts"], "<u4").astype(np.int64)) for w, r in zip(words, rows, strict=True)])
     known = int((total > 0).sum())
@@ -419,6 +465,7 @@ def _sum_words(table: pa.Table) -> pa.Table:
             "bucket": pa.array([r["bucket"] for r in rows], pa.int64()),
             "totals": pa.array([np.minimum(total[np.searchsorted(key, w)], 2**32 - 1).astype("<u4").tobytes() for w in words], pa.binary()),
             "kinds": pa.array([known] + [0] * (len(rows) - 1), pa.int64()),
+            "levels": pa.array(_answers([r["grams"] for r in rows]), pa.binary()),
         }
     )
 
@@ -440,10 +487,13 @@ def _score_batch(buckets: int, shared):
         if rows:
             total[order] = np.concatenate([np.frombuffer(r["totals"], "<u4") for r in rows])
         seen = total[np.searchsorted(distinct, h)]
+        keys = [k for k, _ in contexts(docs.column("text"), np.zeros(n, bool))]
+        model = shared.value
+        model.find = Contexts(keys, buckets, back.select(["bucket", "levels"]).to_pylist()).find
         size, score = np.zeros(n, np.int64), np.zeros(n)
         for lo, hi, data, off in text_slices(docs.column("text"), SLICE):
             size[lo:hi] = np.diff(off)
-            score[lo:hi] = shared.value.scores(data, off)
+            score[lo:hi] = model.scores(data, off)
         kinds = np.zeros(n, np.int64)
         kinds[0] = sum(back.column("kinds").to_pylist())
         return pa.table(
@@ -466,13 +516,20 @@ def score(docs: DataFrame, batch_docs: int = BATCH_DOCS) -> DataFrame:
     """One row for each (doc_id, text): the model's score and the word baseline."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", held_out())
-    model = spark.sparkContext.broadcast(train(docs))
     batches = max(1, -(-docs.count() // batch_docs))
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), batches // 4)
     dealt = docs.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)))
-    words = dealt.groupBy("batch").applyInArrow(_batch_words(buckets), "bucket long, batch long, words binary, counts binary")
-    sums = words.groupBy("bucket").applyInArrow(_sum_words, "batch long, bucket long, totals binary, kinds long")
-    scored = dealt.groupBy("batch").cogroup(sums.groupBy("batch")).applyInArrow(_score_batch(buckets, model), SCORED)
+    # The sample is a batch of its own that asks for counts and adds none.
+    windows = materialize(sampled(docs.where("not held_out")).select("doc_id", "text", F.lit(True).alias("held_out"), F.lit(-1).cast("long").alias("batch")))
+    counts = dealt.unionByName(windows).groupBy("batch").applyInArrow(_batch_counts(buckets), "bucket long, batch long, words binary, counts binary, grams binary")
+    sums = materialize(counts.groupBy("bucket").applyInArrow(_sum_counts, "batch long, bucket long, totals binary, kinds long, levels binary"))
+    learned = windows.groupBy("batch").cogroup(sums.where("batch = -1").groupBy("batch")).applyInArrow(_learn_batch(buckets), "weights binary, map binary")
+    mixer = Mixer()
+    for r in learned.collect():
+        mixer.weights = np.frombuffer(r["weights"], np.float32).reshape(mixer.weights.shape)
+        mixer.map = np.frombuffer(r["map"]).reshape(mixer.map.shape)
+    model = spark.sparkContext.broadcast(Model(None, mixer))
+    scored = dealt.groupBy("batch").cogroup(sums.where("batch >= 0").groupBy("batch")).applyInArrow(_score_batch(buckets, model), SCORED)
     scored = materialize(scored)
     # The end token: one in each text, in training N counts it and V holds it.
     row = scored.agg(

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from helixframe.llm import language_id, licences, mixing, near_join, packing, piece_sampling, quality, suffix_dedup
@@ -65,6 +66,30 @@ def test_bits_are_a_distribution():
         assert abs((10.0 ** model.log10(key, word)).sum() - 1) < 1e-6
 
 
+def test_counts_of_contexts_are_exact():
+    """Far more contexts than the hashed tables had slots: no context's counts hold another's."""
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(97, 123, 60_000).astype(np.uint8).tobytes().decode() for _ in range(6)]
+    train = np.array([True] * 5 + [False])
+    parts = [mixing.contexts(pa.array([t]), train[i : i + 1]) for i, t in enumerate(texts)]
+    raw = mixing._answers([mixing.pack_counts(p) for p in parts])[5]
+    keys = [k for k, _ in parts[5]]
+    found = mixing.Contexts(keys, 1, [{"bucket": 0, "levels": raw}])
+    seen = collections.Counter()
+    for t in texts[:5]:
+        for i in range(5, len(t)):
+            for k in range(8):
+                seen[t[i - 5 : i], 1 << k | ord(t[i]) >> 8 - k, ord(t[i]) >> 7 - k & 1] += 1
+    assert len({(c, n) for c, n, _ in seen}) > 1 << mixing.TABLE_BITS
+    data = np.frombuffer(texts[5].encode(), np.uint8)
+    key, word, _ = mixing.grams(data, np.array([0, len(data)]))
+    pair = found.find(key[5:-1], word[5:-1])[5]
+    for i in range(0, pair.shape[1], 7):
+        c, b = texts[5][i : i + 5], ord(texts[5][i + 5])
+        want = [tuple(mixing.to_level(np.array([seen[c, 1 << k | b >> 8 - k, x] for x in (0, 1)]))) for k in range(8)]
+        assert [(p >> 8, p & 255) for p in pair[:, i].tolist()] == want
+
+
 # Packing
 
 
