@@ -12,11 +12,16 @@ are: batches of documents deal their distinct contexts with the bytes after
 them to buckets by a hash of the context, each bucket sums whole keys and sends
 every batch the levels of the keys it asked for, so that no table grows on the
 driver or is shipped whole. Byte contexts are their own keys; words so far are
-56 bits of hash. Mixer and map then learn online, bit by bit batch, over a bounded sample of
-training texts (whose own occurrence is taken out of the counts); every text
-is scored from that state, so that scores depend neither on order nor on how
-rows are dealt out. As a byte's probability depends on the bytes and the word up to
-it, each slice of texts evaluates each of its distinct contexts once.
+56 bits of hash.
+
+Mixer and map learn from all whole training texts: every batch of documents
+makes an online pass over its texts (whose own occurrence is taken out of the
+counts), a context that occurs more than once counting as often; weights and
+map are averaged by how often each was used, in a fixed order, and the next
+round starts from the mean. Every text is scored from the last mean, so that
+scores depend neither on order nor on how rows are dealt out. As a byte's
+probability depends on the bytes and the word up to it, each slice of texts
+evaluates each of its distinct contexts once.
 
 The word-level baseline needs each word's count over all training texts, which
 go the same way.
@@ -33,6 +38,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,9 +66,8 @@ END = 0xFF
 SLICE = 2 << 20
 #: Contexts whose probabilities a worker keeps: 16 bytes each.
 MEMO_BITS = 22
-SAMPLE_DOCS, SAMPLE_CHARS = 1600, 800
-#: Bytes at the start of a sampled window that only give context.
-LEAD = 32
+#: Passes over all training texts, and tasks that add up what batches learned.
+ROUNDS, LOTS = 2, 32
 BATCH_DOCS = 1500
 FOLDS, FOLD = 7, 2
 
@@ -183,6 +188,13 @@ class Mixer:
         self.weights = np.full((8 * 64, INPUTS + 1), 0.3, np.float32)
         self.weights[:, INPUTS] = 0
         self.map = np.tile(1 / (1 + np.exp(-np.linspace(-8, 8, self.BINS))), (256, 1))
+        self.visits, self.hits = np.zeros(len(self.weights)), np.zeros(self.map.size)
+
+    def copy(self) -> "Mixer":
+        """The same weights and map, with nothing visited."""
+        out = Mixer()
+        out.weights, out.map = self.weights.copy(), self.map.copy()
+        return out
 
     def inputs(self, pair: np.ndarray):
         """Logits by order, and weight set, of pairs of levels (orders, ...)."""
@@ -202,32 +214,53 @@ class Mixer:
         refined = self.map[node, cell] * (1 - part) + self.map[node, cell + 1] * part
         return p, cell + (part >= 0.5), np.clip((p + refined) / 2, 1e-5, 1 - 1e-5)
 
-    def learn(self, find, key: np.ndarray, word: np.ndarray, batch: int = 1024, rounds: int = 2) -> None:
-        """Online over keys in order: predict a batch, then move weights and map by its errors."""
-        total = rounds * -(-len(key) // batch)
+    def learn(self, find, key: np.ndarray, word: np.ndarray, times: np.ndarray, done: float = 0, share: float = 1, batch: int = 1024) -> None:
+        """Online over keys in order: predict a batch, then move weights and map by its errors.
+
+        Keys count as often as they occur. The pass is the given share of all
+        learning, after the part that is done.
+        """
         place = np.arange(8)[:, None]
-        for step in range(total):
-            lo = step % max(1, total // rounds) * batch
-            part = key[lo : lo + batch]
+        for lo in range(0, len(key), batch):
+            part, n = key[lo : lo + batch], times[lo : lo + batch].astype(float)
             bit = _bits(part)
             pair = _less_one(find(part, word[lo : lo + batch]).astype(np.int64), bit[None])
             logit, gate = self.inputs(pair)
             node = _nodes(part)
             p, spot, _ = self.predict(logit, gate, place, node)
-            error = (bit - p).ravel()
+            n = np.broadcast_to(n, bit.shape).ravel()
+            error = (bit - p).ravel() * n
             at = (place * 64 + gate).ravel()
-            count = np.maximum(1, np.bincount(at, minlength=len(self.weights)))
-            rate = 0.3 / (1 + 4 * step / total) / np.sqrt(count)
+            count = np.bincount(at, n, len(self.weights))
+            self.visits += count
+            # A step is bounded, however often a key occurs.
+            rate = 0.3 / (1 + 4 * (done + share * lo / len(key))) * np.sqrt(np.minimum(count, batch)) / np.maximum(count, 1)
             for k in range(INPUTS):
                 self.weights[:, k] += rate * np.bincount(at, error * np.clip(logit[k], -6, 6).ravel(), len(self.weights)) / 8
             self.weights[:, INPUTS] += rate * np.bincount(at, error, len(self.weights)) / 8
             spot = (node * self.BINS + spot).ravel()
             flat = self.map.reshape(-1)
-            hits = np.bincount(spot, minlength=flat.size)
-            ones = np.bincount(spot, bit.ravel(), flat.size)
+            hits = np.bincount(spot, n, flat.size)
+            self.hits += hits
+            ones = np.bincount(spot, bit.ravel() * n, flat.size)
             pull = np.minimum(0.5, 0.02 * hits)
             flat += pull * (ones / np.maximum(hits, 1) - flat) * (hits > 0)
 
+    def parts(self) -> np.ndarray:
+        """What this mixer learned, to be added to others': sums by visits, and visits."""
+        own = self.weights * self.visits[:, None], self.visits, self.map.ravel() * self.hits, self.hits
+        return np.concatenate([x.ravel() for x in own]).astype(np.float64)
+
+    def averaged(self, parts: np.ndarray) -> "Mixer":
+        """The mean of the mixers whose parts were added up, by visits; what none visited stays as it is here."""
+        out = Mixer()
+        w, v, m, h = np.split(parts, np.cumsum([self.weights.size, len(self.visits), self.map.size]))
+        w, m = w.reshape(self.weights.shape), m.reshape(self.map.shape)
+        h = h.reshape(self.map.shape)
+        out.weights = np.where(v[:, None] > 0, w / np.maximum(v, 1)[:, None], self.weights).astype(np.float32)
+        out.map = np.where(h > 0, m / np.maximum(h, 1), self.map)
+        return out
+
 
 class Model:
     """Levels, mixer and map; log10 probabilities of keys and texts.
@@ -313,66 +346,84 @@ def _split(bucket: np.ndarray, buckets: int):
     return np.argsort(bucket.astype(np.uint16) if buckets <= 65536 else bucket, kind="stable"), np.cumsum(np.bincount(bucket, minlength=buckets))
 
 
-def pack_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
-    """Keys (sorted, as differences) and counts of each order, by byte planes, compressed."""
-    step = np.concatenate([np.diff(k, prepend=np.uint64(0)) for k, _ in parts])
-    count = np.concatenate([c for _, c in parts])
-    planes = [x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes() for x in (step, count.astype(np.uint64))]
-    return np.array([len(k) for k, _ in parts], "<i8").tobytes() + zlib.compress(b"".join(planes), 1)
+def _planes(x: np.ndarray, width: int) -> bytes:
+    """Numbers by byte planes, compressed."""
+    return zlib.compress(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes(), 1)
+
+
+def _numbers(raw: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel()
+
 
+def _joined(parts: list[bytes]) -> bytes:
+    return np.array([len(x) for x in parts], "<i8").tobytes() + b"".join(parts)
 
-def unpack_counts(raw: bytes) -> list[tuple[np.ndarray, np.ndarray]]:
-    ends = np.cumsum(np.frombuffer(raw, "<i8", ORDERS + 1))
-    planes = np.frombuffer(zlib.decompress(raw[8 * (ORDERS + 1) :]), np.uint8).reshape(2, 8, -1)
-    step, count = (np.ascontiguousarray(x.T).view("<u8").ravel() for x in planes)
-    return [(np.cumsum(step[e - n : e]), count[e - n : e].astype(np.int64)) for e, n in zip(ends, np.diff(ends, prepend=0), strict=True)]
 
+def _parted(raw: bytes, n: int) -> list[bytes]:
+    size = np.frombuffer(raw, "<i8", n)
+    ends = 8 * n + np.cumsum(size)
+    return [raw[e - k : e] for e, k in zip(ends.tolist(), size.tolist(), strict=True)]
 
-def levels_of(key: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """Pairs of levels at each bit of sorted distinct keys that hold all bytes of their contexts: shape (8, keys)."""
+
+def pack_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
+    """Keys (sorted, as differences) and counts of each order."""
+    return _joined([x for key, count in parts for x in (_planes(np.diff(key, prepend=np.uint64(0)), 8), _planes(count.astype(np.uint64), 5))])
+
+
+def siblings(key: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Of sorted distinct keys that hold all bytes of their contexts: each one's count, and after it, from the last
+    bit to the first, how often the context's other bytes first differ at that bit: shape (9, keys)."""
+    out = np.empty((9, len(key)), np.int64)
+    out[0] = below = count
+    for k in range(1, 9):
+        top = key >> np.uint64(k)
+        at = np.flatnonzero(np.concatenate(([True], top[1:] != top[:-1]))) if len(key) else np.zeros(0, np.int64)
+        total = np.repeat(np.add.reduceat(count, at), np.diff(np.append(at, len(key)))) if len(key) else count
+        out[k] = total - below
+        below = total
+    return out
+
+
+def levels_of(key: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Pairs of levels at each bit of keys, by their siblings: shape (8, keys)."""
     out = np.empty((8, len(key)), np.uint16)
-    if not len(key):
-        return out
-    bit = _bits(key)
-    node = None
-    for k in range(9):
-        top = key >> np.uint64(8 - k)
-        at = np.flatnonzero(np.concatenate(([True], top[1:] != top[:-1])))
-        total = np.repeat(np.add.reduceat(count, at), np.diff(np.append(at, len(key))))
-        if k:
-            same, other = to_level(total).astype(np.uint16), to_level(node - total).astype(np.uint16)
-            out[k - 1] = np.where(bit[k - 1] == 1, other << 8 | same, same << 8 | other)
-        node = total
+    bit, same = _bits(key), found[0].copy()
+    for k in range(8):
+        a, b = to_level(same).astype(np.uint16), to_level(found[k + 1]).astype(np.uint16)
+        out[7 - k] = np.where(bit[7 - k] == 1, b << 8 | a, a << 8 | b)
+        same += found[k + 1]
     return out
 
 
 def _answers(requests: list[bytes]) -> list[bytes]:
-    """For each request of a bucket, the levels of its keys by the bucket's summed counts."""
-    parts = [unpack_counts(x) for x in requests]
-    answers: list[list] = [[] for _ in parts]
+    """For each request of a bucket, the siblings of its keys by the bucket's summed counts."""
+    requests = [_parted(x, 2 * (ORDERS + 1)) for x in requests]
+    answers: list[list[bytes]] = [[] for _ in requests]
     for k in range(ORDERS + 1):
-        key, count = merge_counts([p[k] for p in parts])
-        level = levels_of(key, count)
-        for p, out in zip(parts, answers, strict=True):
-            out.append(level[:, np.searchsorted(key, p[k][0])])
-    found = [np.concatenate(x, axis=1) for x in answers]
-    return [zlib.compress(np.stack([x & 255, x >> 8]).astype(np.uint8).tobytes(), 1) for x in found]
+        keys = [np.cumsum(_numbers(r[2 * k], 8)) for r in requests]
+        key, count = merge_counts([(x, _numbers(r[2 * k + 1], 5).astype(np.int64)) for x, r in zip(keys, requests, strict=True)])
+        found = siblings(key, count)
+        for x, out in zip(keys, answers, strict=True):
+            out.append(_planes(found[:, np.searchsorted(key, x)].ravel(), 6))
+    return [_joined(x) for x in answers]
 
 
 class Contexts:
     """The levels of a batch's keys, as the buckets answered."""
 
     def __init__(self, keys: list[np.ndarray], buckets: int, rows: list[dict]):
-        self.keys, self.level = keys, [np.zeros((8, len(k)), np.uint16) for k in keys]
-        split = [_split(_buckets(k, n, buckets), buckets) for n, k in enumerate(keys)]
-        for r in rows:
-            b, at = r["bucket"], 0
-            got = np.frombuffer(zlib.decompress(r["levels"]), np.uint8).reshape(2, 8, -1)
-            got = got[0].astype(np.uint16) | got[1].astype(np.uint16) << 8
-            for level, (order, ends) in zip(self.level, split, strict=True):
+        self.keys, self.level = keys, []
+        parts = [(r["bucket"], _parted(r["levels"], ORDERS + 1)) for r in rows]
+        for n, key in enumerate(keys):
+            order, ends = _split(_buckets(key, n, buckets), buckets)
+            level = np.zeros((8, len(key)), np.uint16)
+            for b, raw in parts:
                 own = order[ends[b - 1] if b else 0 : ends[b]]
-                level[:, own] = got[:, at : at + len(own)]
-                at += len(own)
+                level[:, own] = levels_of(key[own], _numbers(raw[n], 6).astype(np.int64).reshape(9, -1))
+            self.level.append(level)
 
     def find(self, key: np.ndarray, word: np.ndarray) -> np.ndarray:
         out = np.empty((INPUTS, 8, len(key)), np.uint16)
@@ -381,35 +432,84 @@ class Contexts:
         return out
 
 
-def sampled(texts: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """(doc_id, text): a bounded sample of windows of training texts, for mixer and map."""
-    ids = texts.where("text <> ''").select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(sample_docs).distinct()
-    room = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1
-    window = F.substr("text", F.pmod(F.xxhash64("doc_id", F.lit(1)), room).cast("int") + 1, F.lit(SAMPLE_CHARS))
-    # At most sample_docs ids: a bounded broadcast.
-    return texts.join(F.broadcast(ids), "doc_id").select("doc_id", window.alias("text")).distinct()
+# Batches with their answers
+
+
+def _stream(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _meet(docs: pa.Table, back: pa.Table) -> pa.Table:
+    """One row: a batch's documents, and what the buckets answered."""
+    batch = (docs if docs.num_rows else back).column("batch")[:1]
+    back = back.select(["bucket", "totals", "kinds", "levels"])
+    return pa.table({"batch": batch, "docs": pa.array([_stream(docs.drop_columns(["batch"]))], pa.binary()), "back": pa.array([_stream(back)], pa.binary())})
 
 
-def _learn_batch(buckets: int):
-    """Weights and map of a mixer that learned from a batch of windows."""
+def _each(run):
+    """run(batch, docs, back) for each row of ``_meet``."""
 
-    def run(docs: pa.Table, back: pa.Table) -> pa.Table:
+    def rows(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                docs, back = (pa.ipc.open_stream(batch.column(c)[k].as_buffer()).read_all() for c in ("docs", "back"))
+                yield run(batch.column("batch")[k].as_py(), docs, back)
+
+    return rows
+
+
+# Learning from all training texts
+
+
+def _learn_batch(buckets: int, shared, turn: int):
+    """What a mixer learns in an online pass over a batch's whole training texts, in the order of their ids."""
+
+    def run(batch: int, docs: pa.Table, back: pa.Table) -> pa.RecordBatch:
         keys = [k for k, _ in contexts(docs.column("text"), np.zeros(docs.num_rows, bool))]
         found = Contexts(keys, buckets, back.select(["bucket", "levels"]).to_pylist())
-        mixer, key, word = Mixer(), [], []
-        for _, text in sorted(zip(docs.column("doc_id").to_pylist(), docs.column("text").to_pylist(), strict=True)):
-            raw = np.frombuffer(text.encode(), np.uint8)
-            k, w, _ = grams(raw, np.array([0, len(raw)]))
-            key.append(k[LEAD:-1])
-            word.append(w[LEAD:-1])
-        # Each batch holds bytes of many texts.
-        order = np.random.default_rng(5).permutation(sum(map(len, key)))
-        mixer.learn(found.find, np.concatenate(key)[order], np.concatenate(word)[order])
-        return pa.table({"weights": pa.array([mixer.weights.tobytes()], pa.binary()), "map": pa.array([mixer.map.tobytes()], pa.binary())})
+        mixer = shared.value.copy()
+        texts = docs.filter(pc.invert(docs.column("held_out"))).sort_by([("doc_id", "ascending"), ("text", "ascending")]).column("text")
+        total = max(1, pc.sum(pc.binary_length(texts)).as_py() or 0)
+        done = 0
+        for _, _, data, off in text_slices(texts, SLICE):
+            key, word, _ = grams(data, off)
+            both = mix(key) + word * np.uint64(0x9E3779B97F4A7C15)
+            order = np.argsort(both)
+            seen = both[order]
+            at = np.flatnonzero(np.concatenate(([True], seen[1:] != seen[:-1])))
+            # Distinct contexts in the order of their hashes: each step holds bytes of many texts.
+            first, times = order[at], np.diff(np.append(at, len(seen)))
+            share = len(data) / total / ROUNDS
+            mixer.learn(found.find, key[first], word[first], times, (turn + done / total) / ROUNDS, share)
+            done += len(data)
+        return pa.RecordBatch.from_arrays([pa.array([batch], pa.int64()), pa.array([mixer.parts().tobytes()], pa.binary())], names=["batch", "parts"])
 
     return run
 
 
+def _add_parts(table: pa.Table) -> pa.Table:
+    """Batches' parts, added up in the order of batches."""
+    rows = sorted(table.select(["batch", "parts"]).to_pylist(), key=lambda r: r["batch"])
+    total = sum(np.frombuffer(r["parts"]) for r in rows)
+    return pa.table({"lot": table.column("lot")[:1], "parts": pa.array([total.tobytes()], pa.binary())})
+
+
+def train(met: DataFrame, buckets: int) -> Mixer:
+    """Mixer and map: in each round every batch learns from all its training texts, from the mean of the round before."""
+    mixer = Mixer()
+    for turn in range(ROUNDS):
+        shared = met.sparkSession.sparkContext.broadcast(mixer)
+        learned = met.mapInArrow(_each(_learn_batch(buckets, shared, turn)), "batch long, parts binary")
+        lots = learned.withColumn("lot", F.pmod("batch", F.lit(LOTS))).groupBy("lot").applyInArrow(_add_parts, "lot long, parts binary")
+        rows = sorted((r["lot"], bytes(r["parts"])) for r in lots.collect())  # at most LOTS rows of a mixer's size
+        if rows:
+            mixer = mixer.averaged(sum(np.frombuffer(x) for _, x in rows))
+    return mixer
+
+
 # Word counts for the baseline
 
 
@@ -474,9 +574,7 @@ SCORED = "doc_id long, held_out boolean, n_bytes long, n_words long, n_known lon
 
 
 def _score_batch(buckets: int, shared):
-    def run(docs: pa.Table, back: pa.Table) -> pa.Table:
-        if not docs.num_rows:
-            return pa.table({"doc_id": pa.array([], pa.int64()), "held_out": pa.array([], pa.bool_())} | {k: pa.array([], pa.int64()) for k in ("n_bytes", "n_words", "n_known")} | {"words_log10": pa.array([], pa.float64()), "score": pa.array([], pa.float64()), "kinds": pa.array([], pa.int64())})
+    def run(batch: int, docs: pa.Table, back: pa.Table) -> pa.RecordBatch:
         n = docs.num_rows
         h, doc = _words(docs.column("text"))
         distinct = distinct_sorted(h)
@@ -496,40 +594,37 @@ def _score_batch(buckets: int, shared):
             score[lo:hi] = model.scores(data, off)
         kinds = np.zeros(n, np.int64)
         kinds[0] = sum(back.column("kinds").to_pylist())
-        return pa.table(
-            {
-                "doc_id": docs.column("doc_id"),
-                "held_out": docs.column("held_out"),
-                "n_bytes": size,
-                "n_words": np.bincount(doc, minlength=n),
-                "n_known": np.bincount(doc, seen > 0, n).astype(np.int64),
-                "words_log10": np.bincount(doc, np.log10(seen + 1.0), n),
-                "score": score,
-                "kinds": kinds,
-            }
-        )
+        columns = [
+            docs.column("doc_id").combine_chunks(),
+            docs.column("held_out").combine_chunks(),
+            *(pa.array(x) for x in (size, np.bincount(doc, minlength=n), np.bincount(doc, seen > 0, n).astype(np.int64), np.bincount(doc, np.log10(seen + 1.0), n), score, kinds)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_bytes", "n_words", "n_known", "words_log10", "score", "kinds"])
 
     return run
 
 
+def gathered(docs: DataFrame, rows: int, batch_docs: int) -> tuple[DataFrame, int]:
+    """One row for each batch of documents, with the counts that it asked for, and the number of buckets."""
+    batches = max(1, -(-rows // batch_docs))
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), batches // 4)
+    dealt = docs.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)))
+    counts = dealt.groupBy("batch").applyInArrow(_batch_counts(buckets), "bucket long, batch long, words binary, counts binary, grams binary")
+    sums = counts.groupBy("bucket").applyInArrow(_sum_counts, "batch long, bucket long, totals binary, kinds long, levels binary")
+    met = dealt.groupBy("batch").cogroup(sums.groupBy("batch")).applyInArrow(_meet, "batch long, docs binary, back binary")
+    return materialize(met), buckets
+
+
 def score(docs: DataFrame, batch_docs: int = BATCH_DOCS) -> DataFrame:
     """One row for each (doc_id, text): the model's score and the word baseline."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", held_out())
-    batches = max(1, -(-docs.count() // batch_docs))
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), batches // 4)
-    dealt = docs.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)))
-    # The sample is a batch of its own that asks for counts and adds none.
-    windows = materialize(sampled(docs.where("not held_out")).select("doc_id", "text", F.lit(True).alias("held_out"), F.lit(-1).cast("long").alias("batch")))
-    counts = dealt.unionByName(windows).groupBy("batch").applyInArrow(_batch_counts(buckets), "bucket long, batch long, words binary, counts binary, grams binary")
-    sums = materialize(counts.groupBy("bucket").applyInArrow(_sum_counts, "batch long, bucket long, totals binary, kinds long, levels binary"))
-    learned = windows.groupBy("batch").cogroup(sums.where("batch = -1").groupBy("batch")).applyInArrow(_learn_batch(buckets), "weights binary, map binary")
-    mixer = Mixer()
-    for r in learned.collect():
-        mixer.weights = np.frombuffer(r["weights"], np.float32).reshape(mixer.weights.shape)
-        mixer.map = np.frombuffer(r["map"]).reshape(mixer.map.shape)
-    model = spark.sparkContext.broadcast(Model(None, mixer))
-    scored = dealt.groupBy("batch").cogroup(sums.where("batch >= 0").groupBy("batch")).applyInArrow(_score_batch(buckets, model), SCORED)
+    rows = docs.count()
+    met, buckets = gathered(docs, rows, batch_docs)
+    # What is learned depends on how texts are dealt out: always by the same size of batches.
+    lessons = (met, buckets) if batch_docs == BATCH_DOCS else gathered(docs, rows, BATCH_DOCS)
+    model = spark.sparkContext.broadcast(Model(None, train(*lessons)))
+    scored = met.mapInArrow(_each(_score_batch(buckets, model)), SCORED)
     scored = materialize(scored)
     # The end token: one in each text, in training N counts it and V holds it.
     row = scored.agg(

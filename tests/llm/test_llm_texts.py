@@ -90,6 +90,20 @@ def test_counts_of_contexts_are_exact():
         assert [(p >> 8, p & 255) for p in pair[:, i].tolist()] == want
 
 
+def test_mixer_learns_from_whole_training_texts():
+    """Every bit of every training text, beyond any window, moves weights and map; held-out texts move none."""
+    texts = [f"lorem ipsum {i * i} dolor " * 300 for i in range(9)] + ["", None]
+    docs = pa.table({"doc_id": list(range(11)), "text": texts, "held_out": [i % 3 == 2 for i in range(11)], "batch": [0] * 11})
+    back = mixing._sum_counts(mixing._batch_counts(1)(docs))
+    shared = type("Shared", (), {"value": mixing.Mixer()})
+    (row,) = mixing._learn_batch(1, shared, 0)(0, docs, back).to_pylist()
+    weights, visits, _, hits = np.split(np.frombuffer(row["parts"]), np.cumsum([512 * (mixing.INPUTS + 1), 512, 256 * 24]))
+    bits = 8 * sum(len(t or "") + 1 for i, t in enumerate(texts) if i % 3 != 2)
+    assert visits.sum() == bits and hits.sum() == bits
+    used = visits > 0
+    assert (weights.reshape(512, -1)[used] != (shared.value.weights * visits[:, None])[used]).any(1).all()
+
+
 # Packing
 
 
