@@ -91,7 +91,22 @@ def collapsed(rows: DataFrame, group: str, entity: str, member: str, area: str)
 
 
 def contained(units: DataFrame, sets: DataFrame, unit: str, set_id: str, member: str) -> DataFrame:
-    """(unit, set) where every member of the unit is in the set, by counting shared members."""
-    size = units.select(unit, member).distinct().groupBy(unit).agg(F.count("*").alias("_n"))
-    both = units.select(unit, member).distinct().join(sets.select(set_id, member).distinct(), member)
-    return both.groupBy(unit, set_id).agg(F.count("*").alias("_m")).join(size, unit).where("_m = _n").select(unit, set_id)
+    """(unit, set) where every member of the unit is in the set, by counting shared members.
+
+    A set that holds a unit holds the unit's rarest member and has as many
+    members at least: only such pairs are counted.
+    """
+    own, sets = units.select(unit, member).distinct(), sets.select(set_id, member).distinct()
+    held = sets.groupBy(member).agg(F.count("*").alias("_f"))
+    # A member that no set holds comes first, and meets none.
+    rarest = own.join(held, member, "left").groupBy(unit).agg(F.count("*").alias("_n"), F.min_by(member, F.struct(F.coalesce("_f", F.lit(0)), member)).alias(member))
+    sizes = sets.groupBy(set_id).agg(F.count("*").alias("_s"))
+    small = rarest.join(F.broadcast(sizes.agg(F.max("_s").alias("_most"))), F.col("_n") <= F.col("_most")).drop("_most")
+    same = F.col(set_id).eqNullSafe(F.col("_set"))
+    sized = sets.join(sizes.withColumnRenamed(set_id, "_set"), same).drop("_set")
+    pairs = small.join(sized, member).where("_s >= _n").select(unit, "_n", F.col(set_id).alias("_set"))
+    # One member is no more to be counted.
+    one = pairs.where("_n = 1").select(unit, F.col("_set").alias(set_id))
+    wanted = pairs.where("_n > 1").join(own, unit).withColumnRenamed(member, "_member")
+    both = wanted.join(sets, same & (F.col(member) == F.col("_member")))
+    return both.groupBy(unit, set_id, "_n").agg(F.count("*").alias("_m")).where("_m = _n").select(unit, set_id).unionByName(one)

@@ -225,13 +225,26 @@ def antibody_side_join(spark, sf_dir):
     n as (select u, count(*) as n from u group by u)
     select u.u as unit, b.o as support from u join b using (m) join n using (u) group by u.u, b.o, n.n having count(*) = n.n""")
 def set_containment_support(spark, sf_dir):
-    """Cases that hold every member of a unit."""
+    """Cases that hold every member of a unit of some rows; all rows' units are in ``set_containment_all``."""
     rows = _t(spark, sf_dir, "lineitem")
     sets = rows.select(F.col("l_orderkey").alias("support"), F.col("l_suppkey").alias("m"))
     units = rows.where("l_returnflag = 'R' and l_linestatus = 'F' and l_linenumber = 1").select(F.col("l_partkey").alias("unit"), F.col("l_suppkey").alias("m"))
     return R.contained(units, sets, "unit", "support", "m")
 
 
+@query("""
+    with b as (select distinct l_orderkey as o, l_suppkey as m from lineitem),
+    u as (select distinct l_partkey as u, l_suppkey as m from lineitem),
+    n as (select u, count(*) as n from u group by u)
+    select u.u as unit, b.o as support from u join b using (m) join n using (u) group by u.u, b.o, n.n having count(*) = n.n""")
+def set_containment_all(spark, sf_dir):
+    """Cases that hold every member of a unit, whose members are those of all rows."""
+    rows = _t(spark, sf_dir, "lineitem")
+    sets = rows.select(F.col("l_orderkey").alias("support"), F.col("l_suppkey").alias("m"))
+    units = rows.select(F.col("l_partkey").alias("unit"), F.col("l_suppkey").alias("m"))
+    return R.contained(units, sets, "unit", "support", "m")
+
+
 @query("""
     select l_orderkey, l_partkey from lineitem where l_returnflag = 'R'
     intersect select l_orderkey, l_partkey from lineitem where l_linestatus = 'F'""")

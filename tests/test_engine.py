@@ -212,3 +212,24 @@ def test_missing_lookup_fails(spark):
 
     with pytest.raises(Exception, match="no part for 2"):
         looked_up(spark.createDataFrame([(2,)], "k int"), spark.createDataFrame([(1, "a")], "k int, v string"), ["k"], "part").collect()
+
+
+def test_containment_by_whole_units(spark, tmp_path):
+    """Units have the members of all their rows, not of returned first lines only; against brute force."""
+    from helixframe.operators.relational import contained
+
+    rng = np.random.default_rng(4)
+    lines = [(int(o), int(p), int(m), "RN"[o % 2], "F", int(k)) for k, (o, p, m) in enumerate(rng.integers(0, (12, 40, 6), (150, 3)), 1)]
+    lines += [(1, 99, m, "N", "O", 7) for m in range(6)] + [(2, 98, 0, "R", "F", 1), (77, 98, 50, "N", "O", 2)]
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_returnflag string, l_linestatus string, l_linenumber long"
+    spark.createDataFrame(lines, schema).write.parquet(str(tmp_path / "lineitem.parquet"))
+    units, sets = {}, {}
+    for o, p, m, *_ in lines:
+        units.setdefault(p, set()).add(m)
+        sets.setdefault(o, set()).add(m)
+    want = {(u, o) for u, x in units.items() for o, y in sets.items() if x <= y}
+    got = [tuple(r) for r in catalogue.QUERIES["set_containment_all"](spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(want) and len(want) > 20 and (99, 1) in want and 98 not in {u for u, _ in want}
+    df = lambda rows: spark.createDataFrame(rows, "u int, m int")
+    odd = contained(df([(1, None), (1, 2), (2, 2), (3, 9)]), df([(None, 2), (5, 2), (5, 3)]).toDF("s", "m"), "u", "s", "m")
+    assert {tuple(r) for r in odd.collect()} == {(2, None), (2, 5)}
