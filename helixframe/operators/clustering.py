@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def numbered_groups(rows: DataFrame, key: str, order: list[Column], prefix: str, name: str = "cluster_id") -> DataFrame:
-    """Distinct keys numbered from 0 in an order.
+def numbered_groups(rows: DataFrame, key: str, order: list[Column], prefix: str, name: str = "cluster_id", start: int = 0) -> DataFrame:
+    """Distinct keys numbered from a start in an order.
 
     Only the distinct keys are sorted: ranges of them are numbered in parallel,
     and the ranges' sizes (a number for each partition) give the offsets.
@@ -22,7 +22,7 @@ def numbered_groups(rows: DataFrame, key: str, order: list[Column], prefix: str,
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
     out = local.join(F.broadcast(offsets), "_p")
-    return out.withColumn(name, F.concat(F.lit(prefix), (F.col("_l") + F.col("_o")).cast("string"))).drop("_p", "_m", "_l", "_o", "_n")
+    return out.withColumn(name, F.concat(F.lit(prefix), (F.col("_l") + F.col("_o") + start).cast("string"))).drop("_p", "_m", "_l", "_o", "_n")
 
 
 def exact_clusters(rows: DataFrame, member: str, key: Column, prefix: str) -> DataFrame:
@@ -33,6 +33,26 @@ def exact_clusters(rows: DataFrame, member: str, key: Column, prefix: str) -> Da
     return keyed.join(groups, "_key").drop("_key")
 
 
+def next_cluster_index(clusters: DataFrame, name: str, prefix: str) -> int:
+    """One more than the greatest number of the prefix's clusters, 1 where there are none."""
+    number = F.when(F.col(name).startswith(prefix), F.substring(name, len(prefix) + 1, 1 << 30).try_cast("long"))
+    return max(0, clusters.agg(F.max(number)).first()[0] or 0) + 1
+
+
+def missing_clusters(rows: DataFrame, member: str, key: Column, clusters: DataFrame, prefix: str, name: str = "cluster_id") -> DataFrame:
+    """Exact clusters of the members that no cluster has, numbered from the next free one.
+
+    Columns: member, cluster, least member of the cluster, size. A member
+    without a key has the empty one.
+    """
+    missing = rows.join(clusters.select(member).distinct(), member, "left_anti")
+    keyed = missing.select(member, F.coalesce(key, F.lit("")).alias("_key"))
+    groups = keyed.groupBy("_key").agg(F.min(member).alias("representative"), F.count("*").alias("size"))
+    order = [F.length("_key").desc(), F.col("_key").asc()]
+    groups = numbered_groups(groups, "_key", order, prefix, name, next_cluster_index(clusters, name, prefix))
+    return keyed.join(groups, "_key").select(member, name, "representative", "size")
+
+
 def signature(members: Column) -> Column:
     """Canonical JSON of a sorted list of members."""
     return F.to_json(F.array_sort(members))

@@ -75,7 +75,7 @@ def identical_subcluster(spark, sf_dir):
     select d.doc_id, coalesce('labelled_' || l.quality, 'fallback') as assignment
     from documents d left join (select doc_id, max(quality) as quality from labels group by doc_id) l using (doc_id)""")
 def missing_assignment_fallback(spark, sf_dir):
-    """Members without an assignment get the fallback."""
+    """J32, its anti join: members without an assignment are marked; ``missing_assignment_clusters`` clusters them."""
     docs = _t(spark, sf_dir, "documents").select("doc_id")
     known = _t(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     named = docs.join(known.select("doc_id", F.concat(F.lit("labelled_"), F.col("quality").cast("string")).alias("assignment")), "doc_id")
@@ -83,6 +83,24 @@ def missing_assignment_fallback(spark, sf_dir):
     return named.unionByName(missing)
 
 
+@query("""
+    with l as (select doc_id, 'labelled_' || max(quality) as c from labels where quality is not null group by doc_id),
+    k as (select doc_id, upper(replace(regexp_replace(coalesce(text, ''), '\\s+', '', 'g'), 'ß', 'SS')) as s from documents where doc_id not in (select doc_id from l)),
+    f as (select coalesce(max(substr(c, 10)::bigint), 0) as n from l),
+    g as (select s, min(doc_id) as representative, count(*) as size, row_number() over (order by length(s) desc, s) + (select n from f) as n from k group by s)
+    select d.doc_id, c as assignment, min(d.doc_id) over (partition by c) as representative, count(*) over (partition by c) as size from documents d join l using (doc_id)
+    union all select doc_id, 'labelled_' || n, representative, size from k join g using (s)""")
+def missing_assignment_clusters(spark, sf_dir):
+    """Members without an assignment are clustered by equal sequences, numbered from the next free cluster."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    best = _t(spark, sf_dir, "labels").where("quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    known = best.select("doc_id", F.concat(F.lit("labelled_"), F.col("quality").cast("string")).alias("assignment"))
+    missing = C.missing_clusters(docs, "doc_id", S.sequence_key(F.col("text")), known, "labelled_", "assignment")
+    named = docs.select("doc_id").join(known, "doc_id")
+    sizes = named.groupBy("assignment").agg(F.min("doc_id").alias("representative"), F.count("*").alias("size"))
+    return named.join(sizes, "assignment").unionByName(missing)
+
+
 @query("""
     select source, doc_id, rank from (
         select d.source, d.doc_id, row_number() over (partition by d.source order by l.quality nulls last, d.n_chars desc, d.doc_id)::int as rank

@@ -233,3 +233,16 @@ def test_containment_by_whole_units(spark, tmp_path):
     df = lambda rows: spark.createDataFrame(rows, "u int, m int")
     odd = contained(df([(1, None), (1, 2), (2, 2), (3, 9)]), df([(None, 2), (5, 2), (5, 3)]).toDF("s", "m"), "u", "s", "m")
     assert {tuple(r) for r in odd.collect()} == {(2, None), (2, 5)}
+
+
+def test_missing_members_are_clustered(spark):
+    """Members that no cluster has: equal sequences together, the longest first, from the next free number."""
+    from helixframe.operators.clustering import missing_clusters, next_cluster_index
+
+    rows = spark.createDataFrame([(1, "AAAA"), (2, "CC"), (3, "BBB"), (4, "CC"), (5, "AAAA"), (6, None), (7, "ABCD"), (8, "")], "id long, s string")
+    old = spark.createDataFrame([(1, "prot_2"), (9, "prot_10"), (10, "prot_x"), (11, "rna_70")], "id long, cluster_id string")
+    out = missing_clusters(rows, "id", F.col("s"), old, "prot_").collect()
+    assert sorted(tuple(r) for r in out) == [
+        (2, "prot_14", 2, 2), (3, "prot_13", 3, 1), (4, "prot_14", 2, 2), (5, "prot_11", 5, 1), (6, "prot_15", 6, 2), (7, "prot_12", 7, 1), (8, "prot_15", 6, 2),
+    ]
+    assert next_cluster_index(old.where("id > 10"), "cluster_id", "prot_") == 1
