@@ -110,3 +110,9 @@ def contained(units: DataFrame, sets: DataFrame, unit: str, set_id: str, member:
     wanted = pairs.where("_n > 1").join(own, unit).withColumnRenamed(member, "_member")
     both = wanted.join(sets, same & (F.col(member) == F.col("_member")))
     return both.groupBy(unit, set_id, "_n").agg(F.count("*").alias("_m")).where("_m = _n").select(unit, set_id).unionByName(one)
+
+
+def supporting(units: DataFrame, others: DataFrame, sets: DataFrame, unit: str, set_id: str, member: str) -> DataFrame:
+    """(unit, set) where every member of the unit is in the set, and one at least of the unit's other members."""
+    met = others.select(unit, member).distinct().join(sets.select(set_id, member).distinct(), member)
+    return contained(units, sets, unit, set_id, member).join(met.select(unit, set_id).distinct(), [unit, set_id], "left_semi")

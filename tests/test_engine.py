@@ -246,3 +246,13 @@ def test_missing_members_are_clustered(spark):
         (2, "prot_14", 2, 2), (3, "prot_13", 3, 1), (4, "prot_14", 2, 2), (5, "prot_11", 5, 1), (6, "prot_15", 6, 2), (7, "prot_12", 7, 1), (8, "prot_15", 6, 2),
     ]
     assert next_cluster_index(old.where("id > 10"), "cluster_id", "prot_") == 1
+
+
+def test_supporting_sets_meet_the_other_side(spark):
+    """A set that holds the unit but nothing of the second set does not support it."""
+    from helixframe.operators.relational import supporting
+
+    df = lambda rows: spark.createDataFrame(rows, "u long, m string")
+    sets = df([(7, "H"), (7, "L"), (7, "A"), (8, "H"), (8, "L"), (9, "H"), (9, "A"), (9, "B")]).toDF("s", "m")
+    out = supporting(df([(1, "H"), (1, "L"), (2, "H")]), df([(1, "A"), (1, "B"), (2, "B"), (3, "A")]), sets, "u", "s", "m")
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 7), (2, 9)]
