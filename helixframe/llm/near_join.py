@@ -37,7 +37,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.llm._shared import components, likely, materialize
@@ -422,11 +422,24 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of linked documents: that of the smallest id; rows with null ids stay."""
+    """``docs`` with one row of each group of linked documents: that of the smallest id, a null id being the last.
+
+    Where ids are null or repeated, rows are linked by keys of their own.
+    """
+    odd = docs.groupBy(id_col).count().where(F.col(id_col).isNull() | (F.col("count") > 1))
+    if not odd.isEmpty():
+        return _keep_one_row(docs, id_col, text_col)
     linked = materialize(link_documents(docs, id_col, text_col))
-    first = linked.where("doc_id = component_id").groupBy("doc_id").count()
-    kept = docs.join(first.select(F.col("doc_id").alias(id_col)), id_col, "left_semi")
-    if not first.where("count > 1").isEmpty():
-        kept = kept.dropDuplicates([id_col])
-    rest = docs.where(F.col(id_col).isNull())
-    return kept.select(docs.columns).union(rest)
+    first = linked.where("doc_id = component_id").select(F.col("doc_id").alias(id_col))
+    return docs.join(first, id_col, "left_semi").select(docs.columns)
+
+
+def _keep_one_row(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``keep_one`` with hashes of id, text and copy number for ids."""
+    copies = Window.partitionBy(id_col, text_col).orderBy(F.xxhash64(*docs.columns))
+    keyed = docs.withColumn("_copy", F.row_number().over(copies))
+    keyed = materialize(keyed.withColumn("_key", F.xxhash64(F.col(id_col).isNull(), id_col, text_col, "_copy")))
+    linked = link_documents(keyed.select("_key", text_col), "_key", text_col).select(F.col("doc_id").alias("_key"), "component_id")
+    place = F.struct(F.col(id_col).isNull(), id_col, "_key")
+    first = keyed.select(id_col, "_key").join(linked, "_key").groupBy("component_id").agg(F.min(place)["_key"].alias("_key"))
+    return keyed.join(first.select("_key"), "_key", "left_semi").select(docs.columns)

@@ -408,3 +408,14 @@ def test_kth_largest(spark):
     for k in (1, 17, 250, 503):
         assert quality.kth_largest(rows, "v", k) == sorted(x)[-k]
     assert quality.kth_largest(rows, "v", 504) is None and quality.kth_largest(rows, "v", 0) is None
+
+
+def test_one_row_of_each_group_stays_whatever_its_id(spark):
+    """Null and repeated ids: a text's copies leave one row, and rows that share an id but not a text both stay."""
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(None, text(1)), (None, text(1)), (None, text(2)), (5, text(2)), (6, text(3)), (6, text(4)), (7, text(5)), (7, text(5)), (8, text(5) + " end"), (9, text(6)), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = counted(near_join.keep_one(docs).collect())
+    assert got == counted([(None, text(1)), (5, text(2)), (6, text(3)), (6, text(4)), (7, text(5)), (9, text(6)), (None, None)])
+    plain = docs.where("doc_id in (5, 8, 9)")
+    assert counted(near_join.keep_one(plain).collect()) == counted(plain.collect())
