@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 import zlib
@@ -13,13 +15,15 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; one of our own only where none is set, as in tests."""
+    """The folder of ``spark.checkpoint.dir``; one of our own only where none is set on a single machine, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     set_one = spark.sparkContext._jsc.sc().getCheckpointDir()
     if set_one.isDefined():
         return set_one.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set: intermediate tables need a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="helixframe-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -33,6 +37,35 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def trim() -> None:
+    """Give freed memory of this Python worker back, as workers stay for later stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def free_names(taken, *names: str) -> list[str]:
+    """The names, each after as many underscores as it takes to be none of those taken (whatever their case)."""
+    taken, out = {x.lower() for x in taken}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
+def without(columns, *added: str) -> list[str]:
+    """The columns but those named like added ones, which take their place."""
+    added = {x.lower() for x in added}
+    return [c for c in columns if c.lower() not in added]
+
+
+def fields(schema, columns) -> list[str]:
+    """DDL of some columns of a schema."""
+    return [f"`{schema[c].name}` {schema[c].dataType.simpleString()}" for c in columns]
+
+
 #: Counters in one block of a count vector.
 BLOCK = 1 << 15
 
