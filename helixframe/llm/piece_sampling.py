@@ -15,8 +15,10 @@ piece are spelled in byte pieces. A literal U+2581 is spelled in bytes as well,
 so that decoding gives back every text exactly.
 
 Edge cases: null texts are empty and have the one piece of the leading space;
-rows with null ids are keyed by null; repeated rows get equal pieces; an empty
-table gives an empty result.
+rows with null ids are keyed by null; repeated rows get equal pieces; a text of
+any length is a slice of its own, whose arrays are about 100 bytes a byte of it
+while it is sampled; an empty table gives an empty result; further columns come
+through ``encode`` and ``decode``, and ``round_trip`` does not read them.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helixframe.llm._shared import fields, free_names, trim, without
 from helixframe.llm._text import mix, prefix_hash, span_hash, spread, text_slices
 
 ALPHA = 1.0
@@ -136,15 +139,14 @@ class Sampler:
     def clear(self) -> None:
         self.known, self.first = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.cumulative, self.log = np.zeros(0), np.zeros(0, np.float32)
-        self.piece = np.zeros(0, np.int32)
-        self.nodes = 0
+        self.piece, self.edge = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     def learn(self, text: np.ndarray, size: np.ndarray, hashes: np.ndarray) -> None:
         """Forward sums of new chunks, all chunks' places of one distance at a time."""
         first = np.cumsum(size + 1) - size - 1
         start, end, piece = self.pieces.lattice(text, size)
         distance = end - np.repeat(first, size + 1)[end]
-        order = np.lexsort((piece, start, end, distance))
+        order = np.argsort(distance * (len(text) + len(size)) + end, kind="stable")
         start, end, piece, distance = start[order], end[order], piece[order], distance[order]
         forward = np.full(int((size + 1).sum()), -np.inf)
         forward[first] = 0
@@ -163,20 +165,22 @@ class Sampler:
         live = (forward[start] > -np.inf) & (forward[end] > -np.inf)
         start, end, piece = start[live], end[live], piece[live]
         log = forward[start] + weight[live] - forward[end]
-        order = np.argsort(end, kind="stable")
+        # A node's likeliest pieces come first, so that most draws look at one or two.
+        order = np.lexsort((-log, end))
         end, piece, log = end[order], piece[order], log[order]
         share = np.exp(log)
         run = np.cumsum(share)
         at = np.flatnonzero(np.concatenate(([True], end[1:] != end[:-1])))
         last = np.append(at[1:], len(end)) - 1
-        run -= np.repeat((run - share)[at], last - at + 1)
-        cumulative = self.nodes + end + np.clip(run, 0, 1)
-        cumulative[last] = self.nodes + end[last] + 1
+        cumulative = run - np.repeat((run - share)[at], last - at + 1)
+        cumulative[last] = 2  # a draw that rounds past the sum is the node's last piece
+        edge = np.zeros(len(forward), np.int64)
+        edge[end[at]] = len(self.piece) + at
         known = np.concatenate([self.known, hashes])
         order = np.argsort(known)
         self.known = known[order]
-        self.first = np.concatenate([self.first, self.nodes + first])[order]
-        self.nodes += len(forward)
+        self.first = np.concatenate([self.first, len(self.edge) + first])[order]
+        self.edge = np.concatenate([self.edge, edge])
         self.cumulative = np.concatenate([self.cumulative, cumulative])
         self.piece = np.concatenate([self.piece, piece.astype(np.int32)])
         self.log = np.concatenate([self.log, log.astype(np.float32)])
@@ -219,14 +223,16 @@ class Sampler:
         step = 0
         while len(live):
             u = (mix(key[live] + _K2 * np.arange(step, step + 1, dtype=np.uint64)) >> np.uint64(11)).astype(np.float64) / float(1 << 53)
-            node = node0[live] + place[live]
-            edge = np.searchsorted(self.cumulative, node + u, side="right")
-            # A draw that rounds onto its node's end is its last piece.
-            edge = np.minimum(edge, np.searchsorted(self.cumulative, node + 1.0, side="left"))
-            steps.append((live, self.piece[edge]))
+            edge = self.edge[node0[live] + place[live]]
+            on = np.flatnonzero(self.cumulative[edge] <= u)
+            while len(on):
+                edge[on] += 1
+                on = on[self.cumulative[edge[on]] <= u[on]]
+            piece = self.piece[edge]
+            steps.append((live, piece))
             logs += np.bincount(owner[live], self.log[edge], n)
             count[live] += 1
-            place[live] -= self.pieces.length[self.piece[edge]]
+            place[live] -= self.pieces.length[piece]
             live = live[place[live] > 0]
             step += 1
         last = np.cumsum(count) - 1
@@ -247,12 +253,12 @@ def sampler(path: str, alpha: float = ALPHA) -> Sampler:
     return _samplers[path, alpha]
 
 
-def _encode(path: str, alpha: float):
+def _encode(path: str, alpha: float, key: str):
     def run(batches):
         own = sampler(path, alpha)
         for batch in batches:
-            keep = batch.drop_columns(["_key"])
-            seeds = batch.column("_key").to_numpy(zero_copy_only=False).view(np.uint64)
+            keep = batch.drop_columns([key])
+            seeds = batch.column(key).to_numpy(zero_copy_only=False).view(np.uint64)
             for lo, hi, data, off in text_slices(batch.column("text")):
                 ids, borders, logs = own.sample(data, off, seeds[lo:hi])
                 raw = memoryview(ids.astype("<u4")).cast("B")
@@ -262,6 +268,7 @@ def _encode(path: str, alpha: float):
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns, lists, pa.array(crc, pa.int64()), pa.array(logs)], names=[*rows.schema.names, "ids", "ids_crc32", "log_prob"]
                 )
+        trim()
 
     return run
 
@@ -282,21 +289,53 @@ def _decode(path: str, alpha: float):
     return run
 
 
+def _round_trip(path: str, alpha: float):
+    """Encode, decode and compare a slice of texts at a time; no text or ids leave the task."""
+
+    def run(batches):
+        own = sampler(path, alpha)
+        for batch in batches:
+            seeds = batch.column("_key").to_numpy(zero_copy_only=False).view(np.uint64)
+            for lo, hi, data, off in text_slices(batch.column("text")):
+                ids, borders, logs = own.sample(data, off, seeds[lo:hi])
+                back = own.pieces.decode(ids)
+                size = np.concatenate([[0], np.cumsum(own.pieces.length[ids])])[borders]
+                raw = memoryview(ids.astype("<u4")).cast("B")
+                cuts = list(zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True))
+                crc = [zlib.crc32(raw[i * 4 : j * 4]) for i, j in cuts]
+                same = [
+                    back[i] == SPACE and np.array_equal(back[i + 1 : j], data[a:b])
+                    for i, j, a, b in zip(size[:-1].tolist(), size[1:].tolist(), off[:-1].tolist(), off[1:].tolist(), strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(borders)), pa.array(crc, pa.int64()), pa.array(logs), pa.array(same, pa.bool_())],
+                    names=["doc_id", "n_pieces", "ids_crc32", "log_prob", "lossless"],
+                )
+        trim()
+
+    return run
+
+
 def encode(docs: DataFrame, path: str, seed: int = SEED, alpha: float = ALPHA) -> DataFrame:
-    """Add to (doc_id, text, ...) the sampled ``ids``, their crc32, and their log probability."""
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", F.lit(seed)))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return keyed.mapInArrow(_encode(path, alpha), fields + ", ids array<int>, ids_crc32 long, log_prob double")
+    """Add to (doc_id, text, ...) the sampled ``ids``, their crc32, and their log probability.
+
+    Further columns come through; those named like an added one give way to it.
+    """
+    kept = without(docs.columns, "ids", "ids_crc32", "log_prob")
+    (key,) = free_names(docs.columns, "_key")
+    keyed = docs.select(*[f"`{c}`" for c in kept], F.xxhash64("doc_id", F.lit(seed)).alias(key))
+    schema = [*fields(docs.schema, kept), "ids array<int>", "ids_crc32 long", "log_prob double"]
+    return keyed.mapInArrow(_encode(path, alpha, key), ", ".join(schema))
 
 
 def decode(rows: DataFrame, path: str, alpha: float = ALPHA) -> DataFrame:
-    """Replace ``ids`` by the ``decoded`` text; null ids decode to the empty text."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "ids")
-    return rows.mapInArrow(_decode(path, alpha), fields + ", decoded string")
+    """Replace ``ids`` by the ``decoded`` text; null ids decode to the empty text. An own column of that name gives way."""
+    kept = without(rows.columns, "decoded")
+    schema = [*fields(rows.schema, without(kept, "ids")), "decoded string"]
+    return rows.select(*[f"`{c}`" for c in kept]).mapInArrow(_decode(path, alpha), ", ".join(schema))
 
 
-def round_trip(docs: DataFrame, path: str, seed: int = SEED) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, seed: int = SEED, alpha: float = ALPHA) -> DataFrame:
     """(doc_id, n_pieces, ids_crc32, log_prob, lossless) of each text's sampled pieces and their decoding."""
-    sampled = encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), path, seed)
-    back = decode(sampled.withColumn("n_pieces", F.size("ids").cast("long")), path)
-    return back.select("doc_id", "n_pieces", "ids_crc32", "log_prob", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", F.lit(seed)).alias("_key"))
+    return keyed.mapInArrow(_round_trip(path, alpha), "doc_id long, n_pieces long, ids_crc32 long, log_prob double, lossless boolean")
