@@ -4,8 +4,10 @@ A document's set holds its distinct shingles of ``WORDS`` words. Sets are
 ordered rare-first by how many sets hold each shingle. Two sets with Jaccard
 similarity of at least 3/4 share a shingle in their prefixes (a quarter of each
 set), so candidates come from an equi-join on prefix shingles with length and
-positional filters; each candidate pair is then verified once, behind a suffix
-filter, on texts. Shingles of one set only cannot join and do not travel.
+positional filters, and a suffix filter on bitmaps of the sets of documents that
+share common shingles; a pair leaves from one bucket (that of the rarest common
+shingle it shares), and is then verified once on texts. Shingles of one set only
+cannot join and do not travel.
 
 To keep groups of copies linear:
 
@@ -40,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixframe.llm._shared import components, likely, materialize
+from helixframe.llm._shared import components, free_names, likely, materialize, trim
 from helixframe.llm._text import (
     LOWER,
     NOT_SPACE,
@@ -60,6 +62,8 @@ WORDS = 5
 BATCH_DOCS = 1500
 #: Documents of one shingle in one tile.
 TILE_ROWS = 200_000
+#: Documents of one shingle that meet its pivot in one task.
+PIVOT_ROWS = 256
 #: Shared shingles (first, how many) of each pivot round; the last takes the rest of the prefix.
 ROUNDS = ((1, 3), (4, 12), (16, 1 << 30))
 _WEIGHTS = np.array([pow(0x9FB21C651E98DF25, k, 1 << 64) for k in range(WORDS)], np.uint64)
@@ -168,9 +172,37 @@ def prefix_length(n):
     return n - -(-3 * n // 4) + 1
 
 
-#: Bins of a set's shared shingles by hash, for the suffix filter on candidates.
-BINS = 64
-PREFIX = "doc_id long, n long, keys array<long>, places array<int>, bins binary"
+#: Shingles that so many sets hold bring a bitmap of each of their documents, for the suffix filter on candidates.
+COMMON = 16
+_COMMON_LEVEL = np.uint64(np.ceil(2 * np.log2(COMMON)))
+PREFIX = "doc_id long, n long, keys array<long>, places array<int>, bits binary"
+
+
+def bitmap(x: np.ndarray) -> bytes:
+    """A set's shingles as bits by hash: eight or more bits a shingle, a power of two."""
+    size = 64
+    while size < 8 * len(x):
+        size *= 2
+    marks = np.zeros(size, np.uint8)
+    marks[(x >> np.uint64(8)).astype(np.int64) & (size - 1)] = 1
+    return np.packbits(marks, bitorder="little").tobytes()
+
+
+def alone_bits(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows of two arrays of bitmaps: bits of a that b has not, and the other way.
+
+    Each stands for a shingle at least that the other set has not. A longer
+    bitmap is folded to the size of the other one.
+    """
+
+    def folded(x, width):
+        while x.shape[1] > width:
+            x = x[:, : x.shape[1] // 2] | x[:, x.shape[1] // 2 :]
+        return x
+
+    width = min(a.shape[1], b.shape[1])
+    a, b = folded(a, width), folded(b, width)
+    return np.bitwise_count(a & ~b).sum(1, dtype=np.int64), np.bitwise_count(b & ~a).sum(1, dtype=np.int64)
 
 
 def _prefixes(buckets: int):
@@ -183,7 +215,7 @@ def _prefixes(buckets: int):
         rows = sorted(back.select(["bucket", "levels"]).to_pylist(), key=lambda r: r["bucket"])
         levels = np.frombuffer(b"".join(zlib.decompress(r["levels"]) for r in rows), np.uint8)
         level = levels[np.searchsorted(distinct, code)].astype(np.uint64)
-        keys, places, bins, begin = [], [], [], 0
+        keys, places, bits, begin = [], [], [], 0
         for x in sets:
             own = level[begin : begin + len(x)]
             begin += len(x)
@@ -191,11 +223,11 @@ def _prefixes(buckets: int):
             shared = np.flatnonzero(key >> np.uint64(58))
             keys.append(key[shared].view(np.int64))
             places.append(shared.astype(np.int32))
-            count = np.bincount((x[own > 0] >> np.uint64(8)).astype(np.int64) % BINS, minlength=BINS)
-            # Sets with too many in a bin for a byte are told by full bins, and are not filtered.
-            bins.append((count if count.max() < 255 else np.full(BINS, 255)).astype(np.uint8).tobytes())
+            bits.append(bitmap(x) if len(shared) and key[shared[-1]] >> np.uint64(58) >= _COMMON_LEVEL else b"")
         n = np.array([len(x) for x in sets], np.int64)
-        return pa.table({"doc_id": table.column("doc_id"), "n": n, "keys": pa.array(keys, pa.list_(pa.int64())), "places": pa.array(places, pa.list_(pa.int32())), "bins": pa.array(bins, pa.binary())})
+        out = pa.table({"doc_id": table.column("doc_id"), "n": n, "keys": pa.array(keys, pa.list_(pa.int64())), "places": pa.array(places, pa.list_(pa.int32())), "bits": pa.array(bits, pa.binary())})
+        trim()
+        return out
 
     return run
 
@@ -232,12 +264,25 @@ def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 # Last round: whole prefixes
 
-POSTINGS = "bucket long, ids binary, sizes binary, alone binary, parts binary, bins binary, keys binary, doc binary, place binary"
+POSTINGS = "bucket long, ids binary, sizes binary, alone binary, parts binary, bits array<binary>, common array<binary>, keys binary, doc binary, place binary"
+#: Documents of a run on each side of a tile of pairs.
+TILE = 512
+#: Pairs of postings that are held before they are filtered.
+HELD_PAIRS = 1_000_000
+
+
+def _tiles(tile_rows: int) -> np.ndarray:
+    """Salts of the shingles of each level, which holds those of up to 2**(level / 2) sets."""
+    return np.maximum(1, np.ceil(2 ** (np.arange(64) / 2) / tile_rows)).astype(np.int64)
+
+
+def _tile_key(key, one, other):
+    """The key of a shingle's tile of two salts."""
+    return mix(key + mix(np.minimum(one, other) * np.uint64(0x100000001) + np.maximum(one, other)))
 
 
 def _deal(buckets: int, tile_rows: int):
-    # A level holds shingles of up to 2**(level / 2) sets.
-    tiles = np.maximum(1, np.ceil(2 ** (np.arange(64) / 2) / tile_rows)).astype(np.int64)
+    tiles = _tiles(tile_rows)
 
     def run(batches):
         held, count = [], 0
@@ -248,9 +293,11 @@ def _deal(buckets: int, tile_rows: int):
             alone = np.array([x[4][0] for x in held], np.int32)
             parts = np.array([x[2] for x in held], np.int64)
             keys = np.concatenate([x[3] for x in held])
-            bins = np.frombuffer(b"".join(x[5] for x in held), np.uint8).reshape(-1, BINS)
+            bits = [x[5] for x in held]
             doc = np.repeat(np.arange(len(held), dtype=np.int32), [len(x[3]) for x in held])
             place = np.concatenate([x[4] for x in held])
+            common = keys >> np.uint64(58) >= _COMMON_LEVEL
+            shared = [x[3][x[3] >> np.uint64(58) >= _COMMON_LEVEL].tobytes() for x in held]
             # A very frequent shingle is dealt to tiles of two salts each, so that all its pairs meet.
             salts = tiles[(keys >> np.uint64(58)).astype(np.int64)]
             hot = salts > 1
@@ -259,55 +306,104 @@ def _deal(buckets: int, tile_rows: int):
                 own = mix(ids.view(np.uint64))[doc[at]] % salts[at].astype(np.uint64)
                 again = np.repeat(np.arange(len(at)), salts[at])
                 other = (np.arange(len(again)) - np.repeat(np.cumsum(salts[at]) - salts[at], salts[at])).astype(np.uint64)
-                low, high = np.minimum(own[again], other), np.maximum(own[again], other)
-                tiled = mix(keys[at][again] + mix(low * np.uint64(0x100000001) + high))
+                tiled = _tile_key(keys[at][again], own[again], other)
                 keys = np.concatenate([keys[~hot], tiled])
                 doc = np.concatenate([doc[~hot], doc[at][again]])
                 place = np.concatenate([place[~hot], place[at][again]])
+                common = np.concatenate([common[~hot], common[at][again]])
             bucket = (mix(keys) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             rows = []
             for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
                 who, index = np.unique(doc[part], return_inverse=True)
-                rows.append((int(bucket[part[0]]), ids[who].tobytes(), sizes[who].tobytes(), alone[who].tobytes(), parts[who].tobytes(), bins[who].tobytes(), keys[part].tobytes(), index.astype(np.int32).tobytes(), place[part].tobytes()))
+                with_bits = np.bincount(index, common[part], len(who)) > 0
+                own_bits, own_common = ([x[i] if w else b"" for i, w in zip(who.tolist(), with_bits.tolist(), strict=True)] for x in (bits, shared))
+                rows.append((int(bucket[part[0]]), ids[who].tobytes(), sizes[who].tobytes(), alone[who].tobytes(), parts[who].tobytes(), own_bits, own_common, keys[part].tobytes(), index.astype(np.int32).tobytes(), place[part].tobytes()))
             cols = list(zip(*rows, strict=True))
+            kinds = [pa.int64(), *[pa.binary()] * 4, *[pa.list_(pa.binary())] * 2, *[pa.binary()] * 3]
             return pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), *(pa.array(c, pa.binary()) for c in cols[1:])],
-                names=["bucket", "ids", "sizes", "alone", "parts", "bins", "keys", "doc", "place"],
+                [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
+                names=["bucket", "ids", "sizes", "alone", "parts", "bits", "common", "keys", "doc", "place"],
             )
 
         for batch in batches:
-            columns = [batch.column(c) for c in ("doc_id", "n", "part", "keys", "places", "bins")]
+            columns = [batch.column(c) for c in ("doc_id", "n", "part", "keys", "places", "bits")]
             for i in range(batch.num_rows):
                 doc, n, part = (c[i].as_py() for c in columns[:3])
                 keys, places = (c[i].values.to_numpy() for c in columns[3:5])
                 held.append((doc, n, part, keys.view(np.uint64), places, columns[5][i].as_py()))
                 count += len(keys)
-            if count > 1_000_000:
+                if count > 1_000_000:
                     yield flush()
                     held, count = [], 0
         if held:
             yield flush()
+        trim()
+
+    return run
+
+
+def _fits(bits: list[bytes], sizes: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Suffix filter: which pairs of rows may have sets of similarity 3/4, by bitmaps; rows without one pass."""
+    fits = np.ones(len(u), bool)
+    width = np.array([len(x) for x in bits])
+    kind = width[u] * (1 << 32) + width[v]
+    for k in np.unique(kind[(width[u] > 0) & (width[v] > 0)]).tolist():
+        of = np.flatnonzero(kind == k)
+        for lo in range(0, len(of), max(1, (1 << 23) // (k >> 32))):
+            part = of[lo : lo + max(1, (1 << 23) // (k >> 32))]
+            a, b = (np.frombuffer(b"".join([bits[i] for i in x[part].tolist()]), np.uint8).reshape(len(part), -1) for x in (u, v))
+            only_a, only_b = alone_bits(a, b)
+            n, m = sizes[u[part]], sizes[v[part]]
+            fits[part] = 7 * np.minimum(n - only_a, m - only_b) >= 3 * (n + m)
+    return fits
+
+
+def _home(a: bytes, b: bytes, id_a: int, id_b: int, buckets: int, tiles: np.ndarray) -> int:
+    """The bucket of the rarest common shingle that two documents share, -1 without one."""
+    both = np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True)
+    if not len(both):
+        return -1
+    key, salts = both[:1], tiles[int(both[0] >> np.uint64(58))]
+    if salts > 1:
+        one, other = mix(np.array([id_a, id_b], np.int64).view(np.uint64)) % np.uint64(salts)
+        key = _tile_key(key, one, other)
+    return int(mix(key)[0] % np.uint64(buckets))
+
+
+def _pairs(buckets: int, tile_rows: int):
+    """Pairs of documents of different components that share a shingle of a bucket and pass the filters.
+
+    A pair that shares common shingles leaves from the bucket of the rarest one
+    only, so that it is not told by each of them.
+    """
+    tiles = _tiles(tile_rows)
+
+    def run(table: pa.Table) -> pa.Table:
+        pairs = _pairs_of(table, buckets, tiles)
+        trim()
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
     return run
 
 
-def _pairs(table: pa.Table) -> pa.Table:
-    """Pairs of documents of different components that share a shingle of this bucket and pass the filters."""
+def _pairs_of(table: pa.Table, buckets: int, tiles: np.ndarray) -> np.ndarray:
+    own_bucket = table.column("bucket")[0].as_py()
     cols: dict[str, list] = {k: [] for k in ("ids", "sizes", "alone", "parts", "keys", "place", "row")}
-    bins, known = [], 0
-    for row in table.to_pylist():
+    bits: list[bytes] = []
+    common: list[bytes] = []
+    for row in table.select([c for c in table.column_names if c != "bucket"]).to_pylist():
         doc = np.frombuffer(row["doc"], np.int32)
-        bins.append(np.frombuffer(row["bins"], np.uint8).reshape(-1, BINS))
-        cols["row"].append(doc + known)
-        known += len(bins[-1])
+        cols["row"].append(doc + len(bits))
+        bits += row["bits"]
+        common += row["common"]
         for k, kind in (("ids", np.int64), ("sizes", np.int32), ("alone", np.int32), ("parts", np.int64)):
             cols[k].append(np.frombuffer(row[k], kind)[doc])
         cols["keys"].append(np.frombuffer(row["keys"], np.uint64))
         cols["place"].append(np.frombuffer(row["place"], np.int32))
-    bins = np.concatenate(bins)
     ids, sizes, alone, parts, keys, place, row_of = (np.concatenate(x) for x in cols.values())
-    order = np.argsort(keys, kind="stable")
+    # Runs of one shingle, in order of size: what is too long for a document comes after all that is not.
+    order = np.lexsort((ids, sizes, keys))
     keys = keys[order]
     at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))
     begin, end = at[:-1], at[1:]
@@ -322,34 +418,47 @@ def _pairs(table: pa.Table) -> pa.Table:
         high = np.maximum.reduceat(padded, ends)[::2]
         differ = low != high
         begin, end = begin[differ], end[differ]
-    found = [np.zeros((0, 2), np.int64)]
+    sizes_of, ids_of = np.zeros(len(bits), np.int64), np.zeros(len(bits), np.int64)
+    sizes_of[row_of], ids_of[row_of] = sizes, ids
+
+    def settled(found: list[np.ndarray]) -> np.ndarray:
+        """Pairs of ids, of pairs of postings, that pass the filters; one that shares many shingles of the bucket is seen once."""
+        pairs = np.concatenate(found)
+        u, v = row_of[pairs[:, 0]], row_of[pairs[:, 1]]
+        u, v = np.divmod(np.unique(np.minimum(u, v) * len(bits) + np.maximum(u, v)), len(bits))
+        keep = _fits(bits, sizes_of, u, v)
+        for k in np.flatnonzero(keep).tolist():
+            i, j = u[k], v[k]
+            if common[i] and common[j]:
+                keep[k] = _home(common[i], common[j], ids_of[i], ids_of[j], buckets, tiles) in (own_bucket, -1)
+        return np.sort(np.stack([ids_of[u[keep]], ids_of[v[keep]]], 1), axis=1)
+
+    found, kept, count = [], [np.zeros((0, 2), np.int64)], 0
     for i, j in zip(begin.tolist(), end.tolist(), strict=True):
         run = order[i:j]
         n, p, w, c, d = sizes[run].astype(np.int64), place[run].astype(np.int64), alone[run].astype(np.int64), parts[run], ids[run]
-        for lo in range(0, len(run), 256):
-            x, y = slice(lo, lo + 256), slice(None)
-            n1, n2, p1, p2 = n[x, None], n[None, y], p[x, None], p[None, y]
-            ok = (c[x, None] != c[None, y]) & (d[x, None] < d[None, y])
-            ok &= 4 * np.minimum(n1, n2) >= 3 * np.maximum(n1, n2)
-            # Shingles of one set only come first and are not shared.
-            most = np.minimum(p1 - w[x, None], p2 - w[None, y]) + np.minimum(n1 - p1, n2 - p2)
-            ok &= 7 * most >= 3 * (n1 + n2)
-            u, v = np.nonzero(ok)
-            # Suffix filter: shared shingles of one bin only meet there.
-            fits = np.ones(len(u), bool)
-            for k in range(0, len(u), 65536):
-                a, b = bins[row_of[run[lo + u[k : k + 65536]]]], bins[row_of[run[v[k : k + 65536]]]]
-                both = np.minimum(a, b).sum(1, dtype=np.int64)
-                full = (a[:, 0] == 255) | (b[:, 0] == 255)
-                fits[k : k + 65536] = full | (7 * both >= 3 * (n[lo + u[k : k + 65536]] + n[v[k : k + 65536]]))
-            u, v = u[fits], v[fits]
-            if len(u):
-                found.append(np.stack([d[lo + u], d[v]], 1))
-    pairs = np.concatenate(found)
-    if len(pairs):
-        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-        pairs = pairs[np.concatenate(([True], (pairs[1:] != pairs[:-1]).any(1)))]
-    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+        for lo in range(0, len(run), TILE):
+            x = slice(lo, lo + TILE)
+            stop = int(np.searchsorted(n, 4 * n[x][-1] // 3, side="right"))
+            for to in range(lo, stop, TILE):
+                y = slice(to, min(to + TILE, stop))
+                n1, n2, p1, p2 = n[x, None], n[None, y], p[x, None], p[None, y]
+                ok = (c[x, None] != c[None, y]) & (d[x, None] != d[None, y]) & (4 * n1 >= 3 * n2)
+                if to == lo:
+                    ok &= np.arange(len(p1))[:, None] < np.arange(p2.shape[1])
+                # Shingles of one set only come first and are not shared.
+                most = np.minimum(p1 - w[x, None], p2 - w[None, y]) + np.minimum(n1 - p1, n2 - p2)
+                ok &= 7 * most >= 3 * (n1 + n2)
+                u, v = np.nonzero(ok)
+                if len(u):
+                    found.append(np.stack([run[lo + u], run[to + v]], 1))
+                    count += len(u)
+                if count > HELD_PAIRS:
+                    kept.append(settled(found))
+                    found, count = [], 0
+    if found:
+        kept.append(settled(found))
+    return np.unique(np.concatenate(kept), axis=0)
 
 
 def _with_parts(prefixes: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -363,13 +472,17 @@ def _with_parts(prefixes: DataFrame, found: DataFrame | None) -> DataFrame:
 def _pivots(prefixes: DataFrame, begin: int, count: int) -> DataFrame:
     """Pairs of each document with the pivots of some of its shared shingles, where components differ and sizes allow a link."""
     rows = prefixes.select("doc_id", "n", "part", F.col("places")[0].alias("u"), F.explode(F.slice("keys", begin, count)).alias("f"))
+    # A shingle's key tells about how many sets hold it: frequent ones meet their pivot in many tasks.
+    salts = F.ceil(F.pow(F.lit(2.0), F.shiftrightunsigned("f", 58) / 2) / PIVOT_ROWS)
     order = F.xxhash64("f", "doc_id").alias("o")
     pivot = rows.groupBy("f").agg(
         F.min(F.struct(order, "part", "n", "doc_id", "u")).alias("p"), F.min("part").alias("low"), F.max("part").alias("high")
     )
-    pivot = pivot.where("low < high").select("f", "p.part", "p.n", "p.doc_id", "p.u").toDF("f", "part_p", "m", "a", "w")
+    pivot = pivot.where("low < high").select(
+        "f", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"), "p.part", "p.n", "p.doc_id", "p.u"
+    ).toDF("f", "salt", "part_p", "m", "a", "w")
     return (
-        rows.join(pivot, "f")
+        rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), salts)).join(pivot, ["f", "salt"])
         .where("part <> part_p and 4 * least(n, m) >= 3 * greatest(n, m) and 7 * least(n - u, m - w) >= 3 * (n + m)")
         .select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b"))
         .distinct()
@@ -409,7 +522,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     parts = _with_parts(prefixes, found)
     dealt = parts.mapInArrow(_deal(buckets, tile_rows), POSTINGS)
-    pairs = dealt.groupBy("bucket").applyInArrow(_pairs, "a long, b long").distinct()
+    pairs = dealt.groupBy("bucket").applyInArrow(_pairs(buckets, tile_rows), "a long, b long").distinct()
     found = components(verify(docs, _untried(pairs, tried)).union(found))
 
     label = nodes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
@@ -431,15 +544,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         return _keep_one_row(docs, id_col, text_col)
     linked = materialize(link_documents(docs, id_col, text_col))
     first = linked.where("doc_id = component_id").select(F.col("doc_id").alias(id_col))
-    return docs.join(first, id_col, "left_semi").select(docs.columns)
+    return docs.join(first, id_col, "left_semi").select(*[f"`{c}`" for c in docs.columns])
 
 
 def _keep_one_row(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``keep_one`` with hashes of id, text and copy number for ids."""
-    copies = Window.partitionBy(id_col, text_col).orderBy(F.xxhash64(*docs.columns))
-    keyed = docs.withColumn("_copy", F.row_number().over(copies))
-    keyed = materialize(keyed.withColumn("_key", F.xxhash64(F.col(id_col).isNull(), id_col, text_col, "_copy")))
-    linked = link_documents(keyed.select("_key", text_col), "_key", text_col).select(F.col("doc_id").alias("_key"), "component_id")
-    place = F.struct(F.col(id_col).isNull(), id_col, "_key")
-    first = keyed.select(id_col, "_key").join(linked, "_key").groupBy("component_id").agg(F.min(place)["_key"].alias("_key"))
-    return keyed.join(first.select("_key"), "_key", "left_semi").select(docs.columns)
+    copy, key = free_names(docs.columns, "_copy", "_key")
+    copies = Window.partitionBy(id_col, text_col).orderBy(F.xxhash64(*[f"`{c}`" for c in docs.columns]))
+    keyed = docs.withColumn(copy, F.row_number().over(copies))
+    keyed = materialize(keyed.withColumn(key, F.xxhash64(F.col(id_col).isNull(), id_col, text_col, copy)))
+    linked = link_documents(keyed.select(key, text_col), key, text_col).select(F.col("doc_id").alias(key), "component_id")
+    place = F.struct(F.col(id_col).isNull(), id_col, key)
+    first = keyed.select(id_col, key).join(linked, key).groupBy("component_id").agg(F.min(place)[key].alias(key))
+    return keyed.join(first.select(key), key, "left_semi").select(*[f"`{c}`" for c in docs.columns])
