@@ -117,20 +117,27 @@ class _Inducer:
 
 
 def _by_doubling(t: np.ndarray) -> np.ndarray:
-    """Suffix order by sorting pairs of ranks over doubling distances."""
+    """Suffix order by pairs of ranks over doubling distances; only suffixes that still share a rank are sorted again."""
     n = len(t)
-    rank, step = t.astype(np.int64), 1
+    order = np.argsort(t)
+    place, rank = np.arange(n), np.empty(n, np.int64)
+    s = t[order]
+    rank[order] = np.maximum.accumulate(np.where(np.concatenate(([True], s[1:] != s[:-1])), place, 0))
+    at, step = place, 1
     while True:
-        key = rank * (n + 1)
-        key[: n - step] += rank[step:] + 1
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        new = np.zeros(n, np.int64)
-        new[1:] = key[1:] != key[:-1]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new)
-        if rank[order[-1]] == n - 1 or step >= n:
+        own = rank[order[at]]
+        same = own[1:] == own[:-1]
+        at = at[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
+        if not len(at):
             return order.astype(np.int32)
+        rows = order[at]
+        ahead = rows + step
+        key = rank[rows] * (n + 1) + np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
+        by = np.argsort(key)
+        rows, key = rows[by], key[by]
+        order[at] = rows
+        # A group's rank is its first place in the order.
+        rank[rows] = np.maximum.accumulate(np.where(np.concatenate(([True], key[1:] != key[:-1])), at, 0))
         step *= 2
 
 

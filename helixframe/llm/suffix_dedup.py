@@ -34,13 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm._shared import likely, materialize
+from helixframe.llm._shared import fields, free_names, likely, materialize, trim, without
 from helixframe.llm._text import mix, prefix_hash, span_hash, spread, text_slices
 from helixframe.llm.suffix_arrays import permuted_common_prefixes, suffix_array
 
 LENGTH = 400
 GRAM = 64
-SHARD_BYTES = 1_500_000
+#: Strings of so many bytes are sure to share an anchor, and shared ones of ``PASSAGE`` bytes are reported.
+SURE, PASSAGE = 340, 300
+SHARD_BYTES = 750_000
 #: Different windows of one anchor in one shard.
 SHARD_WINDOWS = 1_500
 
@@ -55,11 +57,16 @@ def _slide(x: np.ndarray, w: int, op) -> np.ndarray:
     return op(back[: n - w + 1], ahead[w - 1 : n])
 
 
-def anchors(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """(document, position, hash, window start, window end, window hash) of each anchor of a slice of texts."""
-    n, w = len(data), length - gram + 1
+def anchors(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int = GRAM, sure: int | None = None):
+    """(document, position, hash, window start, window end, window hash) of each anchor of a slice of texts.
+
+    Every string of ``sure`` bytes holds an anchor; windows hold all strings of
+    ``length`` bytes around it.
+    """
+    sure = min(length, sure or length)
+    n, w, reach = len(data), sure - gram + 1, length - gram
     none = (np.zeros(0, np.int64),) * 6
-    if n < length:
+    if n < sure:
         return none
     c = prefix_hash(data)
     at = np.arange(n - gram + 1)
@@ -69,29 +76,30 @@ def anchors(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int =
     top = np.uint64(0xFFFFFFFFFFFFFFFF)
     g[at + gram > end[: len(at)]] = top
     low = _slide(g, w, np.minimum)
-    low[np.arange(len(low)) + length > end[: len(low)]] = 0
+    low[np.arange(len(low)) + sure > end[: len(low)]] = 0
     # A gram is an anchor if some whole window has it as its minimum.
     edge = np.zeros(w - 1, np.uint64)
     high = _slide(np.concatenate([edge, low, edge]), w, np.maximum)
     pos = np.flatnonzero((g == high) & (g != top))
     doc = np.searchsorted(off, pos, side="right") - 1
-    lo = np.maximum(off[doc], pos - (w - 1))
+    lo = np.maximum(off[doc], pos - reach)
     hi = np.minimum(off[doc + 1], pos + length)
     h = g[pos]
     wh = mix(span_hash(c, lo, hi) + (pos - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     return doc, pos - off[doc], h.view(np.int64), lo - off[doc], hi - off[doc], wh.view(np.int64)
 
 
-def _anchor_rows(length: int, gram: int):
+def _anchor_rows(length: int, gram: int, sure: int):
     def run(batches):
         for batch in batches:
             for lo, _, data, off in text_slices(batch.column("text")):
-                doc, _, h, begin, end, wh = anchors(data, off, length, gram)
+                doc, _, h, begin, end, wh = anchors(data, off, length, gram, sure)
                 row = pa.array(lo + doc)
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(k).take(row) for k in ("th", "tm", "rid")), *map(pa.array, (h, wh, begin, end))],
                     names=["th", "tm", "rid", "h", "wh", "lo", "hi"],
                 )
+        trim()
 
     return run
 
@@ -107,11 +115,11 @@ def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lo[at], hi[np.append(at[1:], len(lo)) - 1]
 
 
-SHARD = "th long, tm int, lo long, hi long, bucket long, entries binary"
+SHARD = "th long, tm int, lo long, hi long, bucket long, entries binary, cut boolean"
 _ENTRY = np.dtype([("hash", "<u8"), ("th", "<i8"), ("tm", "<i4"), ("pos", "<i8"), ("open", "?")])
 
 
-def _shard(length: int, buckets: int):
+def _shard(length: int, passage: int, buckets: int):
     def run(table: pa.Table) -> pa.Table:
         rows = table.select(["th", "tm", "lo", "hot", "win"]).to_pylist()
         rows.sort(key=lambda r: (r["th"], r["tm"], r["lo"]))
@@ -139,28 +147,27 @@ def _shard(length: int, buckets: int):
             t[at : at + len(x)] += 2
         sa = suffix_array(t, 258)
         common = permuted_common_prefixes(t, sa)
-        repeated = common >= length
         after = np.empty(len(t), np.int64)
         after[sa[:-1]] = sa[1:]
         after[sa[-1]] = sa[0]
-        repeated |= common[after] >= length
+        longest = np.maximum(common, common[after])[:-1]
         room = np.repeat(begin + size - 1, size) - np.arange(len(t) - 1)
         whole = room >= length
-        repeated = repeated[:-1] & whole
-        start = np.flatnonzero(repeated)
-        seg = np.searchsorted(begin, start, side="right") - 1
-        # Runs of starts within a segment become intervals of text.
-        cut = np.concatenate(([True], (np.diff(start) > 1) | (np.diff(seg) > 0))) if len(start) else np.zeros(0, bool)
-        a = np.flatnonzero(cut)
-        z = np.append(a[1:], len(start)) - 1
-        s = seg[a] if len(a) else a
+        repeated = (longest >= length) & whole
         base = np.array([x[1] for x in segments]) - begin
         keys = np.array([x[0][0] for x in segments], np.int64), np.array([x[0][1] for x in segments], np.int32)
-        out = {
-            "th": [keys[0][s]], "tm": [keys[1][s]], "lo": [start[a] + base[s]], "hi": [start[z] + base[s] + length],
-            "bucket": [np.zeros(len(a), np.int64)],
-        }
-        entries: list = [None] * len(a)
+        out: dict[str, list] = {k: [] for k in ("th", "tm", "lo", "hi", "bucket", "cut")}
+        for least, is_cut, starts in ((length, True, repeated), (passage, False, (longest >= passage) & (room >= passage))):
+            start = np.flatnonzero(starts)
+            seg = np.searchsorted(begin, start, side="right") - 1
+            # Runs of starts within a segment become intervals of text.
+            new = np.concatenate(([True], (np.diff(start) > 1) | (np.diff(seg) > 0))) if len(start) else np.zeros(0, bool)
+            a = np.flatnonzero(new)
+            z = np.append(a[1:], len(start)) - 1
+            s = seg[a] if len(a) else a
+            for k, x in (("th", keys[0][s]), ("tm", keys[1][s]), ("lo", start[a] + base[s]), ("hi", start[z] + base[s] + least), ("bucket", np.zeros(len(a), np.int64)), ("cut", np.full(len(a), is_cut))):
+                out[k].append(x)
+        entries: list = [None] * sum(map(len, out["th"]))
         hot = np.zeros(len(t) - 1, bool)
         for k, x in enumerate(segments):
             for i, j in x[4]:
@@ -185,9 +192,11 @@ def _shard(length: int, buckets: int):
             for k in ("th", "tm", "lo", "hi"):
                 out[k].append(none)
             out["bucket"].append(np.array([bucket[p[0]] for p in parts]))
-        return pa.table(
-            {k: pa.array(np.concatenate(v), pa.int32() if k == "tm" else pa.int64()) for k, v in out.items()} | {"entries": pa.array(entries, pa.binary())}
-        )
+            out["cut"].append(np.ones(len(parts), bool))
+        kinds = {"tm": pa.int32(), "cut": pa.bool_()}
+        found = pa.table({k: pa.array(np.concatenate(v), kinds.get(k, pa.int64())) for k, v in out.items()} | {"entries": pa.array(entries, pa.binary())})
+        trim()
+        return found
 
     return run
 
@@ -203,15 +212,23 @@ def _meet(length: int):
         at = np.flatnonzero(np.concatenate(([True], e["hash"][1:] != e["hash"][:-1])))
         size = np.diff(np.append(at, len(e)))
         e = e[(np.repeat(size, size) > 1) & e["open"]]
-        return pa.table({"th": e["th"], "tm": e["tm"], "lo": e["pos"], "hi": e["pos"] + length})
+        return pa.table({"th": e["th"], "tm": e["tm"], "lo": e["pos"], "hi": e["pos"] + length, "cut": np.ones(len(e), bool)})
 
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_windows: int = SHARD_WINDOWS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(th, tm, lo, hi): byte intervals covered by repeated strings, by text hash; intervals may overlap."""
+def repeated_spans(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_windows: int = SHARD_WINDOWS, shard_bytes: int = SHARD_BYTES,
+    sure: int = SURE, passage: int = PASSAGE,
+) -> DataFrame:
+    """(th, tm, lo, hi, cut): byte intervals covered by repeated strings, by text hash; intervals may overlap.
+
+    Those of ``length`` bytes are to be cut; those of ``passage`` bytes are as
+    the shards show them: all from ``sure`` bytes on, most of the shorter ones.
+    """
+    sure, passage = min(sure, length), min(passage, length)
     rows = docs.where("text is not null").select(*text_key(), F.coalesce("doc_id", F.lit(-(1 << 62))).alias("rid"), "text")
-    found = rows.mapInArrow(_anchor_rows(length, gram), "th long, tm int, rid long, h long, wh long, lo long, hi long")
+    found = rows.mapInArrow(_anchor_rows(length, gram, sure), "th long, tm int, rid long, h long, wh long, lo long, hi long")
     # Copies of a text are counted before they travel on.
     found = materialize(
         found.groupBy("h", "wh", "th", "tm", "lo", "hi").agg(F.count("*").alias("c"), F.min("rid").alias("rid"))
@@ -221,7 +238,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     )
     kinds = windows.groupBy("h").agg(F.count("*").alias("kinds"), F.max("n").alias("most"))
     windows = materialize(windows.join(kinds.where("kinds > 1 or most > 1"), "h"))
-    marks = found.join(windows.where("n > 1").select("h", "wh"), ["h", "wh"]).select("th", "tm", "lo", "hi")
+    size = F.col("hi") - F.col("lo")
+    marks = found.join(windows.where("n > 1").select("h", "wh"), ["h", "wh"]).where(size >= passage).select("th", "tm", "lo", "hi", (size >= length).alias("cut"))
 
     differ = windows.where("kinds > 1").select("h", "wh", "kinds", "one.*")
     total = differ.agg(F.sum(F.col("hi") - F.col("lo"))).first()[0] or 0
@@ -234,12 +252,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     texts = likely(rows, "th", differ.select("th"))
     win = F.expr("substring(cast(text as binary), cast(lo + 1 as int), cast(hi - lo as int))").alias("win")
     differ = differ.join(texts, ["th", "tm", "rid"]).select("shard", "th", "tm", "lo", "hot", win)
-    sorted_shards = materialize(differ.groupBy("shard").applyInArrow(_shard(length, shards), SHARD))
+    sorted_shards = materialize(differ.groupBy("shard").applyInArrow(_shard(length, passage, shards), SHARD))
     again = (
         sorted_shards.where("entries is not null").select("bucket", "entries").groupBy("bucket")
-        .applyInArrow(_meet(length), "th long, tm int, lo long, hi long")
+        .applyInArrow(_meet(length), "th long, tm int, lo long, hi long, cut boolean")
     )
-    return marks.union(sorted_shards.where("entries is null").select("th", "tm", "lo", "hi")).union(again)
+    return marks.union(sorted_shards.where("entries is null").select("th", "tm", "lo", "hi", "cut")).union(again)
 
 
 def text_key():
@@ -247,43 +265,53 @@ def text_key():
     return F.xxhash64("text").alias("th"), F.hash("text").alias("tm")
 
 
-def _cut(batches):
-    for batch in batches:
-        out = []
-        spans = batch.column("spans")
-        texts = batch.column("text").cast(pa.large_binary()).fill_null(b"")
-        for i in range(batch.num_rows):
-            raw = texts[i].as_py()
-            if spans[i].is_valid:
-                pairs = spans[i].values
-                lo, hi = merged(pairs.field("lo").to_numpy(), pairs.field("hi").to_numpy())
-                stops = [0, *np.stack([lo, hi], 1).ravel().tolist(), len(raw)]
-                kept = b"".join(raw[stops[k] : stops[k + 1]] for k in range(0, len(stops), 2))
-                pairs = [{"lo": a, "hi": b} for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
-            else:
-                kept, pairs = raw, []
-            out.append((len(raw), len(raw) - len(kept), len(pairs), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore"), pairs))
-        cols = list(zip(*out, strict=True)) or [[]] * 6
-        kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))]
-        keep = batch.drop_columns(["text", "spans"])
-        yield pa.RecordBatch.from_arrays(
-            [*keep.columns, *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))],
-            names=[*keep.schema.names, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "removed"],
-        )
+def _cut(found: str):
+    def run(batches):
+        for batch in batches:
+            out = []
+            spans = batch.column(found)
+            texts = batch.column("text").cast(pa.large_binary()).fill_null(b"")
+            for i in range(batch.num_rows):
+                raw = texts[i].as_py()
+                shared = 0
+                if spans[i].is_valid:
+                    pairs = spans[i].values
+                    lo, hi, cut = (pairs.field(k).to_numpy(zero_copy_only=False) for k in ("lo", "hi", "cut"))
+                    begin, end = merged(lo, hi)
+                    shared = int((end - begin).sum())
+                    lo, hi = merged(lo[cut], hi[cut])
+                    stops = [0, *np.stack([lo, hi], 1).ravel().tolist(), len(raw)]
+                    kept = b"".join(raw[stops[k] : stops[k + 1]] for k in range(0, len(stops), 2))
+                    pairs = [{"lo": a, "hi": b} for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
+                else:
+                    kept, pairs = raw, []
+                out.append((len(raw), len(raw) - len(kept), len(pairs), shared, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore"), pairs))
+            cols = list(zip(*out, strict=True)) or [[]] * 7
+            kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))]
+            keep = batch.drop_columns(["text", found])
+            yield pa.RecordBatch.from_arrays(
+                [*keep.columns, *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))],
+                names=[*keep.schema.names, "n_bytes", "n_removed", "n_spans", "n_shared", "kept_sha256", "kept_text", "removed"],
+            )
+        trim()
+
+    return run
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, **limits) -> DataFrame:
     """``docs`` with ``text`` replaced by what is removed and what stays of it.
 
-    ``docs`` has ``doc_id`` and ``text``; its other columns come through. Adds
-    ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, ``kept_text`` and
-    ``removed``, the byte intervals.
+    ``docs`` has ``doc_id`` and ``text``; its other columns come through, but for
+    those named like an added one. Adds ``n_bytes``, ``n_removed``, ``n_spans``,
+    ``n_shared`` (bytes of passages that repeat, whether cut or too short for
+    that), ``kept_sha256``, ``kept_text`` and ``removed``, the byte intervals.
     """
     spans = repeated_spans(docs, length, **limits)
-    spans = spans.groupBy("th", "tm").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
-    keyed = docs.withColumns(dict(zip(("th", "tm"), text_key(), strict=True)))
-    joined = keyed.join(spans, ["th", "tm"], "left").drop("th", "tm")
-    others = [f for f in docs.schema if f.name != "text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
-    schema += ", n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string, removed array<struct<lo: long, hi: long>>"
-    return joined.select(*[f"`{f.name}`" for f in others], "text", "spans").mapInArrow(_cut, schema)
+    added = ("n_bytes", "n_removed", "n_spans", "n_shared", "kept_sha256", "kept_text", "removed")
+    others = without(docs.columns, "text", *added)
+    th, tm, found = free_names([*others, "text"], "th", "tm", "spans")
+    spans = spans.groupBy(F.col("th").alias(th), F.col("tm").alias(tm)).agg(F.collect_set(F.struct("lo", "hi", "cut")).alias(found))
+    keyed = docs.select(*[f"`{c}`" for c in others], "text", *[k.alias(n) for k, n in zip(text_key(), (th, tm), strict=True)])
+    joined = keyed.join(spans, [th, tm], "left").drop(th, tm)
+    schema = [*fields(docs.schema, others), "n_bytes long", "n_removed long", "n_spans long", "n_shared long", "kept_sha256 string", "kept_text string"]
+    return joined.mapInArrow(_cut(found), ", ".join([*schema, "removed array<struct<lo: long, hi: long>>"]))
