@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from helixframe.functions import fixed as X
+
 
 def null_text(c: Column) -> Column:
     """blank, '.' and '?' are null; other values are trimmed."""
@@ -58,8 +60,24 @@ def entry_id(declared: Column, path: Column) -> Column:
 
 
 def assembly_from_name(path: Column) -> Column:
-    """The number after 'assembly' in a file name, or null."""
-    return F.nullif(F.regexp_extract(case_id(path), r"-assembly(\d+)$", 1), F.lit(""))
+    """The letters and digits after 'assembly' in a file name, where it starts a part of the name; or null."""
+    return F.nullif(F.regexp_extract(case_id(path), r"(?:^|[-_])assembly[-_]?([a-z0-9]+)(?:$|[-_])", 1), F.lit(""))
+
+
+def entry_from_assembly(path: Column) -> Column:
+    """The entry before '-assembly' or '_assembly' in a file name: four characters in upper case."""
+    return F.substring(F.upper(F.regexp_replace(case_id(path), r"[-_]assembly.*$", "")), 1, 4)
+
+
+def shard_group(path: Column) -> Column:
+    """Assemblies of one entry share its group; other files are their own."""
+    entry = F.nullif(F.regexp_extract(case_id(path), r"^(.{4})(?:[-_].*)?[-_]assembly[-_]?[a-z0-9]+(?:$|[-_])", 1), F.lit(""))
+    return F.coalesce(F.concat(F.lit("pdb:"), entry), F.concat(F.lit("path:"), path))
+
+
+def spaceless(c: Column) -> Column:
+    """X11: without white space; letters keep their case."""
+    return F.regexp_replace(c, r"\s+", "")
 
 
 def sequence_key(c: Column) -> Column:
@@ -104,17 +122,43 @@ def operations(c: Column) -> Column:
 
 
 def polymer_class(chain_type: Column, polymer_type: Column) -> Column:
-    """Protein, dna, rna, other_nucleic_acid or other_polymer; 'deoxyribo' is tested before 'ribo'."""
-    p, c = F.lower(F.coalesce(polymer_type, F.lit(""))), F.lower(F.coalesce(chain_type, F.lit("")))
+    """By chain type first; nucleic acids and other polymers by their polymer type; null for what is no polymer."""
+    p = F.lower(F.coalesce(polymer_type, F.lit("")))
+    sugar = F.when(p.contains("deoxyribo"), "dna").when(p.contains("ribo"), "rna")
     return (
-        F.when(p.contains("polypeptide"), "protein")
-        .when(p.contains("deoxyribo"), "dna")
-        .when(p.contains("ribo"), "rna")
-        .when(p.contains("nucle") | c.contains("nucleic"), "other_nucleic_acid")
-        .when(c.contains("protein") | c.contains("antibody") | c.contains("tcr") | c.contains("mhc") | c.contains("peptide"), "protein")
-        .when(c.contains("dna"), "dna")
-        .when(c.contains("rna"), "rna")
-        .otherwise("other_polymer")
+        F.when(chain_type.isin(*X.PROTEIN_TYPES), "protein").when(chain_type == "DNA chain", "dna").when(chain_type == "RNA chain", "rna")
+        .when(chain_type == "other nucleic acid chain", F.coalesce(sugar, F.lit("other_nucleic_acid")))
+        .when(chain_type == X.OTHER_POLYMER, F.coalesce(sugar, F.when(p.contains("peptide"), "protein"), F.lit("other_polymer")))
+    )
+
+
+def is_polymer(chain_type: Column) -> Column:
+    """F10."""
+    return F.coalesce(chain_type.isin(*X.POLYMER_TYPES), F.lit(False))
+
+
+def has_identity(kind: Column, sequence: Column, details: Column) -> Column:
+    """a sequence, or for other polymers a named component among its details."""
+    named = F.coalesce(F.exists(details, lambda x: null_text(x["monomer_id"]).isNotNull()), F.lit(False))
+    return (F.coalesce(sequence, F.lit("")) != "") | ((kind == "other_polymer") & named)
+
+
+def output_group(chain_type: Column) -> Column:
+    """the exported group of a chain."""
+    return (
+        F.when(chain_type.isin(*X.PROTEIN_TYPES), "protein_chains").when(chain_type.isin(*X.NUCLEIC_TYPES), "nucleic_acid_chains")
+        .when(chain_type == X.GLYCAN, "branched_entities").when(chain_type == X.METAL, "metal_ions")
+        .when(chain_type == X.SMALL_MOLECULE, "small_molecule_compounds").otherwise("other_entities")
+    )
+
+
+def standard_monomer(chain_type: Column, monomer: Column) -> Column:
+    """whether a residue is one of its chain type's standard ones."""
+    m = F.upper(monomer)
+    return (
+        F.when(chain_type.isin(*X.PROTEIN_TYPES), m.isin(*X.AMINO_ACIDS)).when(chain_type == "DNA chain", m.isin(*X.DNA_NUCLEOTIDES))
+        .when(chain_type == "RNA chain", m.isin(*X.RNA_NUCLEOTIDES))
+        .when(chain_type == "other nucleic acid chain", m.isin(*X.DNA_NUCLEOTIDES, *X.RNA_NUCLEOTIDES)).otherwise(F.lit(False))
     )
 
 
@@ -152,12 +196,116 @@ def multimer_type(instances: Column, entities: Column) -> Column:
     )
 
 
-def component_key(names: Column) -> Column:
-    """The names in order of position, joined."""
-    return F.array_join(F.transform(F.array_sort(names), lambda x: x["name"]), "-")
+def component_key(details: Column, polymer_type: Column, description: Column, sequence: Column) -> Column:
+    """Named components in order of position, with their types; without any, the texts that describe the polymer.
+
+    ``details`` are structs of label_seq_id, monomer_id and chem_comp_type; one
+    without a position has its place in the list.
+    """
+    def plain(c: Column) -> Column:
+        return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", " "))
+
+    def token(x: Column) -> Column:
+        name, kind = F.upper(F.trim(x["monomer_id"])), plain(x["chem_comp_type"])
+        return F.when(kind != "", F.concat(name, F.lit(":"), kind)).otherwise(name)
+
+    placed = F.transform(details, lambda x, i: F.struct(F.coalesce(x["label_seq_id"], i).alias("at"), i.alias("i"), token(x).alias("t"), null_text(x["monomer_id"]).alias("m")))
+    ordered = F.array_sort(F.filter(placed, lambda x: x["m"].isNotNull()))
+    rest = F.concat(F.lit("fallback|polymer_type="), plain(polymer_type), F.lit("|description="), plain(description), F.lit("|sequence="), sequence_key(F.coalesce(sequence, F.lit(""))))
+    return F.when(F.size(ordered) > 0, F.array_join(F.transform(ordered, lambda x: x["t"]), "|")).otherwise(rest)
 
 
 def method_priority(method: Column) -> Column:
-    """X-ray, then electron microscopy, then NMR, then all others."""
-    m = F.lower(F.coalesce(method, F.lit("")))
-    return F.when(m.contains("x-ray"), 0).when(m.contains("electron microscopy"), 1).when(m.contains("nmr"), 2).otherwise(9)
+    """X-ray diffraction, then electron microscopy, then NMR in solution or solid state, then all others."""
+    m = F.lower(F.trim(F.coalesce(method, F.lit(""))))
+    return F.when(m == "x-ray diffraction", 0).when(m == "electron microscopy", 1).when(m.isin("solution nmr", "solid-state nmr"), 2).otherwise(99)
+
+
+def primary_method(methods: Column) -> Column:
+    """Of several methods the first by priority, then name."""
+    ranked = F.array_sort(F.transform(F.filter(methods, lambda x: F.trim(x) != ""), lambda x: F.struct(method_priority(x).alias("p"), x.alias("m"))))
+    return F.try_element_at(ranked, F.lit(1))["m"]
+
+
+def cutoff_date(c: Column) -> Column:
+    """a cutoff as a strict date; blank is none, anything else fails the job."""
+    t = F.trim(F.coalesce(c, F.lit("")))
+    bad = F.raise_error(F.concat(F.lit("cutoff is not a date of the form YYYY-MM-DD: "), t)).cast("date")
+    return F.when(t == "", F.lit(None).cast("date")).otherwise(F.coalesce(strict_date(t), bad))
+
+
+def element_symbol(element: Column, atom: Column) -> Column:
+    """The element, else the first letter (two for BR, CL and SE) of the atom's name."""
+    e, letters = F.upper(F.trim(F.coalesce(element, F.lit("")))), F.upper(F.regexp_replace(F.coalesce(atom, F.lit("")), "[^A-Za-z]", ""))
+    two = F.substring(letters, 1, 2)
+    return F.when(e != "", e).when(two.isin("BR", "CL", "SE"), two).otherwise(F.substring(letters, 1, 1))
+
+
+def is_hydrogen(element: Column, atom: Column) -> Column:
+    """X34."""
+    return element_symbol(element, atom).isin("H", "D", "T")
+
+
+def residue_id(name: Column, number: Column, insertion: Column) -> Column:
+    """Name, ':' and number with its insertion code."""
+    return F.concat(name, F.lit(":"), number.cast("string"), F.trim(F.coalesce(insertion, F.lit(""))))
+
+
+def leading_number(label: Column) -> Column:
+    """The digits a numbering label starts with, 0 without any."""
+    return F.coalesce(F.nullif(F.regexp_extract(F.coalesce(label.cast("string"), F.lit("")), r"^(\d+)", 1), F.lit("")).cast("int"), F.lit(0))
+
+
+def first_motif(sequence: Column, motifs: tuple[str, ...]) -> Column:
+    """The first of the motifs that the sequence holds."""
+    return F.coalesce(*[F.when(sequence.contains(m), m) for m in motifs])
+
+
+def warning_codes(c: Column) -> Column:
+    """Codes of a text separated by ';'."""
+    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ";"), lambda x: F.trim(x)), lambda x: x != "")
+
+
+def distinct_in_order(c: Column) -> Column:
+    """Without nulls and blanks, each value once, in order."""
+    return F.array_distinct(F.filter(c, lambda x: x.isNotNull() & (x != "")))
+
+
+def slug(c: Column) -> Column:
+    """Runs of other characters than letters, digits and '_.=-' become one '_', none at the ends; nothing left is 'case'."""
+    out = F.regexp_replace(F.regexp_replace(c, r"[^A-Za-z0-9_.=-]+", "_"), r"^_+|_+$", "")
+    return F.coalesce(F.nullif(out, F.lit("")), F.lit("case"))
+
+
+def html_text(c: Column) -> Column:
+    """A value as escaped text; '&' goes first."""
+    out = c.cast("string")
+    for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        out = F.replace(out, F.lit(raw), F.lit(safe))
+    return out
+
+
+def moved_path(path: Column, folder: str | None) -> Column:
+    """The file's name under another folder, where one is given."""
+    return path if not folder else F.concat(F.lit(folder.rstrip("/") + "/"), base_name(path))
+
+
+def fingerprint(settings: Column, ignored: tuple[str, ...] = ()) -> Column:
+    """SHA-256 of a map of settings as JSON in order of keys, without the ignored ones."""
+    kept = F.map_filter(settings, lambda k, _: ~k.isin(*ignored)) if ignored else settings
+    return F.sha2(F.to_json(F.map_from_entries(F.array_sort(F.map_entries(kept)))), 256)
+
+
+def interface_key(mode: Column, assembly: Column, left: Column, right: Column, label: Column, same: Column) -> Column:
+    """What copies of an interface have in common; both sides (structs of chain, entity, type) in order."""
+    return F.struct(mode.alias("mode"), assembly.alias("assembly"), F.array_sort(F.array(left, right)).alias("sides"), label.alias("label"), same.alias("same"))
+
+
+def alignment_key(*parts: Column) -> Column:
+    """32 hexadecimal digits of SHA-256 over the parts of an alignment's key."""
+    return F.substring(F.sha2(F.concat_ws("|", *[p.cast("string") for p in parts]), 256), 1, 32)
+
+
+def sub_cluster(cluster: Column, number: Column) -> Column:
+    """The number of a structure cluster after its sequence cluster's id."""
+    return F.concat(cluster, F.lit("_"), number.cast("string"))

@@ -2,35 +2,58 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from helixframe.operators.tables import written
 
-def numbered_groups(rows: DataFrame, key: str, order: list[Column], prefix: str, name: str = "cluster_id", start: int = 0) -> DataFrame:
+
+def numbered_groups(rows: DataFrame, key: str, order: list[Column], prefix: str, name: str = "cluster_id", start: int = 1) -> DataFrame:
     """Distinct keys numbered from a start in an order.
 
-    Only the distinct keys are sorted: ranges of them are numbered in parallel,
-    and the ranges' sizes (a number for each partition) give the offsets.
+    Only the distinct keys are sorted: ranges of them are numbered in parallel
+    and written with their range, whose sizes (a number for each range) give the
+    offsets. Both come from the written table, so that one sampling of borders
+    decides, whatever is computed again.
     """
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     placed = ranged.withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
-    local = placed.withColumn("_l", F.col("_m") - F.shiftleft(F.col("_p").cast("long"), 33))
-    sizes = local.groupBy("_p").agg(F.count("*").alias("_n"))
+    local = written(placed.withColumn("_l", F.col("_m") - F.shiftleft(F.col("_p").cast("long"), 33)).drop("_m"))
+    sizes = local.groupBy("_p").agg(F.count("*").alias("_c"))
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    offsets = sizes.select("_p", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_o"))
     out = local.join(F.broadcast(offsets), "_p")
-    return out.withColumn(name, F.concat(F.lit(prefix), (F.col("_l") + F.col("_o") + start).cast("string"))).drop("_p", "_m", "_l", "_o", "_n")
+    return out.withColumn(name, F.concat(F.lit(prefix), (F.col("_l") + F.col("_o") + start).cast("string"))).drop("_p", "_l", "_o")
+
+
+#: Characters of a key that sort it; equal ones are told apart by the rest.
+HEAD = 64
+
 
+def exact_clusters(rows: DataFrame, member: str, key: Column, prefix: str, name: str = "cluster_id", start: int = 1) -> DataFrame:
+    """Members with equal keys; clusters are numbered by longer key, then key; the least member stands for it.
 
-def exact_clusters(rows: DataFrame, member: str, key: Column, prefix: str) -> DataFrame:
-    """Members with equal keys; clusters are numbered by longer key, then key; the least member stands for it."""
-    keyed = rows.select(member, key.alias("_key"))
-    groups = keyed.groupBy("_key").agg(F.min(member).alias("representative"), F.count("*").alias("size"))
-    groups = numbered_groups(groups, "_key", [F.length("_key").desc(), F.col("_key").asc()], prefix)
-    return keyed.join(groups, "_key").drop("_key")
+    Columns: member, cluster, representative, size; a member without a key is in
+    none. Keys are told apart by digest and length; only digests, lengths and
+    heads of keys are shuffled and sorted. Whole keys travel where keys of one
+    length share a head, one of each.
+    """
+    keyed = rows.select(member, key.alias("_key")).where("_key is not null")
+    keyed = keyed.withColumns({"_d": F.unhex(F.md5("_key")), "_n": F.length("_key"), "_h": F.substring("_key", 1, HEAD)})
+    groups = keyed.groupBy("_d", "_n").agg(F.min(member).alias("representative"), F.count("*").alias("size"), F.min("_h").alias("_h"))
+    groups = written(groups)
+    alike = groups.groupBy("_n", "_h").agg(F.count("*").alias("_k")).where(f"_k > 1 and _n > {HEAD}").select("_n", "_h")
+    alike = groups.join(alike, ["_n", "_h"], "left_semi").select("_d", "_n", "_h", F.col("representative").alias(member))
+    whole = keyed.select(member, "_d", "_n", "_key").join(alike, [member, "_d", "_n"])
+    tie = F.row_number().over(Window.partitionBy("_n", "_h").orderBy("_key"))
+    tied = whole.groupBy("_d", "_n", "_h").agg(F.min("_key").alias("_key")).select("_d", "_n", tie.alias("_t"))
+    placed = groups.join(tied, ["_d", "_n"], "left").withColumn("_t", F.coalesce("_t", F.lit(1)))
+    numbered = numbered_groups(placed, "_d", [F.col("_n").desc(), F.col("_h").asc(), F.col("_t").asc()], prefix, name, start)
+    return keyed.select(member, "_d", "_n").join(numbered.drop("_h", "_t"), ["_d", "_n"]).select(member, name, "representative", "size")
 
 
 def next_cluster_index(clusters: DataFrame, name: str, prefix: str) -> int:
@@ -46,11 +69,7 @@ def missing_clusters(rows: DataFrame, member: str, key: Column, clusters: DataFr
     without a key has the empty one.
     """
     missing = rows.join(clusters.select(member).distinct(), member, "left_anti")
-    keyed = missing.select(member, F.coalesce(key, F.lit("")).alias("_key"))
-    groups = keyed.groupBy("_key").agg(F.min(member).alias("representative"), F.count("*").alias("size"))
-    order = [F.length("_key").desc(), F.col("_key").asc()]
-    groups = numbered_groups(groups, "_key", order, prefix, name, next_cluster_index(clusters, name, prefix))
-    return keyed.join(groups, "_key").select(member, name, "representative", "size")
+    return exact_clusters(missing, member, F.coalesce(key, F.lit("")), prefix, name, next_cluster_index(clusters, name, prefix))
 
 
 def signature(members: Column) -> Column:
@@ -65,25 +84,60 @@ def signature_groups(rows: DataFrame, item: str, sig: str, prefix: str) -> DataF
     return rows.select(item, sig).join(groups, sig)
 
 
-def leader_clusters(rows: DataFrame, bucket: str, member: str, order: list[str], payload: list[str], accept, kind: str = "long") -> DataFrame:
+#: Members of a bucket that one task leads in a round.
+LEAD_ROWS = 512
+#: Members of a bucket that one task compares with a round's leaders.
+CHUNK_ROWS = 4096
+
+
+def leader_clusters(rows: DataFrame, bucket: str, member: str, order: list[str], payload: str, accept, kind: str = "long", lead_rows: int = LEAD_ROWS) -> DataFrame:
     """In each bucket, members in order join the first leader that accepts them, or lead a new cluster.
 
-    ``accept(leader, member)`` gets two rows of the payload as tuples. Returns
-    bucket, leader and member.
+    ``accept(leaders, members)`` gets two lists of payloads and tells, as a
+    matrix of a row a member, which leaders accept which. Rounds: the first
+    members of each bucket find their leaders in one task; all others meet
+    these leaders in chunks, in parallel, and those that none accepts go on.
+    As leaders are tried in the order they arose, this is what one pass over
+    the bucket gives. Returns bucket, leader and member.
     """
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        leaders: list[tuple] = []
-        out = []
-        for row in pdf[[member, *payload]].itertuples(index=False, name=None):
-            found = next((x[0] for x in leaders if accept(x[1:], row[1:])), None)
-            if found is None:
-                leaders.append(row)
-                found = row[0]
-            out.append((pdf[bucket].iloc[0], found, row[0]))
-        return pd.DataFrame(out, columns=[bucket, "leader", member])
-
-    columns = list(dict.fromkeys([bucket, member, *order, *payload]))
     b = dict(rows.dtypes)[bucket]
-    return rows.select(*columns).groupBy(bucket).applyInPandas(one, f"`{bucket}` {b}, leader {kind}, `{member}` {kind}")
+    found = f"`{bucket}` {b}, leader {kind}, `{member}` {kind}"
+
+    def lead(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_place")
+        names, load, led, out = pdf[member].tolist(), pdf[payload].tolist(), [], []
+        for k, own in enumerate(load):
+            hit = np.flatnonzero(accept([load[x] for x in led], [own])[0]) if led else ()
+            if len(hit):
+                out.append(led[hit[0]])
+            else:
+                led.append(k)
+                out.append(k)
+        return pd.DataFrame({bucket: pdf[bucket].iloc[0], "leader": [names[k] for k in out], member: names})
+
+    def follow(leaders: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        if not len(leaders) or not len(others):
+            return pd.DataFrame({bucket: [], "leader": [], member: []})
+        leaders = leaders.sort_values("_place")
+        hit = accept(leaders[payload].tolist(), others[payload].tolist())
+        some = hit.any(1)
+        names = leaders[member].to_numpy(object)[hit.argmax(1)[some]]
+        return pd.DataFrame({bucket: others[bucket].to_numpy(object)[some], "leader": names, member: others[member].to_numpy(object)[some]})
+
+    place = F.row_number().over(Window.partitionBy(bucket).orderBy(*order))
+    pending = written(rows.select(bucket, member, payload, place.alias("_place")))
+    done = None
+    while not pending.isEmpty():
+        turn = F.row_number().over(Window.partitionBy(bucket).orderBy("_place"))
+        pending = pending.withColumn("_turn", turn)
+        first = written(pending.where(F.col("_turn") <= lead_rows).groupBy(bucket).applyInPandas(lead, found))
+        rest = pending.where(F.col("_turn") > lead_rows).withColumn("_chunk", F.floor(F.col("_turn") / CHUNK_ROWS)).drop("_turn")
+        chunks = rest.select(bucket, "_chunk").distinct()
+        leaders = pending.drop("_turn").join(first.where(f"leader = `{member}`").select(bucket, member), [bucket, member], "left_semi").join(chunks, bucket)
+        # Columns of its own, as both sides come from one table.
+        leaders = leaders.select(*[F.col(f"`{c}`").alias(c) for c in leaders.columns])
+        joined = leaders.groupBy(bucket, "_chunk").cogroup(rest.groupBy(bucket, "_chunk")).applyInPandas(follow, found)
+        joined = written(joined)
+        done = first.unionByName(joined) if done is None else done.unionByName(first).unionByName(joined)
+        pending = written(rest.drop("_chunk").join(joined.select(bucket, member), [bucket, member], "left_anti"))
+    return rows.sparkSession.createDataFrame([], found) if done is None else done

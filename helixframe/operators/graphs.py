@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helixframe.operators.tables import written
+
 
 def edge_table(rows: DataFrame, case: str, a: str, b: str, area: str, least: float, order: list) -> DataFrame:
     """G1: one undirected edge for each pair of a case with an area of ``least`` or more; the last in order wins."""
@@ -165,3 +167,43 @@ def greedy_matching(rows: DataFrame, case: str, a: str, b: str, order: list[str]
 
     t = dict(rows.dtypes)
     return rows.select(case, a, b, *order).groupBy(case).applyInPandas(one, f"`{case}` {t[case]}, `{a}` {t[a]}, `{b}` {t[b]}")
+
+
+def greedy_pairs(rows: DataFrame, case: str, a: str, b: str, order: list[str], descending: list[bool]) -> DataFrame:
+    """As ``greedy_matching`` where a node may be on either side: each is in one pair at most; ``place`` is a pair's turn."""
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values([*order], ascending=[not d for d in descending], kind="stable")
+        used, out = set(), []
+        for x, y in zip(pdf[a], pdf[b], strict=True):
+            if x not in used and y not in used:
+                used |= {x, y}
+                out.append((pdf[case].iloc[0], x, y, len(out)))
+        return pd.DataFrame(out, columns=[case, a, b, "place"])
+
+    t = dict(rows.dtypes)
+    columns = list(dict.fromkeys([case, a, b, *order]))
+    return rows.select(*columns).groupBy(case).applyInPandas(one, f"`{case}` {t[case]}, `{a}` {t[a]}, `{b}` {t[b]}, place int")
+
+
+def _star(edges: DataFrame, small: bool) -> DataFrame:
+    """Every node's neighbours are linked with its least one: those above it (large star) or it and all below (small star)."""
+    near = edges if small else edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    low = near.groupBy("u").agg(F.min("v").alias("m")).select("u", (F.col("m") if small else F.least("u", "m")).alias("m"))
+    joined = near.join(low, "u")
+    out = (joined if small else joined.where("v > u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    if small:
+        out = out.unionByName(low.select("u", F.col("m").alias("v")))
+    return out.where("u <> v").distinct()
+
+
+def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """G2 for graphs of any size: (node, component) with the least node of each component, by star rounds on the edge table."""
+    edges = written(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    while True:
+        roots = edges.select(F.col("v").alias("x")).distinct()
+        flat = edges.join(roots, edges["u"] == roots["x"], "left_semi").limit(1).count() == 0 and edges.groupBy("u").count().where("count > 1").limit(1).count() == 0
+        if flat:
+            break
+        edges = written(_star(_star(edges, small=False), small=True))
+    return nodes.join(edges.select(F.col("u").alias("node"), F.col("v").alias("component")), "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -8,6 +8,7 @@ warnings, embeddings structures, conversations ordered members.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ def _cents(c: str):
 @query("""
     with k as (select doc_id, upper(replace(regexp_replace(text, '\\s+', '', 'g'), 'ß', 'SS')) as s from documents),
     g as (select s, min(doc_id) as representative, count(*) as size,
-                 row_number() over (order by length(s) desc, s) - 1 as n from k group by s)
+                 row_number() over (order by length(s) desc, s) as n from k group by s)
     select k.doc_id, 'prot_' || n as cluster_id, representative, size from k join g using (s)""")
 def exact_sequence_clusters(spark, sf_dir):
     """A24, C1."""
@@ -54,7 +55,7 @@ def exact_sequence_clusters(spark, sf_dir):
     return C.exact_clusters(docs, "doc_id", S.sequence_key(F.col("text")), "prot_").select("doc_id", "cluster_id", "representative", "size")
 
 
-@query("select doc_id, 'op_' || (row_number() over (order by doc_id) - 1) as cluster_id from documents")
+@query("select doc_id, 'op_' || (row_number() over (order by doc_id)) as cluster_id from documents")
 def singleton_clusters(spark, sf_dir):
     """A25."""
     docs = _t(spark, sf_dir, "documents").select("doc_id")
@@ -378,16 +379,19 @@ def case_id_from_path(spark, sf_dir):
 
 
 @query("""
-    select * from (values ('protein chain', 'polypeptide(L)', 'protein'), ('other polymer chain', 'polypeptide(D)', 'protein'),
-        ('DNA chain', 'polydeoxyribonucleotide', 'dna'), ('hybrid', 'polydeoxyribonucleotide/polyribonucleotide hybrid', 'dna'),
-        ('RNA chain', 'polyribonucleotide', 'rna'), ('x', 'peptide nucleic acid', 'other_nucleic_acid'), ('x', '', 'other_polymer'))
-    t(chain_type, polymer_type, polymer_class)""")
+    with c as (select p_partkey, case p_partkey % 8 when 0 then 'other protein chain' when 1 then 'DNA chain' when 2 then 'RNA chain' when 3 then 'other nucleic acid chain'
+                                      when 4 then 'other polymer chain' when 5 then 'metal ion' when 6 then 'TCR chain' else 'other polymer chain' end as k,
+                      case p_size % 5 when 0 then 'polyDeoxyribonucleotide' when 1 then 'polyribonucleotide' when 2 then 'polypeptide(D)' when 3 then null else 'other' end as t from part)
+    select p_partkey, case when k in ('other protein chain', 'TCR chain') then 'protein' when k = 'DNA chain' then 'dna' when k = 'RNA chain' then 'rna' when k = 'metal ion' then null
+                           when t ilike '%deoxyribo%' then 'dna' when t ilike '%ribo%' then 'rna' when k = 'other nucleic acid chain' then 'other_nucleic_acid'
+                           when t ilike '%peptide%' then 'protein' else 'other_polymer' end as polymer_class from c""")
 def polymer_class_map(spark, sf_dir):
-    """X13."""
-    rows = [("protein chain", "polypeptide(L)"), ("other polymer chain", "polypeptide(D)"), ("DNA chain", "polydeoxyribonucleotide"),
-            ("hybrid", "polydeoxyribonucleotide/polyribonucleotide hybrid"), ("RNA chain", "polyribonucleotide"), ("x", "peptide nucleic acid"), ("x", "")]
-    df = spark.createDataFrame(rows, "chain_type string, polymer_type string")
-    return df.withColumn("polymer_class", S.polymer_class(F.col("chain_type"), F.col("polymer_type")))
+    """Classes of chains by type, then polymer type; null for what is no polymer."""
+    pick = lambda key, values: F.element_at(F.array(*[F.lit(v) for v in values]), (key % len(values)).cast("int") + 1)
+    kinds = ("other protein chain", "DNA chain", "RNA chain", "other nucleic acid chain", "other polymer chain", "metal ion", "TCR chain", "other polymer chain")
+    kind = pick(F.col("p_partkey"), kinds)
+    text = pick(F.col("p_size"), ("polyDeoxyribonucleotide", "polyribonucleotide", "polypeptide(D)", None, "other"))
+    return _t(spark, sf_dir, "part").select("p_partkey", S.polymer_class(kind, text).alias("polymer_class"))
 
 
 # Signatures
@@ -396,7 +400,7 @@ def polymer_class_map(spark, sf_dir):
 @query("""
     with i as (select l_orderkey, string_agg(p_type, '|' order by p_type) as sig from
                  (select distinct l_orderkey, p_type from lineitem join part on p_partkey = l_partkey) group by l_orderkey),
-    g as (select sig, count(*) as size, row_number() over (order by count(*) desc, sig) - 1 as n from i group by sig)
+    g as (select sig, count(*) as size, row_number() over (order by count(*) desc, sig) as n from i group by sig)
     select l_orderkey, 'mulsig_' || n as signature_cluster_id, size from i join g using (sig)""")
 def signature_groups(spark, sf_dir):
     """X31, W19, A24, S60."""
@@ -407,11 +411,19 @@ def signature_groups(spark, sf_dir):
     return out.select("l_orderkey", F.col("cluster_id").alias("signature_cluster_id"), "size")
 
 
-@query("select conv_id, string_agg(role, '-' order by turn) as key, count(*) as n from conversations group by conv_id")
+@query("""
+    with t as (select *, row_number() over (partition by conv_id order by turn, role, text) - 1 as i, turn % 3 > 0 as named from conversations)
+    select conv_id, count(*) as n,
+           coalesce(string_agg(upper(role) || case when turn % 2 = 0 then ':' || role else '' end, '|' order by turn, i) filter (named),
+                    'fallback|polymer_type=' || 'p' || (conv_id % 5) || '|description=' || 'd ' || (conv_id % 3) || '|sequence=' || 'AB' || (conv_id % 7)) as key
+    from t group by conv_id""")
 def component_key(spark, sf_dir):
-    """Names in order of position."""
-    rows = _t(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.collect_list(F.struct("turn", F.col("role").alias("name"))).alias("names"), F.count("*").alias("n"))
-    return rows.select("conv_id", S.component_key(F.col("names")).alias("key"), "n")
+    """Components with their types in order of position, or the texts that stand for a polymer without any."""
+    detail = F.struct(F.col("turn").cast("int").alias("label_seq_id"), F.when(F.col("turn") % 3 > 0, F.col("role")).otherwise("?").alias("monomer_id"), F.when(F.col("turn") % 2 == 0, F.col("role")).alias("chem_comp_type"))
+    rows = _t(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", detail.alias("d")))).alias("t"), F.count("*").alias("n"))
+    number = lambda text, k: F.concat(F.lit(text), (F.col("conv_id") % k).cast("string"))
+    key = S.component_key(F.transform("t", lambda x: x["d"]), number(" p", 5), number("d  ", 3), number("a b", 7))
+    return rows.select("conv_id", key.alias("key"), "n")
 
 
 @query("""
@@ -530,11 +542,11 @@ def greedy_matching(spark, sf_dir):
 def leader_clusters(spark, sf_dir):
     """Structures of a bucket join the first leader near enough; checked against brute force in the tests."""
     rows = _t(spark, sf_dir, "embeddings").select("label", "vec_id", "embedding")
-    return C.leader_clusters(rows, "label", "vec_id", ["vec_id"], ["embedding"], _near)
+    return C.leader_clusters(rows, "label", "vec_id", ["vec_id"], "embedding", _near)
 
 
-def _near(a, b, least: float = 0.2) -> bool:
-    return float(sum(x * y for x, y in zip(a[0], b[0], strict=True))) >= least
+def _near(leaders, members, least: float = 0.2) -> np.ndarray:
+    return np.array(members, float) @ np.array(leaders, float).T >= least
 
 
 _HALVES = "list_min(embedding[1:32])::double as lo1, list_max(embedding[1:32])::double as hi1, list_min(embedding[33:64])::double as lo2, list_max(embedding[33:64])::double as hi2"

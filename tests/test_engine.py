@@ -199,12 +199,29 @@ def test_greedy_matching(spark):
 
 
 def test_leaders(spark):
+    """Rounds give what one pass in order gives, whatever the size of a round."""
     from helixframe.operators.clustering import leader_clusters
 
     near = {("a", "b"), ("b", "c"), ("c", "d")}
-    df = spark.createDataFrame([(1, x) for x in "abcd"], "bucket int, name string")
-    out = leader_clusters(df, "bucket", "name", ["name"], ["name"], lambda x, y: (x[0], y[0]) in near, kind="string")
+    df = spark.createDataFrame([(1, x) for x in "abcd"], "bucket int, name string").withColumn("load", F.col("name"))
+    accept = lambda one, many: np.array([[(x, y) in near for x in one] for y in many], bool).reshape(len(many), len(one))
+    out = leader_clusters(df, "bucket", "name", ["name"], "load", accept, kind="string")
     assert sorted((r.leader, r.name) for r in out.collect()) == [("a", "a"), ("a", "b"), ("c", "c"), ("c", "d")]
+    rng = np.random.default_rng(3)
+    points = [(int(b), i, rng.normal(size=2).tolist()) for i, b in enumerate(rng.integers(0, 3, 120))]
+    close = lambda one, many: np.array([[np.hypot(*np.subtract(x, y)) < 0.7 for x in one] for y in many], bool).reshape(len(many), len(one))
+    want = set()
+    for bucket in range(3):
+        led = []
+        for _, i, p in (r for r in points if r[0] == bucket):
+            k = next((j for j, q in led if np.hypot(*np.subtract(p, q)) < 0.7), None)
+            if k is None:
+                led.append((i, p))
+            want.add((bucket, i if k is None else k, i))
+    df = spark.createDataFrame(points, "bucket int, id long, p array<double>")
+    for size in (7, 512):
+        got = leader_clusters(df, "bucket", "id", ["id"], "p", close, lead_rows=size)
+        assert {tuple(r) for r in got.collect()} == want
 
 
 def test_missing_lookup_fails(spark):
