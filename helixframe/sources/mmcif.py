@@ -7,6 +7,7 @@ in Arrow batches; everything after that is DataFrame plans over items.
 from __future__ import annotations
 
 import gzip
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -15,9 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as _Window
 from pyspark.sql import functions as F
 
-from helixframe.functions.scalars import null_text, number_or_null, operations
+from helixframe.functions.scalars import is_hydrogen, null_text, number_or_null, operations
 
 ITEMS = "path string, block string, category string, row_idx int, column string, value string"
+#: Items of a file in one frame.
+FRAME_ROWS = 50_000
 _TOKEN = re.compile(r"""'((?:[^'\n]|'(?=\S))*)'(?=\s|$)|"((?:[^"\n]|"(?=\S))*)"(?=\s|$)|(\#[^\n]*)|([^\s'"#][^\s]*)""", re.M)
 
 
@@ -84,7 +87,9 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for path, raw in zip(pdf["path"], pdf["content"], strict=True):
             raw = bytes(raw)
             text = (gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw).decode("utf-8", "replace")
-            yield pd.DataFrame([(path, *x) for x in items(text)], columns=["path", "block", "category", "row_idx", "column", "value"])
+            found = ((path, *x) for x in items(text))
+            while rows := list(itertools.islice(found, FRAME_ROWS)):
+                yield pd.DataFrame(rows, columns=["path", "block", "category", "row_idx", "column", "value"])
 
 
 def scan(spark: SparkSession, path: str, pattern: str = "*.cif*") -> DataFrame:
@@ -93,6 +98,23 @@ def scan(spark: SparkSession, path: str, pattern: str = "*.cif*") -> DataFrame:
     return files.select("path", "content").mapInPandas(_read, ITEMS)
 
 
+def stored(found: DataFrame, target: str) -> DataFrame:
+    """Items written once, a folder for each category: each category that is read later reads its own only."""
+    found.write.mode("overwrite").partitionBy("category").parquet(target)
+    return found.sparkSession.read.parquet(target)
+
+
+def categories(found: DataFrame, wanted: dict[str, list[str]]) -> dict[str, DataFrame]:
+    """Tables of the named categories and columns."""
+    return {name: category(found, name, columns) for name, columns in wanted.items()}
+
+
+def column_values(found: DataFrame, name: str, column: str) -> DataFrame:
+    """The values of one column of a category in order, as written."""
+    rows = found.where((F.col("category") == name) & (F.col("column") == column))
+    return rows.groupBy("path").agg(F.transform(F.array_sort(F.collect_list(F.struct("row_idx", "value"))), lambda x: x["value"]).alias("values"))
+
+
 def category(found: DataFrame, name: str, columns: list[str]) -> DataFrame:
     """S3: a category's rows; blank, '.' and '?' are null. Columns are named, so one pass over the items does."""
     rows = found.where((F.col("category") == name) & F.col("column").isin(columns))
@@ -127,7 +149,7 @@ def atoms(found: DataFrame, model: int = 1, drop_hydrogens: bool = True) -> Data
     )
     keep = rows.where("x is not null and y is not null and z is not null")
     if drop_hydrogens:
-        keep = keep.where(~F.coalesce(F.col("element").isin("H", "D", "T"), F.lit(False)))
+        keep = keep.where(~is_hydrogen(F.col("element"), F.col("atom_name")))
     residue = ["path", "chain_id", "res_id", "ins_code", "res_name"]
     alts = keep.where("alt is not null").groupBy(*residue, "alt").agg(F.sum("occupancy").alias("o"))
     best = alts.groupBy(*residue).agg(F.max_by("alt", F.struct(F.col("o"), -F.ascii("alt"))).alias("picked"))
@@ -137,25 +159,30 @@ def atoms(found: DataFrame, model: int = 1, drop_hydrogens: bool = True) -> Data
     return joined.where("alt is null or alt = picked").drop("alt", "picked", "occupancy")
 
 
-def assembly_atoms(found: DataFrame, assembly_id: str, model: int = 1) -> DataFrame:
-    """Atoms of an assembly: each generator's operations applied to its chains, as columns."""
-    gen = category(found, "pdbx_struct_assembly_gen", ["assembly_id", "asym_id_list", "oper_expression"]).where(F.col("assembly_id") == assembly_id)
+def _product(a, b):
+    """Two moves (nine numbers of a matrix by rows, three of a shift) as one: the second first."""
+    turn = [sum((a[3 * i + k] * b[3 * k + j] for k in range(3)), F.lit(0.0)) for i in range(3) for j in range(3)]
+    shift = [sum((a[3 * i + k] * b[9 + k] for k in range(3)), F.lit(0.0)) + a[9 + i] for i in range(3)]
+    return F.array(*turn, *shift)
+
+
+def assembly_atoms(found: DataFrame, assembly_id: str | None, model: int = 1) -> DataFrame:
+    """Atoms of an assembly, or of all: each generator's operations applied to its chains, as columns."""
+    gen = category(found, "pdbx_struct_assembly_gen", ["assembly_id", "asym_id_list", "oper_expression"])
+    gen = gen.where("assembly_id is not null" if assembly_id is None else F.col("assembly_id") == assembly_id)
     steps = gen.select(
-        "path", "row_idx", F.explode(F.transform(F.split("asym_id_list", ","), lambda x: F.trim(x))).alias("chain_id"), operations(F.col("oper_expression")).alias("ops")
-    ).select("path", "row_idx", "chain_id", F.posexplode("ops").alias("place", "op"))
+        "path", "assembly_id", "row_idx", F.explode(F.transform(F.split("asym_id_list", ","), lambda x: F.trim(x))).alias("chain_id"), operations(F.col("oper_expression")).alias("ops")
+    ).select("path", "assembly_id", "row_idx", "chain_id", F.posexplode("ops").alias("place", "op"))
     names = [f"matrix[{i}][{j}]" for i in (1, 2, 3) for j in (1, 2, 3)] + [f"vector[{i}]" for i in (1, 2, 3)]
-    oper = category(found, "pdbx_struct_oper_list", ["id", *names])
-    oper = oper.select("path", "id", *[number_or_null(F.col(f"`{n}`")).alias(f"m{k}") for k, n in enumerate(names)])
-    single = steps.where(~F.col("op").contains("x")).join(oper.withColumnRenamed("id", "op"), ["path", "op"])
-    # A product of two operations is applied right to left.
-    pair = steps.where(F.col("op").contains("x")).withColumn("left", F.split("op", "x")[0]).withColumn("right", F.split("op", "x")[1])
-    a = oper.select("path", F.col("id").alias("left"), *[F.col(f"m{k}").alias(f"a{k}") for k in range(12)])
-    b = oper.select("path", F.col("id").alias("right"), *[F.col(f"m{k}").alias(f"b{k}") for k in range(12)])
-    product = [sum((F.col(f"a{3 * i + k}") * F.col(f"b{3 * k + j}") for k in range(3)), F.lit(0.0)).alias(f"m{3 * i + j}") for i in range(3) for j in range(3)]
-    product += [(sum((F.col(f"a{3 * i + k}") * F.col(f"b{9 + k}") for k in range(3)), F.lit(0.0)) + F.col(f"a{9 + i}")).alias(f"m{9 + i}") for i in range(3)]
-    double = pair.join(a, ["path", "left"]).join(b, ["path", "right"]).select("path", "op", "row_idx", "chain_id", "place", *product)
-    moves = single.select("path", "op", "row_idx", "chain_id", "place", *[f"m{k}" for k in range(12)]).unionByName(double)
-    copies = moves.withColumn("sym_id", F.dense_rank().over(_Window.partitionBy("path", "chain_id").orderBy("row_idx", "place")) - 1)
+    oper = category(found, "pdbx_struct_oper_list", ["id", *names]).where("id is not null")
+    move = F.array(*[number_or_null(F.col(f"`{n}`")) for n in names])
+    known = oper.groupBy("path").agg(F.map_from_entries(F.collect_list(F.struct("id", move.alias("m")))).alias("known"))
+    # A product of operations is applied right to left, however many factors it has.
+    factors = F.transform(F.split("op", "x"), lambda x: F.try_element_at("known", x))
+    whole = F.aggregate(factors, F.array(*[F.lit(float(i == j)) for i in range(3) for j in range(3)], *[F.lit(0.0)] * 3), _product)
+    moves = steps.join(known, "path").withColumn("m", whole).where("m is not null and not exists(m, x -> x is null)")
+    moves = moves.select("path", "assembly_id", "op", "row_idx", "chain_id", "place", *[F.col("m")[k].alias(f"m{k}") for k in range(12)])
+    copies = moves.withColumn("sym_id", F.dense_rank().over(_Window.partitionBy("path", "assembly_id", "chain_id").orderBy("row_idx", "place")) - 1)
     placed = atoms(found, model).join(copies.drop("row_idx", "place"), ["path", "chain_id"])
     moved = [(F.col(f"m{3 * i}") * F.col("x") + F.col(f"m{3 * i + 1}") * F.col("y") + F.col(f"m{3 * i + 2}") * F.col("z") + F.col(f"m{9 + i}")).cast("float").alias(c) for i, c in enumerate("xyz")]
     kept = [c for c in placed.columns if c not in ("x", "y", "z") and not re.fullmatch(r"m\d+", c)]
