@@ -15,6 +15,9 @@ from helixframe.llm import language_id, near_join, packing, quality, suffix_dedu
 from helixframe.llm._shared import shared_folder
 from helixframe.llm.queries import WORD_TOKENIZER
 
+#: Repeated strings of so many bytes (about fifty words) go.
+PASSAGE_BYTES = suffix_dedup.PASSAGE
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling selects; the labels of ``sf_dir`` name the target."""
@@ -33,10 +36,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without their repeated byte strings; documents of which only white space stays go."""
-    cut = suffix_dedup.remove_repeats(docs)
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    # Further columns travel in one of their own, so that their names clash with none of the operator's.
+    row = F.struct(*[F.col(f"`{c}`") for c in others]).alias("row")
+    cut = suffix_dedup.remove_repeats(docs.select("doc_id", "text", row), PASSAGE_BYTES)
     kept = cut.where((F.col("n_removed") == 0) | (F.trim("kept_text") != ""))
     columns = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
-    return kept.select(*[columns[c].alias(c) if c in columns else f"`{c}`" for c in docs.columns])
+    return kept.select(*[columns[c].alias(c) if c in columns else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
