@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixframe.llm._shared import materialize
+from helixframe.llm._shared import likely, materialize
 
 BLOCK = "key long, ids binary, vectors binary"
 
@@ -63,10 +63,10 @@ def blocks(rows: DataFrame, key: str, width: int, dtype: str) -> DataFrame:
     return rows.select(F.col(key).cast("long").alias("key"), "id", "v").groupBy("key").applyInArrow(packed, BLOCK)
 
 
-def merge_best(found: DataFrame, k: int, parts: int, score: str) -> DataFrame:
-    """The k best rows of each query by score, then smaller id; in two rounds over groups of tiles."""
-    near = Window.partitionBy("query_id", "part").orderBy(F.desc(score), "vec_id")
-    last = Window.partitionBy("query_id").orderBy(F.desc(score), "vec_id")
+def merge_best(found: DataFrame, k: int, parts: int, score: str, *also: str) -> DataFrame:
+    """The k best rows of each query by score, then smaller id (and further columns); in two rounds over groups of tiles."""
+    near = Window.partitionBy("query_id", "part").orderBy(F.desc(score), "vec_id", *also)
+    last = Window.partitionBy("query_id").orderBy(F.desc(score), "vec_id", *also)
     split = max(1, math.isqrt(parts))
     return (
         found.withColumn("part", F.pmod("tile", F.lit(split)))
@@ -74,7 +74,7 @@ def merge_best(found: DataFrame, k: int, parts: int, score: str) -> DataFrame:
         .where(F.col("r") <= k)
         .withColumn("rank", F.row_number().over(last))
         .where(F.col("rank") <= k)
-        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score)
+        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score, *also)
     )
 
 
@@ -217,6 +217,28 @@ class IvfPq:
         ]
 
 
+CODED = "key long, rows binary, ids binary, lists binary, codes binary"
+ASKED = "key long, part long, q_ids binary, vectors binary, visits array<binary>"
+#: The best rows of a group of queries so far: how many of each, their rows, ids and distances.
+SHORT = "part long, tile long, q_ids binary, counts binary, rows binary, ids binary, far binary"
+
+
+def _rows(rows: list[dict]) -> pa.RecordBatch:
+    kinds = [("part", pa.int64()), ("tile", pa.int64()), *[(c, pa.binary()) for c in ("q_ids", "counts", "rows", "ids", "far")]]
+    return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in kinds], names=[c for c, _ in kinds])
+
+
+def _shorten(parts: list[dict], k: int) -> dict:
+    """Of several rows of ``SHORT`` the k nearest of each query, then smaller ids."""
+    of = lambda name, kind: np.concatenate([np.frombuffer(p[name], kind) for p in parts])
+    q = np.concatenate([np.repeat(np.frombuffer(p["q_ids"], np.int64), np.frombuffer(p["counts"], np.int64)) for p in parts])
+    rows, ids, far = of("rows", np.int64), of("ids", np.int64), of("far", "f8")
+    order = np.lexsort((rows, ids, far, q))
+    who, first, size = np.unique(q[order], return_index=True, return_counts=True)
+    order = order[np.arange(len(order)) - np.repeat(first, size) < k]
+    return {"q_ids": who.tobytes(), "counts": np.minimum(size, k).tobytes(), "rows": rows[order].tobytes(), "ids": ids[order].tobytes(), "far": far[order].tobytes()}
+
+
 def nearest(
     rows: DataFrame,
     id_col: str = "vec_id",
@@ -228,23 +250,26 @@ def nearest(
     probes: int | None = None,
     parts: int = 16,
     rerank: int = 256,
-    block_rows: int = 4096,
+    block_rows: int = 16384,
+    query_rows: int = 512,
 ) -> DataFrame:
     """The k nearest rows by cosine of each query (ids divisible by ``every``) in an inverted file.
 
     The index is fitted on at most ``sample_rows`` rows (those of smallest id
-    hash); every row is indexed. Each query visits its ``probes`` nearest
-    lists; in every block of such a list, the ``rerank`` rows of smallest
-    asymmetric distance are scored exactly on the original vectors in double
-    precision. A list that holds many rows is many blocks.
+    hash); every row is indexed, as its list and a byte for each of ``parts``
+    subspaces. Each query visits its ``probes`` nearest lists, whose codes alone
+    are scanned; the ``rerank`` rows of smallest asymmetric distance over all of
+    them are scored exactly on their original vectors, in double precision. A
+    list that holds many rows is many blocks.
     """
     v = usable(rows, id_col, vec_col, nonzero=True)
     width = width_of(v)
     v = v.where(F.size("v") == width)
+    # A key for each row, as ids may repeat; written, so that it stays.
+    v = materialize(v.withColumn("row", F.monotonically_increasing_id()))
     n = v.count()
-    empty = v.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not n:
-        return empty
+        return v.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = v.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("v").toPandas()["v"]
     lists = lists or int(min(4096, max(1, round(n**0.5 / 2))))
     probes = min(lists, probes or max(8, -(-7 * lists // 10)))
@@ -252,68 +277,130 @@ def nearest(
     lists = len(model.coarse)
     shared = v.sparkSession.sparkContext.broadcast(model)  # at most 4096 + 256 rows of one vector's width
 
-    def assign(how_many):
-        def run(batches):
-            m = shared.value
-            for batch in batches:
-                x = _matrix(batch.column("v"), width)
-                near = m.near(x / np.linalg.norm(x, axis=1, keepdims=True), how_many)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), batch.column("v"), pa.array(list(near.astype(np.int64)), pa.list_(pa.int64()))],
-                    names=["id", "v", "lists"],
-                )
-
-        return run
-
-    kept = "id long, v array<double>, lists array<long>"
-    base = materialize(v.mapInArrow(assign(1), kept).select("id", "v", F.col("lists")[0].alias("list")))
-    sizes = base.groupBy("list").agg(F.ceil(F.count("*") / block_rows).alias("salts"))
-    sizes = {r["list"]: int(r["salts"]) for r in sizes.collect()}  # a number for each of at most 4096 lists
-    first, total = {}, 0
-    for i in range(lists):
-        first[i] = total
-        total += sizes.get(i, 0)
-    table = v.sparkSession.createDataFrame(
-        [(i, first[i], sizes[i]) for i in sizes], "list long, first long, salts long"
-    )
-    deal = base.join(F.broadcast(table), "list").withColumn("key", F.col("first") + F.pmod(F.xxhash64("id"), "salts"))
-    index = blocks(deal, "key", width, "f8")
-    queries = v.where(F.col("id") % every == 0).mapInArrow(assign(probes), kept)
-    queries = queries.select("id", "v", F.explode("lists").alias("list")).join(F.broadcast(table), "list")
-    queries = queries.select("id", "v", "list", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("salts") - 1)).alias("key"))
-    # One row for each query and block would repeat the block; queries are packed as well, in bounded groups.
-    group = F.pmod(F.xxhash64("id"), F.lit(max(1, n // every // 1024)))
-    queries = queries.withColumn("pair", F.col("key") * 65536 + group)
-    asked = blocks(queries, "pair", width, "f8").select(
-        F.floor(F.col("key") / 65536).alias("key"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors")
-    )
-    start = np.array([first[i] for i in range(lists)], np.int64)
+    def encode(batches):
+        m = shared.value
+        for batch in batches:
+            x = _matrix(batch.column("v"), width)
+            x = x / np.linalg.norm(x, axis=1, keepdims=True)
+            own = m.near(x, 1)[:, 0]
+            codes = m.encode(x - m.coarse[own])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("id"), pa.array(own.astype(np.int64)), pa.array([c.tobytes() for c in codes], pa.binary())],
+                names=["row", "id", "list", "codes"],
+            )
+
+    index = materialize(v.mapInArrow(encode, "row long, id long, list long, codes binary"))
+    sizes = {r["list"]: r["n"] for r in index.groupBy("list").agg(F.count("*").alias("n")).collect()}  # a number for each of at most 4096 lists
+    ends = np.cumsum([sizes.get(i, 0) for i in range(lists)])
+    # Lists follow one another in blocks of about ``block_rows`` rows; a list over several deals its rows to them.
+    first = np.concatenate([[0], ends[:-1]]) // block_rows
+    last = np.maximum(first, (ends - 1) // block_rows)
+    total = int(last.max()) + 1
+    table = v.sparkSession.createDataFrame([(i, int(first[i]), int(last[i] - first[i] + 1)) for i in sizes], "list long, first long, salts long")
+
+    def packed(batch: pa.Table) -> pa.Table:
+        ids, rows, own = (batch.column(c).to_numpy() for c in ("id", "row", "list"))
+        order = np.lexsort((rows, ids, own))
+        codes = batch.column("codes").to_pylist()
+        return pa.table({
+            "key": batch.column("key")[:1], "rows": [rows[order].tobytes()], "ids": [ids[order].tobytes()],
+            "lists": [own[order].tobytes()], "codes": [b"".join(codes[i] for i in order.tolist())],
+        })
+
+    coded = index.join(F.broadcast(table), "list").withColumn("key", F.col("first") + F.pmod(F.xxhash64("row"), "salts"))
+    coded = coded.select("key", "row", "id", "list", "codes").groupBy("key").applyInArrow(packed, CODED)
+
+    def visits(batches):
+        m = shared.value
+        for batch in batches:
+            x = _matrix(batch.column("v"), width)
+            near = m.near(x / np.linalg.norm(x, axis=1, keepdims=True), probes)
+            at, keys, chosen = [], [], []
+            for i, found in enumerate(near.tolist()):
+                blocks: dict[int, list[int]] = {}
+                for one in found:
+                    for key in range(first[one], last[one] + 1) if one in sizes else ():
+                        blocks.setdefault(key, []).append(one)
+                at += [i] * len(blocks)
+                keys += blocks
+                chosen += [np.array(sorted(x), np.int64).tobytes() for x in blocks.values()]
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), batch.column("part").take(at), batch.column("id").take(at), batch.column("v").take(at), pa.array(chosen, pa.binary())],
+                names=["key", "part", "id", "v", "visits"],
+            )
+
+    def asked(batch: pa.Table) -> pa.Table:
+        ids = batch.column("id").to_numpy()
+        return pa.table({
+            "key": batch.column("key")[:1], "part": batch.column("part")[:1], "q_ids": [ids.tobytes()], "vectors": [_matrix(batch.column("v"), width).tobytes()],
+            "visits": pa.array([batch.column("visits").to_pylist()], pa.list_(pa.binary())),
+        })
+
+    queries = v.where(F.col("id") % every == 0)
+    # Queries of a block come in groups, so that the block is not repeated for each.
+    part = F.pmod(F.xxhash64("id"), F.lit(max(1, n // every // query_rows))).alias("part")
+    each = queries.select(part, "id", "v").mapInArrow(visits, "key long, part long, id long, v array<double>, visits binary")
+    each = each.groupBy("key", "part").applyInArrow(asked, ASKED)
 
     def search(batches):
         m = shared.value
         for batch in batches:
             for row in batch.to_pylist():
-                ids, q_ids = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["q_ids"], np.int64)
-                x = np.frombuffer(row["vectors"], "f8").reshape(len(ids), width)
-                y = np.frombuffer(row["q_vectors"], "f8").reshape(len(q_ids), width)
-                centre = m.coarse[np.searchsorted(start, row["key"], side="right") - 1]
-                unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-                codes = m.encode(unit - centre)
-                far = np.zeros((len(y), len(x)))
-                for part, t in enumerate(m.tables(y / np.linalg.norm(y, axis=1, keepdims=True) - centre)):
-                    far += t[:, codes[:, part]]
-                far[q_ids[:, None] == ids] = np.inf
-                short = best_of_tile(-far, ids, rerank)
-                short = np.sort(short, axis=1)
-                near = x[short]
-                score = np.einsum("qd,qrd->qr", y, near) / (
-                    np.linalg.norm(y, axis=1)[:, None] * np.linalg.norm(near, axis=2)
-                )
-                who = ids[short]
-                score[who == q_ids[:, None]] = -np.inf
-                top = np.argsort(-score, axis=1, kind="stable")[:, :k]
-                score, who = np.take_along_axis(score, top, 1), np.take_along_axis(who, top, 1)
-                yield _found(row["key"], q_ids, who, score, who != q_ids[:, None], pa.float64())
-
-    found = index.join(asked, "key").mapInArrow(search, "tile long, query_id long, vec_id long, score double")
-    return merge_best(found, k, total, "score")
+                ids, rows, own, q_ids = (np.frombuffer(row[c], np.int64) for c in ("ids", "rows", "lists", "q_ids"))
+                codes = np.frombuffer(row["codes"], np.uint8).reshape(len(ids), -1)
+                y = np.frombuffer(row["vectors"], "f8").reshape(len(q_ids), width)
+                y = y / np.linalg.norm(y, axis=1, keepdims=True)
+                starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+                stops = np.append(starts[1:], len(own))
+                place = {int(own[a]): (a, z) for a, z in zip(starts.tolist(), stops.tolist(), strict=True)}
+                kept = []
+                for lo in range(0, len(y), 64):
+                    mine, far = q_ids[lo : lo + 64], np.full((len(y[lo : lo + 64]), len(ids)), np.inf)
+                    seen: dict[int, list[int]] = {}
+                    for i, raw in enumerate(row["visits"][lo : lo + 64]):
+                        for one in np.frombuffer(raw, np.int64).tolist():
+                            seen.setdefault(one, []).append(i)
+                    for one, who in seen.items():
+                        if one in place:
+                            a, z = place[one]
+                            part = np.zeros((len(who), z - a))
+                            for k, t in enumerate(m.tables(y[lo : lo + 64][who] - m.coarse[one])):
+                                part += t[:, codes[a:z, k]]
+                            far[who, a:z] = part
+                    far[mine[:, None] == ids] = np.inf
+                    short = np.argpartition(far, rerank - 1, axis=1)[:, :rerank] if far.shape[1] > rerank else np.broadcast_to(np.arange(far.shape[1]), far.shape)
+                    # Rows as near as the last one may have smaller ids.
+                    edge = np.take_along_axis(far, short, 1).max(axis=1, initial=-np.inf)
+                    q, r = np.nonzero((far <= edge[:, None]) & np.isfinite(far))
+                    raw = {"q_ids": mine.tobytes(), "counts": np.bincount(q, minlength=len(mine)).astype(np.int64).tobytes(), "rows": rows[r].tobytes(), "ids": ids[r].tobytes(), "far": far[q, r].tobytes()}
+                    kept.append(_shorten([raw], rerank))
+                yield _rows([{"part": row["part"], "tile": row["key"]} | _shorten(kept, rerank)])
+
+    def merge(batch: pa.Table) -> pa.Table:
+        parts = sorted(batch.to_pylist(), key=lambda r: r["tile"])
+        return pa.Table.from_batches([_rows([{"part": parts[0]["part"], "tile": parts[0]["tile"]} | _shorten(parts, rerank)])])
+
+    def told(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                q = np.repeat(np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["counts"], np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(np.frombuffer(row["rows"], np.int64))], names=["query_id", "row"])
+
+    found = coded.join(each, "key").mapInArrow(search, SHORT)
+    # Over all blocks of a query the best by code, merged in two rounds; then their vectors.
+    split = max(1, math.isqrt(total))
+    found = found.withColumn("tile", F.pmod("tile", F.lit(split))).groupBy("part", "tile").applyInArrow(merge, SHORT)
+    found = found.groupBy("part").applyInArrow(merge, SHORT)
+    short = materialize(found.mapInArrow(told, "query_id long, row long"))
+    vectors = likely(v, "row", short.select("row"))
+    exact = short.join(vectors, "row").join(queries.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id")
+
+    def cosines(batches):
+        for batch in batches:
+            x, y = _matrix(batch.column("v"), width), _matrix(batch.column("q"), width)
+            score = np.einsum("ij,ij->i", x, y) / (np.linalg.norm(x, axis=1) * np.linalg.norm(y, axis=1))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("query_id"), batch.column("id"), pa.array(score)], names=["tile", "query_id", "vec_id", "score"])
+
+    scored = exact.select("query_id", "row", "id", "v", "q").mapInArrow(cosines, "tile long, query_id long, vec_id long, score double")
+    return merge_best(scored, k, 1, "score")
