@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helixframe.llm._shared import fields, trim, without
 from helixframe.llm._text import spread, text_slices
 
 HIDDEN = 8
@@ -224,6 +225,7 @@ def _predict(shared):
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns, pa.array(names, pa.string()), pa.array(score)], names=[*rows.schema.names, "lang_pred", "score"]
                 )
+        trim()
 
     return run
 
@@ -242,11 +244,11 @@ def _letters(data: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def predict(docs: DataFrame, model: ByteTagger | None) -> DataFrame:
-    """``docs`` without its text, with ``lang_pred`` and ``score``."""
+    """``docs`` without its text, with ``lang_pred`` and ``score``, which take the place of columns so named."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    others = [f for f in docs.schema if f.name != "text"]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in others), "lang_pred string, score double"])
-    return docs.mapInArrow(_predict(shared), schema)
+    kept = without(docs.columns, "lang_pred", "score")
+    schema = [*fields(docs.schema, without(kept, "text")), "lang_pred string", "score double"]
+    return docs.select(*[f"`{c}`" for c in kept]).mapInArrow(_predict(shared), ", ".join(schema))
 
 
 def keep_known(docs: DataFrame, model: ByteTagger | None, least: float = 0.35) -> DataFrame:
@@ -261,5 +263,6 @@ def keep_known(docs: DataFrame, model: ByteTagger | None, least: float = 0.35) -
                 names, score = _label(shared.value, data, off)
                 keep = [n != UNKNOWN and s >= least for n, s in zip(names, score, strict=True)]
                 yield batch.slice(lo, hi - lo).filter(pa.array(keep, pa.bool_()))
+        trim()
 
     return docs.mapInArrow(run, docs.schema)

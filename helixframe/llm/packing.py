@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixframe.llm._shared import materialize
+from helixframe.llm._shared import materialize, trim
 from helixframe.llm._text import NOT_SPACE, spread, text_slices, word_bounds, word_hashes
 
 MAX_LEN = 4096
@@ -140,7 +140,7 @@ def _pieces(tokenizer_path: str, end_id: int, max_len: int):
         tok = tokenizer(tokenizer_path)
         for batch in batches:
             docs = batch.column("doc_id")
-            for lo, hi, data, off in text_slices(batch.column("text"), 4 << 20):
+            for lo, hi, data, off in text_slices(batch.column("text"), 2 << 20):
                 ids, at = tok.batch(data, off)
                 n = np.diff(at) + 1
                 full = np.insert(ids, at[1:], end_id).astype("<u4")
@@ -155,6 +155,7 @@ def _pieces(tokenizer_path: str, end_id: int, max_len: int):
                     [docs.slice(lo, hi - lo).take(pa.array(row)), *map(pa.array, (start, length, np.array(crc, np.int64), n[row]))],
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
                 )
+        trim()
 
     return run
 

@@ -14,8 +14,9 @@ sample of labelled documents (``SAMPLE`` of smallest id hash).
 Edge cases: null and empty texts, and such short ones that they have no
 n-grams, have log weight 0; rows with null ids draw the noise of a null id;
 repeated rows get equal results (rows that tie with the k-th key are all
-selected); without labels of both kinds, all are selected; an empty table
-gives an empty result.
+selected); without labels of both kinds, all are selected; a text of any length
+is a slice of its own; an empty table gives an empty result; ``select`` reads no
+further columns, ``keep_selected`` hands them through, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm._shared import count_blocks, materialize, sum_counts
+from helixframe.llm._shared import count_blocks, fields, free_names, materialize, sum_counts, trim
 from helixframe.llm._text import LOWER, NOT_SPACE, mix, text_slices, word_bounds, word_hashes
 
 BYTE_BITS, SHAPE_BITS = 15, 13
@@ -78,6 +79,7 @@ def _count(batches):
                 raw += np.bincount(f, minlength=SIZE)
                 target += np.bincount(f[good[lo:hi][doc]], minlength=SIZE)
     yield count_blocks(np.concatenate([raw, target]))
+    trim()
 
 
 class RatioModel:
@@ -100,14 +102,15 @@ class RatioModel:
         return out
 
 
-def _weigh(shared):
+def _weigh(shared, name: str):
     def run(batches):
         for batch in batches:
             for lo, hi, data, off in text_slices(batch.column("text")):
                 rows = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
-                    [*rows.columns, pa.array(shared.value.weights(data, off))], names=[*rows.schema.names, "_log_weight"]
+                    [*rows.columns, pa.array(shared.value.weights(data, off))], names=[*rows.schema.names, name]
                 )
+        trim()
 
     return run
 
@@ -163,19 +166,25 @@ class Selection:
             self.last = kth_largest(self.keys, "_fixed", self.keys.where(F.col("_log_weight") >= self.limit).count())
 
     def weigh(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with their log weights, keys, and keys as integers."""
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+        """``rows`` with their log weights, keys, and keys as integers: columns of the names of ``added``."""
+        weight, key_name, whole = self.added(rows.columns)
         u = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(10)), 11).cast("double") + 0.5) / float(1 << 53)
-        key = F.col("_log_weight") / self.temperature - F.log(-F.log(u))
-        fixed = F.round(F.greatest(F.lit(-1e7), F.least(F.lit(1e7), "_key")) * (1 << 20)).cast("long")
-        weighed = rows.mapInArrow(_weigh(self.model), fields + ", _log_weight double")
-        return weighed.withColumn("_key", key).withColumn("_fixed", fixed)
-
-    def chosen(self):
+        key = F.col(weight) / self.temperature - F.log(-F.log(u))
+        fixed = F.round(F.greatest(F.lit(-1e7), F.least(F.lit(1e7), key_name)) * (1 << 20)).cast("long")
+        schema = [*fields(rows.schema, rows.columns), f"{weight} double"]
+        weighed = rows.mapInArrow(_weigh(self.model, weight), ", ".join(schema))
+        return weighed.withColumn(key_name, key).withColumn(whole, fixed)
+
+    @staticmethod
+    def added(columns) -> list[str]:
+        """Names for the added columns that the rows have not."""
+        return free_names(columns, "_log_weight", "_key", "_fixed")
+
+    def chosen(self, fixed: str = "_fixed"):
         """Whether a weighed row is among the k of largest key; all are where nothing tells good from bad."""
         if self.limit == -math.inf:
             return F.lit(True)
-        return F.lit(False) if self.last is None else F.col("_fixed") >= self.last
+        return F.lit(False) if self.last is None else F.col(fixed) >= self.last
 
 
 def select(docs: DataFrame, labels: DataFrame, **fitting) -> DataFrame:
@@ -188,4 +197,4 @@ def select(docs: DataFrame, labels: DataFrame, **fitting) -> DataFrame:
 def keep_selected(docs: DataFrame, labels: DataFrame, **fitting) -> DataFrame:
     """The selected rows of ``docs``, with their columns."""
     chosen = Selection(docs, labels, **fitting)
-    return chosen.weigh(docs).where(chosen.chosen()).select(*[f"`{c}`" for c in docs.columns])
+    return chosen.weigh(docs).where(chosen.chosen(chosen.added(docs.columns)[2])).select(*[f"`{c}`" for c in docs.columns])

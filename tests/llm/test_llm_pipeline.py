@@ -6,6 +6,7 @@ from test_llm_texts import check_packed, counted, linked, without_repeats
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from helixframe.llm._shared import materialize
 
 
 def test_stages(spark, data):
@@ -38,7 +39,7 @@ def test_run_against_brute_force(spark, data, monkeypatch):
     def watched(stage):
         def step(spark, docs, sf_dir):
             out = stage(spark, docs, sf_dir)
-            steps.append((docs, out.localCheckpoint()))
+            steps.append((docs, materialize(out)))
             return steps[-1][1]
 
         return step
@@ -54,7 +55,7 @@ def test_run_against_brute_force(spark, data, monkeypatch):
     first = {d for d, _, c in linked(texts(2)) if d == c}
     assert counted(rows[2][1]) == counted(r for r in rows[2][0] if r.doc_id in first)
     made = {r.doc_id: r for r in rows[3][1]}
-    for d, size, removed, _, sha in without_repeats(texts(3)):
+    for d, size, removed, _, sha in without_repeats(texts(3), corpus_pipeline.PASSAGE_BYTES):
         if d in made:
             assert hashlib.sha256(made[d].text.encode()).hexdigest() == sha and made[d].n_chars == len(made[d].text)
         else:  # only white space stayed
