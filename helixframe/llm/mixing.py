@@ -1,8 +1,8 @@
 """Language-model scores by online logistic mixing of hashed-context bit predictors.
 
 A text is its UTF-8 bytes and an end symbol. Each bit of a byte is predicted
-from counts of that bit after the same 0 to 5 bytes, or after the same word so
-far (and the bits before it in its byte). A mixer whose
+from counts of that bit after the same 1, 2, 3 or 5 bytes, or after the same
+word so far (and the bits before it in its byte). A mixer whose
 weights are gated by the bit's place and by how much the longer contexts have
 seen combines the predictors' logits; an adaptive probability map refines the
 result. Logarithms of the bits' probabilities add up to the text's.
@@ -15,11 +15,12 @@ driver or is shipped whole. Byte contexts are their own keys; words so far are
 56 bits of hash.
 
 Mixer and map learn from all whole training texts: every batch of documents
-makes an online pass over its texts (whose own occurrence is taken out of the
-counts), a context that occurs more than once counting as often; weights and
-map are averaged by how often each was used, in a fixed order, and the next
-round starts from the mean. Every text is scored from the last mean, so that
-scores depend neither on order nor on how rows are dealt out. As a byte's
+makes an online pass over its texts in reading order (in lanes side by side), by the
+counts of its own training texts without the occurrence that is learned from; a
+context that occurs more than once counts as often where it comes first. Weights and map are
+averaged by how often each was used, in a fixed order, and reach the batches
+with the counts. Every text is scored from that mean and the counts of all
+training texts, so that scores do not depend on order. As a byte's
 probability depends on the bytes and the word up to it, each slice of texts
 evaluates each of its distinct contexts once.
 
@@ -42,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm._shared import materialize
+from helixframe.llm._shared import materialize, trim
 from helixframe.llm._text import (
     LOWER,
     NOT_SPACE,
@@ -57,18 +58,20 @@ from helixframe.llm._text import (
     word_hashes,
 )
 
-ORDERS = 6
+#: Bytes of the contexts before a byte.
+LENGTHS = (1, 2, 3, 5)
+ORDERS, LEAD = len(LENGTHS), max(LENGTHS)
 #: Predictors: the orders of bytes, and the word so far.
 INPUTS = ORDERS + 1
 #: Slots of each order, and of the words, in a hashed table given to a model.
 TABLE_BITS, WORD_BITS = 20, 22
 END = 0xFF
-SLICE = 2 << 20
-#: Contexts whose probabilities a worker keeps: 16 bytes each.
-MEMO_BITS = 22
-#: Passes over all training texts, and tasks that add up what batches learned.
-ROUNDS, LOTS = 2, 32
-BATCH_DOCS = 1500
+SLICE = 1 << 20
+#: Buckets that add up what batches learned.
+LOTS = 8
+#: Lanes in which a batch's contexts are read while a mixer learns.
+LANES = 1024
+BATCH_DOCS = 3000
 FOLDS, FOLD = 7, 2
 
 
@@ -84,12 +87,12 @@ def grams(data: np.ndarray, off: np.ndarray):
     """For each byte and end symbol: the 48-bit key of it and the five bytes before, the key of it and
     the word so far (56 bits of its hash), and its document."""
     docs = len(off) - 1
-    lead = ORDERS - 1
+    lead = LEAD
     text = np.full(len(data) + docs * (lead + 1), END, np.uint8)
     owner = np.repeat(np.arange(docs), np.diff(off))
     text[np.arange(len(data)) + owner * (lead + 1) + lead] = data
     key = np.zeros(max(0, len(text) - lead), np.uint64)
-    for k in range(ORDERS):
+    for k in range(LEAD + 1):
         key <<= np.uint64(8)
         key |= text[k : len(key) + k]
     at = np.arange(lead, lead + len(key))
@@ -135,7 +138,7 @@ def _cells(context: np.ndarray, key: np.ndarray, order: int) -> np.ndarray:
 
 def gram_cells(key: np.ndarray) -> np.ndarray:
     """Cells of byte contexts: shape (orders, 8, keys)."""
-    return np.stack([_cells((key >> np.uint64(8)) & np.uint64((1 << 8 * k) - 1), key, k) for k in range(ORDERS)])
+    return np.stack([_cells((key >> np.uint64(8)) & np.uint64((1 << 8 * size) - 1), key, k) for k, size in enumerate(LENGTHS)])
 
 
 def word_cells(word: np.ndarray) -> np.ndarray:
@@ -174,9 +177,13 @@ SEEN = np.digitize(_N0 + _N1, [1, 3, 16]).astype(np.int16)
 
 def _less_one(pair: np.ndarray, bit: np.ndarray) -> np.ndarray:
     """Levels with one occurrence of the bit taken out, where single ones count."""
-    low = np.where(bit == 1, pair & 255, pair >> 8)
-    one = ((low > 0) & (low <= 32)).astype(np.int64)
-    return pair - np.where(bit == 1, one, one << 8)
+    set_ = bit == 1
+    low = np.where(set_, pair & 255, pair >> 8)
+    return pair - ((low > 0) & (low <= 32)) * np.where(set_, np.uint16(1), np.uint16(256))
+
+
+#: Keys whose levels are looked up at once, a multiple of a learning step's.
+FOUND = 1 << 16
 
 
 class Mixer:
@@ -189,6 +196,7 @@ class Mixer:
         self.weights[:, INPUTS] = 0
         self.map = np.tile(1 / (1 + np.exp(-np.linspace(-8, 8, self.BINS))), (256, 1))
         self.visits, self.hits = np.zeros(len(self.weights)), np.zeros(self.map.size)
+        self.used, self.mapped = np.zeros(self.weights.shape), np.zeros(self.map.size)
 
     def copy(self) -> "Mixer":
         """The same weights and map, with nothing visited."""
@@ -198,7 +206,7 @@ class Mixer:
 
     def inputs(self, pair: np.ndarray):
         """Logits by order, and weight set, of pairs of levels (orders, ...)."""
-        gate = SEEN[pair[ORDERS]] * 16 + SEEN[pair[5]] * 4 + SEEN[pair[4]]
+        gate = SEEN[pair[ORDERS]] * 16 + SEEN[pair[ORDERS - 1]] * 4 + SEEN[pair[ORDERS - 2]]
         return LOGIT[pair], gate
 
     def predict(self, logit: np.ndarray, gate: np.ndarray, place: np.ndarray, node: np.ndarray):
@@ -222,9 +230,11 @@ class Mixer:
         """
         place = np.arange(8)[:, None]
         for lo in range(0, len(key), batch):
+            if lo % FOUND == 0:
+                found = find(key[lo : lo + FOUND], word[lo : lo + FOUND])
             part, n = key[lo : lo + batch], times[lo : lo + batch].astype(float)
             bit = _bits(part)
-            pair = _less_one(find(part, word[lo : lo + batch]).astype(np.int64), bit[None])
+            pair = _less_one(found[:, :, lo % FOUND :][:, :, : len(part)], bit[None])
             logit, gate = self.inputs(pair)
             node = _nodes(part)
             p, spot, _ = self.predict(logit, gate, place, node)
@@ -245,10 +255,12 @@ class Mixer:
             ones = np.bincount(spot, bit.ravel() * n, flat.size)
             pull = np.minimum(0.5, 0.02 * hits)
             flat += pull * (ones / np.maximum(hits, 1) - flat) * (hits > 0)
+            self.used += self.weights * count[:, None]
+            self.mapped += flat * hits
 
     def parts(self) -> np.ndarray:
-        """What this mixer learned, to be added to others': sums by visits, and visits."""
-        own = self.weights * self.visits[:, None], self.visits, self.map.ravel() * self.hits, self.hits
+        """What this mixer learned, to be added to others': weights and map summed over their visits, and visits."""
+        own = self.used, self.visits, self.mapped, self.hits
         return np.concatenate([x.ravel() for x in own]).astype(np.float64)
 
     def averaged(self, parts: np.ndarray) -> "Mixer":
@@ -263,13 +275,13 @@ class Mixer:
 
 
 class Model:
-    """Levels, mixer and map; log10 probabilities of keys and texts.
+    """Levels, mixer and map; log10 probabilities of keys.
 
     ``find`` gives the pairs of levels of keys; without one they come from a hashed table.
     """
 
     def __init__(self, table: np.ndarray | None, mixer: Mixer, find=None):
-        self.table, self.mixer, self.memo = table, mixer, None
+        self.table, self.mixer = table, mixer
         self.find = find or self._hashed
 
     def _hashed(self, key: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -279,61 +291,99 @@ class Model:
         out = np.empty(len(key))
         place = np.arange(8)[:, None]
         for lo in range(0, len(key), 8192):
+            if lo % FOUND == 0:
+                found = self.find(key[lo : lo + FOUND], word[lo : lo + FOUND])
             part = key[lo : lo + 8192]
-            logit, gate = self.mixer.inputs(self.find(part, word[lo : lo + 8192]))
+            logit, gate = self.mixer.inputs(found[:, :, lo % FOUND :][:, :, : len(part)])
             p = self.mixer.predict(logit, gate, place, _nodes(part))[2]
             out[lo : lo + 8192] = np.log10(np.where(_bits(part), p, 1 - p)).sum(0)
         return out
 
-    def scores(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
-        """log10 probability of each text, its end included.
-
-        Contexts met before are looked up in a table of fixed size, by a 64-bit
-        hash; only the others are evaluated, each once.
-        """
-        key, word, doc = grams(data, off)
-        both = mix(key) + word * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
-        if self.memo is None:
-            self.memo = np.zeros(1 << MEMO_BITS, np.uint64), np.zeros(1 << MEMO_BITS, np.float64)
-        known, values = self.memo
-        slot = (both >> np.uint64(64 - MEMO_BITS)).astype(np.int64)
-        value = values[slot]
-        miss = np.flatnonzero(known[slot] != both)
-        if len(miss):
-            order = np.argsort(both[miss])
-            seen = both[miss[order]]
-            new = np.concatenate(([True], seen[1:] != seen[:-1]))
-            first = miss[order[new]]
-            near = np.argsort(key[first])
-            fresh = np.empty(len(first))
-            fresh[near] = self.log10(key[first[near]], word[first[near]])
-            value[miss[order]] = fresh[np.cumsum(new) - 1]
-            known[slot[first]] = both[first]
-            # Of contexts that share a slot the last one written counts; its value is written with its hash.
-            last = known[slot[first]] == both[first]
-            values[slot[first[last]]] = fresh[last]
-        return np.bincount(doc, value, len(off) - 1)
-
 
 # Counts of all training texts
 
 
 def _kept(key: np.ndarray, order: int) -> np.ndarray:
     """Keys of an order: its context and the byte; the words' are whole."""
-    return key & np.uint64((1 << 8 * (order + 1)) - 1) if order < ORDERS else key
+    return key & np.uint64((1 << 8 * (LENGTHS[order] + 1)) - 1) if order < ORDERS else key
+
+
+class Batch:
+    """Distinct keys and words of a column of texts, in reading order of their first places: ``key``, ``word``, and
+    ``times``, how often each is in training texts."""
+
+    def __init__(self, column, train: np.ndarray, sums: bool = True):
+        """``sums``: whether values are to be summed over texts, for which each byte's context is kept."""
+        self.rows, self.slices = len(column), []
+        held: list[list[np.ndarray]] = [[], [], [], []]
+        for lo, hi, data, off in text_slices(column, SLICE):
+            key, word, doc = grams(data, off)
+            both = mix(key) + word * np.uint64(0x9E3779B97F4A7C15)
+            place, at, group = _groups(both)
+            first = place[at]
+            for kept, x in zip(held, (both[first], key[first], word[first], np.add.reduceat(train[lo + doc[place]].astype(np.int64), at)), strict=True):
+                kept.append(x)
+            inverse = np.empty(len(key) if sums else 0, np.int32)
+            if sums:
+                inverse[place] = group
+            self.slices.append((lo, hi, inverse, off[:-1] + np.arange(hi - lo), first))
+        if not self.slices:
+            self.key = self.word = np.zeros(0, np.uint64)
+            self.times = np.zeros(0, np.int64)
+            return
+        base = np.cumsum([0, *(len(x) for x in held[0])])
+        both, key, word, times = (np.concatenate(x) for x in held)
+        held.clear()
+        order = np.argsort(both, kind="stable")
+        seen = both[order]
+        at = np.flatnonzero(np.concatenate(([True], seen[1:] != seen[:-1])))
+        # The first slice's group leads; in it, the order of first places.
+        lead = order[at]
+        begin = np.concatenate([first + (k << 40) for k, (*_, first) in enumerate(self.slices)])[lead]
+        rank = np.empty(len(at), np.int64)
+        by = np.argsort(begin)
+        rank[by] = np.arange(len(at))
+        own = np.empty(len(both), np.int64)
+        own[order] = rank[np.repeat(np.arange(len(at)), np.diff(np.append(at, len(both))))]
+        self.slices = [(lo, hi, inverse, starts, own[base[k] : base[k + 1]]) for k, (lo, hi, inverse, starts, _) in enumerate(self.slices)]
+        self.key, self.word, self.times = key[lead][by], word[lead][by], np.add.reduceat(times[order], at)[by]
+
+    def kinds(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each order, and the words: sorted distinct keys, and how often they are in training texts."""
+        out, key, times = [], self.key, self.times
+        for k in range(ORDERS - 1, -1, -1):
+            # Shorter contexts are those of longer ones, cut.
+            key, times = distinct_counts(_kept(key, k), times)
+            out.append((key, times))
+        return [*out[::-1], distinct_counts(self.word, self.times)]
+
+    def sums(self, value: np.ndarray) -> np.ndarray:
+        """Of a value for each distinct context, the sum over each text."""
+        out = np.zeros(self.rows)
+        for lo, hi, inverse, starts, own in self.slices:
+            out[lo:hi] = np.add.reduceat(value[own][inverse], starts)
+        return out
+
+
+def _groups(both: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in an order that brings equal hashes together, each group's begin in it (its first place), and each one's group."""
+    bits = np.uint64(max(1, len(both).bit_length()))
+    # Hashes and places in one number: sorted, a hash's first place leads it.
+    packed = np.sort(both >> bits << bits | np.arange(len(both), dtype=np.uint64))
+    place = (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    seen = both[place]
+    new = np.concatenate(([True], seen[1:] != seen[:-1]))
+    top = packed >> bits
+    if int(new.sum()) != 1 + int((top[1:] != top[:-1]).sum()):  # hashes that only differ in the bits of places
+        place = np.argsort(both, kind="stable")
+        seen = both[place]
+        new = np.concatenate(([True], seen[1:] != seen[:-1]))
+    return place, np.flatnonzero(new), np.cumsum(new, dtype=np.int32) - 1
 
 
 def contexts(column, train: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each order, and the words: distinct keys of a column of texts, and how often they are in training texts."""
-    held: list[list] = [[], []]
-    for lo, _, data, off in text_slices(column, SLICE):
-        *keys, doc = grams(data, off)
-        learned = train[lo + doc]
-        for kind, key in enumerate(keys):
-            every = distinct_sorted(key)
-            held[kind] += [(every, np.zeros(len(every), np.int64)), distinct_counts(key[learned])]
-    whole, words = (merge_counts(x) if x else (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for x in held)
-    return [merge_counts([(_kept(whole[0], k), whole[1])]) for k in range(ORDERS)] + [words]
+    return Batch(column, train).kinds()
 
 
 def _buckets(key: np.ndarray, order: int, buckets: int) -> np.ndarray:
@@ -376,7 +426,8 @@ def pack_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
 def siblings(key: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Of sorted distinct keys that hold all bytes of their contexts: each one's count, and after it, from the last
     bit to the first, how often the context's other bytes first differ at that bit: shape (9, keys)."""
-    out = np.empty((9, len(key)), np.int64)
+    # The sum of all counts bounds them.
+    out = np.empty((9, len(key)), np.int32 if count.sum() < 1 << 31 else np.int64)
     out[0] = below = count
     for k in range(1, 9):
         top = key >> np.uint64(k)
@@ -399,115 +450,68 @@ def levels_of(key: np.ndarray, found: np.ndarray) -> np.ndarray:
 
 
 def _answers(requests: list[bytes]) -> list[bytes]:
-    """For each request of a bucket, the siblings of its keys by the bucket's summed counts."""
+    """For each request of a bucket, the levels at each bit of its keys by the bucket's summed counts."""
     requests = [_parted(x, 2 * (ORDERS + 1)) for x in requests]
     answers: list[list[bytes]] = [[] for _ in requests]
     for k in range(ORDERS + 1):
         keys = [np.cumsum(_numbers(r[2 * k], 8)) for r in requests]
         key, count = merge_counts([(x, _numbers(r[2 * k + 1], 5).astype(np.int64)) for x, r in zip(keys, requests, strict=True)])
-        found = siblings(key, count)
+        level = levels_of(key, siblings(key, count))
         for x, out in zip(keys, answers, strict=True):
-            out.append(_planes(found[:, np.searchsorted(key, x)].ravel(), 6))
+            out.append(zlib.compress(np.ascontiguousarray(level[:, np.searchsorted(key, x)]).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), 1))
     return [_joined(x) for x in answers]
 
 
-class Contexts:
-    """The levels of a batch's keys, as the buckets answered."""
+def _levels(raw: bytes) -> np.ndarray:
+    """An answer's levels: shape (keys, 8)."""
+    planes = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(2, -1)
+    return np.ascontiguousarray(planes.T).view("<u2").reshape(8, -1).T
 
-    def __init__(self, keys: list[np.ndarray], buckets: int, rows: list[dict]):
-        self.keys, self.level = keys, []
-        parts = [(r["bucket"], _parted(r["levels"], ORDERS + 1)) for r in rows]
-        for n, key in enumerate(keys):
-            order, ends = _split(_buckets(key, n, buckets), buckets)
-            level = np.zeros((8, len(key)), np.uint16)
-            for b, raw in parts:
-                own = order[ends[b - 1] if b else 0 : ends[b]]
-                level[:, own] = levels_of(key[own], _numbers(raw[n], 6).astype(np.int64).reshape(9, -1))
-            self.level.append(level)
+
+class Levels:
+    """The levels of sorted keys of each kind: arrays of shape (keys, 8)."""
+
+    def __init__(self, keys: list[np.ndarray], level: list[np.ndarray]):
+        self.keys, self.level = keys, level
 
     def find(self, key: np.ndarray, word: np.ndarray) -> np.ndarray:
         out = np.empty((INPUTS, 8, len(key)), np.uint16)
         for k, (known, level) in enumerate(zip(self.keys, self.level, strict=True)):
-            out[k] = level[:, np.searchsorted(known, _kept(key, k) if k < ORDERS else word)]
+            asked = _kept(key, k) if k < ORDERS else word
+            # In order, neighbours are found near each other.
+            order = np.argsort(asked)
+            at = np.empty(len(key), np.int64)
+            at[order] = np.searchsorted(known, asked[order])
+            out[k] = level[at].T
         return out
 
 
-# Batches with their answers
-
-
-def _stream(table: pa.Table) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_table(table)
-    return sink.getvalue().to_pybytes()
-
-
-def _meet(docs: pa.Table, back: pa.Table) -> pa.Table:
-    """One row: a batch's documents, and what the buckets answered."""
-    batch = (docs if docs.num_rows else back).column("batch")[:1]
-    back = back.select(["bucket", "totals", "kinds", "levels"])
-    return pa.table({"batch": batch, "docs": pa.array([_stream(docs.drop_columns(["batch"]))], pa.binary()), "back": pa.array([_stream(back)], pa.binary())})
-
-
-def _each(run):
-    """run(batch, docs, back) for each row of ``_meet``."""
-
-    def rows(batches):
-        for batch in batches:
-            for k in range(batch.num_rows):
-                docs, back = (pa.ipc.open_stream(batch.column(c)[k].as_buffer()).read_all() for c in ("docs", "back"))
-                yield run(batch.column("batch")[k].as_py(), docs, back)
+class Contexts(Levels):
+    """The levels of a batch's keys, as the buckets answered."""
 
-    return rows
+    def __init__(self, keys: list[np.ndarray], buckets: int, rows: list[dict]):
+        parts = [(r["bucket"], _parted(r["levels"], ORDERS + 1)) for r in rows]
+        levels = []
+        for n, key in enumerate(keys):
+            order, ends = _split(_buckets(key, n, buckets), buckets)
+            level = np.zeros((len(key), 8), np.uint16)
+            for b, raw in parts:
+                level[order[ends[b - 1] if b else 0 : ends[b]]] = _levels(raw[n])
+            levels.append(level)
+        super().__init__(keys, levels)
 
 
 # Learning from all training texts
 
 
-def _learn_batch(buckets: int, shared, turn: int):
-    """What a mixer learns in an online pass over a batch's whole training texts, in the order of their ids."""
-
-    def run(batch: int, docs: pa.Table, back: pa.Table) -> pa.RecordBatch:
-        keys = [k for k, _ in contexts(docs.column("text"), np.zeros(docs.num_rows, bool))]
-        found = Contexts(keys, buckets, back.select(["bucket", "levels"]).to_pylist())
-        mixer = shared.value.copy()
-        texts = docs.filter(pc.invert(docs.column("held_out"))).sort_by([("doc_id", "ascending"), ("text", "ascending")]).column("text")
-        total = max(1, pc.sum(pc.binary_length(texts)).as_py() or 0)
-        done = 0
-        for _, _, data, off in text_slices(texts, SLICE):
-            key, word, _ = grams(data, off)
-            both = mix(key) + word * np.uint64(0x9E3779B97F4A7C15)
-            order = np.argsort(both)
-            seen = both[order]
-            at = np.flatnonzero(np.concatenate(([True], seen[1:] != seen[:-1])))
-            # Distinct contexts in the order of their hashes: each step holds bytes of many texts.
-            first, times = order[at], np.diff(np.append(at, len(seen)))
-            share = len(data) / total / ROUNDS
-            mixer.learn(found.find, key[first], word[first], times, (turn + done / total) / ROUNDS, share)
-            done += len(data)
-        return pa.RecordBatch.from_arrays([pa.array([batch], pa.int64()), pa.array([mixer.parts().tobytes()], pa.binary())], names=["batch", "parts"])
-
-    return run
-
-
-def _add_parts(table: pa.Table) -> pa.Table:
-    """Batches' parts, added up in the order of batches."""
-    rows = sorted(table.select(["batch", "parts"]).to_pylist(), key=lambda r: r["batch"])
-    total = sum(np.frombuffer(r["parts"]) for r in rows)
-    return pa.table({"lot": table.column("lot")[:1], "parts": pa.array([total.tobytes()], pa.binary())})
-
-
-def train(met: DataFrame, buckets: int) -> Mixer:
-    """Mixer and map: in each round every batch learns from all its training texts, from the mean of the round before."""
-    mixer = Mixer()
-    for turn in range(ROUNDS):
-        shared = met.sparkSession.sparkContext.broadcast(mixer)
-        learned = met.mapInArrow(_each(_learn_batch(buckets, shared, turn)), "batch long, parts binary")
-        lots = learned.withColumn("lot", F.pmod("batch", F.lit(LOTS))).groupBy("lot").applyInArrow(_add_parts, "lot long, parts binary")
-        rows = sorted((r["lot"], bytes(r["parts"])) for r in lots.collect())  # at most LOTS rows of a mixer's size
-        if rows:
-            mixer = mixer.averaged(sum(np.frombuffer(x) for _, x in rows))
-    return mixer
+def learned(batch: Batch, kinds: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """What a mixer learns in an online pass over a batch's training texts in reading order, by the batch's own counts."""
+    mixer, train = Mixer(), np.flatnonzero(batch.times > 0)
+    # Lanes of contexts in reading order, read side by side: each step holds contexts of many places.
+    train = train[np.argsort(np.arange(len(train)) % max(1, -(-len(train) // LANES)), kind="stable")]
+    own = Levels([k for k, _ in kinds], [np.ascontiguousarray(levels_of(k, siblings(k, n)).T) for k, n in kinds])
+    mixer.learn(own.find, batch.key[train], batch.word[train], batch.times[train])
+    return mixer.parts()
 
 
 # Word counts for the baseline
@@ -526,106 +530,160 @@ def _words(text_column):
     return h, doc
 
 
-def _batch_counts(buckets: int):
-    """A batch's distinct words and contexts with their counts in training texts, by bucket."""
+def _dealt_words(text_column, buckets: int):
+    """Distinct word hashes, their rows by bucket, each bucket's end, and every word's place among the distinct and its document."""
+    h, doc = _words(text_column)
+    distinct = distinct_sorted(h)
+    order, ends = _split((mix(distinct) % np.uint64(buckets)).astype(np.int64), buckets)
+    return distinct, order, ends, np.searchsorted(distinct, h), doc
+
+
+def _batch_counts(buckets: int, lots: int):
+    """A batch's distinct words and contexts with their counts in training texts, by bucket; and in a bucket of its lot
+    what a mixer learned from it."""
 
     def run(table: pa.Table) -> pa.Table:
-        h, doc = _words(table.column("text"))
+        # However rows come, they are read in one order.
+        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         train = ~table.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-        distinct = distinct_sorted(h)
-        count = np.bincount(np.searchsorted(distinct, h[train[doc]]), minlength=len(distinct))
-        order, ends = _split((mix(distinct) % np.uint64(buckets)).astype(np.int64), buckets)
+        distinct, order, ends, at, doc = _dealt_words(table.column("text"), buckets)
+        count = np.bincount(at[train[doc]], minlength=len(distinct))
         words = np.split(order, ends[:-1])
+        batch = Batch(table.column("text"), train, sums=False)
+        kinds = batch.kinds()
+        lesson = learned(batch, kinds).tobytes()
+        del batch
         grown = []
-        for k, (key, n) in enumerate(contexts(table.column("text"), train)):
-            at, ends = _split(_buckets(key, k, buckets), buckets)
+        while kinds:
+            key, n = kinds.pop(0)
+            at, ends = _split(_buckets(key, len(grown), buckets), buckets)
             grown.append([(key[p], n[p]) for p in np.split(at, ends[:-1])])
         used = [b for b in range(buckets) if len(words[b]) or any(len(x[b][0]) for x in grown)]
-        return pa.table(
+        number = table.column("batch")[0].as_py()
+        out = pa.table(
             {
-                "bucket": pa.array(used, pa.int64()),
-                "batch": pa.array([table.column("batch")[0].as_py()] * len(used), pa.int64()),
-                "words": pa.array([distinct[words[b]].tobytes() for b in used], pa.binary()),
-                "counts": pa.array([count[words[b]].astype("<u4").tobytes() for b in used], pa.binary()),
-                "grams": pa.array([pack_counts([x[b] for x in grown]) for b in used], pa.binary()),
+                "bucket": pa.array([*used, buckets + number % lots], pa.int64()),
+                "batch": pa.array([number] * (len(used) + 1), pa.int64()),
+                "words": pa.array([*(distinct[words[b]].tobytes() for b in used), b""], pa.binary()),
+                "counts": pa.array([*(count[words[b]].astype("<u4").tobytes() for b in used), b""], pa.binary()),
+                "grams": pa.array([*(pack_counts([x[b] for x in grown]) for b in used), lesson], pa.binary()),
             }
         )
+        trim()
+        return out
 
     return run
 
 
-def _sum_counts(table: pa.Table) -> pa.Table:
-    rows = sorted(table.to_pylist(), key=lambda r: -r["batch"])
-    words = [np.frombuffer(r["words"], np.uint64) for r in rows]
-    key, total = merge_counts([(w, np.frombuffer(r["counts"], "<u4").astype(np.int64)) for w, r in zip(words, rows, strict=True)])
-    known = int((total > 0).sum())
-    return pa.table(
-        {
-            "batch": pa.array([r["batch"] for r in rows], pa.int64()),
-            "bucket": pa.array([r["bucket"] for r in rows], pa.int64()),
-            "totals": pa.array([np.minimum(total[np.searchsorted(key, w)], 2**32 - 1).astype("<u4").tobytes() for w in words], pa.binary()),
-            "kinds": pa.array([known] + [0] * (len(rows) - 1), pa.int64()),
-            "levels": pa.array(_answers([r["grams"] for r in rows]), pa.binary()),
-        }
-    )
+def _sum_counts(buckets: int, batches: int):
+    """A bucket's sums, sent to each batch that asked; a lot's sum of what mixers learned, sent to every batch."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: -r["batch"])
+        bucket = rows[0]["bucket"]
+        if bucket >= buckets:
+            total = sum(np.frombuffer(r["grams"]) for r in rows).tobytes()
+            to, none = list(range(batches)), [b""] * batches
+            return pa.table({
+                "batch": pa.array(to, pa.int64()), "bucket": pa.array([bucket] * batches, pa.int64()), "totals": pa.array(none, pa.binary()),
+                "kinds": pa.array([0] * batches, pa.int64()), "levels": pa.array([total] * batches, pa.binary()),
+            })
+        words = [np.frombuffer(r["words"], np.uint64) for r in rows]
+        key, total = merge_counts([(w, np.frombuffer(r["counts"], "<u4").astype(np.int64)) for w, r in zip(words, rows, strict=True)])
+        out = pa.table(
+            {
+                "batch": pa.array([r["batch"] for r in rows], pa.int64()),
+                "bucket": pa.array([r["bucket"] for r in rows], pa.int64()),
+                "totals": pa.array([np.minimum(total[np.searchsorted(key, w)], 2**32 - 1).astype("<u4").tobytes() for w in words], pa.binary()),
+                "kinds": pa.array([int((total > 0).sum())] + [0] * (len(rows) - 1), pa.int64()),
+                "levels": pa.array(_answers([r["grams"] for r in rows]), pa.binary()),
+            }
+        )
+        trim()
+        return out
+
+    return run
 
 
 SCORED = "doc_id long, held_out boolean, n_bytes long, n_words long, n_known long, words_log10 double, score double, kinds long"
 
 
-def _score_batch(buckets: int, shared):
-    def run(batch: int, docs: pa.Table, back: pa.Table) -> pa.RecordBatch:
+def _lesson(table: pa.Table) -> pa.Table:
+    """What a mixer learned from a batch, alone."""
+    table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    batch = Batch(table.column("text"), ~table.column("held_out").to_numpy(zero_copy_only=False).astype(bool), sums=False)
+    return pa.table({"batch": table.column("batch")[:1], "parts": pa.array([learned(batch, batch.kinds()).tobytes()], pa.binary())})
+
+
+def _add_lessons(table: pa.Table) -> pa.Table:
+    rows = sorted(table.select(["batch", "parts"]).to_pylist(), key=lambda r: -r["batch"])
+    return pa.table({"lot": table.column("lot")[:1], "parts": pa.array([sum(np.frombuffer(r["parts"]) for r in rows).tobytes()], pa.binary())})
+
+
+def lessons(docs: DataFrame, rows: int) -> np.ndarray | None:
+    """What mixers learned from batches of the standard size, added up: for texts that are scored in other batches."""
+    dealt = docs.withColumn("batch", _batch(rows, BATCH_DOCS))
+    parts = dealt.groupBy("batch").applyInArrow(_lesson, "batch long, parts binary").withColumn("lot", F.col("batch") % LOTS)
+    found = sorted((r["lot"], bytes(r["parts"])) for r in parts.groupBy("lot").applyInArrow(_add_lessons, "lot long, parts binary").collect())  # at most LOTS rows
+    return sum(np.frombuffer(x) for _, x in found) if found else None
+
+
+def _batch(rows: int, batch_docs: int):
+    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-rows // batch_docs))))
+
+
+def _score_batch(buckets: int, taught: np.ndarray | None = None):
+    def run(docs: pa.Table, back: pa.Table) -> pa.Table:
         n = docs.num_rows
-        h, doc = _words(docs.column("text"))
-        distinct = distinct_sorted(h)
-        bucket = (mix(distinct) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
+        rows = sorted(back.select(["bucket", "totals", "kinds", "levels"]).to_pylist(), key=lambda r: r["bucket"])
+        found = sum(r["kinds"] for r in rows)
+        asked, lots = [r for r in rows if r["bucket"] < buckets], [r for r in rows if r["bucket"] >= buckets]
+        distinct, order, _, at, doc = _dealt_words(docs.column("text"), buckets)
         total = np.zeros(len(distinct), np.int64)
-        rows = sorted(back.select(["bucket", "totals"]).to_pylist(), key=lambda r: r["bucket"])
-        if rows:
-            total[order] = np.concatenate([np.frombuffer(r["totals"], "<u4") for r in rows])
-        seen = total[np.searchsorted(distinct, h)]
-        keys = [k for k, _ in contexts(docs.column("text"), np.zeros(n, bool))]
-        model = shared.value
-        model.find = Contexts(keys, buckets, back.select(["bucket", "levels"]).to_pylist()).find
-        size, score = np.zeros(n, np.int64), np.zeros(n)
-        for lo, hi, data, off in text_slices(docs.column("text"), SLICE):
-            size[lo:hi] = np.diff(off)
-            score[lo:hi] = model.scores(data, off)
+        if asked:
+            total[order] = np.concatenate([np.frombuffer(r["totals"], "<u4") for r in asked])
+        seen = total[at]
+        mixer = Mixer()
+        if taught is not None:
+            mixer = mixer.averaged(taught)
+        elif lots:
+            mixer = mixer.averaged(sum(np.frombuffer(r["levels"]) for r in lots))
+        batch = Batch(docs.column("text"), np.zeros(n, bool))
+        known = Contexts([k for k, _ in batch.kinds()], buckets, asked)
+        del asked, rows
+        score = batch.sums(Model(None, mixer, known.find).log10(batch.key, batch.word))
+        size = docs.column("text").cast(pa.large_binary())
+        size = pc.fill_null(pc.binary_length(size), 0).to_numpy()
         kinds = np.zeros(n, np.int64)
-        kinds[0] = sum(back.column("kinds").to_pylist())
+        kinds[:1] = found
         columns = [
             docs.column("doc_id").combine_chunks(),
             docs.column("held_out").combine_chunks(),
-            *(pa.array(x) for x in (size, np.bincount(doc, minlength=n), np.bincount(doc, seen > 0, n).astype(np.int64), np.bincount(doc, np.log10(seen + 1.0), n), score, kinds)),
+            *(pa.array(x) for x in (size.astype(np.int64), np.bincount(doc, minlength=n), np.bincount(doc, seen > 0, n).astype(np.int64), np.bincount(doc, np.log10(seen + 1.0), n), score, kinds)),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_bytes", "n_words", "n_known", "words_log10", "score", "kinds"])
+        trim()
+        return pa.table(columns, names=["doc_id", "held_out", "n_bytes", "n_words", "n_known", "words_log10", "score", "kinds"])
 
     return run
 
 
-def gathered(docs: DataFrame, rows: int, batch_docs: int) -> tuple[DataFrame, int]:
-    """One row for each batch of documents, with the counts that it asked for, and the number of buckets."""
+def scored_batches(docs: DataFrame, rows: int, batch_docs: int) -> DataFrame:
+    """Batches of documents deal their words and contexts, and score their texts with what comes back, in one plan:
+    batches are shuffled once, counts to buckets, and answers to batches."""
     batches = max(1, -(-rows // batch_docs))
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), batches // 4)
-    dealt = docs.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)))
-    counts = dealt.groupBy("batch").applyInArrow(_batch_counts(buckets), "bucket long, batch long, words binary, counts binary, grams binary")
-    sums = counts.groupBy("bucket").applyInArrow(_sum_counts, "batch long, bucket long, totals binary, kinds long, levels binary")
-    met = dealt.groupBy("batch").cogroup(sums.groupBy("batch")).applyInArrow(_meet, "batch long, docs binary, back binary")
-    return materialize(met), buckets
+    # What is learned depends on how texts are dealt out: always by the same size of batches.
+    taught = None if batch_docs == BATCH_DOCS else lessons(docs, rows)
+    dealt = docs.withColumn("batch", _batch(rows, batch_docs))
+    counts = dealt.groupBy("batch").applyInArrow(_batch_counts(buckets, LOTS), "bucket long, batch long, words binary, counts binary, grams binary")
+    sums = counts.groupBy("bucket").applyInArrow(_sum_counts(buckets, batches), "batch long, bucket long, totals binary, kinds long, levels binary")
+    return materialize(dealt.groupBy("batch").cogroup(sums.groupBy("batch")).applyInArrow(_score_batch(buckets, taught), SCORED))
 
 
 def score(docs: DataFrame, batch_docs: int = BATCH_DOCS) -> DataFrame:
     """One row for each (doc_id, text): the model's score and the word baseline."""
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", held_out())
-    rows = docs.count()
-    met, buckets = gathered(docs, rows, batch_docs)
-    # What is learned depends on how texts are dealt out: always by the same size of batches.
-    lessons = (met, buckets) if batch_docs == BATCH_DOCS else gathered(docs, rows, BATCH_DOCS)
-    model = spark.sparkContext.broadcast(Model(None, train(*lessons)))
-    scored = met.mapInArrow(_each(_score_batch(buckets, model)), SCORED)
-    scored = materialize(scored)
+    scored = scored_batches(docs, docs.count(), batch_docs)
     # The end token: one in each text, in training N counts it and V holds it.
     row = scored.agg(
         F.coalesce(F.sum(F.when(~F.col("held_out"), F.col("n_words") + 1)), F.lit(0)).alias("n"),
