@@ -9,8 +9,10 @@ labelled documents (``TRAIN_DOCS`` of smallest id hash, a window of
 Edge cases: null texts and texts without a letter are ``und`` with score 0;
 null ``lang`` is not learned from; with nothing to learn from every document
 is ``und``; rows with null ids are predicted and not learned from; repeated
-rows get equal results; an empty table gives an empty result. Label, source
-and id are never inputs of a prediction.
+rows get equal results; an empty table gives an empty result; a text of any
+length is read in segments, all of them. Label, source and id are never inputs
+of a prediction; further columns come through, but for those named like an
+added one.
 """
 
 from __future__ import annotations

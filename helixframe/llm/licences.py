@@ -10,7 +10,8 @@ it; numpy does that on the bytes.
 
 Edge cases: null and empty texts have no words, no labels and score 0; rows
 with null ids and repeated rows keep their row each; an empty table gives an
-empty result; further columns are not read.
+empty result; a text of any length is streamed word by word; further columns
+are not read.
 """
 
 from __future__ import annotations

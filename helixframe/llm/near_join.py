@@ -30,7 +30,9 @@ component is their own id); texts of one to four words are one shingle; rows
 with a null id keep their count and get a null component; repeated rows get
 equal results; ids are expected to name one text, and rows of one id with
 different texts are rows of their own with equal ids; an empty table gives an
-empty result; further columns are not read.
+empty result; a text of any length is a slice of its own, whose arrays are about
+60 bytes a byte of it; further columns are not read, and ``keep_one`` hands them
+through, whatever their names.
 """
 
 from __future__ import annotations

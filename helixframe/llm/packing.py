@@ -9,7 +9,8 @@ rank among the pieces of their length.
 
 Edge cases: null text is empty (its only id is the end id); a null ``doc_id``
 is an id like any other; repeated rows are packed once each; an empty table
-gives an empty table; further columns are not read.
+gives an empty table; a text of any length is cut into pieces, and its ids are
+held at once; further columns are not read.
 """
 
 from __future__ import annotations

@@ -21,7 +21,9 @@ anywhere else in the corpus, the same text included.
 Edge cases: null and empty texts, and texts shorter than ``LENGTH``, lose
 nothing; repeated rows are copies, and lose everything from ``LENGTH`` bytes
 on; rows with null ids take part like others; an empty table gives an empty
-result; further columns are not read. Removed bytes may cut a character; the
+result; a text of any length is a slice of its own while its anchors are taken,
+and its windows go to many shards; further columns come through, but for those
+named like an added one. Removed bytes may cut a character; the
 kept bytes are exact, the kept text leaves out incomplete characters.
 """
 

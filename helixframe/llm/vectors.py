@@ -9,8 +9,9 @@ or one crowded inverted list spread over many blocks.
 Edge cases: vectors that are null or hold null or non-finite components (and
 for cosines zero vectors) are neither queries nor candidates, as are rows with
 null ids; vectors of another width than most are left out; equal scores go to
-the smaller id; rows that repeat an id count as rows of their own, except that
-a query never meets rows of its own id; an empty table gives an empty result.
+the smaller id; vectors of any width are held a block at a time; rows that
+repeat an id count as rows of their own, except that a query never meets rows of
+its own id; further columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
