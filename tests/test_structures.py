@@ -303,3 +303,40 @@ def test_immune_chains(spark):
     loops = immune.regions(labels, 1)
     assert [(r["name"], r["start"], r["length"]) for r in loops] == [("cdr1", 27, 12), ("cdr2", 56, 10), ("cdr3", 105, 13)]
     assert immune.region_warnings(loops[:2]) == ["missing_cdr3"]
+
+
+def test_antigen_domains(spark):
+    """Domains are communities of one chain's residues; only large ones that touch the antibody stay."""
+    from helixframe.operators import domains
+
+    rng = np.random.default_rng(8)
+    rows = []
+    for k, centre in enumerate(((0, 0, 0), (40, 0, 0))):
+        rows += [("c", "X", "antigen", 100 * k + i, *(np.array(centre) + rng.normal(size=3) * 2).tolist()) for i in range(15)]
+    rows += [("c", "X", "antigen", 500, 200.0, 0.0, 0.0)]
+    rows += [("c", "H", "antibody", i, *(np.array((0, 5, 0)) + rng.normal(size=3)).tolist()) for i in range(1, 131)]
+    residues = spark.createDataFrame(rows, "complex string, chain string, role string, res_id int, x double, y double, z double")
+    kept = spark.createDataFrame([("c", "H", [(1, 100)])], "complex string, chain string, domains array<struct<fv_start:int,fv_end:int>>")
+    own = domains.antibody_residues(residues, kept)
+    assert own.count() == 100
+    none = spark.createDataFrame([], kept.schema)
+    assert domains.antibody_residues(residues, none).count() == 120
+    found = domains.antigen_domains(residues.where("role = 'antigen'"), domains.contacts(own, residues.where("role = 'antigen'"))).collect()
+    stay = {int(r.residue.split("|")[1]) for r in found if r.kept}
+    assert stay and stay <= set(range(15)) and {r.size for r in found if r.residue == "X|500"} == {1}
+    spans = {(r.chain, r.role): [tuple(x) for x in r.intervals] for r in domains.refined_chains(residues, kept).collect()}
+    assert spans["H", "antibody"] == [(1, 100)] and all(b < 15 for _, b in spans["X", "antigen"])
+    far = domains.refined_chains(residues.where("role = 'antibody' or res_id > 90"), kept).where("role = 'antigen'").first()
+    assert far.warning == "no antibody-antigen residue contacts; kept full antigen" and len(far.intervals) == 2
+
+
+def test_kept_domains(spark):
+    from helixframe.operators import domains
+
+    kinds = "array<struct<number:int,code:string,warnings:array<string>,end_motif:string>>"
+    rows = [(1, [(0, "H", ["sadie_missing_fr4_region"], "VTVS"), (1, "K", [], "")], [("ab_unit_01", "scFv", ["vd_01_H", "vd_02_K"])], "scFv", HEAVY),
+            (2, [(0, "K", [], ""), (1, "H", [], "")], [], "paired_heavy_light", HEAVY), (3, [(0, "H", [], ""), (1, "K", [], "")], [("ab_unit_01", "single_light_variable_domain", ["vd_02_K"])], "", LIGHT)]
+    df = spark.createDataFrame(rows, f"k int, domains {kinds}, units array<struct<unit_id:string,unit_type:string,domain_ids:array<string>>>, unit string, type string")
+    got = df.select("k", domains.kept_domains(F.col("domains"), F.col("units"), F.col("unit"), F.col("type")).alias("d")).withColumn("w", domains.boundary_warnings(F.col("d"))).collect()
+    assert {r.k: [d.code for d in r.d] for r in got} == {1: ["H", "K"], 2: ["H"], 3: ["K"]}
+    assert {r.k: r.w for r in got}[1] == ["fv_boundary_repaired_by_motif_requires_review", "sadie_missing_fr4_region"]
