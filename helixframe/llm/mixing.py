@@ -10,9 +10,9 @@ result. Logarithms of the bits' probabilities add up to the text's.
 The counts are of all training texts and exact, however many contexts there
 are: batches of documents deal their distinct contexts with the bytes after
 them to buckets by a hash of the context, each bucket sums whole keys and sends
-every batch the levels of the keys it asked for, so that no table grows on the
-driver or is shipped whole. Byte contexts are their own keys; words so far are
-56 bits of hash.
+every batch the bytes and counts after the contexts it asked for, so that no
+table grows on the driver or is shipped whole. Byte contexts are their own keys;
+words so far are 40 bits of hash, apart in each bucket.
 
 Mixer and map learn from all whole training texts: every batch of documents
 makes an online pass over its texts in reading order (in lanes side by side), by the
@@ -54,6 +54,7 @@ from helixframe.llm._text import (
     mix,
     prefix_hash,
     span_hash,
+    spread,
     text_slices,
     word_bounds,
     word_hashes,
@@ -86,7 +87,7 @@ def held_out():
 
 def grams(data: np.ndarray, off: np.ndarray):
     """For each byte and end symbol: the 48-bit key of it and the five bytes before, the key of it and
-    the word so far (56 bits of its hash), and its document."""
+    the word so far (40 bits of its hash), and its document."""
     docs = len(off) - 1
     lead = LEAD
     text = np.full(len(data) + docs * (lead + 1), END, np.uint8)
@@ -101,7 +102,7 @@ def grams(data: np.ndarray, off: np.ndarray):
     inside = NOT_SPACE[text] & (text != END)
     begin = np.maximum.accumulate(np.where(inside, 0, np.arange(1, len(text) + 1)))
     begin = np.minimum(begin[at - 1], at) if len(at) else at
-    word = span_hash(c, begin, at) & ~np.uint64(255) | key & np.uint64(255)
+    word = span_hash(c, begin, at) >> np.uint64(24) << np.uint64(8) | key & np.uint64(255)
     size = np.diff(off) + 1
     start = np.cumsum(size + lead) - size - lead
     keep = np.ones(len(key), bool)
@@ -451,22 +452,34 @@ def levels_of(key: np.ndarray, found: np.ndarray) -> np.ndarray:
 
 
 def _answers(requests: list[bytes]) -> list[bytes]:
-    """For each request of a bucket, the levels at each bit of its keys by the bucket's summed counts."""
+    """For each request of a bucket, the bytes after each of its contexts with the bucket's summed counts."""
     requests = [_parted(x, 2 * (ORDERS + 1)) for x in requests]
     answers: list[list[bytes]] = [[] for _ in requests]
     for k in range(ORDERS + 1):
         keys = [np.cumsum(_numbers(r[2 * k], 8)) for r in requests]
         key, count = merge_counts([(x, _numbers(r[2 * k + 1], 5).astype(np.int64)) for x, r in zip(keys, requests, strict=True)])
-        level = levels_of(key, siblings(key, count))
+        key, count = key[count > 0], count[count > 0]
+        at = np.flatnonzero(np.concatenate(([True], np.diff(key >> np.uint64(8)) > 0))) if len(key) else np.zeros(0, np.int64)
+        known, size = key[at] >> np.uint64(8), np.diff(np.append(at, len(key)))
         for x, out in zip(keys, answers, strict=True):
-            out.append(zlib.compress(np.ascontiguousarray(level[:, np.searchsorted(key, x)]).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), 1))
+            asked = distinct_sorted(x >> np.uint64(8))
+            slot = np.minimum(np.searchsorted(known, asked), max(0, len(known) - 1))
+            hit = known[slot] == asked if len(known) else np.zeros(len(asked), bool)
+            n = np.zeros(len(asked), np.int64)
+            n[hit] = size[slot[hit]]
+            rows = spread(at[slot[hit]], n[hit])
+            out += [_planes(n, 2), zlib.compress((key[rows] & np.uint64(255)).astype(np.uint8).tobytes(), 1), _planes(count[rows], 5)]
     return [_joined(x) for x in answers]
 
 
-def _levels(raw: bytes) -> np.ndarray:
-    """An answer's levels: shape (keys, 8)."""
-    planes = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(2, -1)
-    return np.ascontiguousarray(planes.T).view("<u2").reshape(8, -1).T
+def answered(own: np.ndarray, parts: list[bytes]) -> np.ndarray:
+    """Levels at each bit of sorted keys of a bucket, by its answer: shape (keys, 8)."""
+    context = distinct_sorted(own >> np.uint64(8))
+    known = np.repeat(context, _numbers(parts[0], 2).astype(np.int64)) << np.uint64(8) | np.frombuffer(zlib.decompress(parts[1]), np.uint8)
+    count = _numbers(parts[2], 5).astype(np.int64)
+    # Keys without a count are among their contexts' with none.
+    key, count = merge_counts([(known, count), (own, np.zeros(len(own), np.int64))])
+    return levels_of(key, siblings(key, count)).T[np.searchsorted(key, own)]
 
 
 class Levels:
@@ -491,13 +504,14 @@ class Contexts(Levels):
     """The levels of a batch's keys, as the buckets answered."""
 
     def __init__(self, keys: list[np.ndarray], buckets: int, rows: list[dict]):
-        parts = [(r["bucket"], _parted(r["levels"], ORDERS + 1)) for r in rows]
+        parts = [(r["bucket"], _parted(r["levels"], 3 * (ORDERS + 1))) for r in rows]
         levels = []
         for n, key in enumerate(keys):
             order, ends = _split(_buckets(key, n, buckets), buckets)
             level = np.zeros((len(key), 8), np.uint16)
             for b, raw in parts:
-                level[order[ends[b - 1] if b else 0 : ends[b]]] = _levels(raw[n])
+                own = order[ends[b - 1] if b else 0 : ends[b]]
+                level[own] = answered(key[own], raw[3 * n : 3 * n + 3])
             levels.append(level)
         super().__init__(keys, levels)
 
