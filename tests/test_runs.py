@@ -233,3 +233,44 @@ def test_reports(spark, tmp_path):
     s = reports.batch_summary(results).first()
     assert (s.total_cases, s.success_count, s.total_chains, s.total_processed_assemblies, s.average_chains_per_successful_case, s.average_dimers_per_successful_case) == (3, 2, 7, 2, 3.5, 0.5)
     assert {r.code for r in reports.skip_codes(results).collect()} == {"too_many", "other"}
+
+
+def test_stored_atoms(spark, tmp_path):
+    from helixframe.sources import atoms
+
+    rows = [("s", a, c, k, i, "C", "CA", float(i), 0.0, 0.0) for i, (a, c, k) in enumerate([("1", "A", 0), ("1", "A", 1), ("1", "B", 0), ("2", "A", 0)])] + [("t", None, "A", 0, 9, "H", "H", float("nan"), 0.0, 0.0)]
+    raw = spark.createDataFrame(rows, "source_path string, assembly_id string, chain_id string, sym_id int, atom_idx int, element string, atom_name string, x double, y double, z double")
+    atoms.store(raw, str(tmp_path / "atoms"))
+    kept = atoms.load(spark, str(tmp_path / "atoms"))
+    want = spark.createDataFrame([("p", "s", "1", "A", 1, 1), ("p", "s", "1", "B", None, 2), ("q", "s", "1", "A", None, 1), ("q", "s", "1", "Z", None, 2), ("r", "t", "7", "A", None, 1)],
+                                 "structure string, source_path string, assembly_id string, chain_id string, sym_id int, part int")
+    found = atoms.chains(kept, want)
+    assert sorted((r.structure, r.chain_id, r.sym_id, r.atom_idx) for r in found.collect()) == [("p", "A", 1, 1), ("p", "B", 0, 2), ("r", "A", 0, 9)]
+    assert [r.structure for r in atoms.missing(want, found).collect()] == ["q"] and [r.structure for r in atoms.oversized(found, 1).collect()] == ["p"]
+    assert {r.source_path: (r.hydrogen_atoms_removed, r.nonfinite_atoms_removed, r.kept) for r in atoms.removed_counts(raw, ["source_path"]).collect()} == {"s": (0, 0, 4), "t": (1, 1, 0)}
+    (tmp_path / "inv.json").write_text('{"monomer_id":"a","n":1}\n{"monomer_id":"a","n":2}\n{"monomer_id":"","n":3}\n')
+    assert [(r.monomer_id, r.n) for r in atoms.inventory_rows(spark, str(tmp_path / "inv.json")).collect()] == [("a", 2)]
+
+
+def test_remembered_alignments(spark, tmp_path):
+    from helixframe.operators import alignments
+
+    rng = np.random.default_rng(4)
+    a = np.cumsum(rng.normal(size=(20, 3)), 0).ravel().tolist()
+    tasks = spark.createDataFrame([("k1", a, a), ("k2", a, a[:6]), ("k3", a, None)], "cache_key string, trace_query array<double>, trace_target array<double>")
+    first = {r.cache_key: (r.state, r.result) for r in alignments.remembered(tasks, str(tmp_path / "memo")).collect()}
+    assert first["k1"][0] == "done" and first["k1"][1].tm_score_query == 1.0 and first["k2"][0] == first["k3"][0] == "failed"
+    assert memo.open_tasks(tasks, memo.connect(spark, str(tmp_path / "memo"))).count() == 2
+    shown = alignments.scored(alignments.aligned(tasks.where("cache_key = 'k1'"))).first()
+    assert shown.meets_tm_threshold and shown.meets_coverage_threshold and shown.error is None
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from helixframe.engine.__main__ import main
+
+    source = case(spark, tmp_path)
+    (tmp_path / "c.toml").write_text("[settings]\nmin_polymer_chain_length = 1\n")
+    assert main(["--config", str(tmp_path / "c.toml"), "--set", "settings.tight_multimer_min_buried_area=1.0", "parse", source, str(tmp_path / "out")], spark) == 0
+    assert main(["report", str(tmp_path / "out")], spark) == 0 and "'success_count': 2" in capsys.readouterr().out
+    assert main(["shards", source, str(tmp_path / "shards"), "--count", "2"], spark) == 0
+    assert sorted(p.name for p in (tmp_path / "shards").iterdir() if p.is_dir()) == ["shard=0", "shard=1"]
