@@ -153,7 +153,7 @@ def strict_date_parse(spark, sf_dir):
            min(o_orderdate::date)::varchar as first_date, count(*) filter (o_orderpriority like '1%') as urgent
     from orders group by o_orderstatus""")
 def batch_summary(spark, sf_dir):
-    """Status counts and totals of a batch."""
+    """Status counts and totals; ``batch_totals`` is the operator."""
     rows = _t(spark, sf_dir, "orders").select("*", _cents("o_totalprice").alias("cents"))
     return rows.groupBy(F.col("o_orderstatus").alias("status")).agg(
         F.count("*").alias("n"), F.sum("cents").alias("cents"), F.min(F.to_date("o_orderdate")).cast("string").alias("first_date"),
@@ -198,7 +198,7 @@ def source_semi_join(spark, sf_dir):
     select r_name, n_name, count(c_custkey) as customers, coalesce(sum(round(c_acctbal * 100)::bigint), 0)::bigint as cents
     from region full join nation on n_regionkey = r_regionkey left join customer on c_nationkey = n_nationkey group by r_name, n_name""")
 def dimension_chain_join(spark, sf_dir):
-    """A chain of outer joins with dimension tables."""
+    """A chain of outer joins with dimension tables."""
     region, nation = _t(spark, sf_dir, "region"), _t(spark, sf_dir, "nation")
     per = _t(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count("*").alias("customers"), F.sum(_cents("c_acctbal")).alias("cents"))
     rows = region.join(nation, F.col("n_regionkey") == F.col("r_regionkey"), "full").join(per, F.col("c_nationkey") == F.col("n_nationkey"), "left")
@@ -238,19 +238,6 @@ def antibody_side_join(spark, sf_dir):
     return sided.groupBy("inside").agg(F.count("*").alias("n"), F.sum("cents").alias("cents"))
 
 
-@query("""
-    with b as (select distinct l_orderkey as o, l_suppkey as m from lineitem),
-    u as (select distinct l_partkey as u, l_suppkey as m from lineitem where l_returnflag = 'R' and l_linestatus = 'F' and l_linenumber = 1),
-    n as (select u, count(*) as n from u group by u)
-    select u.u as unit, b.o as support from u join b using (m) join n using (u) group by u.u, b.o, n.n having count(*) = n.n""")
-def set_containment_support(spark, sf_dir):
-    """Cases that hold every member of a unit of some rows; all rows' units are in ``set_containment_all``."""
-    rows = _t(spark, sf_dir, "lineitem")
-    sets = rows.select(F.col("l_orderkey").alias("support"), F.col("l_suppkey").alias("m"))
-    units = rows.where("l_returnflag = 'R' and l_linestatus = 'F' and l_linenumber = 1").select(F.col("l_partkey").alias("unit"), F.col("l_suppkey").alias("m"))
-    return R.contained(units, sets, "unit", "support", "m")
-
-
 @query("""
     with b as (select distinct l_orderkey as o, l_suppkey as m from lineitem),
     u as (select distinct l_partkey as u, l_suppkey as m from lineitem),
@@ -333,7 +320,7 @@ def run_length_residues(spark, sf_dir):
 @query("""
     select p_brand, arg_min(p_name, row(p_size, p_partkey)) as first_name, arg_max(p_partkey, row(p_size, -p_partkey)) as largest from part group by p_brand""")
 def largest_assembly(spark, sf_dir):
-    """A5: arg-max with a tie-break."""
+    """Arg-max with a tie-break."""
     rows = _t(spark, sf_dir, "part")
     return rows.groupBy("p_brand").agg(
         F.min_by("p_name", F.struct("p_size", "p_partkey")).alias("first_name"),
@@ -355,7 +342,7 @@ def numeric_aware_order(spark, sf_dir):
            arg_max(p_size * case when p_type like '%A%' then 8 when p_type like '%O%' then 20 else 5 end, p_partkey)::bigint as last_row
     from part group by p_type""")
 def assembly_atom_estimate(spark, sf_dir):
-    """A4: estimated atoms, summed, and as the last row has it (both readings)."""
+    """Weighted sizes, summed, and as the last row has them."""
     each = F.when(F.col("p_type").contains("A"), 8).when(F.col("p_type").contains("O"), 20).otherwise(5)
     rows = _t(spark, sf_dir, "part").select("p_type", "p_partkey", (F.col("p_size") * each).cast("long").alias("atoms"))
     return rows.groupBy("p_type").agg(F.sum("atoms").alias("summed"), F.max_by("atoms", "p_partkey").alias("last_row"))
@@ -374,7 +361,7 @@ def oper_expression(spark, sf_dir):
     select page_id, regexp_replace(lower(regexp_extract(url, '([^/\\\\]*)$', 1)), '\\.b?cif(\\.gz)?$', '') as case_id,
            nullif(regexp_extract(regexp_replace(lower(regexp_extract(url, '([^/\\\\]*)$', 1)), '\\.b?cif(\\.gz)?$', ''), '^([0-9][a-z0-9]{3})(?:[-_].*)?$', 1), '') as entry_id from pages""")
 def case_id_from_path(spark, sf_dir):
-    """X4-X9."""
+    """X5, X6."""
     return _t(spark, sf_dir, "pages").select("page_id", S.case_id(F.col("url")).alias("case_id"), S.entry_from_name(F.col("url")).alias("entry_id"))
 
 
@@ -430,7 +417,7 @@ def component_key(spark, sf_dir):
     select conv_id, turn, case when p = 1 then 'alpha' when p = 2 then 'beta' else 'auxiliary' end as descriptor
     from (select *, row_number() over (partition by conv_id order by turn) as p from conversations)""")
 def role_descriptors(spark, sf_dir):
-    """Roles by position."""
+    """Roles by position; ``member_rules`` has the operators."""
     rows = _t(spark, sf_dir, "conversations").select("conv_id", "turn")
     p = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
     return rows.withColumn("p", p).select("conv_id", "turn", F.when(F.col("p") == 1, "alpha").when(F.col("p") == 2, "beta").otherwise("auxiliary").alias("descriptor"))
@@ -441,7 +428,7 @@ def role_descriptors(spark, sf_dir):
 
 @query("select event_type as code, count(*) as n, count(distinct user_id) as cases from events group by event_type")
 def warning_counts(spark, sf_dir):
-    """A14-A19."""
+    """Counts and cases of each warning code."""
     return _t(spark, sf_dir, "events").groupBy(F.col("event_type").alias("code")).agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("cases"))
 
 
@@ -468,7 +455,7 @@ def top_by_code(spark, sf_dir):
     select count(*) as cases, sum(n)::bigint as interfaces, sum(cents)::bigint as cents, max(n) as most, arg_max(l_orderkey, row(n, -l_orderkey)) as largest_case,
            (select count(*) from orders where o_orderkey not in (select l_orderkey from lineitem)) as empty_cases from p""")
 def smoke_aggregate(spark, sf_dir):
-    """Totals and the largest case."""
+    """Totals and the largest case; ``smoke_totals`` is the operator."""
     per = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.sum(_cents("l_extendedprice")).alias("cents"))
     orders = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
     rows = per.withColumn("own", F.lit(1)).join(orders.withColumn("entry", F.lit(1)), "l_orderkey", "full")
@@ -481,7 +468,7 @@ def smoke_aggregate(spark, sf_dir):
 
 @query("select event_id, event_type, len(json_keys(props)) as fields, json_extract_string(props, '$.page') as page from events")
 def json_flatten(spark, sf_dir):
-    """Fields of nested values."""
+    """Fields of nested values."""
     rows = _t(spark, sf_dir, "events")
     return rows.select("event_id", "event_type", F.size(F.json_object_keys("props")).cast("long").alias("fields"), F.get_json_object("props", "$.page").alias("page"))
 
@@ -490,7 +477,7 @@ def json_flatten(spark, sf_dir):
     select t.l_partkey, t.l_suppkey, m.p is not null as memoised from (select distinct l_partkey, l_suppkey from lineitem) t
     left join (select distinct l_partkey as p, l_suppkey as s from lineitem where l_returnflag = 'N') m on m.p = t.l_partkey and m.s = t.l_suppkey""")
 def memo_antijoin(spark, sf_dir):
-    """Tasks, and whether a memo already has their result."""
+    """Tasks, and whether any row has their result; ``memo_lookup`` is the operator."""
     rows = _t(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_returnflag")
     return rows.groupBy("l_partkey", "l_suppkey").agg(F.max(F.coalesce(F.col("l_returnflag") == "N", F.lit(False))).alias("memoised"))
 
@@ -498,7 +485,7 @@ def memo_antijoin(spark, sf_dir):
 @query("""
     select page_id, len(regexp_extract_all(html, '<[a-zA-Z][^>]*>')) as opening, len(regexp_extract_all(html, '</[a-zA-Z][^>]*>')) as closing, length(html) as size from pages""")
 def html_tokenise(spark, sf_dir):
-    """Markup tokens by kind."""
+    """Markup tokens by kind."""
     rows = _t(spark, sf_dir, "pages")
     return rows.select(
         "page_id", F.size(F.regexp_extract_all("html", F.lit("<[a-zA-Z][^>]*>"), F.lit(0))).cast("long").alias("opening"),
@@ -556,7 +543,7 @@ _HALVES = "list_min(embedding[1:32])::double as lo1, list_max(embedding[1:32])::
     with b as (select vec_id, {_HALVES} from embeddings)
     select vec_id, greatest(0, lo1 - hi2, lo2 - hi1) as gap, greatest(0, lo1 - hi2, lo2 - hi1) <= 0.0 as near from b""")
 def bbox_filter(spark, sf_dir):
-    """Distance of two boxes."""
+    """Distance of two intervals; ``box_distances`` is the operator."""
     half = lambda i: F.slice("embedding", i, 32)
     lo1, hi1, lo2, hi2 = (f(half(i)).cast("double") for i in (1, 33) for f in (F.array_min, F.array_max))
     gap = F.greatest(F.lit(0.0), lo1 - hi2, lo2 - hi1)

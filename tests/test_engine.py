@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from helixframe.functions import chains
 from helixframe.functions import scalars as S
 from helixframe.operators import geometry, graphs, multimers
-from helixframe.plans import catalogue, structural
+from helixframe.plans import catalogue, rules
 from helixframe.sources import mmcif
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
-@pytest.mark.parametrize("name", [n for n in structural.QUERIES if n in catalogue.ORACLE_SQL])
+@pytest.mark.parametrize("name", [n for n in rules.QUERIES if n in catalogue.ORACLE_SQL])
 def test_query(spark, name):
     db = duckdb.connect()
     for t in TABLES:
