@@ -19,7 +19,20 @@ def edge_table(rows: DataFrame, case: str, a: str, b: str, area: str, least: flo
     return ends.groupBy(case, "u", "v").agg(best).withColumn("weight", F.col("area") / 1000)
 
 
-def case_components(edges: DataFrame, case: str) -> DataFrame:
+#: Edges of one case that a single task handles; larger cases go by rounds over tables.
+TASK_EDGES = 1_000_000
+
+
+def _by_size(edges: DataFrame, case: str, task_edges: int) -> tuple[DataFrame, DataFrame | None]:
+    """Edges of cases that fit one task, and of those that do not (None where there are none)."""
+    large = edges.groupBy(case).count().where(F.col("count") > task_edges).select(case)
+    if large.isEmpty():
+        return edges, None
+    large = written(large)
+    return edges.join(large, case, "left_anti"), edges.join(large, case, "left_semi")
+
+
+def case_components(edges: DataFrame, case: str, task_edges: int = TASK_EDGES) -> DataFrame:
     """(case, node, component) of each case's graph; graphs are local to their case."""
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -27,7 +40,14 @@ def case_components(edges: DataFrame, case: str) -> DataFrame:
         return pd.DataFrame({case: pdf[case].iloc[0], "node": list(label), "component": list(label.values())})
 
     kind, node = dict(edges.dtypes)[case], dict(edges.dtypes)["u"]
-    return edges.groupBy(case).applyInPandas(one, f"`{case}` {kind}, node {node}, component {node}")
+    small, large = _by_size(edges.select(case, "u", "v"), case, task_edges)
+    out = small.groupBy(case).applyInPandas(one, f"`{case}` {kind}, node {node}, component {node}")
+    if large is None:
+        return out
+    end = lambda c: F.struct(F.col(case).alias("case"), F.col(c).alias("x"))
+    links = large.select(end("u").alias("u"), end("v").alias("v"))
+    found = components(links, links.select(F.col("u").alias("node")).union(links.select("v")).distinct())
+    return out.unionByName(found.select(F.col("node.case").alias(case), F.col("node.x").alias("node"), F.col("component.x").alias("component")))
 
 
 def components_of(edges) -> dict:
@@ -152,8 +172,36 @@ def communities(edges: DataFrame, case: str, resolution: float = 1.0, least_memb
     return edges.groupBy(case).applyInPandas(one, f"`{case}` {kind}, node {node}, community {node}")
 
 
-def greedy_matching(rows: DataFrame, case: str, a: str, b: str, order: list[str], descending: list[bool]) -> DataFrame:
-    """In each case, the best remaining pair is taken until no pair of free members is left."""
+def _dominant(rows: DataFrame, case: str, a: str, b: str, order: list, sides: bool) -> DataFrame:
+    """Greedy pairs by rounds: an edge that is the best one at both of its ends is taken, its ends' other edges go.
+
+    With a strict order these are the pairs that taking the best remaining edge
+    one by one gives, as an edge that is best at both ends is taken before any
+    other edge could use an end up. With ``sides`` a and b are nodes apart.
+    """
+    ends = lambda r: [r.select(case, F.col("_k"), F.struct(F.lit(i if sides else 0).alias("s"), F.col(c).cast("string").alias("n")).alias("end")) for i, c in enumerate((a, b))]
+    rest = written(rows.select(case, a, b, F.struct(*order, F.col(a).alias("_a"), F.col(b).alias("_b")).alias("_k")))
+    done = None
+    while not rest.isEmpty():
+        one, two = ends(rest)
+        best = one.unionByName(two).groupBy(case, "end").agg(F.min("_k").alias("_k"))
+        taken = written(best.groupBy(case, "_k").count().where("count = 2").select(case, "_k"))
+        pairs = rest.join(taken, [case, "_k"], "left_semi")
+        done = pairs if done is None else done.unionByName(pairs)
+        used = best.join(taken, [case, "_k"], "left_semi").select(case, "end")
+        for i, c in enumerate((a, b)):
+            rest = rest.withColumn("end", F.struct(F.lit(i if sides else 0).alias("s"), F.col(c).cast("string").alias("n"))).join(used, [case, "end"], "left_anti").drop("end")
+        rest = written(rest)
+    return done if done is not None else rest
+
+
+def _order(order: list[str], descending: list[bool]) -> list:
+    """Columns whose least struct is the first in order; numbers only are turned around."""
+    return [(-F.col(c) if d else F.col(c)).alias(f"_o{i}") for i, (c, d) in enumerate(zip(order, descending, strict=True))]
+
+
+def greedy_matching(rows: DataFrame, case: str, a: str, b: str, order: list[str], descending: list[bool], task_edges: int = TASK_EDGES) -> DataFrame:
+    """In each case, the best remaining pair is taken until no pair of free members is left. Orders are of numbers."""
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([*order, a, b], ascending=[*(not d for d in descending), True, True], kind="stable")
@@ -166,7 +214,12 @@ def greedy_matching(rows: DataFrame, case: str, a: str, b: str, order: list[str]
         return pd.DataFrame(out, columns=[case, a, b])
 
     t = dict(rows.dtypes)
-    return rows.select(case, a, b, *order).groupBy(case).applyInPandas(one, f"`{case}` {t[case]}, `{a}` {t[a]}, `{b}` {t[b]}")
+    small, large = _by_size(rows.select(case, a, b, *order), case, task_edges)
+    out = small.groupBy(case).applyInPandas(one, f"`{case}` {t[case]}, `{a}` {t[a]}, `{b}` {t[b]}")
+    if large is None:
+        return out
+    best = large.groupBy(case, a, b).agg(F.min(F.struct(*_order(order, descending))).alias("_k")).select(case, a, b, "_k.*")
+    return out.unionByName(_dominant(best, case, a, b, [F.col(f"_o{i}") for i in range(len(order))], True).select(case, a, b))
 
 
 def greedy_pairs(rows: DataFrame, case: str, a: str, b: str, order: list[str], descending: list[bool]) -> DataFrame:

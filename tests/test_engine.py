@@ -273,3 +273,21 @@ def test_supporting_sets_meet_the_other_side(spark):
     sets = df([(7, "H"), (7, "L"), (7, "A"), (8, "H"), (8, "L"), (9, "H"), (9, "A"), (9, "B")]).toDF("s", "m")
     out = supporting(df([(1, "H"), (1, "L"), (2, "H")]), df([(1, "A"), (1, "B"), (2, "B"), (3, "A")]), sets, "u", "s", "m")
     assert sorted(tuple(r) for r in out.collect()) == [(1, 7), (2, 9)]
+
+
+def test_large_cases_go_by_rounds(spark):
+    """Components and matchings of a case too large for a task are those of one task."""
+    rng = np.random.default_rng(6)
+    rows = [(int(c), int(u), int(v) + 100, int(w)) for c, u, v, w in zip(rng.integers(0, 3, 300), rng.integers(0, 40, 300), rng.integers(0, 40, 300), rng.integers(0, 9, 300), strict=True)]
+    edges = spark.createDataFrame(rows, "case int, u int, v int, w int").dropDuplicates(["case", "u", "v"])
+    found = lambda limit: {tuple(r) for r in graphs.case_components(edges, "case", limit).collect()}
+    assert found(10) == found(10**6) == {(c, n, k) for c in range(3) for n, k in graphs.components_of({(r.u, r.v) for r in edges.collect() if r.case == c}).items()}
+    paired = lambda limit: {tuple(r) for r in graphs.greedy_matching(edges, "case", "u", "v", ["w"], [True], limit).collect()}
+    want = set()
+    for c in range(3):
+        used = set()
+        for w, u, v in sorted((-r.w, r.u, r.v) for r in edges.collect() if r.case == c):
+            if u not in used and v not in used:
+                used |= {u, v}
+                want.add((c, u, v))
+    assert paired(10) == paired(10**6) == want
