@@ -73,7 +73,7 @@ SLICE = 1 << 20
 LOTS = 8
 #: Lanes in which a batch's contexts are read while a mixer learns.
 LANES = 1024
-BATCH_DOCS = 3000
+BATCH_DOCS = 2000
 FOLDS, FOLD = 7, 2
 
 
