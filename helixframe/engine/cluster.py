@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.engine.settings import ClusterSettings
+from helixframe.engine.settings import ClusterSettings, check_cutoff
 from helixframe.functions.scalars import component_key, date_decision, moved_path
-from helixframe.operators import clustering, identity, refinement
+from helixframe.operators import clustering, identity, refinement, relational
 from helixframe.operators.tables import written
 from helixframe.sources import bundles, sinks
 
@@ -93,6 +93,35 @@ def high_order(stage: str, rows: DataFrame, known: DataFrame, own: DataFrame, st
     return refinement.refined(observed, structures, stage)
 
 
+def from_pairs(pairs: DataFrame, own: DataFrame, prefix: str = "prot_") -> DataFrame:
+    """Clusters that another program told as (representative, member) pairs; a member that the inventory lacks fails the job.
+
+    Clusters are numbered in order of representatives.
+    """
+    known = own.select("monomer_id")
+    rows = relational.looked_up(pairs.withColumnRenamed("member", "monomer_id"), known, ["monomer_id"], "monomer")
+    sizes = rows.groupBy("representative").agg(F.count("*").alias("size"))
+    return rows.join(clustering.numbered_groups(sizes, "representative", [F.col("representative").asc()], prefix), "representative").select("monomer_id", "cluster_id", "representative", "size")
+
+
+def buckets(membership: DataFrame) -> DataFrame:
+    """(sequence_cluster_id, monomer_ids) of the protein clusters."""
+    rows = membership.where("polymer_class = 'protein' and cluster_id <> '' and member_monomer_id <> ''")
+    return rows.groupBy(F.col("cluster_id").alias("sequence_cluster_id")).agg(F.array_sort(F.collect_set("member_monomer_id")).alias("monomer_ids"))
+
+
+def dataset(spark: SparkSession, target: str, settings: ClusterSettings, structures: bool = False) -> dict[str, DataFrame]:
+    """The tables of an earlier sequence stage, if it was made with this cutoff; with structures, if there are any."""
+    made = {r["name"]: r["value"] for r in spark.read.json(f"{target}/settings").collect()}
+    check_cutoff(settings, made.get("cutoff_date", ""))
+    out = {"monomer_inventory": spark.read.json(f"{target}/monomer_inventory"), "sequence_clusters": spark.read.option("header", "true").csv(f"{target}/sequence_clusters")}
+    if structures:
+        if made.get("protein_structure_mode") != "greedy" or made.get("structure_clusters") != "true":
+            raise ValueError("the run has no structure clusters")
+        out["structure_clusters"] = spark.read.option("header", "true").csv(f"{target}/structure_clusters")
+    return out
+
+
 def run(
     spark: SparkSession, prep_dir: str, target: str, settings: ClusterSettings | None = None, traces: DataFrame | None = None, structures: dict[str, DataFrame] | None = None, folder: str | None = None,
 ) -> dict[str, DataFrame]:
@@ -115,6 +144,8 @@ def run(
         structure = refinement.structure_clusters(members)
         sinks.csv_rows(structure, f"{target}/structure_clusters")
         out["structure_clusters"] = structure = spark.read.option("header", "true").csv(f"{target}/structure_clusters")
+    made = [(k, str(v)) for k, v in sorted(settings.fingerprint().items())] + [("structure_clusters", str(structure is not None).lower())]
+    spark.createDataFrame(made, "name string, value string").coalesce(1).write.mode("overwrite").json(f"{target}/settings")
     known = written(refinement.assignments(out["sequence_clusters"], structure))
     empty = spark.createDataFrame([], "observation_id string, trace array<float>")
     for stage in STAGES:

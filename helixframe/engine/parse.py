@@ -130,10 +130,20 @@ def run(spark: SparkSession, inputs: str, target: str, settings: ParseSettings |
     read["results"] = spark.read.parquet(f"{target}/results")
     _manifest(spark, settings, target)
     sinks.csv_rows(read["results"], f"{target}/metadata_csv", sinks.CASE_COLUMNS)
+    export(read, target, settings)
     read["summary"] = reports.batch_summary(read["results"])
     return read
 
 
+def export(read: dict[str, DataFrame], target: str, settings: ParseSettings) -> None:
+    """The tables once more as the asked format: JSON lines, or CSV with nested values as JSON."""
+    for name in ("chains", "interfaces", "multimers", "antibody_complexes", "tcr_complexes"):
+        if settings.output_format == "csv":
+            sinks.csv_rows(read[name], f"{target}/csv/{name}")
+        else:
+            sinks.json_lines(read[name], f"{target}/json/{name}")
+
+
 def _faces(atoms: DataFrame, chains: DataFrame, settings: ParseSettings) -> DataFrame:
     from helixframe.functions import fixed as X
 

@@ -91,7 +91,7 @@ CHUNK_ROWS = 4096
 
 
 def leader_clusters(rows: DataFrame, bucket: str, member: str, order: list[str], payload: str, accept, kind: str = "long", lead_rows: int = LEAD_ROWS) -> DataFrame:
-    """In each bucket, members in order join the first leader that accepts them, or lead a new cluster.
+    """In each bucket, members in order join the first leader that accepts them, or lead a new cluster.
 
     ``accept(leaders, members)`` gets two lists of payloads and tells, as a
     matrix of a row a member, which leaders accept which. Rounds: the first

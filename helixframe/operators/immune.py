@@ -58,7 +58,7 @@ def overlap(a: dict, b: dict) -> int:
 
 
 def select_domains(hits: list[dict], preferred: list[str], limit: int = X.DOMAIN_LIMIT) -> list[dict]:
-    """One hit for each group of hits that overlap by a share of the shorter one, in order of the sequence.
+    """One hit for each group of hits that overlap by a share of the shorter one, in order of the sequence.
 
     Hits come best first and join the first group with such a member; a group's
     best gives way to one of a preferred code that is nearly as good.

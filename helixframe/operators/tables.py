@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; one of our own only where none is set on a single machine, as in tests."""
+    """The folder of ``spark.checkpoint.dir``; one of our own only where none is set on a single machine, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")

@@ -93,8 +93,8 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def scan(spark: SparkSession, path: str, pattern: str = "*.cif*") -> DataFrame:
-    """Items of all structure files under a path."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
+    """Items of all structure files under a path, or several separated by commas."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path.split(","))
     return files.select("path", "content").mapInPandas(_read, ITEMS)
 
 

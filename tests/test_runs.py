@@ -274,3 +274,75 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["report", str(tmp_path / "out")], spark) == 0 and "'success_count': 2" in capsys.readouterr().out
     assert main(["shards", source, str(tmp_path / "shards"), "--count", "2"], spark) == 0
     assert sorted(p.name for p in (tmp_path / "shards").iterdir() if p.is_dir()) == ["shard=0", "shard=1"]
+
+
+def test_structures_of_observations(spark):
+    """Chains of each kind of observation, all or none, with a common copy, and the residues near the other side."""
+    from helixframe.engine import structures
+
+    rows, n = [], 0
+    for chain, sym, x in (("A", 0, 0.0), ("A", 1, 100.0), ("B", 1, 105.0), ("C", 0, 6.0)):
+        for residue in range(1, 5):
+            n += 1
+            rows.append(("s", "1", chain, sym, n, residue, "", "GLY", "CA", "C", x + 20.0 * (residue - 1), 0.0, 0.0))
+    atoms = spark.createDataFrame(rows, "source_path string, assembly_id string, chain_id string, sym_id int, atom_idx int, res_id int, ins_code string, res_name string, atom_name string, element string, x double, y double, z double")
+    pick = lambda stage, obs: {(r.structure, r.chain_id, r.sym_id, r.res_id) for r in structures.extracted(stage, obs, atoms).collect()}
+    base = "observation_id string, source_path string, assembly_id string"
+    dimers = spark.createDataFrame([("d1", "s", "1", "A", 1, "B", 1), ("d2", "s", "1", "A", 0, "Z", 0)], f"{base}, label_asym_id_1 string, sym_id_1 int, label_asym_id_2 string, sym_id_2 int")
+    assert pick("dimers", dimers) == {("d1", c, 1, r) for c in "AB" for r in range(1, 5)}
+    antibody = spark.createDataFrame([("a", "s", "1", '["A","A"]', '["B"]')], f"{base}, antibody_chain_ids string, antigen_chain_ids string")
+    assert {x[:3] for x in pick("antibody_complexes", antibody)} == {("a", "A", 1), ("a", "B", 1)}
+    multimers = spark.createDataFrame([("m", "s", "1", '["A"]', '[{"instance_id":"A@2","label_asym_id":"A"},{"label_asym_id":"C","sym_id":0}]'), ("p", "s", "1", '["C","A"]', None)], f"{base}, member_chain_ids string, member_instances string")
+    assert {x[:3] for x in pick("multimers", multimers)} == {("m", "A", 1), ("m", "C", 0), ("p", "A", 0), ("p", "C", 0)}
+    tcr = spark.createDataFrame([("t", "s", "1", '["A"]', '["C"]', None, "[]")], f"{base}, tcr_chain_ids string, mhc_chain_ids string, peptide_chain_ids string, auxiliary_chain_ids string")
+    found = structures.extracted("tcr_complexes", tcr, atoms)
+    assert {x[:3] for x in pick("tcr_complexes", tcr)} == {("t", "A", 0), ("t", "C", 0)}
+    shape = structures.traces(found).first()
+    assert shape.observation_id == "t" and shape.trace[:3] == [0.0, 0.0, 0.0] and len(shape.trace) == 24
+    assert structures.files(found).first().document.count("TER") == 2
+    faces = spark.createDataFrame([("c", "A", "C", 3, 20, 50.0, 2.5), ("c", "C", "B", 1, 5, 10.0, 1.5), ("c", "A", "B", 9, 9, 9.0, 9.0)], "case string, label_asym_id_1 string, label_asym_id_2 string, num_residue_contacts int, num_atom_contacts int, buried_area double, min_distance double")
+    parts = spark.createDataFrame([("x", "c", "A", 1), ("x", "c", "B", 1), ("x", "c", "C", 2)], "structure string, case string, chain_id string, side int")
+    assert [tuple(r) for r in structures.set_metrics(faces, parts).collect()] == [("x", 4, 25, 60.0, 1.5)]
+
+
+def test_refine_run(spark, tmp_path):
+    from helixframe.engine import refine
+
+    rng = np.random.default_rng(3)
+    rows = [("s", None, "H", 0, i, i, "", "ALA", "CA", "C", float(i), 0.0, 0.0) for i in range(1, 131)]
+    rows += [("s", None, "X", 0, 1000 + i, i, "", "ALA", "CA", "C", *(np.array((60, 4, 0)) + rng.normal(size=3)).tolist()) for i in range(1, 16)]
+    schema = "source_path string, assembly_id string, chain_id string, sym_id int, atom_idx int, res_id int, ins_code string, res_name string, atom_name string, element string, x double, y double, z double"
+    atoms = spark.createDataFrame(rows, schema).withColumn("assembly_id", F.lit("au"))
+    complexes = spark.createDataFrame([("o", "s", "", '["H"]', '["X"]', "VHH")], "observation_id string, source_path string, assembly_id string, antibody_chain_ids string, antigen_chain_ids string, antibody_unit_type string")
+    kinds = "domains array<struct<number:int,code:string,fv_start:int,fv_end:int>>, units array<struct<unit_id:string,unit_type:string,domain_ids:array<string>>>"
+    annotated = spark.createDataFrame([("s", "H", 2, "x", [], []), ("s", "H", 1, "antibody heavy chain", [(0, "H", 1, 110)], [])], f"source_path string, chain_id string, place int, chain_type string, {kinds}")
+    out = {(r.chain, r.role): ([tuple(x) for x in r.intervals], r.warning) for r in refine.run(complexes, atoms, annotated, str(tmp_path / "files")).collect()}
+    assert out["H", "antibody"] == ([(1, 110)], None) and out["X", "antigen"][1] is None
+    text = spark.read.json(str(tmp_path / "files")).first().document
+    assert text.count("ATOM") == 110 + sum(b - a + 1 for a, b in out["X", "antigen"][0])
+
+
+def test_suites_and_datasets(spark, tmp_path):
+    from helixframe.engine import suites
+
+    source = case(spark, tmp_path)
+    settings = ParseSettings(min_polymer_chain_length=1, output_format="csv")
+    totals = {r.metric: r.total for r in suites.smoke(spark, source, str(tmp_path / "smoke"), 1, settings).collect()}
+    assert totals["num_chains"] == 4.0 and (tmp_path / "smoke" / "csv" / "chains").exists()
+    (tmp_path / "list.txt").write_text(f"# two\n{source}/2def.cif\n{source}/2def.cif\n")
+    out = suites.representative(spark, str(tmp_path / "list.txt"), str(tmp_path / "suite"), settings, ("asymmetric_unit", "first_assembly"))
+    assert {k: v.first().total_cases for k, v in out.items()} == {"asymmetric_unit": 1, "first_assembly": 1}
+    own = spark.createDataFrame([("a",), ("b",), ("c",)], "monomer_id string")
+    pairs = spark.createDataFrame([("b", "b"), ("b", "c"), ("a", "a")], "representative string, member string")
+    assert {r.monomer_id: (r.cluster_id, r.size) for r in cluster.from_pairs(pairs, own).collect()} == {"a": ("prot_1", 1), "b": ("prot_2", 2), "c": ("prot_2", 2)}
+    with pytest.raises(Exception, match="no monomer for z"):
+        cluster.from_pairs(spark.createDataFrame([("a", "z")], pairs.schema), own).collect()
+    target = str(tmp_path / "made")
+    spark.createDataFrame([("cutoff_date", "2020-01-01"), ("protein_structure_mode", "greedy"), ("structure_clusters", "false")], "name string, value string").write.json(f"{target}/settings")
+    own.write.json(f"{target}/monomer_inventory")
+    own.write.csv(f"{target}/sequence_clusters")
+    assert cluster.dataset(spark, target, ClusterSettings(cutoff_date="2020-01-01"))["monomer_inventory"].count() == 3
+    with pytest.raises(ValueError, match="cutoff"):
+        cluster.dataset(spark, target, ClusterSettings())
+    with pytest.raises(ValueError, match="no structure clusters"):
+        cluster.dataset(spark, target, ClusterSettings(cutoff_date="2020-01-01"), structures=True)
