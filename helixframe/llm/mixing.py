@@ -227,7 +227,8 @@ class Mixer:
     def learn(self, find, key: np.ndarray, word: np.ndarray, times: np.ndarray, done: float = 0, share: float = 1, batch: int = 1024) -> None:
         """Online over keys in order: predict a batch, then move weights and map by its errors.
 
-        Keys count as often as they occur. The pass is the given share of all
+        Keys count as often as they occur; ``find`` gets keys and what else tells
+        them apart. The pass is the given share of all
         learning, after the part that is done.
         """
         place = np.arange(8)[:, None]
@@ -351,13 +352,18 @@ class Batch:
         self.key, self.word, self.times = key[lead][by], word[lead][by], np.add.reduceat(times[order], at)[by]
 
     def kinds(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each order, and the words: sorted distinct keys, and how often they are in training texts."""
-        out, key, times = [], self.key, self.times
+        """For each order, and the words: sorted distinct keys, and how often they are in training texts; ``at`` has
+        each context's place among them."""
+        out, key, times, at = [], self.key, self.times, None
+        word, word_times, own = _distinct(self.word, self.times)
+        self.at = [own]
         for k in range(ORDERS - 1, -1, -1):
             # Shorter contexts are those of longer ones, cut.
-            key, times = distinct_counts(_kept(key, k), times)
+            key, times, own = _distinct(_kept(key, k), times)
+            at = own if at is None else own[at]
+            self.at.insert(0, at)
             out.append((key, times))
-        return [*out[::-1], distinct_counts(self.word, self.times)]
+        return [*out[::-1], (word, word_times)]
 
     def sums(self, value: np.ndarray) -> np.ndarray:
         """Of a value for each distinct context, the sum over each text."""
@@ -367,8 +373,20 @@ class Batch:
         return out
 
 
+def _distinct(x: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct values, their sums of weights, and the place of each value among them."""
+    if not len(x):
+        return x, weights, np.zeros(0, np.int32)
+    order = np.argsort(x)
+    x = x[order]
+    new = np.concatenate(([True], x[1:] != x[:-1]))
+    at, own = np.flatnonzero(new), np.empty(len(x), np.int32)
+    own[order] = np.cumsum(new, dtype=np.int32) - 1
+    return x[at], np.add.reduceat(weights[order], at), own
+
+
 def _groups(both: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places in an order that brings equal hashes together, each group's begin in it (its first place), and each one's group."""
+    """Places in order of hashes, each group's begin in it (its first place), and each one's group."""
     bits = np.uint64(max(1, len(both).bit_length()))
     # Hashes and places in one number: sorted, a hash's first place leads it.
     packed = np.sort(both >> bits << bits | np.arange(len(both), dtype=np.uint64))
@@ -488,6 +506,10 @@ class Levels:
     def __init__(self, keys: list[np.ndarray], level: list[np.ndarray]):
         self.keys, self.level = keys, level
 
+    def rows(self, at: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+        """Pairs of levels of some rows, by the places of all rows' keys."""
+        return np.stack([level[own[rows]].T for level, own in zip(self.level, at, strict=True)])
+
     def find(self, key: np.ndarray, word: np.ndarray) -> np.ndarray:
         out = np.empty((INPUTS, 8, len(key)), np.uint16)
         for k, (known, level) in enumerate(zip(self.keys, self.level, strict=True)):
@@ -525,7 +547,7 @@ def learned(batch: Batch, kinds: list[tuple[np.ndarray, np.ndarray]]) -> np.ndar
     # Lanes of contexts in reading order, read side by side: each step holds contexts of many places.
     train = train[np.argsort(np.arange(len(train)) % max(1, -(-len(train) // LANES)), kind="stable")]
     own = Levels([k for k, _ in kinds], [np.ascontiguousarray(levels_of(k, siblings(k, n)).T) for k, n in kinds])
-    mixer.learn(own.find, batch.key[train], batch.word[train], batch.times[train])
+    mixer.learn(lambda _, rows: own.rows(batch.at, rows), batch.key[train], train, batch.times[train])
     return mixer.parts()
 
 
@@ -548,9 +570,13 @@ def _words(text_column):
 def _dealt_words(text_column, buckets: int):
     """Distinct word hashes, their rows by bucket, each bucket's end, and every word's place among the distinct and its document."""
     h, doc = _words(text_column)
-    distinct = distinct_sorted(h)
+    distinct, at = h, np.zeros(len(h), np.int32)
+    if len(h):
+        place, first, group = _groups(h)
+        distinct = h[place[first]]
+        at[place] = group
     order, ends = _split((mix(distinct) % np.uint64(buckets)).astype(np.int64), buckets)
-    return distinct, order, ends, np.searchsorted(distinct, h), doc
+    return distinct, order, ends, at, doc
 
 
 def _batch_counts(buckets: int, lots: int):
@@ -666,7 +692,8 @@ def _score_batch(buckets: int, taught: np.ndarray | None = None):
         batch = Batch(docs.column("text"), np.zeros(n, bool))
         known = Contexts([k for k, _ in batch.kinds()], buckets, asked)
         del asked, rows
-        score = batch.sums(Model(None, mixer, known.find).log10(batch.key, batch.word))
+        model = Model(None, mixer, lambda _, rows: known.rows(batch.at, rows))
+        score = batch.sums(model.log10(batch.key, np.arange(len(batch.key))))
         size = docs.column("text").cast(pa.large_binary())
         size = pc.fill_null(pc.binary_length(size), 0).to_numpy()
         kinds = np.zeros(n, np.int64)
