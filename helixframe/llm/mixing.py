@@ -73,7 +73,7 @@ SLICE = 1 << 20
 LOTS = 8
 #: Lanes in which a batch's contexts are read while a mixer learns.
 LANES = 1024
-BATCH_DOCS = 2000
+BATCH_DOCS = 2500
 FOLDS, FOLD = 7, 2
 
 
@@ -541,6 +541,15 @@ class Contexts(Levels):
 # Learning from all training texts
 
 
+def pack_lesson(parts: np.ndarray) -> bytes:
+    """What a mixer learned, in single precision; what it never visited costs little."""
+    return zlib.compress(parts.astype("<f4").tobytes(), 1)
+
+
+def unpack_lesson(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(raw), "<f4").astype(np.float64)
+
+
 def learned(batch: Batch, kinds: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """What a mixer learns in an online pass over a batch's training texts in reading order, by the batch's own counts."""
     mixer, train = Mixer(), np.flatnonzero(batch.times > 0)
@@ -592,7 +601,7 @@ def _batch_counts(buckets: int, lots: int):
         words = np.split(order, ends[:-1])
         batch = Batch(table.column("text"), train, sums=False)
         kinds = batch.kinds()
-        lesson = learned(batch, kinds).tobytes()
+        lesson = pack_lesson(learned(batch, kinds))
         del batch
         grown = []
         while kinds:
@@ -623,7 +632,7 @@ def _sum_counts(buckets: int, batches: int):
         rows = sorted(table.to_pylist(), key=lambda r: -r["batch"])
         bucket = rows[0]["bucket"]
         if bucket >= buckets:
-            total = sum(np.frombuffer(r["grams"]) for r in rows).tobytes()
+            total = pack_lesson(sum(unpack_lesson(r["grams"]) for r in rows))
             to, none = list(range(batches)), [b""] * batches
             return pa.table({
                 "batch": pa.array(to, pa.int64()), "bucket": pa.array([bucket] * batches, pa.int64()), "totals": pa.array(none, pa.binary()),
@@ -635,7 +644,7 @@ def _sum_counts(buckets: int, batches: int):
             {
                 "batch": pa.array([r["batch"] for r in rows], pa.int64()),
                 "bucket": pa.array([r["bucket"] for r in rows], pa.int64()),
-                "totals": pa.array([np.minimum(total[np.searchsorted(key, w)], 2**32 - 1).astype("<u4").tobytes() for w in words], pa.binary()),
+                "totals": pa.array([zlib.compress(np.minimum(total[np.searchsorted(key, w)], 2**32 - 1).astype("<u4").tobytes(), 1) for w in words], pa.binary()),
                 "kinds": pa.array([int((total > 0).sum())] + [0] * (len(rows) - 1), pa.int64()),
                 "levels": pa.array(_answers([r["grams"] for r in rows]), pa.binary()),
             }
@@ -653,12 +662,12 @@ def _lesson(table: pa.Table) -> pa.Table:
     """What a mixer learned from a batch, alone."""
     table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
     batch = Batch(table.column("text"), ~table.column("held_out").to_numpy(zero_copy_only=False).astype(bool), sums=False)
-    return pa.table({"batch": table.column("batch")[:1], "parts": pa.array([learned(batch, batch.kinds()).tobytes()], pa.binary())})
+    return pa.table({"batch": table.column("batch")[:1], "parts": pa.array([pack_lesson(learned(batch, batch.kinds()))], pa.binary())})
 
 
 def _add_lessons(table: pa.Table) -> pa.Table:
     rows = sorted(table.select(["batch", "parts"]).to_pylist(), key=lambda r: -r["batch"])
-    return pa.table({"lot": table.column("lot")[:1], "parts": pa.array([sum(np.frombuffer(r["parts"]) for r in rows).tobytes()], pa.binary())})
+    return pa.table({"lot": table.column("lot")[:1], "parts": pa.array([pack_lesson(sum(unpack_lesson(r["parts"]) for r in rows))], pa.binary())})
 
 
 def lessons(docs: DataFrame, rows: int) -> np.ndarray | None:
@@ -666,7 +675,7 @@ def lessons(docs: DataFrame, rows: int) -> np.ndarray | None:
     dealt = docs.withColumn("batch", _batch(rows, BATCH_DOCS))
     parts = dealt.groupBy("batch").applyInArrow(_lesson, "batch long, parts binary").withColumn("lot", F.col("batch") % LOTS)
     found = sorted((r["lot"], bytes(r["parts"])) for r in parts.groupBy("lot").applyInArrow(_add_lessons, "lot long, parts binary").collect())  # at most LOTS rows
-    return sum(np.frombuffer(x) for _, x in found) if found else None
+    return sum(unpack_lesson(x) for _, x in found) if found else None
 
 
 def _batch(rows: int, batch_docs: int):
@@ -682,13 +691,13 @@ def _score_batch(buckets: int, taught: np.ndarray | None = None):
         distinct, order, _, at, doc = _dealt_words(docs.column("text"), buckets)
         total = np.zeros(len(distinct), np.int64)
         if asked:
-            total[order] = np.concatenate([np.frombuffer(r["totals"], "<u4") for r in asked])
+            total[order] = np.concatenate([np.frombuffer(zlib.decompress(r["totals"]), "<u4") for r in asked])
         seen = total[at]
         mixer = Mixer()
         if taught is not None:
             mixer = mixer.averaged(taught)
         elif lots:
-            mixer = mixer.averaged(sum(np.frombuffer(r["levels"]) for r in lots))
+            mixer = mixer.averaged(sum(unpack_lesson(r["levels"]) for r in lots))
         batch = Batch(docs.column("text"), np.zeros(n, bool))
         known = Contexts([k for k, _ in batch.kinds()], buckets, asked)
         del asked, rows

@@ -96,7 +96,7 @@ def test_mixer_learns_from_whole_training_texts():
     docs = pa.table({"doc_id": list(range(11)), "text": texts, "held_out": [i % 3 == 2 for i in range(11)], "batch": [0] * 11})
     (row,) = [r for r in mixing._batch_counts(1, 1)(docs).to_pylist() if r["bucket"] == 1]
     start = mixing.Mixer()
-    weights, visits, _, hits = np.split(np.frombuffer(row["grams"]), np.cumsum([512 * (mixing.INPUTS + 1), 512, 256 * 24]))
+    weights, visits, _, hits = np.split(mixing.unpack_lesson(row["grams"]), np.cumsum([512 * (mixing.INPUTS + 1), 512, 256 * 24]))
     bits = 8 * sum(len(t or "") + 1 for i, t in enumerate(texts) if i % 3 != 2)
     assert visits.sum() == bits and hits.sum() == bits
     used = visits > 0
