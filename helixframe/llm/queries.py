@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from helixframe.llm import language_id, licences, mixing, near_join, packing, piece_sampling, quality, suffix_dedup, vectors
+from helixframe.llm import divergence, language_id, licences, mixing, near_join, packing, piece_sampling, quality, suffix_dedup, vectors
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -58,9 +58,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.select(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_mixing, op2_packing, op3_piece_sampling, op4_near_join, op5_suffix_dedup, op6_nearest, op7_top_k, op8_licences, op9_language_id, op10_quality)
+    for f in (
+        op1_mixing, op2_packing, op3_piece_sampling, op4_near_join, op5_suffix_dedup, op6_nearest, op7_top_k, op8_licences, op9_language_id, op10_quality,
+        op13_divergence,
+    )
 }
 
 ORACLE_SQL = {
@@ -87,4 +94,20 @@ from documents d left join n using (doc_id) join r using (doc_id) group by d.doc
         ranked as (
             select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from pairs)
         select query_id, rank, vec_id, score from ranked where rank <= 10""",
+    "op13_divergence": """
+with d as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as w from documents),
+t as (select r, lang, source, unnest(w) as term from d),
+k as (select lang, term, count(*) as n from t group by 1, 2 having count(distinct r) >= 10),
+c as (select lang, source, term, count(*) as n from t group by 1, 2, 3),
+g as (select distinct lang, source from d),
+m as (select g.lang, g.source, k.term, coalesce(c.n, 0) as n, k.n as lang_n from g join k on k.lang = g.lang left join c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+s as (select *, sum(n) over (partition by lang, source)::hugeint as total, sum(lang_n) over (partition by lang, source)::hugeint as lang_total, count(*) over (partition by lang, source) as v from m),
+p as (select lang, source, term, n, 1 + 1000000000::hugeint * (n + 2) // (total + 2 * v) as p, 1 + 1000000000::hugeint * (lang_n + 2) // (lang_total + 2 * v) as q from s),
+a as (select x.lang, x.source, y.source as item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) as value from p x join p y on x.lang = y.lang and x.term = y.term and x.source <> y.source group by 1, 2, 3),
+f as (select x.lang, x.source, 'pair' as part, y.source as item, coalesce(a.value, 0)::bigint as value from g x join g y on x.lang = y.lang and x.source <> y.source left join a on a.lang = x.lang and a.source = x.source and a.item = y.source
+      union all select lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::bigint from p where n > 0 and p > q),
+o as (select *, (row_number() over (partition by lang, source, part order by value desc, item))::int as rank from f)
+select lang, source, part, item, value, rank from o where part = 'pair' or rank <= 10""",
 }
