@@ -2,11 +2,12 @@
 
 import collections
 import re
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from helixframe.llm import divergence
+from helixframe.llm import divergence, spellings
 
 LOWER = {i: i + 32 for i in range(65, 91)}
 
@@ -15,6 +16,63 @@ def counted(rows):
     return collections.Counter(map(tuple, rows))
 
 
+# Spelling variants
+
+
+def spelled(rows):
+    """(word, form, root, n, n_near, form_n) by sets of words with one character left out or starred."""
+    n = collections.Counter()
+    for d, t in rows:
+        for w in re.findall("[A-Za-z\u00c0-\u00ff]+", t or ""):
+            w = w.translate(LOWER)
+            h = zlib.crc32(f"{'' if d is None else d}:{w}".encode())
+            k = h % len(w)
+            w = w[:k] + w[k + 1 :] if h % 97 == 0 else w
+            n[w] += len(w) >= 5
+    n = {w: c for w, c in n.items() if c >= 3}
+    stars, near = collections.defaultdict(set), collections.defaultdict(set)
+    for w in n:
+        for k in range(len(w)):
+            stars[w[:k] + "*" + w[k + 1 :]].add(w)
+            less = w[:k] + w[k + 1 :]
+            if less in n:
+                near[w].add(less)
+                near[less].add(w)
+    for group in stars.values():
+        for w in group:
+            near[w] |= group - {w}
+    best = {w: min(x, key=lambda o: (-n[o], o)) for w, x in near.items() if x}
+    form = {w: o for w, o in best.items() if n[o] >= 2 * n[w]}
+
+    def root(w):
+        return root(form[w]) if w in form else w
+
+    return counted((w, form.get(w), root(w), c, len(near[w]), n[form[w]] if w in form else None) for w, c in n.items())
+
+
+@pytest.mark.parametrize("tile", [8192, 4])
+def test_variants(spark, data, tile):
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+    want = spelled([tuple(r) for r in docs.collect()])
+    assert counted(spellings.variants(docs, tile=tile).collect()) == want and any(r[1] != r[2] and r[1] for r in want)
+
+
+def test_variants_of_odd_rows(spark, odd, odd_rows, empty):
+    rows = [(*r[:2],) for r in odd_rows]
+    clashing = odd.withColumns({c: F.lit(1) for c in ("word", "n", "form", "near", "key", "tile")})
+    assert counted(spellings.variants(clashing).collect()) == spelled(rows)
+    assert spellings.variants(empty).collect() == []
+    # Repeated letters, edits at both ends, letters beyond ASCII, and one run of letters far longer than any word.
+    long = "".join(chr(97 + (i * i + i // 5) % 26) for i in range(3000))
+    words = "aaaaa aaaaaa aaaaaaa baaaaaa abababab bababab abababa éabcdé éabcd abcdé ÉABCDÉ xabcdefg abcdefg abcdefgh ßabcdefg".split()
+    rows = [(i, " ".join([*words, long, long[1:]])) for i in range(5)] + [(None, "abcdefg " * 9), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert counted(spellings.variants(docs, tile=3).collect()) == spelled(rows)
+    long = "".join(chr(97 + (i * i + i // 5) % 26) for i in range(300_000))
+    docs = spark.createDataFrame([(i, f"{long} {long[1:]}") for i in range(4)], "doc_id long, text string")
+    assert {(len(r.word), r.n_near) for r in spellings.variants(docs).collect()} == {(300_000, 1), (299_999, 1)}
+
+
 # Source audit
 
 
