@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from helixframe.llm import divergence, language_id, licences, mixing, near_join, packing, piece_sampling, quality, spellings, suffix_dedup, vectors
+from helixframe.llm import divergence, fingerprints, language_id, licences, mixing, near_join, packing, piece_sampling, quality, spellings, suffix_dedup, vectors
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -62,6 +62,10 @@ def op11_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spellings.variants(_table(spark, sf_dir, "documents"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edits(_table(spark, sf_dir, "documents"))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
@@ -70,7 +74,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing, op2_packing, op3_piece_sampling, op4_near_join, op5_suffix_dedup, op6_nearest, op7_top_k, op8_licences, op9_language_id, op10_quality,
-        op11_spellings, op13_divergence,
+        op11_spellings, op12_fingerprints, op13_divergence,
     )
 }
 

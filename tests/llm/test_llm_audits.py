@@ -1,13 +1,15 @@
 """Spelling variants, fingerprints and the source audit against brute-force versions, on small tables and on odd rows."""
 
 import collections
+import hashlib
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helixframe.llm import divergence, spellings
+from helixframe.llm import divergence, fingerprints, near_join, spellings
 
 LOWER = {i: i + 32 for i in range(65, 91)}
 
@@ -73,6 +75,75 @@ def test_variants_of_odd_rows(spark, odd, odd_rows, empty):
     assert {(len(r.word), r.n_near) for r in spellings.variants(docs).collect()} == {(300_000, 1), (299_999, 1)}
 
 
+# Fingerprints
+
+
+def shingle_set(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text.translate(LOWER))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def jaccard(a, b):
+    a, b = shingle_set(a), shingle_set(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def check_edits(got, rows):
+    """Rows of distinct ids (None first) against edits made one after the other."""
+    rows = sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0] is not None, r[0] or 0))
+    by_id, errors, prints = {r.doc_id: r for r in got}, [], {}
+    assert len(by_id) == len(got) == len(rows)
+    for (d, text), (_, after) in zip(rows, rows[1:] + rows[:1], strict=True):
+        r, half = by_id[d], len(text) // 2
+        changed = text[: len(text) - half] + after[:half]
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(changed.encode()).hexdigest())
+        assert prints.setdefault(text, r.fingerprint) == r.fingerprint and prints.setdefault(changed, r.edited_fingerprint) == r.edited_fingerprint
+        errors += [r.near_edited - jaccard(text, changed), r.near_next - jaccard(text, after)]
+        assert r.near_edited == 1 or changed != text
+    assert max(map(abs, errors)) < 0.2 and abs(np.mean(errors)) < 0.02
+
+
+def test_edits(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+    check_edits(fingerprints.compare_edits(docs).collect(), [tuple(r) for r in docs.collect()])
+
+
+def test_edits_of_odd_rows(spark, odd, odd_rows, empty):
+    rows = [r[:2] for k, r in enumerate(odd_rows) if k not in (2, 12)]
+    docs = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], "doc_id long, text string, part int, h long, size int")
+    check_edits(fingerprints.compare_edits(docs).collect(), rows)
+    assert fingerprints.compare_edits(empty).collect() == []
+    assert len(fingerprints.compare_edits(odd).collect()) == len(odd_rows)
+    one = fingerprints.compare_edits(spark.createDataFrame([(5, "äb cde")], "doc_id long, text string")).collect()
+    check_edits(one, [(5, "äb cde")])
+    long = "".join(chr(97 + (i * i + i // 5) % 26) for i in range(1_300_000))
+    rows = [(1, long), (2, "x " * 700_000), (3, long)]
+    check_edits(fingerprints.compare_edits(spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows)
+
+
+def test_permutations_estimate_similarity():
+    """Estimates of many pairs are without bias, with the spread that the number of permutations gives."""
+    rng = np.random.default_rng(5)
+    errors = []
+    for share in (0.2, 0.5, 0.75, 0.9):
+        for _ in range(60):
+            words = rng.integers(0, 10**6, 400)
+            kept = int(400 * 2 * share / (1 + share))
+            texts = [" ".join(map(str, words)), " ".join(map(str, np.concatenate([words[:kept], rng.integers(0, 10**6, 400 - kept)])))]
+            raw = [t.encode() for t in texts]
+            sign = fingerprints.signatures(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+            errors.append(float(fingerprints.likeness(sign[:1], sign[1:])[0]) - jaccard(*texts))
+    assert abs(np.mean(errors)) < 0.01 and np.std(errors) < 0.05
+
+
+def test_near_duplicates(spark, data, odd, empty):
+    """Bands find what the exact join links; classes of odd rows agree with it."""
+    for docs in (spark.read.parquet(f"{data}/documents.parquet"), odd):
+        want = counted(r[::2] for r in near_join.link_documents(docs).collect())
+        assert counted(fingerprints.near_duplicates(docs).collect()) == want
+    assert fingerprints.near_duplicates(empty).collect() == []
+
+
 # Source audit
 
 
