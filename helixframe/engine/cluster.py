@@ -125,7 +125,7 @@ def dataset(spark: SparkSession, target: str, settings: ClusterSettings, structu
 def run(
     spark: SparkSession, prep_dir: str, target: str, settings: ClusterSettings | None = None, traces: DataFrame | None = None, structures: dict[str, DataFrame] | None = None, folder: str | None = None,
 ) -> dict[str, DataFrame]:
-    """All stages over prep tables. ``traces`` has monomer_id and trace; ``structures`` a table (observation_id, trace) a stage."""
+    """All stages over prep tables. ``traces`` has monomer_id and trace; ``structures`` a table (observation_id, parts) a stage."""
     settings = settings or ClusterSettings()
     prep = {name: bundles.prep_table(spark, prep_dir, name) for name in bundles.TABLES}
     own = written(backfilled(inventory(prep["monomers"], prep["entry_quality"], settings, folder), high_order_references(prep)))
@@ -147,7 +147,7 @@ def run(
     made = [(k, str(v)) for k, v in sorted(settings.fingerprint().items())] + [("structure_clusters", str(structure is not None).lower())]
     spark.createDataFrame(made, "name string, value string").coalesce(1).write.mode("overwrite").json(f"{target}/settings")
     known = written(refinement.assignments(out["sequence_clusters"], structure))
-    empty = spark.createDataFrame([], "observation_id string, trace array<float>")
+    empty = spark.createDataFrame([], "observation_id string, parts array<array<double>>")
     for stage in STAGES:
         found, warned = high_order(stage, prep[stage], known, own, (structures or {}).get(stage, empty))
         sinks.parquet(found, f"{target}/{stage}")

@@ -89,9 +89,15 @@ def extracted(stage: str, observations: DataFrame, atoms: DataFrame, most_atoms:
 
 
 def traces(found: DataFrame) -> DataFrame:
-    """(observation_id, trace): what the structures of a stage are compared by."""
-    ordered = found.withColumn("atom_idx", F.struct("part", "atom_idx"))
-    return refinement.traces(ordered.withColumn("res_id", F.concat_ws("|", "part", "res_id")), ["structure"]).withColumnRenamed("structure", "observation_id")
+    """(observation_id, parts): the trace of each chain of the structures of a stage, which are compared by these."""
+    each = refinement.traces(found, ["structure", "part"])
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("part", "trace"))), lambda p: p["trace"].cast("array<double>"))
+    return each.groupBy(F.col("structure").alias("observation_id")).agg(parts.alias("parts"))
+
+
+def monomer_traces(found: DataFrame) -> DataFrame:
+    """(monomer_id, trace) of extracted monomers."""
+    return traces(found).select(F.col("observation_id").alias("monomer_id"), F.flatten("parts").alias("trace"))
 
 
 def files(found: DataFrame) -> DataFrame:

@@ -9,33 +9,75 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.operators import memo
-from helixframe.operators.refinement import accepts, align
+from helixframe.operators import memo, superposition
+from helixframe.operators.refinement import accepts
 
 RESULT = "aligned_length int, rmsd double, tm_score_query double, tm_score_target double, coverage double, error string"
 
 
+def _points(trace) -> np.ndarray:
+    return np.asarray(trace, float).reshape(-1, 3)
+
+
+def _found(traces: list[tuple]) -> list[tuple[dict, str | None]]:
+    """Alignments of pairs, or what is wrong with them; those that can be aligned are so in batches."""
+    out: list[tuple[dict, str | None]] = [({}, None)] * len(traces)
+    good = []
+    for k, (a, b) in enumerate(traces):
+        try:
+            pair = _points(a), _points(b)
+            if not all(np.isfinite(x).all() for x in pair):
+                raise ValueError("a place is not finite")
+            good.append((k, pair))
+        except (TypeError, ValueError) as error:
+            out[k] = {}, f"{type(error).__name__}: {error}"[-4000:]
+    for (k, _), found in zip(good, superposition.align_many([p for _, p in good]), strict=True):
+        out[k] = found, None if found["aligned_length"] else "fewer than three residues"
+    return out
+
+
 def _run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        out = []
-        for a, b in zip(pdf["trace_query"], pdf["trace_target"], strict=True):
-            try:
-                found = align(np.asarray(a, float).reshape(-1, 3), np.asarray(b, float).reshape(-1, 3))
-                bad = None if found["aligned_length"] else "fewer than three residues"
-            except (TypeError, ValueError, np.linalg.LinAlgError) as error:
-                found, bad = {}, f"{type(error).__name__}: {error}"[-4000:]
-            out.append((*(found.get(k) for k in ("aligned_length", "rmsd", "tm_score_query", "tm_score_target", "coverage")), bad))
-        got = pd.DataFrame(out, columns=[x.split(" ")[0] for x in RESULT.split(", ")], index=pdf.index)
+        found = _found(list(zip(pdf["trace_query"], pdf["trace_target"], strict=True)))
+        names = [x.split(" ")[0] for x in RESULT.split(", ")]
+        got = pd.DataFrame([(*(x.get(k) for k in names[:-1]), bad) for x, bad in found], columns=names, index=pdf.index)
         got["aligned_length"] = got["aligned_length"].astype("Int32")
         yield pd.concat([pdf.drop(columns=["trace_query", "trace_target"]), got], axis=1)
 
 
 def aligned(pairs: DataFrame) -> DataFrame:
-    """Pairs (trace_query, trace_target and further columns) with their alignment or its error."""
+    """Pairs (trace_query, trace_target and further columns) with their alignment or its error."""
     kept = [f for f in pairs.schema if f.name not in ("trace_query", "trace_target")]
     return pairs.mapInPandas(_run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), RESULT]))
 
 
+COMPLEX = RESULT + ", chains array<struct<query:int,target:int>>"
+
+
+def _run_complexes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = [x.split(" ")[0] for x in RESULT.split(", ")]
+    for pdf in batches:
+        rows = []
+        for a, b in zip(pdf["parts_query"], pdf["parts_target"], strict=True):
+            try:
+                found, bad = superposition.align_complex([_points(p) for p in a], [_points(p) for p in b]), None
+                if not found["aligned_length"]:
+                    bad = "fewer than three residues"
+            except (TypeError, ValueError, np.linalg.LinAlgError) as error:
+                found, bad = {}, f"{type(error).__name__}: {error}"[-4000:]
+            chains = [{"query": int(i), "target": int(j)} for i, j in found.get("chains", [])]
+            rows.append((*(found.get(k) for k in names[:-1]), bad, chains))
+        got = pd.DataFrame(rows, columns=[*names, "chains"], index=pdf.index)
+        got["aligned_length"] = got["aligned_length"].astype("Int32")
+        yield pd.concat([pdf.drop(columns=["parts_query", "parts_target"]), got], axis=1)
+
+
+def aligned_complexes(pairs: DataFrame) -> DataFrame:
+    """Pairs of complexes (parts_query, parts_target: a trace for each chain) with their alignment, the assigned chains, or the error."""
+    kept = [f for f in pairs.schema if f.name not in ("parts_query", "parts_target")]
+    return pairs.mapInPandas(_run_complexes, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), COMPLEX]))
+
+
 def scored(rows: DataFrame, least_score: float = 0.5, least_coverage: float = 0.5) -> DataFrame:
     """The smaller and the larger score, and whether they and the coverage suffice."""
     low, high = F.least("tm_score_query", "tm_score_target"), F.greatest("tm_score_query", "tm_score_target")
@@ -63,4 +105,4 @@ def remembered(tasks: DataFrame, path: str) -> DataFrame:
     return tasks.drop("trace_query", "trace_target").join(after, "cache_key", "left")
 
 
-__all__ = ["RESULT", "accepts", "aligned", "identical", "remembered", "scored"]
+__all__ = ["COMPLEX", "RESULT", "accepts", "aligned", "aligned_complexes", "identical", "remembered", "scored"]

@@ -15,8 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions.scalars import monomer_id
-from helixframe.operators import clustering, relational
-from helixframe.operators.geometry import superpose, tm_score
+from helixframe.operators import clustering, relational, superposition
 from helixframe.operators.tables import written
 
 _TEXTS = "array<string>"
@@ -197,78 +196,9 @@ def resolved_residues(segments: Column) -> Column:
 # Alignment
 
 
-def _path(score: np.ndarray, gap: float) -> tuple[np.ndarray, np.ndarray]:
-    """Best order-keeping pairs of a score matrix; a gap costs when it is opened. Rows are scanned, columns vectorised."""
-    n, m = score.shape
-    total, how = np.zeros((n + 1, m + 1)), np.zeros((n + 1, m + 1), np.int8)
-    for i in range(1, n + 1):
-        match = total[i - 1, :-1] + score[i - 1]
-        skip = total[i - 1, 1:] + np.where(how[i - 1, 1:] == 0, gap, 0.0)
-        best = np.maximum(match, skip)
-        kind = np.where(match >= skip, 0, 1).astype(np.int8)
-        # A step along the row keeps the best before it.
-        run = np.maximum.accumulate(np.concatenate([[total[i, 0]], best + 0.0]))[:-1] + gap
-        side = run > best
-        total[i, 1:], how[i, 1:] = np.where(side, run, best), np.where(side, 2, kind)
-    a, b, i, j = [], [], n, m
-    while i and j:
-        step = how[i, j]
-        if step == 0:
-            a.append(i - 1)
-            b.append(j - 1)
-            i, j = i - 1, j - 1
-        elif step == 1:
-            i -= 1
-        else:
-            j -= 1
-    return np.array(a[::-1], int), np.array(b[::-1], int)
-
-
-def align(a: np.ndarray, b: np.ndarray, rounds: int = 12) -> dict:
-    """Residue pairs of two traces in order, their scores by both lengths, deviation, and coverage of the shorter.
-
-    Starts are the best gapless threadings; each round superposes the pairs and
-    takes the best path through the scores of all pairs.
-    """
-    n, m = len(a), len(b)
-    short = min(n, m)
-    empty = {"aligned_length": 0, "rmsd": 0.0, "tm_score_query": 0.0, "tm_score_target": 0.0, "coverage": 0.0}
-    if short < 3:
-        return empty
-    d0 = max(0.5, 1.24 * max(short - 15, 1) ** (1 / 3) - 1.8)
-
-    def pairs_score(i, j):
-        r, t = superpose(a[i], b[j])
-        d = np.linalg.norm(a[i] - (b[j] @ r + t), axis=1)
-        return float((1 / (1 + (d / d0) ** 2)).sum()), (r, t)
-
-    starts = []
-    least = max(3, short // 2)
-    for shift in range(-(m - least), n - least + 1):
-        i = np.arange(max(0, shift), min(n, shift + m))
-        starts.append((pairs_score(i, i - shift)[0], shift))
-    best = (0.0, None, None)
-    for _, shift in sorted(starts, reverse=True)[:3]:
-        i = np.arange(max(0, shift), min(n, shift + m))
-        j = i - shift
-        for _ in range(rounds):
-            value, (r, t) = pairs_score(i, j)
-            if value > best[0]:
-                best = (value, i, j)
-            d = np.linalg.norm(a[:, None] - (b @ r + t)[None], axis=2)
-            again = _path(1 / (1 + (d / d0) ** 2), -0.6)
-            if len(again[0]) < 3 or (len(again[0]) == len(i) and (again[0] == i).all() and (again[1] == j).all()):
-                break
-            i, j = again
-    if best[1] is None:
-        return empty
-    _, i, j = best
-    r, t = superpose(a[i], b[j])
-    deviation = float(np.sqrt((np.linalg.norm(a[i] - (b[j] @ r + t), axis=1) ** 2).mean()))
-    return {
-        "aligned_length": len(i), "rmsd": round(deviation, 4), "tm_score_query": round(tm_score(a[i], b[j], n), 5), "tm_score_target": round(tm_score(a[i], b[j], m), 5),
-        "coverage": min(1.0, len(i) / short),
-    }
+def align(a: np.ndarray, b: np.ndarray) -> dict:
+    """Residue pairs of two traces in order, their scores by both lengths, deviation, and coverage of the shorter."""
+    return superposition.align_many([(a, b)])[0]
 
 
 def accepts(found: dict, least_score: float = 0.5, least_coverage: float | None = 0.5) -> bool:
@@ -277,12 +207,35 @@ def accepts(found: dict, least_score: float = 0.5, least_coverage: float | None
     return max(found["tm_score_query"], found["tm_score_target"]) >= least_score and enough
 
 
+def _same(a: list[np.ndarray], b: list[np.ndarray]) -> bool:
+    return len(a) == len(b) and all(x.shape == y.shape and (x == y).all() for x, y in zip(a, b, strict=True))
+
+
+def _matrix(leaders: list, members: list, least_coverage: float | None, aligned) -> np.ndarray:
+    """Which leaders accept which members; equal structures need no alignment (C11), empty ones are accepted by none."""
+    pairs = [(k, j) for k in range(len(members)) for j in range(len(leaders)) if leaders[j] and sum(map(len, leaders[j]))]
+    out = np.zeros((len(members), len(leaders)), bool)
+    open_pairs = []
+    for k, j in pairs:
+        if _same(leaders[j], members[k]):
+            out[k, j] = True
+        else:
+            open_pairs.append((k, j))
+    for (k, j), found in zip(open_pairs, aligned([(leaders[j], members[k]) for k, j in open_pairs]), strict=True):
+        out[k, j] = accepts(found, least_coverage=least_coverage)
+    return out
+
+
 def trace_rows(leaders: list, members: list, least_coverage: float | None = 0.5) -> np.ndarray:
-    """Which leaders accept which members; equal traces need no alignment (C11)."""
-    one = [np.asarray(x, float).reshape(-1, 3) for x in leaders]
-    two = [np.asarray(x, float).reshape(-1, 3) for x in members]
-    same = lambda x, y: x.shape == y.shape and (x == y).all()
-    return np.array([[len(x) > 0 and (same(x, y) or accepts(align(x, y), least_coverage=least_coverage)) for x in one] for y in two], bool).reshape(len(two), len(one))
+    """Which leaders accept which members, both as traces; all pairs are aligned in batches."""
+    one, two = ([[np.asarray(x, float).reshape(-1, 3)] for x in rows] for rows in (leaders, members))
+    return _matrix(one, two, least_coverage, lambda pairs: superposition.align_many([(a[0], b[0]) for a, b in pairs]))
+
+
+def complex_rows(leaders: list, members: list) -> np.ndarray:
+    """Which leaders accept which members, both as lists of traces of their chains, in any order."""
+    one, two = ([[np.asarray(p, float).reshape(-1, 3) for p in x] for x in rows] for rows in (leaders, members))
+    return _matrix(one, two, None, lambda pairs: [superposition.align_complex(a, b) for a, b in pairs])
 
 
 def traces(atoms: DataFrame, keys: list[str]) -> DataFrame:
@@ -313,25 +266,27 @@ def signature_table(observations: DataFrame, stage: str) -> DataFrame:
 def refined(observations: DataFrame, structures: DataFrame, stage: str) -> tuple[DataFrame, DataFrame]:
     """Structure clusters of each signature's observations, and warnings.
 
-    ``structures`` has observation_id and trace. A group of one needs no
-    structure. Members of larger groups without one are left out with a warning.
+    ``structures`` has observation_id and parts, a trace for each chain; complexes
+    are compared with their chains assigned, so the order of parts is of no matter.
+    A group of one needs no structure. Members of larger groups without one are
+    left out with a warning.
     """
     signed = written(observations.join(signature_table(observations, stage), "observation_id").join(structures, "observation_id", "left"))
     alone = F.col("signature_cluster_size") == 1
-    missing = signed.where(~alone & F.col("trace").isNull()).select("signature_cluster_id", "observation_id", F.lit("structure_unavailable").alias("warning"))
-    kept = signed.where(alone | F.col("trace").isNotNull())
+    missing = signed.where(~alone & F.col("parts").isNull()).select("signature_cluster_id", "observation_id", F.lit("structure_unavailable").alias("warning"))
+    kept = signed.where(alone | F.col("parts").isNotNull())
     place = F.row_number().over(Window.partitionBy("signature_cluster_id").orderBy(*structural_order(stage)))
     kept = kept.withColumn("place", place)
     led = clustering.leader_clusters(
-        kept.select("signature_cluster_id", "observation_id", "place", F.coalesce("trace", F.array().cast("array<float>")).alias("trace")),
-        "signature_cluster_id", "observation_id", ["place"], "trace", lambda one, many: trace_rows(one, many, None), "string",
+        kept.select("signature_cluster_id", "observation_id", "place", F.coalesce("parts", F.array().cast("array<array<double>>")).alias("parts")),
+        "signature_cluster_id", "observation_id", ["place"], "parts", complex_rows, "string",
     )
     order = kept.select(F.col("observation_id").alias("leader"), F.col("place").alias("_p"))
     local = F.dense_rank().over(Window.partitionBy("signature_cluster_id").orderBy("_p"))
     name = F.concat(F.lit(PREFIXES[stage][1]), F.regexp_extract("signature_cluster_id", r"(\d+)$", 1), F.lit("_"), F.col("local").cast("string"))
     rows = led.join(order, "leader").withColumn("local", local).withColumn("cluster_id", name)
     out = rows.select("signature_cluster_id", "cluster_id", F.col("leader").alias("representative_id"), "observation_id")
-    return out.join(kept.drop("trace", "signature_cluster_id"), "observation_id"), missing
+    return out.join(kept.drop("parts", "signature_cluster_id"), "observation_id"), missing
 
 
 def structure_clusters(members: DataFrame) -> DataFrame:

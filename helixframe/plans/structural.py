@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.functions import scalars as S
-from helixframe.operators import complexes, domains, immune, interfaces, inventory, memo, refinement, reports, scheduling
+from helixframe.operators import alignments, complexes, domains, immune, interfaces, inventory, memo, refinement, reports, scheduling
 from helixframe.plans.catalogue import QUERIES, _cents, _t, query
 
 __all__ = ["QUERIES"]
@@ -151,6 +151,53 @@ def box_distances(spark, sf_dir):
     return both.select("case", "a", "b", F.round(box_gap(side("min", "a"), side("max", "a"), side("min", "b"), side("max", "b")), 9).alias("gap"))
 
 
+# Structures: a vector's components are the places of a trace of 21 residues
+
+
+def _traces(spark, sf_dir):
+    rows = _t(spark, sf_dir, "embeddings").where("vec_id is not null and size(embedding) >= 63")
+    return rows.select("vec_id", "label", F.transform(F.slice("embedding", 1, 63), lambda x: x.cast("double") * 20).alias("trace"))
+
+
+def _monomers(spark, sf_dir):
+    """Each vector with an odd id is its neighbour's shape, a little bent: two members that are alike."""
+    rows = _traces(spark, sf_dir)
+    base = rows.select((F.col("vec_id") + 1).alias("vec_id"), F.col("trace").alias("_b"))
+    bent = F.zip_with("_b", "trace", lambda x, y: x + y * 0.05)
+    own = rows.join(base, "vec_id", "left").withColumn("trace", F.when((F.col("vec_id") % 2 == 1) & F.col("_b").isNotNull(), bent).otherwise(F.col("trace")))
+    return own.select(
+        F.concat(F.lit("bucket_"), F.floor(F.col("vec_id") / 2 % 12).cast("string")).alias("sequence_cluster_id"), _text("vec_id").alias("monomer_id"), F.concat(F.lit("S"), _text("vec_id")).alias("sequence"),
+        (F.col("vec_id") % 3).cast("int").alias("method_priority"), (F.col("vec_id") % 7 / 2).alias("resolution"), (F.col("vec_id") % 5 / 4).alias("resolved_fraction"), "trace",
+    )
+
+
+@query()
+def structure_clusters(spark, sf_dir):
+    """Members of a bucket in order of quality join the first leader whose trace aligns; a plain loop checks a bucket."""
+    return refinement.structure_clusters(_monomers(spark, sf_dir))
+
+
+def _complexes(spark, sf_dir):
+    """Four vectors are the chains of a complex; its other side has them turned, the first one last and replaced by the next complex's."""
+    rows = _traces(spark, sf_dir).withColumns({"case": F.floor(F.col("vec_id") / 4), "part": F.col("vec_id") % 4})
+    apart = F.transform("trace", lambda x, k: x + F.when(k % 3 == 0, F.col("part") * 12.0).otherwise(F.lit(0.0)))
+    turned = F.transform(F.sequence(F.lit(0), F.lit(62)), lambda k: F.element_at("trace", (F.floor(k / 3) * 3 + (k + 1) % 3).cast("int") + 1) + 5.0)
+    placed = rows.withColumn("trace", apart).withColumn("turned", turned)
+    parts = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("part", F.col(c).alias("t")))), lambda p: p["t"])
+    own = placed.groupBy("case").agg(parts("trace").alias("parts_query"), parts("turned").alias("_same"))
+    after = placed.where("part = 0").select((F.col("case") - 1).alias("case"), F.col("turned").alias("_next"))
+    other = F.concat(F.slice("_same", 2, 3), F.array(F.coalesce("_next", F.col("_same")[0])))
+    return own.join(after, "case", "left").select("case", "parts_query", other.alias("parts_target"))
+
+
+@query()
+def complex_alignments(spark, sf_dir):
+    """Complexes of four chains against the same chains in another order; all assignments check it."""
+    found = alignments.aligned_complexes(_complexes(spark, sf_dir))
+    pairs = F.array_join(F.transform("chains", lambda x: F.concat_ws("-", x["query"].cast("string"), x["target"].cast("string"))), ",")
+    return found.select("case", "aligned_length", "rmsd", "tm_score_query", "tm_score_target", pairs.alias("chains"), "error")
+
+
 # Complexes: orders are cases, line items interfaces of two of their lines' parts
 
 

@@ -171,7 +171,7 @@ def test_cluster_run(spark, tmp_path):
     rng = np.random.default_rng(0)
     trace = np.cumsum(rng.normal(size=(20, 3)), 0).ravel().tolist()
     far = (np.cumsum(rng.normal(size=(20, 3)), 0) * 3).ravel().tolist()
-    shapes = {"dimers": spark.createDataFrame([("1abc:1:1", trace), ("2abc:1:1", far)], "observation_id string, trace array<double>")}
+    shapes = {"dimers": spark.createDataFrame([("1abc:1:1", [trace]), ("2abc:1:1", [far])], "observation_id string, parts array<array<double>>")}
     traces = spark.createDataFrame([(f"{e}:1:{c}", trace) for e in ("1abc", "2abc", "3abc") for c in "ABC"], "monomer_id string, trace array<double>")
     out = cluster.run(spark, str(tmp_path / "prep"), str(tmp_path / "out"), ClusterSettings(protein_sequence_mode="exact"), traces, shapes)
     seq = {r.member_monomer_id: r.cluster_id for r in out["sequence_clusters"].collect()}
@@ -298,7 +298,7 @@ def test_structures_of_observations(spark):
     found = structures.extracted("tcr_complexes", tcr, atoms)
     assert {x[:3] for x in pick("tcr_complexes", tcr)} == {("t", "A", 0), ("t", "C", 0)}
     shape = structures.traces(found).first()
-    assert shape.observation_id == "t" and shape.trace[:3] == [0.0, 0.0, 0.0] and len(shape.trace) == 24
+    assert shape.observation_id == "t" and shape.parts[0][:3] == [0.0, 0.0, 0.0] and [len(p) for p in shape.parts] == [12, 12]
     assert structures.files(found).first().document.count("TER") == 2
     faces = spark.createDataFrame([("c", "A", "C", 3, 20, 50.0, 2.5), ("c", "C", "B", 1, 5, 10.0, 1.5), ("c", "A", "B", 9, 9, 9.0, 9.0)], "case string, label_asym_id_1 string, label_asym_id_2 string, num_residue_contacts int, num_atom_contacts int, buried_area double, min_distance double")
     parts = spark.createDataFrame([("x", "c", "A", 1), ("x", "c", "B", 1), ("x", "c", "C", 2)], "structure string, case string, chain_id string, side int")
