@@ -86,6 +86,8 @@ def signature_groups(rows: DataFrame, item: str, sig: str, prefix: str) -> DataF
 
 #: Members of a bucket that one task leads in a round.
 LEAD_ROWS = 512
+#: Members that meet all earlier leaders in one call.
+BLOCK_ROWS = 32
 #: Members of a bucket that one task compares with a round's leaders.
 CHUNK_ROWS = 4096
 
@@ -106,13 +108,21 @@ def leader_clusters(rows: DataFrame, bucket: str, member: str, order: list[str],
     def lead(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_place")
         names, load, led, out = pdf[member].tolist(), pdf[payload].tolist(), [], []
-        for k, own in enumerate(load):
-            hit = np.flatnonzero(accept([load[x] for x in led], [own])[0]) if led else ()
-            if len(hit):
-                out.append(led[hit[0]])
-            else:
-                led.append(k)
-                out.append(k)
+        for lo in range(0, len(load), BLOCK_ROWS):
+            # A block meets all leaders before it at once; what none accepts then meets those that arise in the block.
+            block = load[lo : lo + BLOCK_ROWS]
+            before = accept([load[x] for x in led], block) if led else np.zeros((len(block), 0), bool)
+            older, fresh = list(led), []
+            for k, hits in enumerate(before, lo):
+                hit = np.flatnonzero(hits)
+                if not len(hit) and fresh:
+                    hit = np.flatnonzero(accept([load[x] for x in fresh], [load[k]])[0])
+                    out.append(fresh[hit[0]] if len(hit) else k)
+                else:
+                    out.append(older[hit[0]] if len(hit) else k)
+                if out[-1] == k:
+                    fresh.append(k)
+            led += fresh
         return pd.DataFrame({bucket: pdf[bucket].iloc[0], "leader": [names[k] for k in out], member: names})
 
     def follow(leaders: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:

@@ -171,17 +171,20 @@ def test_tables_of_pairs(spark):
 
 
 @pytest.fixture(scope="module")
-def vectors(spark):
-    return spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+def vectors(spark, tmp_path_factory):
+    """A folder with the first vectors of the small table."""
+    folder = tmp_path_factory.mktemp("vectors")
+    spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").where("vec_id < 130").write.parquet(f"{folder}/embeddings.parquet")
+    return str(folder)
 
 
 def test_complex_query(spark, vectors):
     """Each complex against itself with its chains in another order and one of them replaced."""
     from helixframe.plans import structural
 
-    rows = {r.case: r for r in structural.complex_alignments(spark, "/root/testdata/sf0.001").collect()}
-    assert len(rows) == vectors.selectExpr("floor(vec_id / 4)").distinct().count() and not any(r.error for r in rows.values())
-    pairs = {r.case: r for r in structural._complexes(spark, "/root/testdata/sf0.001").collect()}
+    rows = {r.case: r for r in structural.complex_alignments(spark, vectors).collect()}
+    assert len(rows) == spark.read.parquet(f"{vectors}/embeddings.parquet").selectExpr("floor(vec_id / 4)").distinct().count() and not any(r.error for r in rows.values())
+    pairs = {r.case: r for r in structural._complexes(spark, vectors).collect()}
     shaped = lambda parts: [np.asarray(p, float).reshape(-1, 3) for p in parts]
     for k, r in rows.items():
         full = len(pairs[k].parts_query) == 4
@@ -194,15 +197,16 @@ def test_structure_cluster_query(spark, vectors):
     """Leaders of one bucket by a plain loop over its members in order of quality."""
     from helixframe.plans import structural
 
-    got = {r.member_monomer_id: r for r in structural.structure_clusters(spark, "/root/testdata/sf0.001").collect()}
-    rows = structural._monomers(spark, "/root/testdata/sf0.001").collect()
+    got = {r.member_monomer_id: r for r in structural.structure_clusters(spark, vectors).collect()}
+    rows = structural._monomers(spark, vectors).collect()
     assert len(got) == len(rows)
     bucket = min(r.sequence_cluster_id for r in rows)
     own = sorted((r for r in rows if r.sequence_cluster_id == bucket), key=lambda r: (r.method_priority, r.resolution, -r.resolved_fraction, r.monomer_id))
     leaders: list = []
     for r in own:
         trace = np.asarray(r.trace, float).reshape(-1, 3)
-        hits = [x for x, t in leaders if np.array_equal(t, trace) or refinement.accepts(refinement.align(t, trace))]
+        found = S.align_many([(t, trace) for _, t in leaders])
+        hits = [x for (x, t), f in zip(leaders, found, strict=True) if np.array_equal(t, trace) or refinement.accepts(f)]
         if not hits:
             leaders.append((r.monomer_id, trace))
         assert got[r.monomer_id].representative_monomer_id == (hits[0] if hits else r.monomer_id)
