@@ -3,11 +3,12 @@
 The network reads segments of a text's bytes from both ends and labels every
 position; a document's probabilities are the means of its positions'. It is
 trained by backpropagation through time on a bounded, documented sample of
-labelled documents (``TRAIN_DOCS`` of smallest id hash, a window of
-``TRAIN_CHARS`` characters each) and then applied to all bytes of all texts.
+labelled documents (``TRAIN_DOCS`` of smallest id hash, their whole texts) and then
+applied to all bytes of all texts.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0;
-null ``lang`` is not learned from; with nothing to learn from every document
+null ``lang`` is not learned from, and of rows that share an id only the first by
+language and text is; with nothing to learn from every document
 is ``und``; rows with null ids are predicted and not learned from; repeated
 rows get equal results; an empty table gives an empty result; a text of any
 length is read in segments, all of them. Label, source and id are never inputs
@@ -27,7 +28,8 @@ from helixframe.llm._text import spread, text_slices
 
 HIDDEN = 8
 SEGMENT = 128
-TRAIN_DOCS, TRAIN_CHARS = 6000, 1500
+#: Documents that are learned from.
+TRAIN_DOCS = 6000
 STEPS, LANES, SPAN = 350, 320, 64
 UNKNOWN = "und"
 
@@ -134,7 +136,7 @@ class ByteTagger:
         m = [np.zeros_like(p) for p in self.parameters()]
         v = [np.zeros_like(p) for p in self.parameters()]
         for step in range(1, steps + 1):
-            label = np.arange(lanes) % len(of)
+            label = ((step - 1) * lanes + np.arange(lanes)) % len(of)
             byte = np.empty((span, lanes), np.uint8)
             for i, k in enumerate(label):
                 x = texts[self.rng.choice(of[k])]
@@ -194,10 +196,8 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> ByteTagger | None:
     """A network trained on the sample; None with nothing to learn from."""
     usable = docs.where(~held_out() & F.col("lang").isNotNull() & (F.col("text") != ""))
     ids = usable.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs).distinct()
-    room = F.greatest(F.length("text") - TRAIN_CHARS, F.lit(0)) + 1
-    window = F.substr("text", F.pmod(F.xxhash64("doc_id", F.lit(1)), room).cast("int") + 1, F.lit(TRAIN_CHARS))
-    # At most train_docs ids: a bounded broadcast, and a bounded sample on the driver.
-    rows = usable.join(F.broadcast(ids), "doc_id").select("doc_id", "lang", window.alias("text")).distinct().limit(2 * train_docs).collect()
+    # At most train_docs ids: a bounded broadcast, and as many rows on the driver.
+    rows = usable.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("row")).select("doc_id", "row.*").collect()
     rows = sorted((r["doc_id"], r["lang"], r["text"]) for r in rows)
     if not rows:
         return None

@@ -158,7 +158,8 @@ class Selection:
         counts = sum_counts(rows.select("text", "quality").mapInArrow(_count, "block long, counts binary"), 2 * SIZE)
         self.model = context.broadcast(RatioModel(counts[:SIZE], counts[SIZE:]))
         self.keys = materialize(self.weigh(rows).drop("text"))
-        shown = self.keys.where("quality is not null").select("quality", "_log_weight").limit(2 * sample).toPandas()
+        # One row for each sampled id, the least weight where rows share it.
+        shown = self.keys.where("quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min("_log_weight").alias("_log_weight")).toPandas()
         q, w = shown["quality"].to_numpy(), shown["_log_weight"].to_numpy()
         self.limit = best_limit(w[q == 1], w[q == 0])
         self.last = None

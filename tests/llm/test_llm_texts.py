@@ -355,6 +355,8 @@ def test_language(spark, data, odd, empty):
     assert und == {None, 4, 5, 6, 13} and all(r.score == 0 for r in got if r.lang_pred == "und")
     assert all(0 <= r.score <= 1 for r in got)
     assert language_id.predict(empty.select("doc_id", "text"), model).collect() == []
+    repeated = spark.createDataFrame([(0, "zz", "one text"), (0, "yy", "another"), (0, "yy", "a third")] * 3, "doc_id long, lang string, text string")
+    assert language_id.fit(repeated).labels == ["yy"]
     assert language_id.fit(empty) is None
     assert {r.lang_pred for r in language_id.predict(odd.select("doc_id", "text"), None).collect()} == {"und"}
 
