@@ -66,6 +66,11 @@ def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edits(_table(spark, sf_dir, "documents"))
 
 
+def fingerprint_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates by the fingerprints of ``op12_fingerprints``: their bands joined, candidates verified on texts."""
+    return fingerprints.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
@@ -74,7 +79,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_mixing, op2_packing, op3_piece_sampling, op4_near_join, op5_suffix_dedup, op6_nearest, op7_top_k, op8_licences, op9_language_id, op10_quality,
-        op11_spellings, op12_fingerprints, op13_divergence,
+        op11_spellings, op12_fingerprints, fingerprint_classes, op13_divergence,
     )
 }
 
@@ -119,3 +124,6 @@ f as (select x.lang, x.source, 'pair' as part, y.source as item, coalesce(a.valu
 o as (select *, (row_number() over (partition by lang, source, part order by value desc, item))::int as rank from f)
 select lang, source, part, item, value, rank from o where part = 'pair' or rank <= 10""",
 }
+
+# Bands find all links of these tables; the links are those of the exact join.
+ORACLE_SQL["fingerprint_classes"] = f"select doc_id, component_id as class_id from ({ORACLE_SQL['op4_near_join']})"
