@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from helixframe.engine import structures as shapes
 from helixframe.engine.settings import ClusterSettings, check_cutoff
 from helixframe.functions.scalars import component_key, date_decision, moved_path
 from helixframe.operators import clustering, identity, refinement, relational
@@ -81,6 +82,8 @@ def sequence_clusters(monomers: DataFrame, settings: ClusterSettings) -> DataFra
     return out.unionByName(shape(clustering.exact_clusters(rows, "monomer_id", key, "op_"), "other_polymer", "exact_component_sequence"))
 
 
+#: Fixed value: multimers of more atoms are not compared.
+MOST_ATOMS = 10_000
 STAGES = {
     "dimers": lambda rows, known, own: refinement.dimer_observations(rows, known), "multimers": lambda rows, known, own: refinement.multimer_observations(rows, known),
     "antibody_complexes": refinement.antibody_observations, "tcr_complexes": refinement.tcr_observations,
@@ -123,10 +126,16 @@ def dataset(spark: SparkSession, target: str, settings: ClusterSettings, structu
 
 
 def run(
-    spark: SparkSession, prep_dir: str, target: str, settings: ClusterSettings | None = None, traces: DataFrame | None = None, structures: dict[str, DataFrame] | None = None, folder: str | None = None,
+    spark: SparkSession, prep_dir: str, target: str, settings: ClusterSettings | None = None, traces: DataFrame | None = None, structures: dict[str, DataFrame] | None = None, folder: str | None = None, atoms: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """All stages over prep tables. ``traces`` has monomer_id and trace; ``structures`` a table (observation_id, parts) a stage."""
+    """All stages over prep tables. ``traces`` has monomer_id and trace; ``structures`` a table (observation_id, parts) a stage.
+
+    With stored ``atoms`` (``documents.atoms``) both are taken from these. A run in
+    mode ``greedy`` has to have either.
+    """
     settings = settings or ClusterSettings()
+    if settings.protein_structure_mode == "greedy" and traces is None and atoms is None:
+        raise ValueError("structure clusters need stored atoms or traces; or set protein_structure_mode to skip")
     prep = {name: bundles.prep_table(spark, prep_dir, name) for name in bundles.TABLES}
     own = written(backfilled(inventory(prep["monomers"], prep["entry_quality"], settings, folder), high_order_references(prep)))
     own.write.mode("overwrite").json(f"{target}/monomer_inventory")
@@ -135,6 +144,8 @@ def run(
     sinks.csv_rows(sequence, f"{target}/sequence_clusters")
     out = {"monomer_inventory": own, "sequence_clusters": spark.read.option("header", "true").csv(f"{target}/sequence_clusters")}
     structure = None
+    if traces is None and atoms is not None:
+        traces = shapes.monomer_traces(shapes.extracted("monomers", own, atoms))
     if settings.protein_structure_mode == "greedy" and traces is not None:
         quality = bundles.first_quality(prep["entry_quality"]).select("source_path", "method_priority", "resolution")
         resolved = refinement.resolved_residues(F.from_json("parsed_coordinate_segments", "array<struct<label_seq_start:int,label_seq_end:int>>"))
@@ -149,7 +160,11 @@ def run(
     known = written(refinement.assignments(out["sequence_clusters"], structure))
     empty = spark.createDataFrame([], "observation_id string, parts array<array<double>>")
     for stage in STAGES:
-        found, warned = high_order(stage, prep[stage], known, own, (structures or {}).get(stage, empty))
+        given = (structures or {}).get(stage, empty)
+        if structures is None and atoms is not None:
+            scoped = refinement.in_scope(prep[stage], own)
+            given = written(shapes.traces(shapes.extracted(stage, scoped, atoms, MOST_ATOMS if stage == "multimers" else None)))
+        found, warned = high_order(stage, prep[stage], known, own, given)
         sinks.parquet(found, f"{target}/{stage}")
         sinks.parquet(warned, f"{target}/{stage}_warnings")
         out[stage], out[f"{stage}_warnings"] = (spark.read.parquet(f"{target}/{name}") for name in (stage, f"{stage}_warnings"))

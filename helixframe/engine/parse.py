@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import dataclasses
+import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from helixframe.engine import documents
 from helixframe.engine.settings import ParseSettings, check_resume
 from helixframe.functions.scalars import entry_id
 from helixframe.operators import complexes, graphs, interfaces, inventory, reports
 from helixframe.operators.tables import written
-from helixframe.sources import mmcif, sinks
+from helixframe.sources import attempts, mmcif, sinks
 
 #: Categories that the engine reads.
 WANTED = inventory.CATEGORIES
@@ -91,24 +93,36 @@ def multimers(faces: DataFrame, settings: ParseSettings) -> DataFrame:
     }).drop("_m", "_e", "community")
 
 
+TABLES = ("chains", "interfaces", "multimers", "antibody_pairs", "coverage", "antibody_complexes", "tcr_complexes", "metadata", "atoms", "cases", "results")
+
+
 def run(spark: SparkSession, inputs: str, target: str, settings: ParseSettings | None = None, immune: DataFrame | None = None, resume: bool = False) -> dict[str, DataFrame]:
-    """All structure files below a folder: tables of chains, interfaces, multimers and complexes, results, review.
+    """All structure files below a folder: tables of chains, interfaces, multimers and complexes, atoms, results, review.
 
-    Tables are written under ``target`` and returned as read again. A run that
-    resumes leaves files alone that an earlier run with like settings finished.
+    An attempt writes apart and counts once its commit is there (``attempts``), so
+    a run may break at any place. One that resumes reads what committed attempts
+    with like settings finished, leaves those files alone, and tries files with
+    errors again; it gives what an unbroken run gives. A file that is damaged, or
+    without chains, has a result with status ``error`` and its message.
     """
     settings = settings or ParseSettings()
-    items = mmcif.stored(mmcif.scan(spark, inputs), f"{target}/items")
+    tries = attempts.Attempts(spark, target)
+    seen = tries.commits()
+    done = None
+    if resume and seen:
+        check_resume(dict(seen[-1]["settings"]), _AsIs(_shown(settings)))
+        done = tries.read("results", "input_path").where("status <> 'error'").select(F.col("input_path").alias("path"))
+    own = tries.begin()
+    found = tries.write(own, "items", mmcif.scan(spark, inputs, but=done), "category")
+    items = mmcif.whole(found)
     cif = mmcif.categories(items, WANTED)
-    done = _finished(spark, target, settings) if resume else None
-    codes = written(guarded(cif, settings))
-    going = codes.where("warning_code is null").select("path")
-    if done is not None:
-        going = going.join(done, "path", "left_anti")
+    codes = mmcif.files(found).join(guarded(cif, settings).withColumn("_seen", F.lit(True)), "path", "left")
+    codes = written(codes.withColumn("error", F.coalesce("error", F.when(F.col("_seen").isNull(), "no chains: struct_asym is missing or empty"))).drop("_seen"))
+    going = codes.where("warning_code is null and error is null").select("path")
     only = lambda rows: rows.join(going, "path", "left_semi")
     chains = written(only(inventory.chain_inventory(cif, immune)))
     chosen = written(only(assemblies(cif, settings)))
-    atoms = written(only(placed_atoms(items, chosen, settings)))
+    atoms = tries.write(own, "atoms", only(placed_atoms(items, chosen, settings)))
     cases = chosen.withColumn("case", F.concat_ws("#", "path", "assembly_id"))
     owners = written(only(inventory.coverage(chains, mmcif.atoms(items, settings.model, settings.drop_hydrogens_for_analysis))))
     held = chains.join(inventory.covered(owners), ["path", "label_asym_id"], "left").join(cases.select("path", "case"), "path")
@@ -120,28 +134,34 @@ def run(spark: SparkSession, inputs: str, target: str, settings: ParseSettings |
     tables = {
         "chains": held.drop("case").distinct(), "interfaces": faces, "multimers": tight, "antibody_pairs": pairs, "coverage": owners,
         "antibody_complexes": complexes.antibody_complexes(held, faces, tight, pairs), "tcr_complexes": complexes.tcr_complexes(held, faces, tight, settings.peptide_max_length),
-        "metadata": inventory.case_metadata(cif),
+        "metadata": inventory.case_metadata(cif), "cases": cases,
     }
-    for name, rows in tables.items():
-        rows.write.mode("append" if resume else "overwrite").parquet(f"{target}/{name}")
-    read = {name: spark.read.parquet(f"{target}/{name}") for name in tables}
-    results = _results(cif, codes if done is None else codes.join(done, "path", "left_anti"), cases, read)
-    results.write.mode("append" if resume else "overwrite").parquet(f"{target}/results")
-    read["results"] = spark.read.parquet(f"{target}/results")
-    _manifest(spark, settings, target)
+    fresh = {name: tries.write(own, name, rows) for name, rows in tables.items()}
+    tries.write(own, "results", _results(cif, codes, cases, fresh))
+    tries.commit(own, list(TABLES), _shown(settings), done is None, [r["attempt"] for r in seen])
+    read = tables_of(spark, target)
     sinks.csv_rows(read["results"], f"{target}/metadata_csv", sinks.CASE_COLUMNS)
     export(read, target, settings)
     read["summary"] = reports.batch_summary(read["results"])
     return read
 
 
+def tables_of(spark: SparkSession, target: str) -> dict[str, DataFrame]:
+    """The tables of a run: what its committed attempts wrote; of a file that was tried again, the last result."""
+    tries = attempts.Attempts(spark, target)
+    return {name: tries.read(name, "input_path" if name == "results" else None) for name in TABLES}
+
+
 def export(read: dict[str, DataFrame], target: str, settings: ParseSettings) -> None:
-    """The tables once more as the asked format: JSON lines, or CSV with nested values as JSON."""
+    """The tables once more as the asked format: JSON lines and a document for each case, or CSV with nested values as JSON."""
     for name in ("chains", "interfaces", "multimers", "antibody_complexes", "tcr_complexes"):
         if settings.output_format == "csv":
             sinks.csv_rows(read[name], f"{target}/csv/{name}")
         else:
             sinks.json_lines(read[name], f"{target}/json/{name}")
+    if settings.output_format != "csv":
+        bundle = documents.cases(read, settings.assembly_mode).drop("document", "assembly_hint", "_corrupt_record")
+        sinks.json_documents(bundle, "case_dir", f"{target}/documents")
 
 
 def _faces(atoms: DataFrame, chains: DataFrame, settings: ParseSettings) -> DataFrame:
@@ -158,7 +178,7 @@ def _faces(atoms: DataFrame, chains: DataFrame, settings: ParseSettings) -> Data
 
 
 def _results(cif: dict[str, DataFrame], codes: DataFrame, cases: DataFrame, read: dict[str, DataFrame]) -> DataFrame:
-    """A row for each file: ok or skipped, with counts and metadata."""
+    """A row for each file: ok, skipped or error, with counts and metadata."""
     of = cases.select("case", "path")
 
     def counted(name: str, column: str) -> DataFrame:
@@ -173,7 +193,7 @@ def _results(cif: dict[str, DataFrame], codes: DataFrame, cases: DataFrame, read
     out = out.join(declared, "path", "left")
     from helixframe.functions.scalars import case_id
 
-    status = F.when(F.col("warning_code").isNull(), "ok").otherwise("skipped")
+    status = F.when(F.col("error").isNotNull(), "error").when(F.col("warning_code").isNull(), "ok").otherwise("skipped")
     return out.select(case_id(F.col("path")).alias("case_id"), entry_id(F.col("declared"), F.col("path")).alias("pdb_id"), F.col("path").alias("input_path"), status.alias("status"), *[c for c in out.columns if c not in ("path", "declared")])
 
 
@@ -181,17 +201,8 @@ def mmcif_entry(cif: dict[str, DataFrame]) -> DataFrame:
     return cif["entry"].groupBy("path").agg(F.min_by("id", "row_idx").alias("declared"))
 
 
-def _manifest(spark: SparkSession, settings: ParseSettings, target: str) -> None:
-    rows = [(k, repr(v)) for k, v in sorted(dataclasses.asdict(settings).items())]
-    spark.createDataFrame(rows, "name string, value string").coalesce(1).write.mode("overwrite").json(f"{target}/settings")
-
-
-def _finished(spark: SparkSession, target: str, settings: ParseSettings) -> DataFrame:
-    """Files that an earlier run under the target finished, if its settings were like these."""
-    before = {r["name"]: r["value"] for r in spark.read.json(f"{target}/settings").collect()}
-    now = {k: repr(v) for k, v in dataclasses.asdict(settings).items()}
-    check_resume(before, _AsIs(now))
-    return spark.read.parquet(f"{target}/results").where("status = 'ok'").select(F.col("input_path").alias("path"))
+def _shown(settings: ParseSettings) -> dict[str, str]:
+    return {k: repr(v) for k, v in sorted(dataclasses.asdict(settings).items())}
 
 
 class _AsIs:
@@ -204,17 +215,38 @@ class _AsIs:
 
 def rebuilt(spark: SparkSession, target: str) -> DataFrame:
     """The summary of a run from its results alone."""
-    return reports.batch_summary(spark.read.parquet(f"{target}/results"))
+    return reports.batch_summary(attempts.Attempts(spark, target).read("results", "input_path"))
+
 
+def merged_shards(spark: SparkSession, shards: list[str], target: str) -> dict[str, DataFrame]:
+    """The runs of several shards as one run under a target, with all tables, and its summary.
 
-def merged_shards(spark: SparkSession, shards: list[str]) -> DataFrame:
-    """Results of several shards as one table; case ids that meet are numbered in order of shards."""
+    Case ids that meet are numbered by shard. A file that several shards have
+    counts in the first of them: its rows of the others are left out of every table.
+    """
     from pyspark.sql import Window
 
-    out = None
-    for k, shard in enumerate(shards):
-        rows = spark.read.parquet(f"{shard}/results").withColumn("shard", F.lit(k))
-        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    tries = attempts.Attempts(spark, target)
+    seen, own, parts = tries.commits(), tries.begin(), [tables_of(spark, s) for s in shards]
+    joined = lambda name: functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p[name].withColumn("_shard", F.lit(k)) for k, p in enumerate(parts)])
+    results = joined("results")
+    first = written(results.groupBy(F.col("input_path").alias("path")).agg(F.min("_shard").alias("_shard")))
+    results = results.join(first.withColumnRenamed("path", "input_path"), ["input_path", "_shard"], "left_semi")
     w = Window.partitionBy("case_id")
-    n = F.row_number().over(w.orderBy("shard", "input_path"))
-    return out.withColumn("case_id", F.when((F.count("*").over(w) > 1) & (n > 1), F.concat("case_id", F.lit("_shard"), F.format_string("%02d", F.col("shard")))).otherwise(F.col("case_id")))
+    n = F.row_number().over(w.orderBy("_shard", "input_path"))
+    case = F.when(n > 1, F.concat("case_id", F.lit("_shard"), F.format_string("%02d", F.col("_shard")), F.when(n > 2, F.concat(F.lit("_"), n.cast("string"))).otherwise(""))).otherwise(F.col("case_id"))
+    columns = [c for c in parts[0]["results"].columns]
+    tries.write(own, "results", results.withColumn("case_id", case).select(*columns))
+    for name in TABLES:
+        if name == "results":
+            continue
+        rows = joined(name)
+        if "path" not in rows.columns:
+            rows = rows.withColumn("path", F.regexp_replace("case", "#[^#]*$", ""))
+            rows = rows.join(first, ["path", "_shard"], "left_semi").drop("path", "_shard")
+        else:
+            rows = rows.join(first, ["path", "_shard"], "left_semi").drop("_shard")
+        tries.write(own, name, rows)
+    tries.commit(own, list(TABLES), dict(attempts.Attempts(spark, shards[0]).commits()[-1]["settings"]), True, [r["attempt"] for r in seen])
+    read = tables_of(spark, target)
+    return read | {"summary": reports.batch_summary(read["results"])}

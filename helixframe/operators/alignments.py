@@ -45,10 +45,15 @@ def _run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat([pdf.drop(columns=["trace_query", "trace_target"]), got], axis=1)
 
 
+def _dealt(pairs: DataFrame) -> DataFrame:
+    """The pairs in as many partitions as shuffles have: aligning is dear beside its bytes."""
+    return pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def aligned(pairs: DataFrame) -> DataFrame:
     """Pairs (trace_query, trace_target and further columns) with their alignment or its error."""
     kept = [f for f in pairs.schema if f.name not in ("trace_query", "trace_target")]
-    return pairs.mapInPandas(_run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), RESULT]))
+    return _dealt(pairs).mapInPandas(_run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), RESULT]))
 
 
 COMPLEX = RESULT + ", chains array<struct<query:int,target:int>>"
@@ -75,7 +80,7 @@ def _run_complexes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def aligned_complexes(pairs: DataFrame) -> DataFrame:
     """Pairs of complexes (parts_query, parts_target: a trace for each chain) with their alignment, the assigned chains, or the error."""
     kept = [f for f in pairs.schema if f.name not in ("parts_query", "parts_target")]
-    return pairs.mapInPandas(_run_complexes, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), COMPLEX]))
+    return _dealt(pairs).mapInPandas(_run_complexes, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), COMPLEX]))
 
 
 def scored(rows: DataFrame, least_score: float = 0.5, least_coverage: float = 0.5) -> DataFrame:

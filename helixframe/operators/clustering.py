@@ -38,22 +38,23 @@ def exact_clusters(rows: DataFrame, member: str, key: Column, prefix: str, name:
     """Members with equal keys; clusters are numbered by longer key, then key; the least member stands for it.
 
     Columns: member, cluster, representative, size; a member without a key is in
-    none. Keys are told apart by digest and length; only digests, lengths and
-    heads of keys are shuffled and sorted. Whole keys travel where keys of one
-    length share a head, one of each.
+    none. Keys are told apart by digest and length, which are taken once and
+    written; only digests, lengths and heads of keys are shuffled and sorted. Whole
+    keys are read again only where keys of one length share a head, one of each.
     """
     keyed = rows.select(member, key.alias("_key")).where("_key is not null")
-    keyed = keyed.withColumns({"_d": F.unhex(F.md5("_key")), "_n": F.length("_key"), "_h": F.substring("_key", 1, HEAD)})
-    groups = keyed.groupBy("_d", "_n").agg(F.min(member).alias("representative"), F.count("*").alias("size"), F.min("_h").alias("_h"))
-    groups = written(groups)
-    alike = groups.groupBy("_n", "_h").agg(F.count("*").alias("_k")).where(f"_k > 1 and _n > {HEAD}").select("_n", "_h")
-    alike = groups.join(alike, ["_n", "_h"], "left_semi").select("_d", "_n", "_h", F.col("representative").alias(member))
-    whole = keyed.select(member, "_d", "_n", "_key").join(alike, [member, "_d", "_n"])
-    tie = F.row_number().over(Window.partitionBy("_n", "_h").orderBy("_key"))
-    tied = whole.groupBy("_d", "_n", "_h").agg(F.min("_key").alias("_key")).select("_d", "_n", tie.alias("_t"))
-    placed = groups.join(tied, ["_d", "_n"], "left").withColumn("_t", F.coalesce("_t", F.lit(1)))
+    named = written(keyed.select(member, F.unhex(F.md5("_key")).alias("_d"), F.length("_key").alias("_n"), F.substring("_key", 1, HEAD).alias("_h")))
+    groups = written(named.groupBy("_d", "_n").agg(F.min(member).alias("representative"), F.count("*").alias("size"), F.min("_h").alias("_h")))
+    alike = groups.where(F.col("_n") > HEAD).groupBy("_n", "_h").agg(F.count("*").alias("_k")).where("_k > 1").select("_n", "_h")
+    alike = written(groups.join(alike, ["_n", "_h"], "left_semi").select("_d", "_n", "_h", F.col("representative").alias(member)))
+    placed = groups.withColumn("_t", F.lit(1))
+    if not alike.isEmpty():
+        whole = keyed.join(alike, member).where((F.length("_key") == F.col("_n")) & (F.unhex(F.md5("_key")) == F.col("_d")))
+        tie = F.row_number().over(Window.partitionBy("_n", "_h").orderBy("_key"))
+        tied = whole.groupBy("_d", "_n", "_h").agg(F.min("_key").alias("_key")).select("_d", "_n", tie.alias("_t"))
+        placed = groups.join(tied, ["_d", "_n"], "left").withColumn("_t", F.coalesce("_t", F.lit(1)))
     numbered = numbered_groups(placed, "_d", [F.col("_n").desc(), F.col("_h").asc(), F.col("_t").asc()], prefix, name, start)
-    return keyed.select(member, "_d", "_n").join(numbered.drop("_h", "_t"), ["_d", "_n"]).select(member, name, "representative", "size")
+    return named.select(member, "_d", "_n").join(numbered.drop("_h", "_t"), ["_d", "_n"]).select(member, name, "representative", "size")
 
 
 def next_cluster_index(clusters: DataFrame, name: str, prefix: str) -> int:
@@ -134,19 +135,22 @@ def leader_clusters(rows: DataFrame, bucket: str, member: str, order: list[str],
         names = leaders[member].to_numpy(object)[hit.argmax(1)[some]]
         return pd.DataFrame({bucket: others[bucket].to_numpy(object)[some], "leader": names, member: others[member].to_numpy(object)[some]})
 
+    # Comparing is dear beside its bytes: partitions are not put together for being small.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     place = F.row_number().over(Window.partitionBy(bucket).orderBy(*order))
     pending = written(rows.select(bucket, member, payload, place.alias("_place")))
     done = None
     while not pending.isEmpty():
         turn = F.row_number().over(Window.partitionBy(bucket).orderBy("_place"))
         pending = pending.withColumn("_turn", turn)
-        first = written(pending.where(F.col("_turn") <= lead_rows).groupBy(bucket).applyInPandas(lead, found))
+        first = written(pending.where(F.col("_turn") <= lead_rows).repartition(parts, bucket).groupBy(bucket).applyInPandas(lead, found))
         rest = pending.where(F.col("_turn") > lead_rows).withColumn("_chunk", F.floor(F.col("_turn") / CHUNK_ROWS)).drop("_turn")
         chunks = rest.select(bucket, "_chunk").distinct()
         leaders = pending.drop("_turn").join(first.where(f"leader = `{member}`").select(bucket, member), [bucket, member], "left_semi").join(chunks, bucket)
         # Columns of its own, as both sides come from one table.
         leaders = leaders.select(*[F.col(f"`{c}`").alias(c) for c in leaders.columns])
-        joined = leaders.groupBy(bucket, "_chunk").cogroup(rest.groupBy(bucket, "_chunk")).applyInPandas(follow, found)
+        leaders, others = (x.repartition(parts, bucket, "_chunk").groupBy(bucket, "_chunk") for x in (leaders, rest))
+        joined = leaders.cogroup(others).applyInPandas(follow, found)
         joined = written(joined)
         done = first.unionByName(joined) if done is None else done.unionByName(first).unionByName(joined)
         pending = written(rest.drop("_chunk").join(joined.select(bucket, member), [bucket, member], "left_anti"))

@@ -33,6 +33,19 @@ def contacts(left: DataFrame, right: DataFrame, case: str, cutoff: float) -> Dat
     return joined.withColumn("distance", d).where(F.col("distance") <= cutoff).select(case, "id", "owner", "id_2", "owner_2", "distance")
 
 
+def near_rows(left: DataFrame, right: DataFrame, case: str, reach: float) -> DataFrame:
+    """Rows of both sides of one case within a reach, with all their columns (the right ones with ``_2``): the join of ``contacts``, for further columns."""
+    a = _cells(left, reach)
+    step = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    b = _cells(right, reach)
+    for c in "xyz":
+        b = b.withColumn("_s", F.explode(step)).withColumn(f"_c{c}", F.col(f"_c{c}") + F.col("_s")).drop("_s")
+    cells = [case, *[f"_c{c}" for c in "xyz"]]
+    b = b.select(*cells, *[F.col(c).alias(f"{c}_2") for c in right.columns if c != case])
+    square = sum(((F.col(c) - F.col(f"{c}_2")) * (F.col(c) - F.col(f"{c}_2")) for c in "xyz"), F.lit(0.0))
+    return a.join(b, cells).where(square <= reach * reach).drop(*cells[1:])
+
+
 def nearest_owner(found: DataFrame, case: str) -> DataFrame:
     """The owner of the nearest contact of each row."""
     return found.groupBy(case, "id").agg(F.min_by("owner_2", F.struct("distance", "id_2")).alias("owner"), F.min("distance").alias("distance"))

@@ -7,13 +7,14 @@ never enumerated: two instances meet only where residues of both are near.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions import fixed as X
 from helixframe.functions.scalars import element_symbol, interface_key, interface_label, residue_id
 from helixframe.operators import geometry
+from helixframe.operators.tables import written
 
 ATOM = ["case", "instance", "chain_id", "sym_id", "atom_idx", "res_id", "ins_code", "res_name", "atom_name", "element", "x", "y", "z"]
 
@@ -112,7 +113,7 @@ def closest_atoms(found: DataFrame, atoms: DataFrame, pairs: DataFrame, cutoff:
 
 # Areas
 
-# Trigonal carbons without and with hydrogen, hydroxyl oxygens, and radii in Angstrom (Tsai et al. 1999).
+# Trigonal carbons without and with hydrogen, and hydroxyl oxygens; their radii, and those of all others, in Angstrom are in ``_radii`` (Tsai et al. 1999).
 _BARE = {"ARG CZ", "ASN CG", "ASP CG", "GLN CD", "GLU CD", "HIS CG", "PHE CG", "TRP CG", "TRP CD2", "TRP CE2", "TYR CG", "TYR CZ"}
 _AROMATIC = {
     "HIS CD2", "HIS CE1", "PHE CD1", "PHE CD2", "PHE CE1", "PHE CE2", "PHE CZ", "TRP CD1", "TRP CE3", "TRP CZ2", "TRP CZ3", "TRP CH2",
@@ -121,76 +122,126 @@ _AROMATIC = {
 _HYDROXYL = {"SER OG", "THR OG1", "TYR OH"}
 
 
-def united_radius(residue: str, atom: str) -> float | None:
-    """K4: radius of a standard residue's atom with its hydrogens; None where the residue is no standard one."""
-    if residue not in X.AMINO_ACIDS:
-        return None
-    name = f"{residue} {atom}"
-    if atom[:1] == "C":
-        return 1.61 if atom == "C" or name in _BARE else 1.76 if name in _AROMATIC else 1.88
-    return {"N": 1.64, "S": 1.77, "O": 1.46 if name in _HYDROXYL or atom == "OXT" else 1.42}.get(atom[:1])
+#: The probe's radius, and points of a sphere.
+PROBE, POINTS = 1.4, 1000
+#: Modes of radii: of standard residues, or of elements where a chain of the pair has other residues.
+PROTOR, FALLBACK = "ProtOr", "element_vdw_fallback"
+#: Neighbours whose cover is measured at once.
+COVERS = 1 << 14
+_LOST = "case string, mode string, owner string, owner_2 string, lost double"
 
 
-def lost_area(places: np.ndarray, radii: np.ndarray, others: np.ndarray, other_radii: np.ndarray, probe: float = 1.4, points: int = 1000) -> float:
-    """K5: the accessible area that one set of atoms loses beside another: only atoms that reach the others change."""
-    reach = np.zeros(len(places), bool)
-    for lo in range(0, len(others), 256):
-        d = np.linalg.norm(places[:, None] - others[None, lo : lo + 256], axis=2)
-        reach |= (d < radii[:, None] + other_radii[None, lo : lo + 256] + 2 * probe).any(1)
+def sphere(points: int = POINTS) -> np.ndarray:
+    """Points spread over a unit sphere along a spiral."""
     k = np.arange(points) + 0.5
     polar, turn = np.arccos(1 - 2 * k / points), np.pi * (1 + 5**0.5) * k
-    sphere = np.stack([np.cos(turn) * np.sin(polar), np.sin(turn) * np.sin(polar), np.cos(polar)], 1)
-    lost = 0.0
-    for i in np.flatnonzero(reach).tolist():
-        r = radii[i] + probe
-        spots = places[i] + r * sphere
-
-        def free(at, size, drop):
-            near = np.linalg.norm(at - places[i], axis=1) < r + size + probe
-            if drop is not None:
-                near[drop] = False
-            if not near.any():
-                return np.ones(points, bool)
-            return (((spots[:, None] - at[near]) ** 2).sum(2) >= (size[near] + probe) ** 2).all(1)
-
-        alone = free(places, radii, i)
-        lost += 4 * np.pi * r * r * float((alone & ~free(others, other_radii, None)).mean())
-    return lost
-
-
-AREAS = "case string, instance_1 string, instance_2 string, delta_sasa_1 double, delta_sasa_2 double, buried_area double, area_method string, warnings array<string>"
-
-
-def _areas(pdf: pd.DataFrame) -> pd.DataFrame:
-    first = pdf.iloc[0]
-    warnings, method = [], "ProtOr"
-    kept = pdf[np.isfinite(pdf[["x", "y", "z"]].to_numpy(float)).all(1)]
-    radii = [united_radius(r, a) for r, a in zip(kept["res_name"], kept["atom_name"], strict=True)]
-    if any(r is None for r in radii):
-        method, warnings = "element_vdw_fallback", ["interface_area_used_element_vdw_fallback"]
-        radii = [X.RADII.get(e) for e in kept["symbol"]]
-        known = np.array([r is not None for r in radii], bool)
-        if not known.all():
-            warnings.append("interface_area_dropped_unsupported_atoms_for_fallback")
-        kept, radii = kept[known], [r for r in radii if r is not None]
-    side, at, size = kept["side"].to_numpy(), kept[["x", "y", "z"]].to_numpy(float), np.array(radii, float)
-    a, b = side == 1, side == 2
-    if not a.any() or not b.any():
-        out = (0.0, 0.0, 0.0, "not_computed", [*warnings, "interface_area_not_computed_after_filtering"])
-    else:
-        one, two = lost_area(at[a], size[a], at[b], size[b]), lost_area(at[b], size[b], at[a], size[a])
-        out = (round(one, 4), round(two, 4), round(max((one + two) / 2, 0.0), 4), method, warnings)
-    return pd.DataFrame([(first["case"], first["instance_1"], first["instance_2"], *out)], columns=["case", "instance_1", "instance_2", "delta_sasa_1", "delta_sasa_2", "buried_area", "area_method", "warnings"])
+    return np.stack([np.cos(turn) * np.sin(polar), np.sin(turn) * np.sin(polar), np.cos(polar)], 1)
+
+
+def covers(spots: np.ndarray, apart: np.ndarray, own: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Which points of an atom's sphere a neighbour covers, as bitmaps: a row for each (offset of the neighbour, radii with the probe).
+
+    A point s of the sphere of radius R is within S of a neighbour at offset d
+    where 2 R s.d > R**2 + d.d - S**2: one product of matrices for all of them.
+    """
+    out = np.empty((len(apart), (len(spots) + 7) // 8), np.uint8)
+    for lo in range(0, len(apart), COVERS):
+        d, r, s = apart[lo : lo + COVERS], own[lo : lo + COVERS], other[lo : lo + COVERS]
+        inside = 2 * r[:, None] * (d @ spots.T) > (r * r + (d * d).sum(1) - s * s)[:, None]
+        out[lo : lo + COVERS] = np.packbits(inside, axis=1)
+    return out
+
+
+def _lost(batches):
+    """What each atom loses to each other instance: the points that are free in its own chain and covered by that one."""
+    spots = sphere()
+    for batch in batches:
+        near = batch.column("near")
+        flat = near.flatten()
+        count = np.diff(np.asarray(near.offsets))
+        atom = np.repeat(np.arange(batch.num_rows), count)
+        value = lambda c: np.asarray(flat.field(c), float)  # noqa: E731, B023
+        place = np.stack([np.asarray(batch.column(c), float) for c in "xyz"], 1)
+        radius = np.asarray(batch.column("r"), float) + PROBE
+        owners = flat.field("owner_2").dictionary_encode()
+        code, names = np.asarray(owners.indices, np.int64), owners.dictionary.to_pylist()
+        own = np.array([names.index(x) if x in names else -1 for x in batch.column("owner").to_pylist()], np.int64)
+        cover = covers(spots, np.stack([value(c) for c in "xyz"], 1) - place[atom], radius[atom], value("r") + PROBE)
+        order = np.lexsort([code, atom])
+        atom, code, cover = atom[order], code[order], cover[order]
+        at = np.flatnonzero(np.concatenate([np.ones(min(1, len(atom)), bool), (atom[1:] != atom[:-1]) | (code[1:] != code[:-1])]))
+        merged = np.bitwise_or.reduceat(cover, at, 0) if len(at) else cover
+        atom, code = atom[at], code[at]
+        hidden = np.zeros((batch.num_rows, cover.shape[1]), np.uint8)
+        mine = code == own[atom]
+        hidden[atom[mine]] = merged[mine]
+        bits = np.bitwise_count(merged[~mine] & ~hidden[atom[~mine]]).sum(1)
+        area = 4 * np.pi * radius[atom[~mine]] ** 2 * bits / len(spots)
+        rows = pa.array(atom[~mine])
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c).take(rows) for c in ("case", "mode", "owner")), pa.array([names[k] for k in code[~mine].tolist()], pa.string()), pa.array(area, pa.float64())], names=[x.split()[0] for x in _LOST.split(", ")]
+        )
+
+
+def _radii(atoms: DataFrame) -> DataFrame:
+    """Atoms of finite places with their radius by residue and by element, null where there is none."""
+    symbol = element_symbol(F.col("element"), F.col("atom_name"))
+    # Radii hang on a residue's atom by its first letter; the exceptions are listed by name.
+    residue, atom = F.col("res_name"), F.col("atom_name")
+    name, first = F.concat_ws(" ", residue, atom), F.substring(atom, 1, 1)
+    carbon = F.when((atom == "C") | name.isin(*_BARE), 1.61).when(name.isin(*_AROMATIC), 1.76).otherwise(1.88)
+    oxygen = F.when(name.isin(*_HYDROXYL) | (atom == "OXT"), 1.46).otherwise(1.42)
+    united = F.when(first == "C", carbon).when(first == "N", 1.64).when(first == "S", 1.77).when(first == "O", oxygen)
+    table = F.create_map(*[F.lit(v) for pair in sorted(X.RADII.items()) for v in pair])
+    finite = [F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")) for c in "xyz"]
+    rows = atoms.where(finite[0] & finite[1] & finite[2] & ~symbol.isin("H", "D", "T"))
+    return rows.select(
+        "case", F.col("instance").alias("owner"), F.col("atom_idx").alias("id"), *[F.col(c).cast("double").alias(c) for c in "xyz"],
+        F.when(residue.isin(*X.AMINO_ACIDS), united).alias("united"), F.try_element_at(table, symbol).cast("double").alias("plain"),
+    )
 
 
 def areas(pairs: DataFrame, atoms: DataFrame) -> DataFrame:
-    """K4-K6: area that each side of a pair of instances loses, and buries; a pair's atoms are one group, two chains at most."""
-    sides = []
+    """K4-K6: area that each side of a pair of instances loses, and buries.
+
+    Atoms within reach of another instance get a bitmap of the points of their
+    sphere that their own chain leaves free, once, whatever the number of their
+    chain's pairs; what they lose to an instance is the part of it that the
+    instance's atoms near them cover. Work and rows are linear in contacts.
+    """
+    key = ["case", "instance_1", "instance_2"]
+    sized = _radii(atoms)
+    chain = sized.groupBy("case", "owner").agg(F.count("*").alias("n"), F.count("united").alias("u"), F.count("plain").alias("p"))
+    named = pairs.select(*key)
+    for i in (1, 2):
+        named = named.join(chain.select("case", F.col("owner").alias(f"instance_{i}"), *[F.col(c).alias(f"{c}{i}") for c in "nup"]), ["case", f"instance_{i}"], "left").na.fill(0)
+    standard = (F.col("n1") == F.col("u1")) & (F.col("n2") == F.col("u2"))
+    named = written(named.withColumn("mode", F.when(standard, PROTOR).otherwise(FALLBACK)))
+    both = named.select("case", "mode", F.col("instance_1").alias("owner"), F.col("instance_2").alias("owner_2")).union(named.select("case", "mode", "instance_2", "instance_1"))
+    modes = both.select("case", "owner", "mode").distinct()
+    placed = sized.join(modes, ["case", "owner"]).withColumn("r", F.when(F.col("mode") == PROTOR, F.col("united")).otherwise(F.col("plain"))).where("r is not null")
+    placed = written(placed.select(F.concat_ws("#", "mode", "case").alias("k"), "case", "mode", "owner", "id", "x", "y", "z", "r"))
+    reach = 2 * (max(1.88, *X.RADII.values()) + PROBE)
+    touching = F.sqrt(sum(((F.col(c) - F.col(f"{c}_2")) * (F.col(c) - F.col(f"{c}_2")) for c in "xyz"), F.lit(0.0))) < F.col("r") + F.col("r_2") + 2 * PROBE
+    near = geometry.near_rows(placed, placed.select("k", "owner", "id", "x", "y", "z", "r"), "k", reach).where(touching & ((F.col("owner") != F.col("owner_2")) | (F.col("id") != F.col("id_2"))))
+    wanted = both.select(F.concat_ws("#", "mode", "case").alias("k"), "owner", "owner_2", F.lit(True).alias("_w"))
+    near = near.join(wanted, ["k", "owner", "owner_2"], "left").where(F.col("_w") | (F.col("owner") == F.col("owner_2")))
+    item = F.struct("owner_2", *[F.col(f"{c}_2").alias(c) for c in "xyz"], F.col("r_2").alias("r"))
+    lists = near.groupBy("case", "mode", "owner", "id", "x", "y", "z", "r").agg(F.collect_list(item).alias("near"), F.max("_w").alias("_w")).where("_w").drop("_w", "id")
+    lost = lists.mapInArrow(_lost, _LOST).groupBy("case", "mode", "owner", "owner_2").agg(F.sum("lost").alias("lost"))
+    lost = written(lost)
+    out = named
     for i in (1, 2):
-        own = atoms.withColumn("symbol", element_symbol(F.col("element"), F.col("atom_name"))).where("symbol not in ('H', 'D', 'T')")
-        own = own.select("case", F.col("instance").alias(f"instance_{i}"), "res_name", "atom_name", "symbol", "x", "y", "z")
-        sides.append(pairs.select("case", "instance_1", "instance_2").join(own, ["case", f"instance_{i}"]).select("case", "instance_1", "instance_2", F.lit(i).alias("side"), "res_name", "atom_name", "symbol", "x", "y", "z"))
-    return sides[0].unionByName(sides[1]).groupBy("case", "instance_1", "instance_2").applyInPandas(_areas, AREAS)
+        out = out.join(lost.select("case", "mode", F.col("owner").alias(f"instance_{i}"), F.col("owner_2").alias(f"instance_{3 - i}"), F.col("lost").alias(f"lost_{i}")), ["mode", *key], "left")
+    plain = F.col("mode") == FALLBACK
+    none = F.when(plain, (F.col("p1") == 0) | (F.col("p2") == 0)).otherwise((F.col("n1") == 0) | (F.col("n2") == 0))
+    fewer = plain & ((F.col("p1") < F.col("n1")) | (F.col("p2") < F.col("n2")))
+    told = F.array(F.when(plain, "interface_area_used_element_vdw_fallback"), F.when(fewer, "interface_area_dropped_unsupported_atoms_for_fallback"), F.when(none, "interface_area_not_computed_after_filtering"))
+    one, two = (F.coalesce(f"lost_{i}", F.lit(0.0)) for i in (1, 2))
+    return out.select(
+        *key, F.round(one, 4).alias("delta_sasa_1"), F.round(two, 4).alias("delta_sasa_2"), F.round(F.greatest((one + two) / 2, F.lit(0.0)), 4).alias("buried_area"),
+        F.when(none, "not_computed").otherwise(F.col("mode")).alias("area_method"), F.filter(told, lambda x: x.isNotNull()).alias("warnings"),
+    )
 
 
 # Records

@@ -133,11 +133,15 @@ def is_water(entity_type: Column, monomers: Column, found: Column, sequence: Col
 
 
 def segment_list(places: Column, auth: Column) -> Column:
-    """Runs of a sorted array of positions, with author numbers at their ends from a map."""
-    begins = F.filter(places, lambda x: ~F.array_contains(places, x - 1))
-    ends = F.filter(places, lambda x: ~F.array_contains(places, x + 1))
+    """Runs of a sorted array of distinct positions, with author numbers at their ends from a map; neighbours alone are compared."""
+    def runs(p: Column) -> Column:
+        begins = F.filter(p, lambda x, i: (i == 0) | (F.get(p, i - 1) != x - 1))
+        ends = F.filter(p, lambda x, i: (i == F.size(p) - 1) | (F.get(p, i + 1) != x + 1))
+        return F.arrays_zip(begins.alias("a"), ends.alias("b"))
+
+    # The array is bound once, as a variable, and not made again for every element.
     return F.transform(
-        F.arrays_zip(begins.alias("a"), ends.alias("b")),
+        F.transform(F.array(places), runs)[0],
         lambda x: F.struct(
             x["a"].alias("label_seq_start"), x["b"].alias("label_seq_end"), F.try_element_at(auth, x["a"]).alias("auth_seq_start"),
             F.try_element_at(auth, x["b"]).alias("auth_seq_end"), (x["b"] - x["a"] + 1).alias("length"),

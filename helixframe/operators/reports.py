@@ -64,14 +64,20 @@ def case_metrics(cases: DataFrame, low: float = X.LOW_CONFIDENCE) -> DataFrame:
     count = lambda test: F.coalesce(F.size(F.filter(chains, test)), F.lit(0))
     antibody = lambda x: x["chain_type"].isin(*X.ANTIBODY_TYPES)
     heavy = lambda x: x["chain_type"] == X.ANTIBODY_TYPES[0]
-    single = lambda x: F.coalesce(x["subtype"].isin("VHH", "scFv"), F.lit(False))
+    featured = "features" in _fields(cases)
+    analysis = lambda x: x["features"]["antibody_analysis"]
+    told = lambda x: [F.nullif(analysis(x)["unit_type"], F.lit("")), F.nullif(x["features"]["antibody_unit_type"], F.lit(""))] if featured else []
+    single = lambda x: F.coalesce(F.coalesce(*told(x), x["subtype"]).isin("VHH", "scFv"), F.lit(False))
+    alone = lambda x: ~single(x) & none(x["paired_label_asym_id"])
+    # What the analysis found counts before what the pairing left over.
+    true_only = lambda x: F.coalesce(analysis(x)["heavy_only_evidence"]["is_true_heavy_only"], alone(x)) if featured else alone(x)
     score = lambda x: F.coalesce(x["annotation_confidence"], F.lit(0.0)) if "annotation_confidence" in _fields(cases) else F.lit(0.0)
     lead = cases.withColumn("_f", F.row_number().over(Window.partitionBy("case_dir").orderBy("document"))).where("_f = 1").select(
         "case_dir",
         count(lambda x: antibody(x) & (score(x) < low)).alias("num_low_confidence_antibody_chains"),
-        count(lambda x: heavy(x) & ~single(x) & none(x["paired_label_asym_id"])).alias("num_unpaired_antibody_heavy_chains"),
+        count(lambda x: heavy(x) & alone(x)).alias("num_unpaired_antibody_heavy_chains"),
         count(lambda x: (x["chain_type"] == X.ANTIBODY_TYPES[1]) & none(x["paired_label_asym_id"])).alias("num_unpaired_antibody_light_chains"),
-        count(lambda x: heavy(x) & ~single(x) & none(x["paired_label_asym_id"])).alias("num_true_heavy_only_chains"),
+        count(lambda x: heavy(x) & true_only(x)).alias("num_true_heavy_only_chains"),
         count(lambda x: F.coalesce(F.array_contains(x["warnings"], "description_and_sequence_antibody_annotation_disagree"), F.lit(False))).alias("num_antibody_annotation_conflicts"),
         count(lambda x: x["chain_type"] == X.TCR).alias("num_tcr_chains"), count(lambda x: x["chain_type"] == X.MHC).alias("num_mhc_heavy_chains"),
     )

@@ -166,7 +166,7 @@ def _monomers(spark, sf_dir):
     bent = F.zip_with("_b", "trace", lambda x, y: x + y * 0.05)
     own = rows.join(base, "vec_id", "left").withColumn("trace", F.when((F.col("vec_id") % 2 == 1) & F.col("_b").isNotNull(), bent).otherwise(F.col("trace")))
     return own.select(
-        F.concat(F.lit("bucket_"), F.floor(F.col("vec_id") / 2 % 12).cast("string")).alias("sequence_cluster_id"), _text("vec_id").alias("monomer_id"), F.concat(F.lit("S"), _text("vec_id")).alias("sequence"),
+        F.concat(F.lit("bucket_"), F.floor(F.col("vec_id") / 24).cast("string")).alias("sequence_cluster_id"), _text("vec_id").alias("monomer_id"), F.concat(F.lit("S"), _text("vec_id")).alias("sequence"),
         (F.col("vec_id") % 3).cast("int").alias("method_priority"), (F.col("vec_id") % 7 / 2).alias("resolution"), (F.col("vec_id") % 5 / 4).alias("resolved_fraction"), "trace",
     )
 

@@ -20,7 +20,8 @@ _CHAIN = (
     " chain_type:string, subtype:string, sequence:string, length:int, residue_count:int, atom_count:int, paired_label_asym_id:string, annotation_confidence:double,"
     f" parsed_coordinate_segments:{_SEGMENTS}, unresolved_sequence_segments:{_SEGMENTS},"
     " special_residue_details:array<struct<label_seq_id:int, auth_seq_id:string, monomer_id:string, chem_comp_type:string, chem_comp_name:string, resolved:boolean>>,"
-    f" special_component_details:array<struct<component_id:string, chem_comp_type:string, chem_comp_name:string, formula:string>>, warnings:{_TEXTS}>"
+    " special_component_details:array<struct<component_id:string, chem_comp_type:string, chem_comp_name:string, formula:string>>,"
+    f" features:struct<antibody_unit_type:string, antibody_analysis:struct<unit_type:string, heavy_only_evidence:struct<is_true_heavy_only:boolean>>>, warnings:{_TEXTS}>"
 )
 _INTERFACE = (
     "struct<assembly_mode:string, assembly_id:string, label_asym_id_1:string, auth_asym_id_1:string, entity_id_1:string, chain_type_1:string, sym_id_1:int,"
@@ -240,13 +241,14 @@ def source_map(cases: DataFrame) -> DataFrame:
     return rows.groupBy("source_path").agg(F.min("case_dir").alias("case_dir"), F.transform(F.array_sort(F.collect_set(assembly_order(F.col("assembly")))), lambda x: x["name"]).alias("assembly_ids"))
 
 
-def build_prep(spark: SparkSession, inputs: str, target: str) -> dict[str, int]:
-    """All tables of the cases under a path as Parquet (zstd, level 3), the map of sources, and a manifest of rows.
+def build_prep(spark: SparkSession, inputs: str | DataFrame, target: str) -> dict[str, int]:
+    """All tables of the cases under a path, or of cases given as rows, as Parquet (zstd, level 3), the map of sources, and a manifest of rows.
 
     Empty tables keep their schema. Bundles are parsed once and written before
     the tables are taken from them.
     """
-    scan(spark, inputs).write.mode("overwrite").option("compression", "zstd").parquet(f"{target}/bundles")
+    found = scan(spark, inputs) if isinstance(inputs, str) else inputs
+    found.write.mode("overwrite").option("compression", "zstd").parquet(f"{target}/bundles")
     cases, counts = spark.read.parquet(f"{target}/bundles"), {}
     for name, table in {**TABLES, "source_map": source_map, "corrupt": corrupt}.items():
         writer = table(cases).write.mode("overwrite").option("compression", "zstd").option("parquet.compression.codec.zstd.level", "3")

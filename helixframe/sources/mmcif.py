@@ -1,26 +1,31 @@
-"""Structure files in mmCIF text: a scan to items, categories as tables, atoms, assemblies.
+"""Structure files in mmCIF text: a scan to rows of categories, categories as tables, atoms, assemblies.
 
 Files (plain or gzip) are read as binary rows, one file to a row, and tokenised
-in Arrow batches; everything after that is DataFrame plans over items.
+into Arrow batches of whole category rows, each a map of its columns: a category
+is a projection of them, without a shuffle. Each file also has one row of the
+category ``_file``, with what is wrong with it, if anything: a damaged file costs
+its own rows and no other's.
 """
 
 from __future__ import annotations
 
 import gzip
-import itertools
 import re
+import zlib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as _Window
 from pyspark.sql import functions as F
 
 from helixframe.functions.scalars import is_hydrogen, null_text, number_or_null, operations
 
-ITEMS = "path string, block string, category string, row_idx int, column string, value string"
-#: Items of a file in one frame.
-FRAME_ROWS = 50_000
+ITEMS = "path string, block string, category string, row_idx int, cells map<string,string>, error string"
+#: The category of the rows that stand for files.
+FILE = "_file"
+#: Values of a loop in one batch.
+BATCH_VALUES = 1 << 19
 _TOKEN = re.compile(r"""'((?:[^'\n]|'(?=\S))*)'(?=\s|$)|"((?:[^"\n]|"(?=\S))*)"(?=\s|$)|(\#[^\n]*)|([^\s'"#][^\s]*)""", re.M)
 
 
@@ -40,6 +45,8 @@ def tokens(text: str) -> Iterator[tuple[str, bool]]:
                 plain.append(more[1:])
                 break
             value.append(more)
+        else:
+            raise ValueError("a text value has no end")
         yield "\n".join(value), True
     yield from _plain("\n".join(plain))
 
@@ -50,58 +57,122 @@ def _plain(text: str) -> Iterator[tuple[str, bool]]:
             yield (m[4], False) if m[4] is not None else (m[1] if m[1] is not None else m[2], True)
 
 
-def items(text: str) -> Iterator[tuple[str, str, int, str, str]]:
-    """(block, category, row, column, value) of each data item, loops row by row."""
-    block, names, values, in_loop, name = "", [], [], False, None
+def rows(text: str) -> Iterator[tuple[str, str, list[str], list[str]]]:
+    """(block, category, columns, values row by row) of each loop, and of the single items of a category as one row.
 
-    def rows():
-        for i, v in enumerate(values if names else []):
-            category, _, column = names[i % len(names)].partition(".")
-            yield block, category, i // len(names), column, v
+    A file whose loop has no whole number of rows, that has a value without a
+    name, or no block, is no whole one and raises.
+    """
+    block, names, values, in_loop, name, blocks = "", [], [], False, None, 0
+    single: dict[str, dict[str, str]] = {}
+
+    def loop():
+        if names and len(values) % len(names):
+            raise ValueError(f"a loop of {len(names)} columns from {names[0]} on has {len(values)} values")
+        if names and values:
+            yield block, names[0].partition(".")[0], [x.partition(".")[2] for x in names], values
+
+    def rest():
+        yield from loop()
+        for category, cells in single.items():
+            yield block, category, list(cells), list(cells.values())
+        single.clear()
 
     for value, quoted in tokens(text):
-        low = value.lower()
-        if not quoted and low.startswith("data_"):
-            yield from rows()
-            block, names, values, in_loop, name = value[5:], [], [], False, None
-        elif not quoted and low == "loop_":
-            yield from rows()
+        start = "" if quoted else value[:5].lower()
+        if start == "data_":
+            yield from rest()
+            block, names, values, in_loop, name, blocks = value[5:], [], [], False, None, blocks + 1
+        elif start == "loop_" and len(value) == 5:
+            yield from loop()
             names, values, in_loop, name = [], [], True, None
         elif not quoted and value.startswith("_"):
             if in_loop and not values:
                 names.append(value[1:])
             else:
-                yield from rows()
+                yield from loop()
                 names, values, in_loop, name = [], [], False, value[1:]
         elif in_loop:
             values.append(value)
         elif name is not None:
             category, _, column = name.partition(".")
-            yield block, category, 0, column, value
+            single.setdefault(category, {})[column] = value
             name = None
-    yield from rows()
+    yield from rest()
+    if not blocks:
+        raise ValueError("there is no data block")
+
+
+_DAMAGE = (OSError, EOFError, zlib.error, ValueError)
+_KINDS = [("path", pa.string()), ("block", pa.string()), ("category", pa.string()), ("row_idx", pa.int32()), ("cells", pa.map_(pa.string(), pa.string())), ("error", pa.string())]
+
+
+def _batch(path: str, block: str, category: str, first: int, columns: list[str], values: list[str], error: str | None = None) -> pa.RecordBatch:
+    n = len(values) // len(columns)
+    cells = pa.MapArray.from_arrays(pa.array(range(0, len(values) + 1, len(columns)), pa.int32()), pa.array(columns * n, pa.string()), pa.array(values, pa.string()))
+    same = [pa.repeat(pa.scalar(x, pa.string()), n) for x in (path, block, category)]
+    return pa.RecordBatch.from_arrays([*same, pa.array(range(first, first + n), pa.int32()), cells, pa.repeat(pa.scalar(error, pa.string()), n)], schema=pa.schema(_KINDS))
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+            raw, bad = content.as_py(), None
+            try:
+                text = (gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw).decode("utf-8", "replace")
+                held, size = [], 0
+                for block, category, columns, values in rows(text):
+                    step = max(1, BATCH_VALUES // len(columns)) * len(columns)
+                    for lo in range(0, len(values), step):
+                        held.append(_batch(path, block, category, lo // len(columns), columns, values[lo : lo + step]))
+                        size += len(values[lo : lo + step])
+                        if size >= BATCH_VALUES:
+                            yield _joined(held)
+                            held, size = [], 0
+                if held:
+                    yield _joined(held)
+            except _DAMAGE as error:
+                bad = f"{type(error).__name__}: {error}"[:4000]
+            yield _batch(path, "", FILE, 0, ["bytes"], [str(len(raw))], bad)
+
+
+def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def scan(spark: SparkSession, path: str, pattern: str = "*.cif*", but: DataFrame | None = None) -> DataFrame:
+    """Category rows of all structure files under a path, or several separated by commas, but those of ``but`` (path).
+
+    A file that can't be read, or is no whole structure file, has a row with its
+    error, and maybe some rows from before the damage; ``whole`` leaves these out.
+    Spark lists no files of no bytes, so these are in no table.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path.split(","))
+    files = files.select("path", "content")
+    return parsed(files if but is None else files.join(but, "path", "left_anti"))
 
 
-def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        for path, raw in zip(pdf["path"], pdf["content"], strict=True):
-            raw = bytes(raw)
-            text = (gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw).decode("utf-8", "replace")
-            found = ((path, *x) for x in items(text))
-            while rows := list(itertools.islice(found, FRAME_ROWS)):
-                yield pd.DataFrame(rows, columns=["path", "block", "category", "row_idx", "column", "value"])
+def parsed(contents: DataFrame) -> DataFrame:
+    """The scan of files given as rows (path, content)."""
+    return contents.select("path", "content").mapInArrow(_read, ITEMS)
 
 
-def scan(spark: SparkSession, path: str, pattern: str = "*.cif*") -> DataFrame:
-    """Items of all structure files under a path, or several separated by commas."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path.split(","))
-    return files.select("path", "content").mapInPandas(_read, ITEMS)
+def files(found: DataFrame) -> DataFrame:
+    """(path, error) of every file of a scan; a null error is a file that was read to its end."""
+    return found.where(F.col("category") == FILE).select("path", "error")
+
+
+def whole(found: DataFrame) -> DataFrame:
+    """Rows of the files without an error."""
+    bad = files(found).where("error is not null").select("path")
+    good = found.where(F.col("category") != FILE).drop("error")
+    return good if bad.isEmpty() else good.join(bad, "path", "left_anti")
 
 
 def stored(found: DataFrame, target: str) -> DataFrame:
-    """Items written once, a folder for each category: each category that is read later reads its own only."""
+    """Rows written once, a folder for each category: each category that is read later reads its own only."""
     found.write.mode("overwrite").partitionBy("category").parquet(target)
-    return found.sparkSession.read.parquet(target)
+    return found.sparkSession.read.schema(found.schema).parquet(target)
 
 
 def categories(found: DataFrame, wanted: dict[str, list[str]]) -> dict[str, DataFrame]:
@@ -109,28 +180,36 @@ def categories(found: DataFrame, wanted: dict[str, list[str]]) -> dict[str, Data
     return {name: category(found, name, columns) for name, columns in wanted.items()}
 
 
+def _cells(found: DataFrame, name: str, column: str) -> DataFrame:
+    """(path, row_idx, value) of the rows of a category that have a column."""
+    value = F.try_element_at("cells", F.lit(column))
+    return found.where(F.col("category") == name).select("path", "row_idx", value.alias("value"), F.map_contains_key("cells", column).alias("_has")).where("_has").drop("_has")
+
+
 def column_values(found: DataFrame, name: str, column: str) -> DataFrame:
     """The values of one column of a category in order, as written."""
-    rows = found.where((F.col("category") == name) & (F.col("column") == column))
-    return rows.groupBy("path").agg(F.transform(F.array_sort(F.collect_list(F.struct("row_idx", "value"))), lambda x: x["value"]).alias("values"))
+    return _cells(found, name, column).groupBy("path").agg(F.transform(F.array_sort(F.collect_list(F.struct("row_idx", "value"))), lambda x: x["value"]).alias("values"))
 
 
 def category(found: DataFrame, name: str, columns: list[str]) -> DataFrame:
-    """S3: a category's rows; blank, '.' and '?' are null. Columns are named, so one pass over the items does."""
-    rows = found.where((F.col("category") == name) & F.col("column").isin(columns))
-    picked = [F.max(F.when(F.col("column") == c, null_text(F.col("value")))).alias(c) for c in columns]
-    return rows.groupBy("path", "block", "row_idx").agg(*picked)
+    """S3: a category's rows; blank, '.' and '?' are null. A projection: each row has its cells with it.
+
+    Rows with none of the columns are left out.
+    """
+    rows_of = found.where(F.col("category") == name)
+    has = F.exists(F.array(*[F.lit(c) for c in columns]), lambda c: F.map_contains_key("cells", c))
+    return rows_of.where(has).select("path", "block", "row_idx", *[null_text(F.try_element_at("cells", F.lit(c))).alias(c) for c in columns])
 
 
 def first_value(found: DataFrame, name: str, column: str) -> DataFrame:
     """Per file the first value that is not null."""
-    rows = found.where((F.col("category") == name) & (F.col("column") == column)).select("path", "row_idx", null_text(F.col("value")).alias("value"))
-    return rows.where("value is not null").groupBy("path").agg(F.min_by("value", "row_idx").alias("value"))
+    known = _cells(found, name, column).select("path", "row_idx", null_text(F.col("value")).alias("value"))
+    return known.where("value is not null").groupBy("path").agg(F.min_by("value", "row_idx").alias("value"))
 
 
 def row_counts(found: DataFrame, name: str, column: str) -> DataFrame:
     """S6."""
-    return found.where((F.col("category") == name) & (F.col("column") == column)).groupBy("path").agg(F.count("*").alias("rows"))
+    return _cells(found, name, column).groupBy("path").agg(F.count("*").alias("rows"))
 
 
 _ATOM = ["group_PDB", "type_symbol", "label_atom_id", "label_alt_id", "label_comp_id", "label_asym_id", "label_entity_id", "label_seq_id",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from helixframe.functions import chains
 from helixframe.functions import scalars as S
 from helixframe.operators import geometry, graphs, multimers
-from helixframe.plans import catalogue, rules
+from helixframe.plans import catalogue, files, rules, runs  # noqa: F401
 from helixframe.sources import mmcif
 
 SF = "/root/testdata/sf0.001"

@@ -150,7 +150,8 @@ def test_parse_run(spark, tmp_path):
         parse.run(spark, source, target, ParseSettings(min_polymer_chain_length=2), resume=True)
     skipped = parse.run(spark, source, str(tmp_path / "none"), ParseSettings())["results"].collect()
     assert {(r.status, r.warning_code) for r in skipped} == {("skipped", "no_polymer_chain_above_min_length")}
-    assert parse.merged_shards(spark, [target, target]).select("case_id").distinct().count() == 4
+    both = parse.merged_shards(spark, [target, target], str(tmp_path / "both"))
+    assert both["results"].count() == 2 and both["interfaces"].count() == out["interfaces"].count()
 
 
 def test_parse_assembly(spark, tmp_path):
@@ -220,6 +221,12 @@ def test_reports(spark, tmp_path):
     metrics = reports.case_metrics(cases).withColumn("case_dir", short).cache()
     got = {r.case_dir: r for r in metrics.collect()}
     assert (got["a"].num_unpaired_antibody_heavy_chains, got["b"].num_unpaired_antibody_heavy_chains, got["b"].num_low_confidence_antibody_chains, got["b"].num_processed_assemblies) == (1, 1, 2, 2)
+    evidence = lambda told, **more: heavy | more | {"features": {"antibody_analysis": {"heavy_only_evidence": {"is_true_heavy_only": told}}}}
+    fused = heavy | {"features": {"antibody_unit_type": "scFv"}}
+    other = tmp_path / "other"
+    put(other / "c" / "result.json.gz", bundle("cccc", chain_inventory=[evidence(False), evidence(True, paired_label_asym_id="L"), heavy, fused, CHAIN]))
+    told = reports.case_metrics(bundles.scan(spark, str(other))).first()
+    assert (told.num_true_heavy_only_chains, told.num_unpaired_antibody_heavy_chains) == (2, 2)
     warnings = reports.warnings_of(cases).withColumn("case_dir", short)
     counts = {(r.case_dir, r.kind, r.code): r.n for r in warnings.collect()}
     assert counts["a", "chain", "w1"] == 2 and counts["b", "chain", "w1"] == 4 and counts["a", "parse", "unpaired_tcr_chain"] == 1
@@ -272,6 +279,16 @@ def test_command_line(spark, tmp_path, capsys):
     (tmp_path / "c.toml").write_text("[settings]\nmin_polymer_chain_length = 1\n")
     assert main(["--config", str(tmp_path / "c.toml"), "--set", "settings.tight_multimer_min_buried_area=1.0", "parse", source, str(tmp_path / "out")], spark) == 0
     assert main(["report", str(tmp_path / "out")], spark) == 0 and "'success_count': 2" in capsys.readouterr().out
+    assert main(["prep", str(tmp_path / "out"), str(tmp_path / "prep")], spark) == 0 and "'dimers': 1" in capsys.readouterr().out
+    greedy = ["--set", "clustering.protein_sequence_mode=exact", "cluster", str(tmp_path / "prep"), str(tmp_path / "clusters")]
+    with pytest.raises(ValueError, match="stored atoms"):
+        main(greedy, spark)
+    assert main([*greedy, "--run", str(tmp_path / "out")], spark) == 0
+    made = spark.read.option("header", "true").csv(str(tmp_path / "clusters" / "structure_clusters")).collect()
+    assert {r.member_monomer_id for r in made} == {"1abc:A", "1abc:B", "2def:A", "2def:B"} and "representative" in {r.assignment_reason for r in made}
+    assert [r.cluster_id for r in spark.read.parquet(str(tmp_path / "clusters" / "dimers")).collect()] == ["dim_1_1"]
+    documents = [p for p in (tmp_path / "out" / "documents").rglob("*.gz")]
+    assert len(documents) == 2 and all('"chain_inventory":[{' in gzip.decompress(p.read_bytes()).decode() for p in documents)
     assert main(["shards", source, str(tmp_path / "shards"), "--count", "2"], spark) == 0
     assert sorted(p.name for p in (tmp_path / "shards").iterdir() if p.is_dir()) == ["shard=0", "shard=1"]
 

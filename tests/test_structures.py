@@ -219,11 +219,53 @@ def test_interfaces_against_brute_force(spark):
     assert len(close) == sum(v[0] for v in want.values()) and all(r.distance <= 8 for r in close)
 
 
-def test_lost_area_of_two_spheres():
+def lost_area(places, radii, others, other_radii):
+    """What one set of atoms loses beside another, point by point."""
+    spots, lost = interfaces.sphere(), 0.0
+    for i, (x, r) in enumerate(zip(places, radii, strict=True)):
+        at = x + (r + interfaces.PROBE) * spots
+        covered = lambda c, s: (((at[:, None] - c) ** 2).sum(2) < (s + interfaces.PROBE) ** 2).any(1) if len(c) else np.zeros(len(at), bool)  # noqa: E731, B023
+        keep = np.arange(len(places)) != i
+        alone = ~covered(places[keep], radii[keep])
+        lost += 4 * math.pi * (r + interfaces.PROBE) ** 2 * (alone & covered(others, other_radii)).mean()
+    return lost
+
+
+def test_covered_points_of_two_spheres():
     # Two equal spheres at a distance d: each loses a cap of 2 pi r (r - d / 2).
     r, d = 1.7 + 1.4, 3.0
-    got = interfaces.lost_area(np.zeros((1, 3)), np.array([1.7]), np.array([[d, 0, 0]]), np.array([1.7]), points=4000)
-    assert got == pytest.approx(2 * math.pi * r * (r - d / 2), rel=0.01)
+    bits = interfaces.covers(interfaces.sphere(4000), np.array([[d, 0, 0]]), np.array([r]), np.array([r]))
+    assert 4 * math.pi * r * r * np.bitwise_count(bits).sum() / 4000 == pytest.approx(2 * math.pi * r * (r - d / 2), rel=0.01)
+
+
+def test_areas_by_bitmaps(spark):
+    """Chains of several pairs, one with an atom of no standard residue, one without known elements, one far away."""
+    rng = np.random.default_rng(4)
+    rows, chains = [], {}
+    for chain, middle in (("A", (0, 0, 0)), ("B", (8, 0, 0)), ("C", (0, 8, 0)), ("D", (0, 0, 8)), ("E", (0, -8, 0)), ("F", (200, 0, 0))):
+        for i in range(40):
+            x = np.float32(rng.normal(size=3) * 2.5 + middle)
+            kind = [("ALA", "CA", "C", 1.88, 1.70), ("SER", "OG", "O", 1.46, 1.52), ("GLY", "N", "N", 1.64, 1.55), ("PHE", "CZ", "C", 1.76, 1.70), ("ASP", "C", "C", 1.61, 1.70), ("CYS", "SG", "S", 1.77, 1.80)][i % 6]
+            if chain == "D" and i == 0:
+                kind = ("XYZ", "C1", "C", None, 1.70)
+            if chain == "E":
+                kind = ("XYZ", "Q1", "QQ", None, None)
+            rows.append(("c", chain, chain, 0, i + 100 * ord(chain), i, "", *kind[:3], *map(float, x)))
+            chains.setdefault(chain, []).append((x.astype(float), kind[3], kind[4]))
+        rows.append(("c", chain, chain, 0, 99 + 100 * ord(chain), 99, "", "ALA", "CA", "C", float("nan"), 0.0, 0.0))
+    atoms = spark.createDataFrame(rows, "case string, instance string, chain_id string, sym_id int, atom_idx int, res_id int, ins_code string, res_name string, atom_name string, element string, x float, y float, z float")
+    pairs = spark.createDataFrame([("c", a, b) for a, b in ("AB", "AC", "AD", "BC", "AE", "AF")], "case string, instance_1 string, instance_2 string")
+    got = {(r.instance_1, r.instance_2): r for r in interfaces.areas(pairs, atoms).collect()}
+    assert set(got) == {tuple(x) for x in ("AB", "AC", "AD", "BC", "AE", "AF")}
+    for (a, b), r in got.items():
+        mode = 2 if "D" in (a, b) or "E" in (a, b) else 1
+        one, two = ([(x[0], x[mode]) for x in chains[c] if x[mode] is not None] for c in (a, b))
+        sides = [(np.array([x[0] for x in s]).reshape(-1, 3), np.array([x[1] for x in s])) for s in (one, two)]
+        want = (0.0, 0.0) if not len(one) or not len(two) else (lost_area(*sides[0], *sides[1]), lost_area(*sides[1], *sides[0]))
+        assert (r.delta_sasa_1, r.delta_sasa_2, r.buried_area) == pytest.approx((*want, sum(want) / 2), abs=2e-4)
+        assert r.area_method == ("not_computed" if b == "E" else "element_vdw_fallback" if b == "D" else "ProtOr")
+    assert got["A", "B"].buried_area > 10 and got["A", "F"].buried_area == 0 and got["A", "D"].warnings == ["interface_area_used_element_vdw_fallback"]
+    assert got["A", "E"].warnings == ["interface_area_used_element_vdw_fallback", "interface_area_dropped_unsupported_atoms_for_fallback", "interface_area_not_computed_after_filtering"]
 
 
 def face(a, ta, b, tb, area, atoms=30, residues=5):
