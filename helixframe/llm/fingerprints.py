@@ -12,8 +12,8 @@ of the next, so a task that reads ranges in order sees each document's successor
 Texts travel once, compressed.
 
 ``near_duplicates`` joins fingerprints on bands of four values in Spark. Equal
-fingerprints are one node; each band's documents meet the band's pivot, and in
-bands where components still differ all documents of different components meet.
+fingerprints are one node; each band's documents meet pivots of the band in turns,
+and in bands where components still differ all documents of different components meet.
 Candidates are verified on their texts' shingle sets, each pair once.
 
 Edge cases: null text is empty; an empty text, or one without words, has no
@@ -209,6 +209,8 @@ def compare_edits(docs: DataFrame) -> DataFrame:
 
 #: Values of a band: 32 bands of 4 values find a pair of Jaccard similarity 0.75 but for 5 in a million.
 BAND = 4
+#: Share of values below which a pair is not verified, and turns of pivots before all of a band's remaining pairs.
+LEAST_ALIKE, PIVOT_ROUNDS = 0.55, 5
 
 
 def _signed(batches):
@@ -228,6 +230,19 @@ def _bands(nodes: DataFrame) -> DataFrame:
     return nodes.select("rep", F.posexplode(cut).alias("band", "value"))
 
 
+def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs whose fingerprints share as many values as all but three in a million of those at a similarity of 0.75."""
+    for x in "ab":
+        pairs = pairs.join(nodes.select(F.col("rep").alias(x), F.col("sign").alias(f"s{x}")), x)
+
+    def run(batches):
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, HASHES) for c in ("sa", "sb"))
+            yield batch.select(["a", "b"]).filter(pa.array(likeness(one, two) >= LEAST_ALIKE))
+
+    return materialize(pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id): the smallest id that links of similarity 0.75 or more reach, over pairs that share a band.
 
@@ -238,17 +253,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = materialize(docs.mapInArrow(_signed, "doc_id long, sign binary, bare boolean"))
     nodes = materialize(signed.where("not bare and doc_id is not null").groupBy("sign").agg(F.min("doc_id").alias("rep")))
-    bands = _bands(nodes)
-    pivots = bands.groupBy("band", "value").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1")
-    first = materialize(bands.join(pivots, ["band", "value"]).where("rep <> a").select("a", F.col("rep").alias("b")).distinct())
-    found = components(verify(docs, first))
-    # Bands whose documents are of several components yet: all pairs of these.
-    named = bands.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = named.groupBy("band", "value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band", "value")
-    named = materialize(named.join(mixed, ["band", "value"], "left_semi"))
-    one, two = (named.select("band", "value", F.col("rep").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
-    rest = one.join(two, ["band", "value"]).where("a < b and ca <> cb").select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    found = components(verify(docs, materialize(rest)).union(found))
+    bands = materialize(_bands(nodes))
+    found = tried = None
+    for turn in range(PIVOT_ROUNDS + 1):
+        # Bands whose documents are of several components yet.
+        named = bands.withColumn("component", F.col("rep"))
+        if found is not None:
+            named = bands.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        place = F.struct(F.xxhash64("rep", F.lit(turn)).alias("o"), "rep", "component")
+        mixed = named.groupBy("band", "value").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(place).alias("p")).where("low < high")
+        if turn < PIVOT_ROUNDS:
+            pairs = named.join(mixed.select("band", "value", F.col("p.rep").alias("p"), F.col("p.component").alias("pc")), ["band", "value"]).where("component <> pc").select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b"))
+        else:
+            named = materialize(named.join(mixed.select("band", "value"), ["band", "value"], "left_semi"))
+            one, two = (named.select("band", "value", F.col("rep").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
+            pairs = one.join(two, ["band", "value"]).where("a < b and ca <> cb").select("a", "b")
+        pairs = pairs.distinct()
+        pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        tried = pairs if tried is None else tried.union(pairs)
+        links = verify(docs, _alike(pairs, nodes))
+        found = components(links if found is None else links.union(found))
     label = nodes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("sign", F.coalesce("component", "rep").alias("class"))
     out = signed.join(label, "sign", "left").select("doc_id", F.when(F.col("bare") | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("class")).alias("class_id"))
     return out
