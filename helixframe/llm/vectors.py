@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixframe.llm._shared import likely, materialize
+from helixframe.llm._shared import materialize
 
 BLOCK = "key long, ids binary, vectors binary"
 
@@ -205,11 +205,18 @@ class IvfPq:
         d = (self.coarse**2).sum(1) - 2 * x @ self.coarse.T
         return np.argsort(d, axis=1, kind="stable")[:, :n]
 
+    def far(self, x: np.ndarray) -> np.ndarray:
+        """Distances to all centroids."""
+        return np.sqrt(np.maximum(0, (x**2).sum(1)[:, None] + (self.coarse**2).sum(1) - 2 * x @ self.coarse.T))
+
     def encode(self, rest: np.ndarray) -> np.ndarray:
         return np.stack(
             [((b**2).sum(1) - 2 * rest[:, p] @ b.T).argmin(1) for p, b in zip(self.parts, self.books, strict=True)], 1
         ).astype(np.uint8)
 
+    def decode(self, codes: np.ndarray) -> np.ndarray:
+        return np.concatenate([b[codes[:, i]] for i, b in enumerate(self.books)], 1)
+
     def tables(self, rest: np.ndarray) -> list[np.ndarray]:
         """Squared distances of query residuals to every code, by subspace."""
         return [
@@ -218,26 +225,34 @@ class IvfPq:
         ]
 
 
-CODED = "key long, rows binary, ids binary, lists binary, codes binary"
-ASKED = "key long, part long, q_ids binary, vectors binary, visits array<binary>"
-#: The best rows of a group of queries so far: how many of each, their rows, ids and distances.
-SHORT = "part long, tile long, q_ids binary, counts binary, rows binary, ids binary, far binary"
+CODED = "key long, ids binary, lists binary, codes binary, errors binary, vectors binary"
+ASKED = "key long, part long, q_ids binary, q_vectors binary, within binary, visits array<binary>"
+#: What rounding may add to a distance of unit vectors, or take from a cosine.
+FAR_SLACK, SCORE_SLACK = 1e-6, 1e-9
+
+
+def _even(x: np.ndarray) -> np.ndarray:
+    """Rows by a power of two of their own, which changes no cosine, so that no product overflows."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0, keepdims=True))[1])
+
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = _even(x)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
-def _rows(rows: list[dict]) -> pa.RecordBatch:
-    kinds = [("part", pa.int64()), ("tile", pa.int64()), *[(c, pa.binary()) for c in ("q_ids", "counts", "rows", "ids", "far")]]
-    return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in kinds], names=[c for c, _ in kinds])
 
+def _few_copies(vectors: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Rows that may be among the k best of a query: of equal vectors those of smallest ids; whatever id a query leaves out, k stay."""
+    def place(sorted_keys: np.ndarray) -> np.ndarray:
+        first = np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1]))
+        return np.arange(len(first)) - np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
 
-def _shorten(parts: list[dict], k: int) -> dict:
-    """Of several rows of ``SHORT`` the k nearest of each query, then smaller ids."""
-    of = lambda name, kind: np.concatenate([np.frombuffer(p[name], kind) for p in parts])
-    q = np.concatenate([np.repeat(np.frombuffer(p["q_ids"], np.int64), np.frombuffer(p["counts"], np.int64)) for p in parts])
-    rows, ids, far = of("rows", np.int64), of("ids", np.int64), of("far", "f8")
-    order = np.lexsort((rows, ids, far, q))
-    who, first, size = np.unique(q[order], return_index=True, return_counts=True)
-    order = order[np.arange(len(order)) - np.repeat(first, size) < k]
-    return {"q_ids": who.tobytes(), "counts": np.minimum(size, k).tobytes(), "rows": rows[order].tobytes(), "ids": ids[order].tobytes(), "far": far[order].tobytes()}
+    vectors = vectors + 0.0  # no negative zeros
+    same = np.unique(vectors.view(np.dtype((np.void, vectors.dtype.itemsize * vectors.shape[1]))).ravel(), return_inverse=True)[1].ravel()
+    order = np.lexsort((ids, same))
+    own = np.unique(np.stack([same[order], ids[order]], 1), axis=0, return_inverse=True)[1].ravel()
+    order = order[place(own) < k]
+    return np.sort(order[place(same[order]) < 2 * k])
 
 
 def nearest(
@@ -250,48 +265,57 @@ def nearest(
     lists: int | None = None,
     probes: int | None = None,
     parts: int = 16,
-    rerank: int = 256,
     block_rows: int = 16384,
-    query_rows: int = 512,
+    query_rows: int = 2048,
+    bound_rows: int = 2048,
 ) -> DataFrame:
     """The k nearest rows by cosine of each query (ids divisible by ``every``) in an inverted file.
 
     The index is fitted on at most ``sample_rows`` rows (those of smallest id
-    hash); every row is indexed, as its list and a byte for each of ``parts``
-    subspaces. Each query visits its ``probes`` nearest lists, whose codes alone
-    are scanned; the ``rerank`` rows of smallest asymmetric distance over all of
-    them are scored exactly on their original vectors, in double precision. A
-    list that holds many rows is many blocks.
+    hash); every row is indexed, as its list, a byte for each of ``parts``
+    subspaces, and how far its code is from it. A query visits each list that
+    may hold a row as near as its k-th nearest of ``bound_rows`` rows of the
+    sample (by the list's centre and radius), or with ``probes`` only its so
+    many nearest lists. There, asymmetric distances less and plus a row's own
+    error bound its distance: rows that may be among the k nearest, however
+    many, are scored exactly on their original vectors, in double precision. So
+    without ``probes`` no near row is lost, whatever the rows look like. A list
+    that holds many rows is many blocks.
     """
     v = usable(rows, id_col, vec_col, nonzero=True)
     width = width_of(v)
-    v = v.where(F.size("v") == width)
-    # A key for each row, as ids may repeat; written, so that it stays.
-    v = materialize(v.withColumn("row", F.monotonically_increasing_id()))
+    v = materialize(v.where(F.size("v") == width))
     n = v.count()
     if not n:
         return v.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    sample = v.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("v").toPandas()["v"]
+    sample = v.orderBy(F.xxhash64("id"), "id").limit(sample_rows).toPandas()
+    x = np.array(sample["v"].tolist(), np.float64)
     lists = lists or int(min(4096, max(1, round(n**0.5 / 2))))
-    probes = min(lists, probes or max(8, -(-7 * lists // 10)))
-    model = IvfPq(np.array(sample.tolist(), np.float64), lists, parts, 256)
+    model = IvfPq(_unit(x), lists, parts, 256)
     lists = len(model.coarse)
-    shared = v.sparkSession.sparkContext.broadcast(model)  # at most 4096 + 256 rows of one vector's width
+    probes = min(lists, probes or lists)
+    block_rows = max(1, min(block_rows, (1 << 20) // width))
+    # At most 4096 + 256 + ``bound_rows`` rows of one vector's width.
+    shared = v.sparkSession.sparkContext.broadcast((model, sample["id"].to_numpy(np.int64)[:bound_rows], _unit(x[:bound_rows])))
 
     def encode(batches):
-        m = shared.value
+        m = shared.value[0]
         for batch in batches:
-            x = _matrix(batch.column("v"), width)
-            x = x / np.linalg.norm(x, axis=1, keepdims=True)
+            x = _unit(_matrix(batch.column("v"), width))
             own = m.near(x, 1)[:, 0]
-            codes = m.encode(x - m.coarse[own])
+            rest = x - m.coarse[own]
+            codes = m.encode(rest)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("id"), pa.array(own.astype(np.int64)), pa.array([c.tobytes() for c in codes], pa.binary())],
-                names=["row", "id", "list", "codes"],
+                [batch.column("id"), batch.column("v"), pa.array(own.astype(np.int64)), pa.array([c.tobytes() for c in codes], pa.binary()),
+                 pa.array(np.linalg.norm(rest, axis=1)), pa.array(np.linalg.norm(rest - m.decode(codes), axis=1))],
+                names=["id", "v", "list", "codes", "off", "error"],
             )
 
-    index = materialize(v.mapInArrow(encode, "row long, id long, list long, codes binary"))
-    sizes = {r["list"]: r["n"] for r in index.groupBy("list").agg(F.count("*").alias("n")).collect()}  # a number for each of at most 4096 lists
+    index = materialize(v.mapInArrow(encode, "id long, v array<double>, list long, codes binary, off double, error double"))
+    found = index.groupBy("list").agg(F.count("*").alias("n"), F.max("off").alias("off")).collect()  # two numbers for each of at most 4096 lists
+    sizes = {r["list"]: r["n"] for r in found}
+    radius = np.full(lists, -np.inf)
+    radius[[r["list"] for r in found]] = [r["off"] for r in found]
     ends = np.cumsum([sizes.get(i, 0) for i in range(lists)])
     # Lists follow one another in blocks of about ``block_rows`` rows; a list over several deals its rows to them.
     first = np.concatenate([[0], ends[:-1]]) // block_rows
@@ -300,64 +324,79 @@ def nearest(
     table = v.sparkSession.createDataFrame([(i, int(first[i]), int(last[i] - first[i] + 1)) for i in sizes], "list long, first long, salts long")
 
     def packed(batch: pa.Table) -> pa.Table:
-        ids, rows, own = (batch.column(c).to_numpy() for c in ("id", "row", "list"))
-        order = np.lexsort((rows, ids, own))
+        ids, own, error = (batch.column(c).to_numpy() for c in ("id", "list", "error"))
+        x = _even(_matrix(batch.column("v"), width))
+        kept = _few_copies(x, ids, k)
+        order = kept[np.lexsort((ids[kept], own[kept]))]
         codes = batch.column("codes").to_pylist()
         return pa.table({
-            "key": batch.column("key")[:1], "rows": [rows[order].tobytes()], "ids": [ids[order].tobytes()],
-            "lists": [own[order].tobytes()], "codes": [b"".join(codes[i] for i in order.tolist())],
+            "key": batch.column("key")[:1], "ids": [ids[order].tobytes()], "lists": [own[order].tobytes()], "codes": [b"".join(codes[i] for i in order.tolist())],
+            "errors": [error[order].tobytes()], "vectors": [x[order].tobytes()],
         })
 
-    coded = index.join(F.broadcast(table), "list").withColumn("key", F.col("first") + F.pmod(F.xxhash64("row"), "salts"))
-    coded = coded.select("key", "row", "id", "list", "codes").groupBy("key").applyInArrow(packed, CODED)
+    coded = index.join(F.broadcast(table), "list").withColumn("key", F.col("first") + F.pmod(F.xxhash64("id"), "salts"))
+    coded = coded.select("key", "id", "v", "list", "codes", "error").groupBy("key").applyInArrow(packed, CODED)
 
     def visits(batches):
-        m = shared.value
+        m, known_ids, known = shared.value
         for batch in batches:
-            x = _matrix(batch.column("v"), width)
-            near = m.near(x / np.linalg.norm(x, axis=1, keepdims=True), probes)
+            y, ids = _unit(_matrix(batch.column("v"), width)), batch.column("id").to_numpy()
+            far = m.far(y)
+            # As far as the k-th nearest row of the sample is, further rows need no look.
+            within = np.full(len(y), np.inf)
+            if len(known) >= k:
+                score = y @ known.T
+                score[ids[:, None] == known_ids] = -np.inf
+                least = np.partition(score, len(known) - k, axis=1)[:, len(known) - k]
+                within = np.sqrt(np.maximum(0, 2 - 2 * least)) + FAR_SLACK
+            may = far - radius <= within[:, None] + FAR_SLACK
+            if probes < lists:
+                near = np.zeros_like(may)
+                np.put_along_axis(near, np.argsort(far, axis=1, kind="stable")[:, :probes], True, 1)
+                may &= near
             at, keys, chosen = [], [], []
-            for i, found in enumerate(near.tolist()):
+            for i, row in enumerate(may):
                 blocks: dict[int, list[int]] = {}
-                for one in found:
+                for one in np.flatnonzero(row).tolist():
                     for key in range(first[one], last[one] + 1) if one in sizes else ():
                         blocks.setdefault(key, []).append(one)
                 at += [i] * len(blocks)
                 keys += blocks
-                chosen += [np.array(sorted(x), np.int64).tobytes() for x in blocks.values()]
+                chosen += [np.array(x, np.int64).tobytes() for x in blocks.values()]
             at = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), batch.column("part").take(at), batch.column("id").take(at), batch.column("v").take(at), pa.array(chosen, pa.binary())],
-                names=["key", "part", "id", "v", "visits"],
+                [pa.array(keys, pa.int64()), batch.column("part").take(at), batch.column("id").take(at), batch.column("v").take(at), pa.array(within).take(at), pa.array(chosen, pa.binary())],
+                names=["key", "part", "id", "v", "within", "visits"],
             )
 
     def asked(batch: pa.Table) -> pa.Table:
-        ids = batch.column("id").to_numpy()
+        ids, within = batch.column("id").to_numpy(), batch.column("within").to_numpy()
         return pa.table({
-            "key": batch.column("key")[:1], "part": batch.column("part")[:1], "q_ids": [ids.tobytes()], "vectors": [_matrix(batch.column("v"), width).tobytes()],
-            "visits": pa.array([batch.column("visits").to_pylist()], pa.list_(pa.binary())),
+            "key": batch.column("key")[:1], "part": batch.column("part")[:1], "q_ids": [ids.tobytes()], "q_vectors": [_even(_matrix(batch.column("v"), width)).tobytes()],
+            "within": [within.tobytes()], "visits": pa.array([batch.column("visits").to_pylist()], pa.list_(pa.binary())),
         })
 
     queries = v.where(F.col("id") % every == 0)
     # Queries of a block come in groups, so that the block is not repeated for each.
     part = F.pmod(F.xxhash64("id"), F.lit(max(1, n // every // query_rows))).alias("part")
-    each = queries.select(part, "id", "v").mapInArrow(visits, "key long, part long, id long, v array<double>, visits binary")
+    each = queries.select(part, "id", "v").mapInArrow(visits, "key long, part long, id long, v array<double>, within double, visits binary")
     each = each.groupBy("key", "part").applyInArrow(asked, ASKED)
 
     def search(batches):
-        m = shared.value
+        m = shared.value[0]
         for batch in batches:
             for row in batch.to_pylist():
-                ids, rows, own, q_ids = (np.frombuffer(row[c], np.int64) for c in ("ids", "rows", "lists", "q_ids"))
+                ids, own, q_ids = (np.frombuffer(row[c], np.int64) for c in ("ids", "lists", "q_ids"))
+                error, within = np.frombuffer(row["errors"], "f8"), np.frombuffer(row["within"], "f8")
                 codes = np.frombuffer(row["codes"], np.uint8).reshape(len(ids), -1)
-                y = np.frombuffer(row["vectors"], "f8").reshape(len(q_ids), width)
-                y = y / np.linalg.norm(y, axis=1, keepdims=True)
+                x, y = (np.frombuffer(row[c], "f8").reshape(-1, width) for c in ("vectors", "q_vectors"))
+                u, x_norm, y_norm = _unit(x), np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
                 starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
                 stops = np.append(starts[1:], len(own))
                 place = {int(own[a]): (a, z) for a, z in zip(starts.tolist(), stops.tolist(), strict=True)}
-                kept = []
                 for lo in range(0, len(y), 64):
-                    mine, far = q_ids[lo : lo + 64], np.full((len(y[lo : lo + 64]), len(ids)), np.inf)
+                    mine, some = q_ids[lo : lo + 64], _unit(y[lo : lo + 64])
+                    far = np.full((len(mine), len(ids)), np.inf)
                     seen: dict[int, list[int]] = {}
                     for i, raw in enumerate(row["visits"][lo : lo + 64]):
                         for one in np.frombuffer(raw, np.int64).tolist():
@@ -366,42 +405,29 @@ def nearest(
                         if one in place:
                             a, z = place[one]
                             part = np.zeros((len(who), z - a))
-                            for k, t in enumerate(m.tables(y[lo : lo + 64][who] - m.coarse[one])):
-                                part += t[:, codes[a:z, k]]
-                            far[who, a:z] = part
+                            for j, t in enumerate(m.tables(some[who] - m.coarse[one])):
+                                part += t[:, codes[a:z, j]]
+                            far[who, a:z] = np.sqrt(np.maximum(part, 0))
                     far[mine[:, None] == ids] = np.inf
-                    short = np.argpartition(far, rerank - 1, axis=1)[:, :rerank] if far.shape[1] > rerank else np.broadcast_to(np.arange(far.shape[1]), far.shape)
-                    # Rows as near as the last one may have smaller ids.
-                    edge = np.take_along_axis(far, short, 1).max(axis=1, initial=-np.inf)
-                    q, r = np.nonzero((far <= edge[:, None]) & np.isfinite(far))
-                    raw = {"q_ids": mine.tobytes(), "counts": np.bincount(q, minlength=len(mine)).astype(np.int64).tobytes(), "rows": rows[r].tobytes(), "ids": ids[r].tobytes(), "far": far[q, r].tobytes()}
-                    kept.append(_shorten([raw], rerank))
-                yield _rows([{"part": row["part"], "tile": row["key"]} | _shorten(kept, rerank)])
-
-    def merge(batch: pa.Table) -> pa.Table:
-        parts = sorted(batch.to_pylist(), key=lambda r: r["tile"])
-        return pa.Table.from_batches([_rows([{"part": parts[0]["part"], "tile": parts[0]["tile"]} | _shorten(parts, rerank)])])
-
-    def told(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                q = np.repeat(np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["counts"], np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(np.frombuffer(row["rows"], np.int64))], names=["query_id", "row"])
-
-    found = coded.join(each, "key").mapInArrow(search, SHORT)
-    # Over all blocks of a query the best by code, merged in two rounds; then their vectors.
-    split = max(1, math.isqrt(total))
-    found = found.withColumn("tile", F.pmod("tile", F.lit(split))).groupBy("part", "tile").applyInArrow(merge, SHORT)
-    found = found.groupBy("part").applyInArrow(merge, SHORT)
-    short = materialize(found.mapInArrow(told, "query_id long, row long"))
-    vectors = likely(v, "row", short.select("row"))
-    exact = short.join(vectors, "row").join(queries.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id")
-
-    def cosines(batches):
-        for batch in batches:
-            x, y = _matrix(batch.column("v"), width), _matrix(batch.column("q"), width)
-            score = np.einsum("ij,ij->i", x, y) / (np.linalg.norm(x, axis=1) * np.linalg.norm(y, axis=1))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("query_id"), batch.column("id"), pa.array(score)], names=["tile", "query_id", "vec_id", "score"])
-
-    scored = exact.select("query_id", "row", "id", "v", "q").mapInArrow(cosines, "tile long, query_id long, vec_id long, score double")
-    return merge_best(scored, k, 1, "score")
+                    limit = within[lo : lo + 64] + FAR_SLACK
+                    if len(ids) > k:
+                        limit = np.minimum(limit, np.partition(far + error, k - 1, axis=1)[:, k - 1] + FAR_SLACK)
+                    may = np.isfinite(far) & (far - error <= limit[:, None])
+                    score = np.where(may, some @ u.T, -np.inf)
+                    if len(ids) > k:
+                        may &= score >= np.partition(score, len(ids) - k, axis=1)[:, len(ids) - k, None] - SCORE_SLACK
+                    q, r = np.nonzero(may)
+                    exact = np.empty(len(q))
+                    for at in range(0, len(q), 1 << 16):
+                        i, j = q[at : at + (1 << 16)] + lo, r[at : at + (1 << 16)]
+                        exact[at : at + (1 << 16)] = np.einsum("ij,ij->i", x[j], y[i]) / (x_norm[j] * y_norm[i])
+                    order = np.lexsort((ids[r], -exact, q))
+                    head = np.searchsorted(q[order], np.arange(len(mine)))
+                    order = order[np.arange(len(order)) - head[q[order]] < k]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(order), row["key"])), pa.array(mine[q[order]]), pa.array(ids[r[order]]), pa.array(exact[order])],
+                        names=["tile", "query_id", "vec_id", "score"],
+                    )
+
+    found = coded.join(each, "key").mapInArrow(search, "tile long, query_id long, vec_id long, score double")
+    return merge_best(found, k, total, "score")

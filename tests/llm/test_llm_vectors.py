@@ -89,3 +89,17 @@ def test_nearest_odd_and_blocks(spark):
     got = vectors.nearest(odd).collect()
     assert {r.query_id for r in got} == {0, 100} and {r.vec_id for r in got} == {0, 1, 2, 8, 100}
     assert vectors.nearest(odd.limit(0)).collect() == []
+
+
+def test_nearest_without_structure(spark):
+    # Wide vectors without clusters: near ones are in any list, and short codes tell little of them.
+    x = np.random.default_rng(3).normal(size=(3000, 256))
+    rows = list(enumerate(x.tolist()))
+    got = sorted((q, r, i) for q, r, i, _ in vectors.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block_rows=500).collect())
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = []
+    for q in range(0, 3000, 50):
+        score = u @ u[q]
+        score[q] = -2
+        want += [(q, r + 1, int(i)) for r, i in enumerate(np.argsort(-score, kind="stable")[:5])]
+    assert got == want
