@@ -291,3 +291,34 @@ def test_large_cases_go_by_rounds(spark):
                 used |= {u, v}
                 want.add((c, u, v))
     assert paired(10) == paired(10**6) == want
+
+
+def test_many_small_cases_take_no_call_each(spark):
+    # A call a case (as groups of pandas frames make) took 30 seconds and more for these.
+    import time
+
+    rows = spark.range(240_000).selectExpr("id div 4 as case", "concat('h', id % 2) as h", "concat('l', id div 2 % 2) as l", "cast(id * 7919 % 1000 as double) as area")
+    begun = time.time()
+    got = {tuple(r) for r in graphs.greedy_matching(rows, "case", "h", "l", ["area"], [True]).where("case < 50").collect()}
+    assert time.time() - begun < 20
+    by = {}
+    for i in range(200):
+        by.setdefault(i // 4, []).append((-(i * 7919 % 1000), f"h{i % 2}", f"l{i // 2 % 2}"))
+    want = set()
+    for case, edges in by.items():
+        used = set()
+        for _, h, low in sorted(edges):
+            if not used & {h, low}:
+                used |= {h, low}
+                want.add((case, h, low))
+    assert got == want
+
+
+def test_communities_by_component(spark):
+    # Two components of one case: together they are what one pass over the whole graph finds.
+    rng = np.random.default_rng(5)
+    edges = {(int(min(a, b)) + k, int(max(a, b)) + k): float(w) for k in (0, 100) for a, b, w in zip(rng.integers(0, 30, 70), rng.integers(0, 30, 70), rng.integers(1, 9, 70)) if a != b}
+    df = spark.createDataFrame([(None, u, v, w) for (u, v), w in edges.items()] + [("x", u, v, w) for (u, v), w in edges.items()], "case string, u long, v long, weight double")
+    found = graphs.communities_of(graphs.pruned(edges, 2, 8))
+    want = {(case, x, c) for x, c in found.items() for case in (None, "x") if list(found.values()).count(c) >= 2}
+    assert {tuple(r) for r in graphs.communities(df, "case").collect()} == want
