@@ -322,3 +322,16 @@ def test_communities_by_component(spark):
     found = graphs.communities_of(graphs.pruned(edges, 2, 8))
     want = {(case, x, c) for x, c in found.items() for case in (None, "x") if list(found.values()).count(c) >= 2}
     assert {tuple(r) for r in graphs.communities(df, "case").collect()} == want
+
+
+def test_files_share_batches():
+    # A batch a file and category (six of them here) cost more than reading did.
+    import pyarrow as pa
+
+    text = b"data_a\n_entry.id a\nloop_\n_x.a\n_x.b\n1 2\n3 4\n"
+    files = pa.RecordBatch.from_arrays([pa.array(["p", "bad", "q"]), pa.array([text, text + b"5", text])], names=["path", "content"])
+    (made,) = mmcif._read([files])
+    rows = [(r["path"], r["category"], r["row_idx"], dict(r["cells"])) for r in made.to_pylist() if r["category"] != mmcif.FILE]
+    want = lambda p: [(p, "x", 0, {"a": "1", "b": "2"}), (p, "x", 1, {"a": "3", "b": "4"}), (p, "entry", 0, {"id": "a"})]
+    assert [r for r in rows if r[0] != "bad"] == want("p") + want("q")
+    assert [(r["path"], r["error"] is None) for r in made.to_pylist() if r["category"] == mmcif.FILE] == [("p", True), ("bad", False), ("q", True)]
