@@ -335,3 +335,22 @@ def test_files_share_batches():
     want = lambda p: [(p, "x", 0, {"a": "1", "b": "2"}), (p, "x", 1, {"a": "3", "b": "4"}), (p, "entry", 0, {"id": "a"})]
     assert [r for r in rows if r[0] != "bad"] == want("p") + want("q")
     assert [(r["path"], r["error"] is None) for r in made.to_pylist() if r["category"] == mmcif.FILE] == [("p", True), ("bad", False), ("q", True)]
+
+
+def test_chain_operations_in_order_of_rows(spark):
+    from helixframe.operators import inventory
+
+    rows = [("f", 3, "1", "B,A", "3-1"), ("f", 1, "1", "A, B", "2,5"), ("f", 2, "1", "A", "2,5"), ("f", 4, "2", "A", None), ("g", 1, "1", "A", "(1,2)(P)")]
+    gen = spark.createDataFrame(rows, "path string, row_idx int, assembly_id string, asym_id_list string, oper_expression string")
+    got = {(r.path, r.assembly_id, r.chain_id): (r.operations, r.copies) for r in inventory.chain_operations(gen).collect()}
+    want = {("f", "1", "A"): ["2", "5", "3", "1"], ("f", "1", "B"): ["2", "5", "3", "1"], ("f", "2", "A"): ["1"], ("g", "1", "A"): ["1xP", "2xP"]}
+    assert got == {k: (v, len(v)) for k, v in want.items()}
+    # One chain of many generators: lists of all their operations, told apart in one row, took minutes.
+    many = spark.range(20_000).selectExpr("'f' as path", "cast(id as int) as row_idx", "'1' as assembly_id", "'A' as asym_id_list", "concat('1-', 1 + id % 50, ',', id) as oper_expression")
+    assert [r.copies for r in inventory.chain_operations(many).collect()] == [20_000]
+
+
+@pytest.mark.parametrize("name, table", [("strict_date_parse", "orders"), ("numeric_aware_order", "part"), ("oper_expression", "part")])
+def test_rows_are_a_tables(spark, name, table):
+    n = spark.read.parquet(f"{SF}/{table}.parquet").count()
+    assert catalogue.QUERIES[name](spark, SF).count() == n > 100
