@@ -354,3 +354,10 @@ def test_chain_operations_in_order_of_rows(spark):
 def test_rows_are_a_tables(spark, name, table):
     n = spark.read.parquet(f"{SF}/{table}.parquet").count()
     assert catalogue.QUERIES[name](spark, SF).count() == n > 100
+
+
+def test_dimer_observations_are_made_once(spark):
+    # What goes on are written signatures: a plan that still reads interfaces makes observations again for each use.
+    from helixframe.plans import structural
+
+    assert not any("lineitem" in f for f in structural.dimer_signatures(spark, SF).inputFiles())
