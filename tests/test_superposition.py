@@ -211,3 +211,48 @@ def test_structure_cluster_query(spark, vectors):
             leaders.append((r.monomer_id, trace))
         assert got[r.monomer_id].representative_monomer_id == (hits[0] if hits else r.monomer_id)
     assert 1 < len(leaders) < len(own)
+
+
+def test_alone_as_in_batches():
+    """An alignment does not hang on the pairs or complexes of its batch."""
+    rng = np.random.default_rng(5)
+    cloud = lambda n: rng.normal(0, 2.5, (n, 3))
+    pairs = [(cloud(n), cloud(m)) for n, m in zip(rng.integers(15, 24, 60), rng.integers(15, 24, 60), strict=True)]
+    assert S.align_many(pairs) == [S.align_many([p])[0] for p in pairs]
+    complexes = [([walk(20 + k, 3 * k + j) for j in range(3)], [walk(20 + k, 3 * k + j) @ kabsch_turn(k) + 7 for j in (1, 2, 0)]) for k in range(4)]
+    together = S.align_complexes(complexes)
+    assert together == [S.align_complex(*c) for c in complexes]
+    assert all(sorted(x["chains"]) == [(0, 2), (1, 0), (2, 1)] and x["tm_score_query"] > 0.99 for x in together)
+
+
+def kabsch_turn(seed: int) -> np.ndarray:
+    q, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(3, 3)))
+    return q if np.linalg.det(q) > 0 else -q
+
+
+def test_leaders_are_dealt(spark):
+    """Buckets of a dear comparison go to several tasks, and get the leaders of a plain loop."""
+    from pyspark.sql import functions as F
+
+    from helixframe.operators.clustering import leader_clusters
+
+    def near(pairs):
+        return [a[1] == 0 and abs(a[0] - b[0]) < 3 for a, b in pairs]
+
+    rows = [(f"b{k % 16}", k, [float(k * 37 % 11), 0.0]) for k in range(320)]
+    df = spark.createDataFrame(rows, "bucket string, id long, p array<double>")
+    for size in (512, 7):
+        got = leader_clusters(df, "bucket", "id", ["id"], "p", lambda a, b: np.array([near([(x, y) for x in a]) for y in b], bool).reshape(len(b), len(a)), lead_rows=size, pairs=near)
+        found = {r.id: r.leader for r in got.collect()}
+        want: dict = {}
+        for b in range(16):
+            leaders: list = []
+            for _, k, p in (r for r in rows if r[0] == f"b{b}"):
+                hit = [j for j, q in leaders if near([(q, p)])[0]]
+                want[k] = hit[0] if hit else k
+                if not hit:
+                    leaders.append((k, p))
+        assert found == want and len(got.collect()) == 320
+    files = leader_clusters(df, "bucket", "id", ["id"], "p", lambda a, b: np.array([near([(x, y) for x in a]) for y in b], bool).reshape(len(b), len(a)), pairs=near).select(F.input_file_name().alias("f")).where("f like '%/part-%'").distinct().count()
+    # One file a task that led something, with four tasks.
+    assert files > 1
