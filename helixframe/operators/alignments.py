@@ -59,17 +59,38 @@ def aligned(pairs: DataFrame) -> DataFrame:
 COMPLEX = RESULT + ", chains array<struct<query:int,target:int>>"
 
 
+def _found_complexes(pairs: list[tuple]) -> list[tuple[dict, str | None]]:
+    """Alignments of pairs of complexes, or what is wrong with them; where one stops a batch, each goes alone."""
+    out: list[tuple[dict, str | None]] = [({}, None)] * len(pairs)
+    good = []
+    for k, pair in enumerate(pairs):
+        try:
+            shaped = tuple([_points(p) for p in parts] for parts in pair)
+            if not all(np.isfinite(p).all() for parts in shaped for p in parts):
+                raise ValueError("a place is not finite")
+            good.append((k, shaped))
+        except (TypeError, ValueError) as error:
+            out[k] = {}, f"{type(error).__name__}: {error}"[-4000:]
+    wrong = TypeError, ValueError, np.linalg.LinAlgError
+    try:
+        found = [(x, None) for x in superposition.align_complexes([pair for _, pair in good])]
+    except wrong:
+        found = []
+        for _, pair in good:
+            try:
+                found.append((superposition.align_complex(*pair), None))
+            except wrong as error:
+                found.append(({}, f"{type(error).__name__}: {error}"[-4000:]))
+    for (k, _), (x, bad) in zip(good, found, strict=True):
+        out[k] = x, bad or (None if x["aligned_length"] else "fewer than three residues")
+    return out
+
+
 def _run_complexes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     names = [x.split(" ")[0] for x in RESULT.split(", ")]
     for pdf in batches:
         rows = []
-        for a, b in zip(pdf["parts_query"], pdf["parts_target"], strict=True):
-            try:
-                found, bad = superposition.align_complex([_points(p) for p in a], [_points(p) for p in b]), None
-                if not found["aligned_length"]:
-                    bad = "fewer than three residues"
-            except (TypeError, ValueError, np.linalg.LinAlgError) as error:
-                found, bad = {}, f"{type(error).__name__}: {error}"[-4000:]
+        for found, bad in _found_complexes(list(zip(pdf["parts_query"], pdf["parts_target"], strict=True))):
             chains = [{"query": int(i), "target": int(j)} for i, j in found.get("chains", [])]
             rows.append((*(found.get(k) for k in names[:-1]), bad, chains))
         got = pd.DataFrame(rows, columns=[*names, "chains"], index=pdf.index)

@@ -256,3 +256,13 @@ def test_leaders_are_dealt(spark):
     files = leader_clusters(df, "bucket", "id", ["id"], "p", lambda a, b: np.array([near([(x, y) for x in a]) for y in b], bool).reshape(len(b), len(a)), pairs=near).select(F.input_file_name().alias("f")).where("f like '%/part-%'").distinct().count()
     # One file a task that led something, with four tasks.
     assert files > 1
+
+
+def test_wrong_complex_of_a_batch(spark):
+    """A complex that cannot be aligned has its error; the others of its batch their alignments."""
+    parts = [[x for p in [walk(20, k)] for x in p.ravel().tolist()] for k in range(2)]
+    rows = [(0, parts, parts[::-1]), (1, [[float("nan")] * 60], parts), (2, parts, [[1.0, 2.0]]), (3, parts, parts)]
+    df = spark.createDataFrame(rows, "k long, parts_query array<array<double>>, parts_target array<array<double>>").coalesce(1)
+    got = {r.k: r for r in alignments.aligned_complexes(df).collect()}
+    assert got[0].chains == [(0, 1), (1, 0)] and got[3].chains == [(0, 0), (1, 1)] and not got[0].error and not got[3].error
+    assert "not finite" in got[1].error and "ValueError" in got[2].error and got[1].aligned_length is None
