@@ -382,3 +382,14 @@ def test_kept_domains(spark):
     got = df.select("k", domains.kept_domains(F.col("domains"), F.col("units"), F.col("unit"), F.col("type")).alias("d")).withColumn("w", domains.boundary_warnings(F.col("d"))).collect()
     assert {r.k: [d.code for d in r.d] for r in got} == {1: ["H", "K"], 2: ["H"], 3: ["K"]}
     assert {r.k: r.w for r in got}[1] == ["fv_boundary_repaired_by_motif_requires_review", "sadie_missing_fr4_region"]
+
+
+def test_cases_are_dealt_once(spark):
+    """Complexes of the tables: rows go by case once, and what a unit touches by unit once."""
+    from helixframe.plans import structural
+
+    plan = lambda rows: rows._jdf.queryExecution().optimizedPlan().toString()
+    chains, faces = structural._faces(spark, "/root/testdata/sf0.001")
+    assert "Window" not in plan(faces) and "Join" not in plan(faces) and "Aggregate" not in plan(chains)
+    out = structural.antibody_antigen_complexes(spark, "/root/testdata/sf0.001")
+    assert plan(out).count("Relation") <= 2
