@@ -9,7 +9,7 @@ from helixframe.engine import structures as shapes
 from helixframe.engine.settings import ClusterSettings, check_cutoff
 from helixframe.functions.scalars import component_key, date_decision, moved_path
 from helixframe.operators import clustering, identity, refinement, relational
-from helixframe.operators.tables import written
+from helixframe.operators.tables import dealt, written
 from helixframe.sources import bundles, sinks
 
 # Cluster prefixes by polymer class.
@@ -43,19 +43,23 @@ def high_order_references(prep: dict[str, DataFrame]) -> DataFrame:
     d = prep["dimers"]
     out = d.select("pdb_id", "assembly_id", F.explode(F.array("label_asym_id_1", "label_asym_id_2")).alias("chain"))
     for name, columns in listed.items():
-        for c in columns:
-            out = out.union(prep[name].select("pdb_id", "assembly_id", F.explode(F.from_json(c, text)).alias("chain")))
-    return out.where("chain <> ''").distinct()
+        chains = F.concat(*[F.coalesce(F.from_json(c, text), F.array().cast(text)) for c in columns])
+        out = out.union(prep[name].select("pdb_id", "assembly_id", F.explode(chains).alias("chain")))
+    # Each row names two chains or a few; they are dealt before any task gathers distinct ones.
+    size = 2 * sum(prep[name].count() for name in ("dimers", *listed))
+    return dealt(out.where("chain <> ''"), size, "pdb_id", "assembly_id", "chain").distinct()
 
 
 def backfilled(own: DataFrame, references: DataFrame) -> DataFrame:
     """The inventory, and for references that it lacks the row of the same entry's chain in another assembly (the least id)."""
     from helixframe.functions.scalars import monomer_id
 
-    asked = references.withColumn("monomer_id", monomer_id(F.col("pdb_id"), F.col("assembly_id"), F.col("chain"))).join(own.select("monomer_id"), "monomer_id", "left_anti")
+    asked = written(references.withColumn("monomer_id", monomer_id(F.col("pdb_id"), F.col("assembly_id"), F.col("chain"))))
+    size = asked.count() + own.count()
+    asked = dealt(asked, size, "monomer_id").join(dealt(own.select("monomer_id"), size, "monomer_id"), "monomer_id", "left_anti")
     others = [c for c in own.columns if c not in ("monomer_id", "assembly_id", "pdb_id", "label_asym_id")]
-    by_chain = own.groupBy("pdb_id", F.col("label_asym_id").alias("chain")).agg(F.min_by(F.struct(*others), "monomer_id").alias("_m"))
-    more = asked.join(by_chain, ["pdb_id", "chain"]).select("monomer_id", "pdb_id", "assembly_id", F.col("chain").alias("label_asym_id"), "_m.*")
+    by_chain = dealt(own.withColumnRenamed("label_asym_id", "chain"), size, "pdb_id", "chain").groupBy("pdb_id", "chain").agg(F.min_by(F.struct(*others), "monomer_id").alias("_m"))
+    more = dealt(asked, size, "pdb_id", "chain").join(by_chain, ["pdb_id", "chain"]).select("monomer_id", "pdb_id", "assembly_id", F.col("chain").alias("label_asym_id"), "_m.*")
     return own.unionByName(more)
 
 

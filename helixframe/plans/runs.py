@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from helixframe.engine import cluster, structures
 from helixframe.functions import scalars as S
 from helixframe.operators import complexes
+from helixframe.operators.tables import dealt, written
 from helixframe.plans.catalogue import QUERIES, _t, query
 from helixframe.plans.structural import _text
 
@@ -15,7 +16,9 @@ __all__ = ["QUERIES"]
 
 def _observed(spark, sf_dir):
     """Interfaces, multimers and complexes of entries (customers) whose chains are named by parts and suppliers."""
-    rows = _t(spark, sf_dir, "lineitem").join(_t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    rows, orders = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    size = rows.count() + orders.count()
+    rows = written(dealt(rows, size, "l_orderkey").join(dealt(orders, size, "l_orderkey"), "l_orderkey"))
     chain = lambda c, n: F.concat(F.lit("c"), (F.col(c) % n).cast("string"))
     rows = rows.select(
         F.concat(F.lit("e"), _text("o_custkey")).alias("pdb_id"), ((F.col("l_orderkey") % 2) + 1).cast("string").alias("assembly_id"), (F.col("l_linenumber") % 4).alias("kind"),

@@ -393,3 +393,34 @@ def test_cases_are_dealt_once(spark):
     assert "Window" not in plan(faces) and "Join" not in plan(faces) and "Aggregate" not in plan(chains)
     out = structural.antibody_antigen_complexes(spark, "/root/testdata/sf0.001")
     assert plan(out).count("Relation") <= 2
+
+
+def test_tasks_hold_rows_by_number(spark, monkeypatch):
+    """Pairs and references are dealt to more tasks where there are more rows, with the same result."""
+    from itertools import combinations
+
+    from helixframe.engine import cluster
+    from helixframe.operators import relational, tables
+
+    monkeypatch.setattr(tables, "DEALT_ROWS", 50)
+    own = [(k % 40, k * k % 23 if k % 9 else None) for k in range(400)] + [(None, 1), (None, 2)]
+    got = relational.cooccurrences(spark.createDataFrame(own, "g long, m long"), "g", "m")
+    want: dict = {}
+    for g in range(40):
+        for pair in combinations(sorted({m for x, m in own if x == g and m is not None}), 2):
+            want[pair] = want.get(pair, 0) + 1
+    assert {(r.a, r.b): r.shared for r in got.collect()} == want
+    # More than the four partitions of the session's shuffles.
+    parts = lambda rows: rows.rdd.getNumPartitions()
+    assert parts(got) > 4
+
+    text = "pdb_id string, assembly_id string, "
+    table = lambda columns, rows: spark.createDataFrame(rows, text + ", ".join(f"{c} string" for c in columns.split()))
+    prep = {
+        "dimers": table("label_asym_id_1 label_asym_id_2", [(f"e{k % 30}", str(1 + k % 2), f"c{k % 7}", f"c{k % 5}") for k in range(300)]), "multimers": table("member_chain_ids", [("e1", "2", '["x","y",null,""]')]),
+        "antibody_complexes": table("antibody_chain_ids antigen_chain_ids", [("e2", "2", None, '["z"]')]),
+        "tcr_complexes": table("tcr_chain_ids mhc_chain_ids peptide_chain_ids auxiliary_chain_ids", [("e3", "2", '["t"]', '["m"]', "[]", None)]),
+    }
+    refs = cluster.high_order_references(prep)
+    want_refs = {(f"e{k % 30}", str(1 + k % 2), f"c{k % n}") for k in range(300) for n in (7, 5)} | {("e1", "2", "x"), ("e1", "2", "y"), ("e2", "2", "z"), ("e3", "2", "t"), ("e3", "2", "m")}
+    assert sorted(map(tuple, refs.collect())) == sorted(want_refs) and parts(refs) > 4
