@@ -262,10 +262,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             named = bands.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         place = F.struct(F.xxhash64("rep", F.lit(turn)).alias("o"), "rep", "component")
         mixed = named.groupBy("band", "value").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(place).alias("p")).where("low < high")
+        # Components only grow together: a band of one document or component stays so, and goes into no further turn.
+        named = materialize(named.join(mixed.select("band", "value", F.col("p.rep").alias("p"), F.col("p.component").alias("pc")), ["band", "value"]))
+        bands = named.select("rep", "band", "value")
         if turn < PIVOT_ROUNDS:
-            pairs = named.join(mixed.select("band", "value", F.col("p.rep").alias("p"), F.col("p.component").alias("pc")), ["band", "value"]).where("component <> pc").select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b"))
+            pairs = named.where("component <> pc").select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b"))
         else:
-            named = materialize(named.join(mixed.select("band", "value"), ["band", "value"], "left_semi"))
             one, two = (named.select("band", "value", F.col("rep").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
             pairs = one.join(two, ["band", "value"]).where("a < b and ca <> cb").select("a", "b")
         pairs = pairs.distinct()

@@ -420,3 +420,39 @@ def test_one_row_of_each_group_stays_whatever_its_id(spark):
     assert got == counted([(None, text(1)), (5, text(2)), (6, text(3)), (6, text(4)), (7, text(5)), (9, text(6)), (None, None)])
     plain = docs.where("doc_id in (5, 8, 9)")
     assert counted(near_join.keep_one(plain).collect()) == counted(plain.collect())
+
+
+def test_settled_bands_go_into_no_turn(spark, monkeypatch):
+    """After the first turn only bands whose documents are of several components are written and joined again."""
+    from helixframe.llm import fingerprints
+
+    words = lambda k, n: [f"w{k}x{i}" for i in range(n)]
+    texts = [" ".join(words(k, 60)) for k in range(40)]
+    texts += [" ".join([*words(100, 60)[:-1], f"end{k}"]) for k in range(4)]
+    seen = []
+
+    def kept(df):
+        out = materialize(df)
+        if "band" in out.columns:
+            seen.append((set(out.columns), out.count(), out.select("rep").distinct().count()))
+        return out
+
+    materialize = fingerprints.materialize
+    monkeypatch.setattr(fingerprints, "materialize", kept)
+    got = {r.doc_id: r.class_id for r in fingerprints.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {k: min(k, 40) for k in range(44)}
+    assert seen[0][1] == 32 * 44 and len(seen) > 2
+    # The forty texts that are like no other are in no later table, and those that are linked are in none after that.
+    assert seen[1][2] == 4 and all(n == 0 for _, n, _ in seen[2:])
+
+
+def test_repeated_windows_join_once_each(spark):
+    """Windows of a passage that many texts share are looked up once a text: spans grow with the texts, not with their square."""
+    from helixframe.llm import suffix_dedup
+
+    rng = np.random.default_rng(4)
+    words = lambda n: " ".join("".join(chr(97 + x) for x in rng.integers(0, 26, 7)) for _ in range(n))
+    shared = words(400)
+    texts = [(k, f"{words(120)} {shared} {words(120)}") for k in range(80)]
+    spans = [suffix_dedup.repeated_spans(spark.createDataFrame(texts[:n], "doc_id long, text string")).count() for n in (20, 40, 80)]
+    assert spans[1] <= 2.2 * spans[0] and spans[2] <= 2.2 * spans[1]
