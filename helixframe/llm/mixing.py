@@ -36,8 +36,6 @@ byte of it; further columns are not read.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -68,7 +66,11 @@ INPUTS = ORDERS + 1
 #: Slots of each order, and of the words, in a hashed table given to a model.
 TABLE_BITS, WORD_BITS = 20, 22
 END = 0xFF
-SLICE = 1 << 20
+SLICE = 1 << 18
+#: Slots of a batch's table of contexts met so far.
+SLOT_BITS = 22
+#: Bytes whose words are hashed at once.
+BLOCK = 1 << 14
 #: Buckets that add up what batches learned.
 LOTS = 8
 #: Lanes in which a batch's contexts are read while a mixer learns.
@@ -84,31 +86,37 @@ def held_out():
 
 # Contexts of bytes and their bits
 
+#: Bytes that no word holds.
+_OUTSIDE = (~NOT_SPACE).astype(np.int64)
+_OUTSIDE[END] = 1
+
 
 def grams(data: np.ndarray, off: np.ndarray):
     """For each byte and end symbol: the 48-bit key of it and the five bytes before, the key of it and
     the word so far (40 bits of its hash), and its document."""
-    docs = len(off) - 1
-    lead = LEAD
-    text = np.full(len(data) + docs * (lead + 1), END, np.uint8)
-    owner = np.repeat(np.arange(docs), np.diff(off))
-    text[np.arange(len(data)) + owner * (lead + 1) + lead] = data
-    key = np.zeros(max(0, len(text) - lead), np.uint64)
-    for k in range(LEAD + 1):
-        key <<= np.uint64(8)
-        key |= text[k : len(key) + k]
-    at = np.arange(lead, lead + len(key))
-    c = prefix_hash(LOWER[text])
-    inside = NOT_SPACE[text] & (text != END)
-    begin = np.maximum.accumulate(np.where(inside, 0, np.arange(1, len(text) + 1)))
-    begin = np.minimum(begin[at - 1], at) if len(at) else at
-    word = span_hash(c, begin, at) >> np.uint64(24) << np.uint64(8) | key & np.uint64(255)
-    size = np.diff(off) + 1
-    start = np.cumsum(size + lead) - size - lead
-    keep = np.ones(len(key), bool)
-    for k in range(lead):
-        keep[start[1:] - k - 1] = False
-    return key[keep], word[keep], np.repeat(np.arange(docs), size)
+    docs, lead, size = len(off) - 1, LEAD, np.diff(off) + 1
+    if not docs:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    # Each document's bytes and end symbol after ``lead`` end symbols; two more bytes before all, as keys are read from eight.
+    end = np.cumsum(size + lead)
+    raw = np.full(int(end[-1]) + 2, END, np.uint8)
+    text = raw[2:]
+    spans = [(z - n, z - 1, a) for z, n, a in zip(end.tolist(), size.tolist(), off.tolist(), strict=False)]
+    for a, z, at in spans:
+        text[a:z] = data[at : at + z - a]
+    n = len(text) - lead
+    key = np.ndarray((n,), ">u8", raw, strides=(1,)).astype(np.uint64)
+    key &= np.uint64((1 << 8 * (lead + 1)) - 1)
+    # Where the word so far begins: after the last byte of none.
+    begin = np.arange(1, len(text) + 1)
+    begin *= _OUTSIDE.take(text)
+    begin = np.maximum.accumulate(begin, out=begin)[lead - 1 : -1]
+    c, word = prefix_hash(LOWER.take(text)), np.empty(n, np.uint64)
+    for lo in range(0, n, BLOCK):
+        part = span_hash(c, begin[lo : lo + BLOCK], np.arange(lead + lo, lead + min(n, lo + BLOCK)))
+        word[lo : lo + BLOCK] = part >> np.uint64(24) << np.uint64(8) | key[lo : lo + BLOCK] & np.uint64(255)
+    key, word = (np.concatenate([x[a - lead : z + 1 - lead] for a, z, _ in spans]) for x in (key, word))
+    return key, word, np.repeat(np.arange(docs), size)
 
 
 #: First slot of each order's table, the last one that of the words.
@@ -118,7 +126,7 @@ BASE = np.append(np.arange(ORDERS + 1) << TABLE_BITS, (ORDERS << TABLE_BITS) + (
 def _nodes(key: np.ndarray) -> np.ndarray:
     """The bits of the byte before each of its bits, after a leading one: shape (8, keys)."""
     byte = (key & np.uint64(255)).astype(np.int64)
-    return np.stack([1 << k | byte >> 8 - k for k in range(8)])
+    return byte >> np.arange(8, 0, -1)[:, None] | 1 << np.arange(8)[:, None]
 
 
 def _bits(key: np.ndarray) -> np.ndarray:
@@ -164,9 +172,10 @@ _LOW = _to_level(np.arange(4096))
 
 
 def to_level(count: np.ndarray) -> np.ndarray:
-    low = _LOW[np.minimum(count, 4095)]
-    high = np.flatnonzero(count > 4095)
-    low[high] = _to_level(count[high])
+    low = _LOW.take(count, mode="clip")
+    if len(count) and count.max() > 4095:
+        high = np.flatnonzero(count > 4095)
+        low[high] = _to_level(count[high])
     return low
 
 
@@ -184,8 +193,14 @@ def _less_one(pair: np.ndarray, bit: np.ndarray) -> np.ndarray:
     return pair - ((low > 0) & (low <= 32)) * np.where(set_, np.uint16(1), np.uint16(256))
 
 
+#: Logit and amount seen of a pair of levels less one occurrence of the bit: by 65536 * bit + pair.
+_LESS = np.concatenate([_less_one(_PAIRS.astype(np.uint16), np.int64(bit)) for bit in (0, 1)])
+LOGIT_LESS, SEEN_LESS = LOGIT[_LESS], SEEN[_LESS]
+
 #: Keys whose levels are looked up at once, a multiple of a learning step's.
 FOUND = 1 << 16
+#: Keys that are scored at once.
+STEP = 1 << 11
 
 
 class Mixer:
@@ -206,23 +221,33 @@ class Mixer:
         out.weights, out.map = self.weights.copy(), self.map.copy()
         return out
 
-    def inputs(self, pair: np.ndarray):
-        """Logits by order, and weight set, of pairs of levels (orders, ...)."""
-        gate = SEEN[pair[ORDERS]] * 16 + SEEN[pair[ORDERS - 1]] * 4 + SEEN[pair[ORDERS - 2]]
-        return LOGIT[pair], gate
-
-    def predict(self, logit: np.ndarray, gate: np.ndarray, place: np.ndarray, node: np.ndarray):
-        w = self.weights[place * 64 + gate]
-        dot = w[..., INPUTS].copy()
+    def mixed(self, weights: np.ndarray, pair: np.ndarray, logits: np.ndarray, seen: np.ndarray):
+        """Logits by order, weight set, mixed probability and place on the map's axis, of pairs of levels (orders, 8, ...);
+        ``weights`` by input."""
+        logit = logits.take(pair)
+        gate = seen.take(pair[ORDERS]) * np.int16(16) + seen.take(pair[ORDERS - 1]) * np.int16(4) + seen.take(pair[ORDERS - 2])
+        at = (gate + np.arange(0, 512, 64, dtype=np.int16)[:, None]).astype(np.intp)
+        dot = weights[INPUTS].take(at)
         for k in range(INPUTS):
-            dot += w[..., k] * logit[k]
+            dot += weights[k].take(at) * logit[k]
         np.clip(dot, -12, 12, out=dot)
-        p = 1 / (1 + np.exp(-dot))
-        at = np.clip((dot + 8) * ((self.BINS - 1) / 16), 0, self.BINS - 1)
-        cell = np.minimum(at.astype(np.int64), self.BINS - 2)
-        part = at - cell
-        refined = self.map[node, cell] * (1 - part) + self.map[node, cell + 1] * part
-        return p, cell + (part >= 0.5), np.clip((p + refined) / 2, 1e-5, 1 - 1e-5)
+        p = np.exp(-dot)
+        p += 1
+        np.reciprocal(p, out=p)
+        dot += 8
+        dot *= (self.BINS - 1) / 16
+        return logit, at, p, np.clip(dot, 0, self.BINS - 1, out=dot)
+
+    def predict(self, pair: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """Probabilities of set bits."""
+        _, _, p, at = self.mixed(np.ascontiguousarray(self.weights.T), pair, LOGIT, SEEN)
+        cell = np.minimum(at.astype(np.intp), self.BINS - 2)
+        part, flat = at - cell, self.map.ravel()
+        cell += node * self.BINS
+        low = flat.take(cell)
+        cell += 1
+        refined = low + (flat.take(cell) - low) * part
+        return np.clip((p + refined) / 2, 1e-5, 1 - 1e-5)
 
     def learn(self, find, key: np.ndarray, word: np.ndarray, times: np.ndarray, done: float = 0, share: float = 1, batch: int = 1024) -> None:
         """Online over keys in order: predict a batch, then move weights and map by its errors.
@@ -231,35 +256,36 @@ class Mixer:
         them apart. The pass is the given share of all
         learning, after the part that is done.
         """
-        place = np.arange(8)[:, None]
+        weights, used, sets = np.ascontiguousarray(self.weights.T), np.zeros(self.weights.T.shape), len(self.weights)
+        flat = self.map.reshape(-1)
         for lo in range(0, len(key), batch):
             if lo % FOUND == 0:
                 found = find(key[lo : lo + FOUND], word[lo : lo + FOUND])
             part, n = key[lo : lo + batch], times[lo : lo + batch].astype(float)
             bit = _bits(part)
-            pair = _less_one(found[:, :, lo % FOUND :][:, :, : len(part)], bit[None])
-            logit, gate = self.inputs(pair)
-            node = _nodes(part)
-            p, spot, _ = self.predict(logit, gate, place, node)
-            n = np.broadcast_to(n, bit.shape).ravel()
+            pair = found[:, :, lo % FOUND :][:, :, : len(part)]
+            logit, at, p, spot = self.mixed(weights, pair + (bit << 16), LOGIT_LESS, SEEN_LESS)
+            n, at = np.tile(n, 8), at.ravel()
             error = (bit - p).ravel() * n
-            at = (place * 64 + gate).ravel()
-            count = np.bincount(at, n, len(self.weights))
+            count = np.bincount(at, n, sets)
             self.visits += count
             # A step is bounded, however often a key occurs.
             rate = 0.3 / (1 + 4 * (done + share * lo / len(key))) * np.sqrt(np.minimum(count, batch)) / np.maximum(count, 1)
+            np.minimum(np.maximum(logit, -6, out=logit), 6, out=logit)
             for k in range(INPUTS):
-                self.weights[:, k] += rate * np.bincount(at, error * np.clip(logit[k], -6, 6).ravel(), len(self.weights)) / 8
-            self.weights[:, INPUTS] += rate * np.bincount(at, error, len(self.weights)) / 8
-            spot = (node * self.BINS + spot).ravel()
-            flat = self.map.reshape(-1)
+                weights[k] += rate * np.bincount(at, error * logit[k].ravel(), sets) / 8
+            weights[INPUTS] += rate * np.bincount(at, error, sets) / 8
+            spot += 0.5
+            spot = (_nodes(part) * self.BINS + spot.astype(np.intp)).ravel()
             hits = np.bincount(spot, n, flat.size)
             self.hits += hits
             ones = np.bincount(spot, bit.ravel() * n, flat.size)
             pull = np.minimum(0.5, 0.02 * hits)
             flat += pull * (ones / np.maximum(hits, 1) - flat) * (hits > 0)
-            self.used += self.weights * count[:, None]
+            used += weights * count
             self.mapped += flat * hits
+        self.weights[:] = weights.T
+        self.used += used.T
 
     def parts(self) -> np.ndarray:
         """What this mixer learned, to be added to others': weights and map summed over their visits, and visits."""
@@ -292,14 +318,12 @@ class Model:
 
     def log10(self, key: np.ndarray, word: np.ndarray) -> np.ndarray:
         out = np.empty(len(key))
-        place = np.arange(8)[:, None]
-        for lo in range(0, len(key), 8192):
+        for lo in range(0, len(key), STEP):
             if lo % FOUND == 0:
                 found = self.find(key[lo : lo + FOUND], word[lo : lo + FOUND])
-            part = key[lo : lo + 8192]
-            logit, gate = self.mixer.inputs(found[:, :, lo % FOUND :][:, :, : len(part)])
-            p = self.mixer.predict(logit, gate, place, _nodes(part))[2]
-            out[lo : lo + 8192] = np.log10(np.where(_bits(part), p, 1 - p)).sum(0)
+            part = key[lo : lo + STEP]
+            p = self.mixer.predict(found[:, :, lo % FOUND :][:, :, : len(part)], _nodes(part))
+            out[lo : lo + STEP] = np.log10(np.where(_bits(part), p, 1 - p).prod(0))
         return out
 
 
@@ -318,38 +342,36 @@ class Batch:
     def __init__(self, column, train: np.ndarray, sums: bool = True):
         """``sums``: whether values are to be summed over texts, for which each byte's context is kept."""
         self.rows, self.slices = len(column), []
-        held: list[list[np.ndarray]] = [[], [], [], []]
+        held: list[list[np.ndarray]] = [[], [], []]
+        # Hashes met so far and their numbers. A hash whose slot another one took is numbered again when it comes back.
+        table, number, times = np.zeros(1 << SLOT_BITS, np.uint64), np.zeros(1 << SLOT_BITS, np.int32), np.zeros(0)
+        table[0] = np.uint64(0xFFFFFFFFFFFFFFFF)  # no hash of the first slot
         for lo, hi, data, off in text_slices(column, SLICE):
             key, word, doc = grams(data, off)
-            both = mix(key) + word * np.uint64(0x9E3779B97F4A7C15)
-            place, at, group = _groups(both)
-            first = place[at]
-            for kept, x in zip(held, (both[first], key[first], word[first], np.add.reduceat(train[lo + doc[place]].astype(np.int64), at)), strict=True):
-                kept.append(x)
-            inverse = np.empty(len(key) if sums else 0, np.int32)
+            both = key * np.uint64(0xD6E8FEB86659FD93)
+            both += word * np.uint64(0x9E3779B97F4A7C15)
+            slot = (both >> np.uint64(64 - SLOT_BITS)).view(np.int64)
+            inverse, new = number.take(slot), np.flatnonzero(table.take(slot) != both)
+            first, own = _numbered(both.take(new))
+            inverse[new] = own + len(times)
+            first = new.take(first)
+            for kept, x in zip(held, (both, key, word), strict=True):
+                kept.append(x.take(first))
+            at, fresh = slot.take(first), np.arange(len(times), len(times) + len(first))
+            table[at] = held[0][-1]
+            put = table.take(at) == held[0][-1]
+            number[at[put]] = fresh[put]
+            more = np.bincount(inverse, train[lo:hi].astype(float).take(doc), len(times) + len(first))
+            more[: len(times)] += times
+            times = more
             if sums:
-                inverse[place] = group
-            self.slices.append((lo, hi, inverse, off[:-1] + np.arange(hi - lo), first))
-        if not self.slices:
-            self.key = self.word = np.zeros(0, np.uint64)
-            self.times = np.zeros(0, np.int64)
-            return
-        base = np.cumsum([0, *(len(x) for x in held[0])])
-        both, key, word, times = (np.concatenate(x) for x in held)
+                self.slices.append((lo, hi, inverse, off[:-1] + np.arange(hi - lo)))
+        del table, number
+        both, key, word = (np.concatenate([*x, np.zeros(0, np.uint64)]) for x in held)
         held.clear()
-        order = np.argsort(both, kind="stable")
-        seen = both[order]
-        at = np.flatnonzero(np.concatenate(([True], seen[1:] != seen[:-1])))
-        # The first slice's group leads; in it, the order of first places.
-        lead = order[at]
-        begin = np.concatenate([first + (k << 40) for k, (*_, first) in enumerate(self.slices)])[lead]
-        rank = np.empty(len(at), np.int64)
-        by = np.argsort(begin)
-        rank[by] = np.arange(len(at))
-        own = np.empty(len(both), np.int64)
-        own[order] = rank[np.repeat(np.arange(len(at)), np.diff(np.append(at, len(both))))]
-        self.slices = [(lo, hi, inverse, starts, own[base[k] : base[k + 1]]) for k, (lo, hi, inverse, starts, _) in enumerate(self.slices)]
-        self.key, self.word, self.times = key[lead][by], word[lead][by], np.add.reduceat(times[order], at)[by]
+        lead, self.own = _numbered(both)
+        self.key, self.word = key.take(lead), word.take(lead)
+        self.times = np.bincount(self.own, times, len(lead)).astype(np.int64)
 
     def kinds(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each order, and the words: sorted distinct keys, and how often they are in training texts; ``at`` has
@@ -367,38 +389,67 @@ class Batch:
 
     def sums(self, value: np.ndarray) -> np.ndarray:
         """Of a value for each distinct context, the sum over each text."""
-        out = np.zeros(self.rows)
-        for lo, hi, inverse, starts, own in self.slices:
-            out[lo:hi] = np.add.reduceat(value[own][inverse], starts)
+        out, value = np.zeros(self.rows), value.take(self.own)
+        for lo, hi, inverse, starts in self.slices:
+            out[lo:hi] = np.add.reduceat(value.take(inverse), starts)
         return out
 
 
+def _order(x: np.ndarray) -> np.ndarray:
+    """Stable order of numbers of up to 48 bits: numbers and places sorted as one, by halves where they do not fit."""
+    n = np.arange(len(x), dtype=np.uint64)
+    bits = np.uint64(max(1, len(x).bit_length()))
+    place = (np.uint64(1) << bits) - np.uint64(1)
+    if int(x.max(initial=0)).bit_length() + int(bits) <= 64:
+        return (np.sort(x << bits | n) & place).view(np.int64)
+    low = (np.sort((x & np.uint64((1 << 24) - 1)) << bits | n) & place).view(np.int64)
+    return low.take((np.sort(x.take(low) >> np.uint64(24) << bits | n) & place).view(np.int64))
+
+
 def _distinct(x: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct values, their sums of weights, and the place of each value among them."""
     if not len(x):
         return x, weights, np.zeros(0, np.int32)
-    order = np.argsort(x)
-    x = x[order]
+    order = _order(x)
+    x = x.take(order)
     new = np.concatenate(([True], x[1:] != x[:-1]))
     at, own = np.flatnonzero(new), np.empty(len(x), np.int32)
     own[order] = np.cumsum(new, dtype=np.int32) - 1
-    return x[at], np.add.reduceat(weights[order], at), own
+    return x.take(at), np.add.reduceat(weights.take(order), at), own
 
 
-def _groups(both: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places in order of hashes, each group's begin in it (its first place), and each one's group."""
+def _groups(both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in order of hashes, and which of them lead a group of equal hashes: its first place."""
     bits = np.uint64(max(1, len(both).bit_length()))
     # Hashes and places in one number: sorted, a hash's first place leads it.
-    packed = np.sort(both >> bits << bits | np.arange(len(both), dtype=np.uint64))
-    place = (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    seen = both[place]
-    new = np.concatenate(([True], seen[1:] != seen[:-1]))
-    top = packed >> bits
-    if int(new.sum()) != 1 + int((top[1:] != top[:-1]).sum()):  # hashes that only differ in the bits of places
+    packed = both >> bits
+    packed <<= bits
+    packed |= np.arange(len(both), dtype=np.uint64)
+    packed.sort()
+    place = (packed & ((np.uint64(1) << bits) - np.uint64(1))).view(np.int64)
+    seen = both.take(place)
+    new = np.ones(len(both), bool)
+    np.not_equal(seen[1:], seen[:-1], out=new[1:])
+    packed >>= bits
+    if np.count_nonzero(new[1:]) != np.count_nonzero(packed[1:] != packed[:-1]):  # hashes that only differ in the bits of places
         place = np.argsort(both, kind="stable")
-        seen = both[place]
-        new = np.concatenate(([True], seen[1:] != seen[:-1]))
-    return place, np.flatnonzero(new), np.cumsum(new, dtype=np.int32) - 1
+        seen = both.take(place)
+        np.not_equal(seen[1:], seen[:-1], out=new[1:])
+    return place, new
+
+
+def _numbered(both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes by first place: these places, and each hash's number among them."""
+    place, new = _groups(both)
+    at = np.flatnonzero(new)
+    first = place.take(at)
+    leads = np.zeros(len(both), bool)
+    leads[first] = True
+    number = np.cumsum(leads, dtype=np.int32).take(first)
+    number -= 1
+    own = np.empty(len(both), np.int32)
+    own[place] = np.repeat(number, np.diff(at, append=len(both)))
+    return np.flatnonzero(leads), own
 
 
 def contexts(column, train: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -416,15 +467,27 @@ def _split(bucket: np.ndarray, buckets: int):
     return np.argsort(bucket.astype(np.uint16) if buckets <= 65536 else bucket, kind="stable"), np.cumsum(np.bincount(bucket, minlength=buckets))
 
 
-def _planes(x: np.ndarray, width: int) -> bytes:
-    """Numbers by byte planes, compressed."""
-    return zlib.compress(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes(), 1)
+def _pressed(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + _ZSTD.compress(raw, asbytes=True) if raw else b""
+
 
+def _unpressed(raw: bytes) -> bytes:
+    return _ZSTD.decompress(raw[8:], int.from_bytes(raw[:8], "little"), asbytes=True) if raw else b""
 
-def _numbers(raw: bytes, width: int) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(width, -1)
+
+_ZSTD = pa.Codec("zstd", compression_level=1)
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers by byte planes, as many as the largest has, compressed."""
+    width = max(1, -(-int(x.max(initial=0)).bit_length() // 8))
+    return bytes([width]) + _pressed(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
+
+
+def _numbers(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(_unpressed(raw[1:]), np.uint8).reshape(raw[0], -1)
     out = np.zeros((planes.shape[1], 8), np.uint8)
-    out[:, :width] = planes.T
+    out[:, : raw[0]] = planes.T
     return out.view("<u8").ravel()
 
 
@@ -440,7 +503,7 @@ def _parted(raw: bytes, n: int) -> list[bytes]:
 
 def pack_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
     """Keys (sorted, as differences) and counts of each order."""
-    return _joined([x for key, count in parts for x in (_planes(np.diff(key, prepend=np.uint64(0)), 8), _planes(count.astype(np.uint64), 5))])
+    return _joined([x for key, count in parts for x in (_planes(np.diff(key, prepend=np.uint64(0))), _planes(count.astype(np.uint64)))])
 
 
 def siblings(key: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -461,24 +524,47 @@ def siblings(key: np.ndarray, count: np.ndarray) -> np.ndarray:
 def levels_of(key: np.ndarray, found: np.ndarray) -> np.ndarray:
     """Pairs of levels at each bit of keys, by their siblings: shape (8, keys)."""
     out = np.empty((8, len(key)), np.uint16)
-    bit, same = _bits(key), found[0].copy()
+    same = found[0].copy()
     for k in range(8):
         a, b = to_level(same).astype(np.uint16), to_level(found[k + 1]).astype(np.uint16)
-        out[7 - k] = np.where(bit[7 - k] == 1, b << 8 | a, a << 8 | b)
+        # The set bit's level goes last.
+        up = (key >> np.uint64(k) & np.uint64(1)).astype(np.uint16)
+        up <<= np.uint16(3)
+        np.bitwise_or(a << (np.uint16(8) - up), b << up, out=out[7 - k])
         same += found[k + 1]
     return out
 
 
+def levels(key: np.ndarray, count: np.ndarray, asked: np.ndarray | None = None) -> np.ndarray:
+    """Pairs of levels at each bit of sorted distinct keys that hold all bytes of their contexts, or of the places
+    asked for: shape (keys, 8)."""
+    asked = np.arange(len(key)) if asked is None else asked
+    context = key >> np.uint64(8)
+    same = np.concatenate(([False], context[1:] == context[:-1], [False]))
+    alone = ~(same[1:] | same[:-1])[: len(key)]
+    out = np.empty((len(asked), 8), np.uint16)
+    # A byte that is alone after its context is seen against none.
+    one = alone.take(asked)
+    at = asked[one]
+    clear = (~key.take(at)).astype(np.uint8)[:, None] >> np.arange(7, -1, -1, dtype=np.uint8) & np.uint8(1)
+    out[one] = to_level(count.take(at)).astype(np.uint16)[:, None] << (clear << np.uint8(3))
+    more, several = np.flatnonzero(~alone), np.flatnonzero(~one)
+    at = np.searchsorted(more, asked.take(several))
+    found = siblings(key.take(more), count.take(more))
+    out[several] = levels_of(key.take(more).take(at), found.take(at, axis=1)).T
+    return out
+
+
 def _answers(requests: list[bytes]) -> list[bytes]:
     """For each request of a bucket, the bytes after each of its contexts with the bucket's summed counts."""
     requests = [_parted(x, 2 * (ORDERS + 1)) for x in requests]
     answers: list[list[bytes]] = [[] for _ in requests]
     for k in range(ORDERS + 1):
-        keys = [np.cumsum(_numbers(r[2 * k], 8)) for r in requests]
-        key, count = merge_counts([(x, _numbers(r[2 * k + 1], 5).astype(np.int64)) for x, r in zip(keys, requests, strict=True)])
+        keys = [np.cumsum(_numbers(r[2 * k])) for r in requests]
+        key, count = merge_counts([(x, _numbers(r[2 * k + 1]).astype(np.int64)) for x, r in zip(keys, requests, strict=True)])
         key, count = key[count > 0], count[count > 0]
         at = np.flatnonzero(np.concatenate(([True], np.diff(key >> np.uint64(8)) > 0))) if len(key) else np.zeros(0, np.int64)
-        known, size = key[at] >> np.uint64(8), np.diff(np.append(at, len(key)))
+        known, size, after = key[at] >> np.uint64(8), np.diff(np.append(at, len(key))), (key & np.uint64(255)).astype(np.uint8)
         for x, out in zip(keys, answers, strict=True):
             asked = distinct_sorted(x >> np.uint64(8))
             slot = np.minimum(np.searchsorted(known, asked), max(0, len(known) - 1))
@@ -486,18 +572,22 @@ def _answers(requests: list[bytes]) -> list[bytes]:
             n = np.zeros(len(asked), np.int64)
             n[hit] = size[slot[hit]]
             rows = spread(at[slot[hit]], n[hit])
-            out += [_planes(n, 2), zlib.compress((key[rows] & np.uint64(255)).astype(np.uint8).tobytes(), 1), _planes(count[rows], 5)]
+            out += [_planes(n), _pressed(after[rows].tobytes()), _planes(count[rows])]
     return [_joined(x) for x in answers]
 
 
 def answered(own: np.ndarray, parts: list[bytes]) -> np.ndarray:
     """Levels at each bit of sorted keys of a bucket, by its answer: shape (keys, 8)."""
     context = distinct_sorted(own >> np.uint64(8))
-    known = np.repeat(context, _numbers(parts[0], 2).astype(np.int64)) << np.uint64(8) | np.frombuffer(zlib.decompress(parts[1]), np.uint8)
-    count = _numbers(parts[2], 5).astype(np.int64)
+    known = np.repeat(context, _numbers(parts[0]).astype(np.int64)) << np.uint64(8) | np.frombuffer(_unpressed(parts[1]), np.uint8)
+    count = _numbers(parts[2]).astype(np.int64)
     # Keys without a count are among their contexts' with none.
-    key, count = merge_counts([(known, count), (own, np.zeros(len(own), np.int64))])
-    return levels_of(key, siblings(key, count)).T[np.searchsorted(key, own)]
+    at = np.searchsorted(known, own)
+    new = np.flatnonzero(known[np.minimum(at, len(known) - 1)] != own) if len(known) else np.arange(len(own))
+    known, count = np.insert(known, at[new], own[new]), np.insert(count, at[new], 0)
+    # Each one moves by those that came before it.
+    at += np.searchsorted(new, np.arange(len(own)))
+    return levels(known, count, at)
 
 
 class Levels:
@@ -508,7 +598,7 @@ class Levels:
 
     def rows(self, at: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
         """Pairs of levels of some rows, by the places of all rows' keys."""
-        return np.stack([level[own[rows]].T for level, own in zip(self.level, at, strict=True)])
+        return np.stack([level.take(own.take(rows), axis=0).T for level, own in zip(self.level, at, strict=True)])
 
     def find(self, key: np.ndarray, word: np.ndarray) -> np.ndarray:
         out = np.empty((INPUTS, 8, len(key)), np.uint16)
@@ -543,11 +633,11 @@ class Contexts(Levels):
 
 def pack_lesson(parts: np.ndarray) -> bytes:
     """What a mixer learned, in single precision; what it never visited costs little."""
-    return zlib.compress(parts.astype("<f4").tobytes(), 1)
+    return _pressed(parts.astype("<f4").tobytes())
 
 
 def unpack_lesson(raw: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(raw), "<f4").astype(np.float64)
+    return np.frombuffer(_unpressed(raw), "<f4").astype(np.float64)
 
 
 def learned(batch: Batch, kinds: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -555,7 +645,7 @@ def learned(batch: Batch, kinds: list[tuple[np.ndarray, np.ndarray]]) -> np.ndar
     mixer, train = Mixer(), np.flatnonzero(batch.times > 0)
     # Lanes of contexts in reading order, read side by side: each step holds contexts of many places.
     train = train[np.argsort(np.arange(len(train)) % max(1, -(-len(train) // LANES)), kind="stable")]
-    own = Levels([k for k, _ in kinds], [np.ascontiguousarray(levels_of(k, siblings(k, n)).T) for k, n in kinds])
+    own = Levels([k for k, _ in kinds], [levels(k, n) for k, n in kinds])
     mixer.learn(lambda _, rows: own.rows(batch.at, rows), batch.key[train], train, batch.times[train])
     return mixer.parts()
 
@@ -581,9 +671,9 @@ def _dealt_words(text_column, buckets: int):
     h, doc = _words(text_column)
     distinct, at = h, np.zeros(len(h), np.int32)
     if len(h):
-        place, first, group = _groups(h)
-        distinct = h[place[first]]
-        at[place] = group
+        place, new = _groups(h)
+        distinct = h[place[new]]
+        at[place] = np.cumsum(new, dtype=np.int32) - 1
     order, ends = _split((mix(distinct) % np.uint64(buckets)).astype(np.int64), buckets)
     return distinct, order, ends, at, doc
 
@@ -644,7 +734,7 @@ def _sum_counts(buckets: int, batches: int):
             {
                 "batch": pa.array([r["batch"] for r in rows], pa.int64()),
                 "bucket": pa.array([r["bucket"] for r in rows], pa.int64()),
-                "totals": pa.array([zlib.compress(np.minimum(total[np.searchsorted(key, w)], 2**32 - 1).astype("<u4").tobytes(), 1) for w in words], pa.binary()),
+                "totals": pa.array([_pressed(np.minimum(total[np.searchsorted(key, w)], 2**32 - 1).astype("<u4").tobytes()) for w in words], pa.binary()),
                 "kinds": pa.array([int((total > 0).sum())] + [0] * (len(rows) - 1), pa.int64()),
                 "levels": pa.array(_answers([r["grams"] for r in rows]), pa.binary()),
             }
@@ -691,7 +781,7 @@ def _score_batch(buckets: int, taught: np.ndarray | None = None):
         distinct, order, _, at, doc = _dealt_words(docs.column("text"), buckets)
         total = np.zeros(len(distinct), np.int64)
         if asked:
-            total[order] = np.concatenate([np.frombuffer(zlib.decompress(r["totals"]), "<u4") for r in asked])
+            total[order] = np.concatenate([np.frombuffer(_unpressed(r["totals"]), "<u4") for r in asked])
         seen = total[at]
         mixer = Mixer()
         if taught is not None:

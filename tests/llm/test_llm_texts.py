@@ -90,6 +90,32 @@ def test_counts_of_contexts_are_exact():
         assert [(p >> 8, p & 255) for p in pair[:, i].tolist()] == want
 
 
+@pytest.mark.parametrize("bits", [4, 10, 22])
+def test_batches_sort_contexts_once(monkeypatch, bits):
+    """Contexts that earlier slices met are looked up, not sorted again; those that lost their slot are merged."""
+    sorts = []
+    monkeypatch.setattr(mixing, "SLICE", 2000)
+    monkeypatch.setattr(mixing, "SLOT_BITS", bits)
+    groups = mixing._groups
+    monkeypatch.setattr(mixing, "_groups", lambda both: sorts.append(len(both)) or groups(both))
+    texts = [f"lorem ipsum {'dolor sit amet ' * 60}{k % 7}\n" for k in range(60)] + ["", None, "é \x00\x00", "lorem" * 900]
+    train = np.arange(len(texts)) % 3 > 0
+    batch = mixing.Batch(pa.array(texts), train)
+    want, number, lengths = {}, [], []
+    for t, learn in zip(texts, train, strict=True):
+        data = np.frombuffer((t or "").encode(), np.uint8)
+        key, word, _ = mixing.grams(data, np.array([0, len(data)]))
+        for c in zip(key.tolist(), word.tolist(), strict=True):
+            number.append(list(want).index(c) if c in want else len(want))
+            want[c] = want.get(c, 0) + int(learn)
+        lengths.append(len(key))
+    assert list(zip(batch.key.tolist(), batch.word.tolist(), strict=True)) == list(want) and batch.times.tolist() == list(want.values())
+    value = np.random.default_rng(3).random(len(want))
+    assert np.allclose(batch.sums(value), np.add.reduceat(value[number], np.cumsum(lengths) - lengths))
+    if bits == 22:
+        assert sum(sorts) < 0.25 * sum(lengths)
+
+
 def test_mixer_learns_from_whole_training_texts():
     """Every bit of every training text, beyond any window, moves weights and map; held-out texts move none."""
     texts = [f"lorem ipsum {i * i} dolor " * 300 for i in range(9)] + ["", None]
