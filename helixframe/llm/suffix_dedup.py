@@ -8,7 +8,8 @@ anywhere else in the corpus, the same text included.
    window of an anchor holds all such strings around it. Anchors are about one
    for each 170 bytes; only their hashes and those of their windows travel.
 2. Windows that occur twice as a whole are repeated throughout (exact copies,
-   and the inside of shared passages); they need no text.
+   and the inside of shared passages); they need no text. Equal windows of a text
+   that overlap (of a line over and over, say) are one row, however many.
 3. Windows that share an anchor and differ are brought together by anchor, one
    text for each different window, in shards of bounded size. Each shard gets a
    suffix array by induced sorting and its permuted common prefixes; a position
@@ -91,15 +92,26 @@ def anchors(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int =
     return doc, pos - off[doc], h.view(np.int64), lo - off[doc], hi - off[doc], wh.view(np.int64)
 
 
+def runs(doc: np.ndarray, h: np.ndarray, begin: np.ndarray, end: np.ndarray, wh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of each run of equal windows of a text that overlap or touch, and by how much the run goes on after it."""
+    order = np.lexsort((begin, wh, h, doc))
+    doc, h, begin, end, wh = (x[order] for x in (doc, h, begin, end, wh))
+    new = np.ones(len(order), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1]) | (wh[1:] != wh[:-1]) | (begin[1:] > end[:-1])
+    at = np.flatnonzero(new)
+    return order[at], end[np.append(at[1:], len(order)) - 1] - end[at] if len(at) else at
+
+
 def _anchor_rows(length: int, gram: int, sure: int):
     def run(batches):
         for batch in batches:
             for lo, _, data, off in text_slices(batch.column("text")):
                 doc, _, h, begin, end, wh = anchors(data, off, length, gram, sure)
-                row = pa.array(lo + doc)
+                first, more = runs(doc, h, begin, end, wh)
+                row = pa.array(lo + doc[first])
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(k).take(row) for k in ("th", "tm", "rid")), *map(pa.array, (h, wh, begin, end))],
-                    names=["th", "tm", "rid", "h", "wh", "lo", "hi"],
+                    [*(batch.column(k).take(row) for k in ("th", "tm", "rid")), *(pa.array(x[first]) for x in (h, wh, begin, end)), pa.array(more)],
+                    names=["th", "tm", "rid", "h", "wh", "lo", "hi", "more"],
                 )
         trim()
 
@@ -230,10 +242,11 @@ def repeated_spans(
     """
     sure, passage = min(sure, length), min(passage, length)
     rows = docs.where("text is not null").select(*text_key(), F.coalesce("doc_id", F.lit(-(1 << 62))).alias("rid"), "text")
-    found = rows.mapInArrow(_anchor_rows(length, gram, sure), "th long, tm int, rid long, h long, wh long, lo long, hi long")
-    # Copies of a text are counted before they travel on.
+    found = rows.mapInArrow(_anchor_rows(length, gram, sure), "th long, tm int, rid long, h long, wh long, lo long, hi long, more long")
+    # Copies of a text are counted before they travel on; a run of equal windows counts as two.
     found = materialize(
-        found.groupBy("h", "wh", "th", "tm", "lo", "hi").agg(F.count("*").alias("c"), F.min("rid").alias("rid"))
+        found.groupBy("h", "wh", "th", "tm", "lo", "hi", "more")
+        .agg(F.sum(F.when(F.col("more") > 0, 2).otherwise(1)).alias("c"), F.min("rid").alias("rid"))
     )
     windows = found.groupBy("h", "wh").agg(
         F.sum("c").alias("n"), F.min(F.struct("th", "tm", "lo", "hi", "rid")).alias("one")
@@ -241,7 +254,7 @@ def repeated_spans(
     kinds = windows.groupBy("h").agg(F.count("*").alias("kinds"), F.max("n").alias("most"))
     windows = materialize(windows.join(kinds.where("kinds > 1 or most > 1"), "h"))
     size = F.col("hi") - F.col("lo")
-    marks = found.join(windows.where("n > 1").select("h", "wh"), ["h", "wh"]).where(size >= passage).select("th", "tm", "lo", "hi", (size >= length).alias("cut"))
+    marks = found.join(windows.where("n > 1").select("h", "wh"), ["h", "wh"]).where(size >= passage).select("th", "tm", "lo", (F.col("hi") + F.col("more")).alias("hi"), (size >= length).alias("cut"))
 
     differ = windows.where("kinds > 1").select("h", "wh", "kinds", "one.*")
     total = differ.agg(F.sum(F.col("hi") - F.col("lo"))).first()[0] or 0

@@ -482,3 +482,14 @@ def test_repeated_windows_join_once_each(spark):
     texts = [(k, f"{words(120)} {shared} {words(120)}") for k in range(80)]
     spans = [suffix_dedup.repeated_spans(spark.createDataFrame(texts[:n], "doc_id long, text string")).count() for n in (20, 40, 80)]
     assert spans[1] <= 2.2 * spans[0] and spans[2] <= 2.2 * spans[1]
+
+
+def test_equal_windows_of_a_text_are_one_row(spark):
+    """A line over and over has equal windows, one a period: rows grow with the texts, not with the line's repeats."""
+    line = "all rights reserved, see the notice at the end of this very page for what it says; "
+    rows = lambda n: [(k, f"{k} begins here. " + line * n + f" and ends with {k}") for k in range(12)]
+    docs = {n: spark.createDataFrame(rows(n), "doc_id long, text string") for n in (20, 200)}
+    spans = {n: suffix_dedup.repeated_spans(x).count() for n, x in docs.items()}
+    assert spans[200] == spans[20]
+    got = counted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(docs[20]).collect())
+    assert got == without_repeats(rows(20))
