@@ -69,6 +69,8 @@ END = 0xFF
 SLICE = 1 << 18
 #: Slots of a batch's table of contexts met so far.
 SLOT_BITS = 22
+#: Contexts of training texts that are counted at once.
+COUNTED = 1 << 21
 #: Bytes whose words are hashed at once.
 BLOCK = 1 << 14
 #: Buckets that add up what batches learned.
@@ -92,10 +94,10 @@ _OUTSIDE[END] = 1
 
 
 def grams(data: np.ndarray, off: np.ndarray):
-    """For each byte and end symbol: the 48-bit key of it and the five bytes before, the key of it and
-    the word so far (40 bits of its hash), and its document."""
-    docs, lead, size = len(off) - 1, LEAD, np.diff(off) + 1
-    if not docs:
+    """For each byte and end symbol: the 48-bit key of it and the five bytes before, and the key of it and
+    the word so far (40 bits of its hash); and how many of them each document has."""
+    lead, size = LEAD, np.diff(off) + 1
+    if not len(size):
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     # Each document's bytes and end symbol after ``lead`` end symbols; two more bytes before all, as keys are read from eight.
     end = np.cumsum(size + lead)
@@ -108,15 +110,17 @@ def grams(data: np.ndarray, off: np.ndarray):
     key = np.ndarray((n,), ">u8", raw, strides=(1,)).astype(np.uint64)
     key &= np.uint64((1 << 8 * (lead + 1)) - 1)
     # Where the word so far begins: after the last byte of none.
-    begin = np.arange(1, len(text) + 1)
-    begin *= _OUTSIDE.take(text)
+    place = np.arange(len(text) + 1)
+    begin = place[1:] * _OUTSIDE.take(text)
     begin = np.maximum.accumulate(begin, out=begin)[lead - 1 : -1]
     c, word = prefix_hash(LOWER.take(text)), np.empty(n, np.uint64)
     for lo in range(0, n, BLOCK):
-        part = span_hash(c, begin[lo : lo + BLOCK], np.arange(lead + lo, lead + min(n, lo + BLOCK)))
-        word[lo : lo + BLOCK] = part >> np.uint64(24) << np.uint64(8) | key[lo : lo + BLOCK] & np.uint64(255)
+        part = span_hash(c, begin[lo : lo + BLOCK], place[lead + lo : lead + min(n, lo + BLOCK)])
+        part >>= np.uint64(24)
+        part <<= np.uint64(8)
+        np.bitwise_or(part, text[lead + lo : lead + lo + BLOCK], out=word[lo : lo + BLOCK])
     key, word = (np.concatenate([x[a - lead : z + 1 - lead] for a, z, _ in spans]) for x in (key, word))
-    return key, word, np.repeat(np.arange(docs), size)
+    return key, word, size
 
 
 #: First slot of each order's table, the last one that of the words.
@@ -134,6 +138,10 @@ def _bits(key: np.ndarray) -> np.ndarray:
     return (key & np.uint64(255)).astype(np.int64) >> np.arange(7, -1, -1)[:, None] & 1
 
 
+#: Nodes and bits of each byte.
+NODES, BITS = _nodes(np.arange(256, dtype=np.uint64)), _bits(np.arange(256, dtype=np.uint64))
+
+
 def _cells(context: np.ndarray, key: np.ndarray, order: int) -> np.ndarray:
     """Table cells (2 * slot + bit) of an order's contexts: shape (8, keys)."""
     bits = TABLE_BITS if order < ORDERS else WORD_BITS
@@ -179,6 +187,9 @@ def to_level(count: np.ndarray) -> np.ndarray:
     return low
 
 
+#: What a level is multiplied by to stand, against none, at each bit of a byte: shape (256, 8).
+ALONE = np.uint16(1) << (np.uint16(8) * (1 - BITS.T).astype(np.uint16))
+
 _PAIRS = np.arange(65536)
 _N0, _N1 = _LEVELS[_PAIRS >> 8], _LEVELS[_PAIRS & 255]
 #: Logit and amount seen of a pair of levels.
@@ -197,12 +208,23 @@ def _less_one(pair: np.ndarray, bit: np.ndarray) -> np.ndarray:
 _LESS = np.concatenate([_less_one(_PAIRS.astype(np.uint16), np.int64(bit)) for bit in (0, 1)])
 LOGIT_LESS, SEEN_LESS = LOGIT[_LESS], SEEN[_LESS]
 
+#: First weight set of each bit.
+_SETS = np.arange(0, 512, 64)[:, None]
+#: One for each clear bit of a byte.
+_CLEAR = 1.0 - BITS
 #: Keys whose levels are looked up at once, a multiple of a learning step's.
-FOUND = 1 << 16
+FOUND = 1 << 14
+#: Answered keys whose levels are made at once.
+ASKED = 1 << 15
 #: Keys that are scored at once.
 STEP = 1 << 11
 
 
+def _gate(seen: np.ndarray, order: int) -> np.ndarray:
+    """An order's part in the gate: the amounts seen of the longest contexts, two bits each."""
+    return (seen << 2 * (order - ORDERS + 2) if order >= ORDERS - 2 else 0 * seen).astype(np.uint8)
+
+
 class Mixer:
     """Gated weights over the orders' logits, and the adaptive map after them."""
 
@@ -221,69 +243,82 @@ class Mixer:
         out.weights, out.map = self.weights.copy(), self.map.copy()
         return out
 
-    def mixed(self, weights: np.ndarray, pair: np.ndarray, logits: np.ndarray, seen: np.ndarray):
-        """Logits by order, weight set, mixed probability and place on the map's axis, of pairs of levels (orders, 8, ...);
-        ``weights`` by input."""
-        logit = logits.take(pair)
-        gate = seen.take(pair[ORDERS]) * np.int16(16) + seen.take(pair[ORDERS - 1]) * np.int16(4) + seen.take(pair[ORDERS - 2])
-        at = (gate + np.arange(0, 512, 64, dtype=np.int16)[:, None]).astype(np.intp)
+    def mixed(self, weights: np.ndarray, logit: np.ndarray, gate: np.ndarray):
+        """Weight set, mixed probability and place on the map's axis, of logits (inputs, 8, ...) and gates; ``weights``
+        by input."""
+        at = gate + _SETS
         dot = weights[INPUTS].take(at)
         for k in range(INPUTS):
-            dot += weights[k].take(at) * logit[k]
+            part = weights[k].take(at)
+            part *= logit[k]
+            dot += part
         np.clip(dot, -12, 12, out=dot)
         p = np.exp(-dot)
         p += 1
         np.reciprocal(p, out=p)
         dot += 8
         dot *= (self.BINS - 1) / 16
-        return logit, at, p, np.clip(dot, 0, self.BINS - 1, out=dot)
+        return at, p, np.clip(dot, 0, self.BINS - 1, out=dot)
 
-    def predict(self, pair: np.ndarray, node: np.ndarray) -> np.ndarray:
+    def predict(self, logit: np.ndarray, gate: np.ndarray, byte: np.ndarray) -> np.ndarray:
         """Probabilities of set bits."""
-        _, _, p, at = self.mixed(np.ascontiguousarray(self.weights.T), pair, LOGIT, SEEN)
+        _, p, at = self.mixed(np.ascontiguousarray(self.weights.T), logit, gate)
         cell = np.minimum(at.astype(np.intp), self.BINS - 2)
         part, flat = at - cell, self.map.ravel()
-        cell += node * self.BINS
+        cell += (NODES * self.BINS).take(byte, axis=1)
         low = flat.take(cell)
         cell += 1
-        refined = low + (flat.take(cell) - low) * part
-        return np.clip((p + refined) / 2, 1e-5, 1 - 1e-5)
-
-    def learn(self, find, key: np.ndarray, word: np.ndarray, times: np.ndarray, done: float = 0, share: float = 1, batch: int = 1024) -> None:
-        """Online over keys in order: predict a batch, then move weights and map by its errors.
-
-        Keys count as often as they occur; ``find`` gets keys and what else tells
-        them apart. The pass is the given share of all
+        refined = flat.take(cell)
+        refined -= low
+        refined *= part
+        refined += low
+        refined += p
+        refined /= 2
+        return np.clip(refined, 1e-5, 1 - 1e-5, out=refined)
+
+    def learn(self, inputs, byte: np.ndarray, times: np.ndarray, done: float = 0, share: float = 1, batch: int = 1024) -> None:
+        """Online over contexts in order: predict a batch, then move weights and map by its errors.
+
+        Contexts count as often as they occur; ``inputs`` gives logits and gates of those from one place to another,
+        ``byte`` the byte that each ends with. The pass is the given share of all
         learning, after the part that is done.
         """
         weights, used, sets = np.ascontiguousarray(self.weights.T), np.zeros(self.weights.T.shape), len(self.weights)
         flat = self.map.reshape(-1)
-        for lo in range(0, len(key), batch):
+        # A cell of the map for each bit after its node.
+        spots, bits = 2 * self.BINS * NODES + BITS, BITS.astype(float)
+        for lo in range(0, len(byte), batch):
             if lo % FOUND == 0:
-                found = find(key[lo : lo + FOUND], word[lo : lo + FOUND])
-            part, n = key[lo : lo + batch], times[lo : lo + batch].astype(float)
-            bit = _bits(part)
-            pair = found[:, :, lo % FOUND :][:, :, : len(part)]
-            logit, at, p, spot = self.mixed(weights, pair + (bit << 16), LOGIT_LESS, SEEN_LESS)
-            n, at = np.tile(n, 8), at.ravel()
-            error = (bit - p).ravel() * n
+                logits, gates = inputs(lo, lo + FOUND)
+            here, part = slice(lo % FOUND, lo % FOUND + batch), byte[lo : lo + batch]
+            n = times[lo : lo + batch].astype(float)
+            logit = logits[:, :, here]
+            at, p, spot = self.mixed(weights, logit, gates[:, here])
+            error = bits.take(part, axis=1)
+            error -= p
+            error *= n
+            n, at, error = np.tile(n, 8), at.ravel(), error.ravel()
             count = np.bincount(at, n, sets)
             self.visits += count
             # A step is bounded, however often a key occurs.
-            rate = 0.3 / (1 + 4 * (done + share * lo / len(key))) * np.sqrt(np.minimum(count, batch)) / np.maximum(count, 1)
-            np.minimum(np.maximum(logit, -6, out=logit), 6, out=logit)
+            rate = 0.3 / (1 + 4 * (done + share * lo / len(byte))) * np.sqrt(np.minimum(count, batch)) / np.maximum(count, 1)
+            logit = np.clip(logit, -6, 6).reshape(INPUTS, -1)
             for k in range(INPUTS):
-                weights[k] += rate * np.bincount(at, error * logit[k].ravel(), sets) / 8
+                weights[k] += rate * np.bincount(at, error * logit[k], sets) / 8
             weights[INPUTS] += rate * np.bincount(at, error, sets) / 8
             spot += 0.5
-            spot = (_nodes(part) * self.BINS + spot.astype(np.intp)).ravel()
-            hits = np.bincount(spot, n, flat.size)
+            spot = spot.astype(np.intp)
+            spot *= 2
+            spot += spots.take(part, axis=1)
+            clear, ones = np.bincount(spot.ravel(), n, 2 * flat.size).reshape(-1, 2).T
+            hits = clear + ones
             self.hits += hits
-            ones = np.bincount(spot, bit.ravel() * n, flat.size)
-            pull = np.minimum(0.5, 0.02 * hits)
-            flat += pull * (ones / np.maximum(hits, 1) - flat) * (hits > 0)
+            cell = np.flatnonzero(hits)
+            hits, now = hits.take(cell), flat.take(cell)
+            now += np.minimum(0.5, 0.02 * hits) * (ones.take(cell) / hits - now)
+            flat[cell] = now
             used += weights * count
-            self.mapped += flat * hits
+            self.mapped[cell] += now * hits
         self.weights[:] = weights.T
         self.used += used.T
 
@@ -306,24 +341,27 @@ class Mixer:
 class Model:
     """Levels, mixer and map; log10 probabilities of keys.
 
-    ``find`` gives the pairs of levels of keys; without one they come from a hashed table.
+    ``find`` gives the logits and gates of keys; without one they come from a hashed table.
     """
 
     def __init__(self, table: np.ndarray | None, mixer: Mixer, find=None):
         self.table, self.mixer = table, mixer
         self.find = find or self._hashed
 
-    def _hashed(self, key: np.ndarray, word: np.ndarray) -> np.ndarray:
-        return self.table[cells(key, word) >> 1]
+    def _hashed(self, key: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        pair = self.table[cells(key, word) >> 1]
+        return LOGIT.take(pair), sum(_gate(SEEN.take(x), k) for k, x in enumerate(pair))
 
     def log10(self, key: np.ndarray, word: np.ndarray) -> np.ndarray:
         out = np.empty(len(key))
         for lo in range(0, len(key), STEP):
             if lo % FOUND == 0:
-                found = self.find(key[lo : lo + FOUND], word[lo : lo + FOUND])
-            part = key[lo : lo + STEP]
-            p = self.mixer.predict(found[:, :, lo % FOUND :][:, :, : len(part)], _nodes(part))
-            out[lo : lo + STEP] = np.log10(np.where(_bits(part), p, 1 - p).prod(0))
+                logits, gates = self.find(key[lo : lo + FOUND], word[lo : lo + FOUND])
+            here, byte = slice(lo % FOUND, lo % FOUND + STEP), (key[lo : lo + STEP] & np.uint64(255)).view(np.int64)
+            p = self.mixer.predict(logits[:, :, here], gates[:, here], byte)
+            # The probability of a clear bit is what is left.
+            p -= _CLEAR.take(byte, axis=1)
+            out[lo : lo + STEP] = np.log10(np.abs(p.prod(0)))
         return out
 
 
@@ -341,43 +379,53 @@ class Batch:
 
     def __init__(self, column, train: np.ndarray, sums: bool = True):
         """``sums``: whether values are to be summed over texts, for which each byte's context is kept."""
-        self.rows, self.slices = len(column), []
+        self.rows, self.slices, self.learns = len(column), [], bool(train.any())
         held: list[list[np.ndarray]] = [[], [], []]
-        # Hashes met so far and their numbers. A hash whose slot another one took is numbered again when it comes back.
-        table, number, times = np.zeros(1 << SLOT_BITS, np.uint64), np.zeros(1 << SLOT_BITS, np.int32), np.zeros(0)
-        table[0] = np.uint64(0xFFFFFFFFFFFFFFFF)  # no hash of the first slot
+        # Hashes met so far, each in its slot, with its number in place of the bits that tell the slot. A hash whose slot
+        # another one took, or that came after as many as slots, is numbered again when it comes back.
+        bits, none = np.uint64(SLOT_BITS), np.uint64((1 << SLOT_BITS) - 1)
+        table, met = np.full(1 << SLOT_BITS, 0xFFFFFFFFFFFFFFFF, np.uint64), 0
+        times, counted = np.zeros(0, np.int64), []
         for lo, hi, data, off in text_slices(column, SLICE):
-            key, word, doc = grams(data, off)
+            key, word, size = grams(data, off)
             both = key * np.uint64(0xD6E8FEB86659FD93)
-            both += word * np.uint64(0x9E3779B97F4A7C15)
-            slot = (both >> np.uint64(64 - SLOT_BITS)).view(np.int64)
-            inverse, new = number.take(slot), np.flatnonzero(table.take(slot) != both)
+            word_part = word * np.uint64(0x9E3779B97F4A7C15)
+            both += word_part
+            slot = (both >> (np.uint64(64) - bits)).view(np.int64)
+            found = table.take(slot)
+            found ^= np.left_shift(both, bits, out=word_part)
+            # What stays is the number, if the rest of the hash is equal.
+            new, inverse = np.flatnonzero(found >= none), found.astype(np.int32)
             first, own = _numbered(both.take(new))
-            inverse[new] = own + len(times)
+            own += np.int32(met)
+            inverse[new] = own
             first = new.take(first)
             for kept, x in zip(held, (both, key, word), strict=True):
                 kept.append(x.take(first))
-            at, fresh = slot.take(first), np.arange(len(times), len(times) + len(first))
-            table[at] = held[0][-1]
-            put = table.take(at) == held[0][-1]
-            number[at[put]] = fresh[put]
-            more = np.bincount(inverse, train[lo:hi].astype(float).take(doc), len(times) + len(first))
-            more[: len(times)] += times
-            times = more
+            put = first[: max(0, int(none) - met)]
+            table[slot.take(put)] = word_part.take(put) | np.arange(met, met + len(put), dtype=np.uint64)
+            met += len(first)
+            if self.learns:
+                counted.append(inverse[np.repeat(train[lo:hi], size)])
+                if sum(map(len, counted)) > COUNTED:
+                    times, counted = _grown(times, counted, met), []
             if sums:
                 self.slices.append((lo, hi, inverse, off[:-1] + np.arange(hi - lo)))
-        del table, number
+        del table
         both, key, word = (np.concatenate([*x, np.zeros(0, np.uint64)]) for x in held)
         held.clear()
         lead, self.own = _numbered(both)
         self.key, self.word = key.take(lead), word.take(lead)
-        self.times = np.bincount(self.own, times, len(lead)).astype(np.int64)
+        if self.learns:
+            self.times = np.bincount(self.own, _grown(times, counted, met), len(lead)).astype(np.int64)
+        else:
+            self.times = np.zeros(len(lead), np.int64)
 
     def kinds(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each order, and the words: sorted distinct keys, and how often they are in training texts; ``at`` has
         each context's place among them."""
-        out, key, times, at = [], self.key, self.times, None
-        word, word_times, own = _distinct(self.word, self.times)
+        out, key, times, at = [], self.key, self.times if self.learns else None, None
+        word, word_times, own = _distinct(self.word, times)
         self.at = [own]
         for k in range(ORDERS - 1, -1, -1):
             # Shorter contexts are those of longer ones, cut.
@@ -385,7 +433,7 @@ class Batch:
             at = own if at is None else own[at]
             self.at.insert(0, at)
             out.append((key, times))
-        return [*out[::-1], (word, word_times)]
+        return [(x, np.zeros(len(x), np.int64) if n is None else n) for x, n in [*out[::-1], (word, word_times)]]
 
     def sums(self, value: np.ndarray) -> np.ndarray:
         """Of a value for each distinct context, the sum over each text."""
@@ -406,8 +454,15 @@ def _order(x: np.ndarray) -> np.ndarray:
     return low.take((np.sort(x.take(low) >> np.uint64(24) << bits | n) & place).view(np.int64))
 
 
-def _distinct(x: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct values, their sums of weights, and the place of each value among them."""
+def _grown(times: np.ndarray, more: list[np.ndarray], n: int) -> np.ndarray:
+    """How often each of n numbers came: as often as before, and among the numbers since."""
+    out = np.bincount(np.concatenate([*more, np.zeros(0, np.int32)]), minlength=n)
+    out[: len(times)] += times
+    return out
+
+
+def _distinct(x: np.ndarray, weights: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+    """Sorted distinct values, their sums of weights if there are any, and the place of each value among them."""
     if not len(x):
         return x, weights, np.zeros(0, np.int32)
     order = _order(x)
@@ -415,7 +470,7 @@ def _distinct(x: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarra
     new = np.concatenate(([True], x[1:] != x[:-1]))
     at, own = np.flatnonzero(new), np.empty(len(x), np.int32)
     own[order] = np.cumsum(new, dtype=np.int32) - 1
-    return x.take(at), np.add.reduceat(weights.take(order), at), own
+    return x.take(at), None if weights is None else np.add.reduceat(weights.take(order), at), own
 
 
 def _groups(both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -506,52 +561,40 @@ def pack_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
     return _joined([x for key, count in parts for x in (_planes(np.diff(key, prepend=np.uint64(0))), _planes(count.astype(np.uint64)))])
 
 
-def siblings(key: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """Of sorted distinct keys that hold all bytes of their contexts: each one's count, and after it, from the last
-    bit to the first, how often the context's other bytes first differ at that bit: shape (9, keys)."""
-    # The sum of all counts bounds them.
-    out = np.empty((9, len(key)), np.int32 if count.sum() < 1 << 31 else np.int64)
-    out[0] = below = count
-    for k in range(1, 9):
-        top = key >> np.uint64(k)
-        at = np.flatnonzero(np.concatenate(([True], top[1:] != top[:-1]))) if len(key) else np.zeros(0, np.int64)
-        total = np.repeat(np.add.reduceat(count, at), np.diff(np.append(at, len(key)))) if len(key) else count
-        out[k] = total - below
-        below = total
-    return out
-
-
-def levels_of(key: np.ndarray, found: np.ndarray) -> np.ndarray:
-    """Pairs of levels at each bit of keys, by their siblings: shape (8, keys)."""
-    out = np.empty((8, len(key)), np.uint16)
-    same = found[0].copy()
-    for k in range(8):
-        a, b = to_level(same).astype(np.uint16), to_level(found[k + 1]).astype(np.uint16)
-        # The set bit's level goes last.
-        up = (key >> np.uint64(k) & np.uint64(1)).astype(np.uint16)
-        up <<= np.uint16(3)
-        np.bitwise_or(a << (np.uint16(8) - up), b << up, out=out[7 - k])
-        same += found[k + 1]
-    return out
-
-
 def levels(key: np.ndarray, count: np.ndarray, asked: np.ndarray | None = None) -> np.ndarray:
     """Pairs of levels at each bit of sorted distinct keys that hold all bytes of their contexts, or of the places
     asked for: shape (keys, 8)."""
     asked = np.arange(len(key)) if asked is None else asked
     context = key >> np.uint64(8)
-    same = np.concatenate(([False], context[1:] == context[:-1], [False]))
-    alone = ~(same[1:] | same[:-1])[: len(key)]
+    same = np.zeros(len(key) + 1, bool)
+    np.equal(context[1:], context[:-1], out=same[1:-1])
+    several = same[1:] | same[:-1]
     out = np.empty((len(asked), 8), np.uint16)
     # A byte that is alone after its context is seen against none.
-    one = alone.take(asked)
-    at = asked[one]
-    clear = (~key.take(at)).astype(np.uint8)[:, None] >> np.arange(7, -1, -1, dtype=np.uint8) & np.uint8(1)
-    out[one] = to_level(count.take(at)).astype(np.uint16)[:, None] << (clear << np.uint8(3))
-    more, several = np.flatnonzero(~alone), np.flatnonzero(~one)
-    at = np.searchsorted(more, asked.take(several))
-    found = siblings(key.take(more), count.take(more))
-    out[several] = levels_of(key.take(more).take(at), found.take(at, axis=1)).T
+    more = several.take(asked)
+    one, more = np.flatnonzero(~more), np.flatnonzero(more)
+    at = asked.take(one)
+    out[one] = ALONE.take(key.take(at).astype(np.uint8), axis=0) * to_level(count.take(at)).astype(np.uint16)[:, None]
+    # The others from the last bit to the first: bytes that agree before a bit meet in one node, whose two sides
+    # count against each other.
+    node, at, count = key[several], (np.cumsum(several) - 1).take(asked.take(more)), count[several]
+    found = np.empty((len(more), 8), np.uint16)
+    for k in range(7, -1, -1):
+        up = (node.astype(np.uint16) & np.uint16(1)) << np.uint16(3)
+        node = node >> np.uint64(1)
+        left = np.flatnonzero(node[1:] == node[:-1])
+        right, other = left + 1, np.zeros(len(node), count.dtype)
+        other[left], other[right] = count.take(right), count.take(left)
+        # The set bit's level goes last.
+        pair = to_level(count).astype(np.uint16) << (np.uint16(8) - up)
+        pair |= to_level(other).astype(np.uint16) << up
+        found[:, k] = pair.take(at)
+        kept = np.ones(len(node), bool)
+        kept[right] = False
+        at = (np.cumsum(kept) - 1).take(at)
+        count += other
+        node, count = node[kept], count[kept]
+    out[more] = found
     return out
 
 
@@ -576,18 +619,22 @@ def _answers(requests: list[bytes]) -> list[bytes]:
     return [_joined(x) for x in answers]
 
 
-def answered(own: np.ndarray, parts: list[bytes]) -> np.ndarray:
-    """Levels at each bit of sorted keys of a bucket, by its answer: shape (keys, 8)."""
-    context = distinct_sorted(own >> np.uint64(8))
+def answered(own: np.ndarray, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys and counts that a bucket answered to its sorted keys, with those that have no count, and the places of its own."""
+    context = own >> np.uint64(8)
+    context = context[np.concatenate(([True], context[1:] != context[:-1]))] if len(own) else context
     known = np.repeat(context, _numbers(parts[0]).astype(np.int64)) << np.uint64(8) | np.frombuffer(_unpressed(parts[1]), np.uint8)
     count = _numbers(parts[2]).astype(np.int64)
     # Keys without a count are among their contexts' with none.
     at = np.searchsorted(known, own)
-    new = np.flatnonzero(known[np.minimum(at, len(known) - 1)] != own) if len(known) else np.arange(len(own))
-    known, count = np.insert(known, at[new], own[new]), np.insert(count, at[new], 0)
+    new = known.take(at, mode="clip") != own if len(known) else np.ones(len(own), bool)
     # Each one moves by those that came before it.
-    at += np.searchsorted(new, np.arange(len(own)))
-    return levels(known, count, at)
+    at += np.cumsum(new) - new
+    put, old = at[new], np.ones(len(known) + np.count_nonzero(new), bool)
+    old[put] = False
+    keys, counts = np.empty(len(old), np.uint64), np.zeros(len(old), np.int64)
+    keys[old], keys[put], counts[old] = known, own[new], count
+    return keys, counts, at
 
 
 class Levels:
@@ -596,10 +643,6 @@ class Levels:
     def __init__(self, keys: list[np.ndarray], level: list[np.ndarray]):
         self.keys, self.level = keys, level
 
-    def rows(self, at: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
-        """Pairs of levels of some rows, by the places of all rows' keys."""
-        return np.stack([level.take(own.take(rows), axis=0).T for level, own in zip(self.level, at, strict=True)])
-
     def find(self, key: np.ndarray, word: np.ndarray) -> np.ndarray:
         out = np.empty((INPUTS, 8, len(key)), np.uint16)
         for k, (known, level) in enumerate(zip(self.keys, self.level, strict=True)):
@@ -612,20 +655,60 @@ class Levels:
         return out
 
 
+class Inputs:
+    """A mixer's inputs by a batch's contexts: logits and gates, made once for each key of each kind. The levels are used up.
+
+    ``less``: without one occurrence of each key.
+    """
+
+    def __init__(self, levels: Levels, at: list[np.ndarray], less: bool):
+        self.at, self.logit, self.gate = at, [], []
+        logits, seen = (LOGIT_LESS, SEEN_LESS) if less else (LOGIT, SEEN)
+        for k, key in enumerate(levels.keys):
+            logit, gate = np.empty((len(key), 8), np.float32), np.empty((len(key), 8), np.uint8)
+            for lo in range(0, len(key), FOUND):
+                pair = levels.level[k][lo : lo + FOUND].astype(np.intp)
+                if less:
+                    pair += (BITS.T << 16).take((key[lo : lo + FOUND] & np.uint64(255)).view(np.int64), axis=0)
+                logit[lo : lo + FOUND] = logits.take(pair)
+                if k >= ORDERS - 2:
+                    gate[lo : lo + FOUND] = _gate(seen.take(pair), k)
+            levels.level[k] = None
+            self.logit.append(logit)
+            if k >= ORDERS - 2:
+                self.gate.append(gate.view(np.uint64).ravel())
+
+    def rows(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Logits (inputs, 8, rows) and gates (8, rows) of some contexts."""
+        own = [at.take(rows) for at in self.at]
+        out = np.empty((INPUTS, 8, len(rows)), np.float32)
+        for k, logit in enumerate(self.logit):
+            out[k] = logit.take(own[k], axis=0).T
+        # The eight bits' gates are added as one number: none is above 63.
+        gate = sum(x.take(at) for x, at in zip(self.gate, own[ORDERS - 2 :], strict=True))
+        return out, np.ascontiguousarray(gate.view(np.uint8).reshape(-1, 8).T)
+
+
 class Contexts(Levels):
     """The levels of a batch's keys, as the buckets answered."""
 
     def __init__(self, keys: list[np.ndarray], buckets: int, rows: list[dict]):
         parts = [(r["bucket"], _parted(r["levels"], 3 * (ORDERS + 1))) for r in rows]
-        levels = []
+        known = []
         for n, key in enumerate(keys):
             order, ends = _split(_buckets(key, n, buckets), buckets)
-            level = np.zeros((len(key), 8), np.uint16)
+            level, held, size = np.zeros((len(key), 8), np.uint16), [], 0
             for b, raw in parts:
                 own = order[ends[b - 1] if b else 0 : ends[b]]
-                level[own] = answered(key[own], raw[3 * n : 3 * n + 3])
-            levels.append(level)
-        super().__init__(keys, levels)
+                bytes_, counts, at = answered(key.take(own), raw[3 * n : 3 * n + 3])
+                held.append((own, bytes_, counts, at + size))
+                size += len(bytes_)
+                # Buckets go on together: no two hold bytes of one context.
+                if size > ASKED or b == parts[-1][0]:
+                    own, *found = (np.concatenate(x) for x in zip(*held, strict=True))
+                    level[own], held, size = levels(*found), [], 0
+            known.append(level)
+        super().__init__(keys, known)
 
 
 # Learning from all training texts
@@ -645,8 +728,9 @@ def learned(batch: Batch, kinds: list[tuple[np.ndarray, np.ndarray]]) -> np.ndar
     mixer, train = Mixer(), np.flatnonzero(batch.times > 0)
     # Lanes of contexts in reading order, read side by side: each step holds contexts of many places.
     train = train[np.argsort(np.arange(len(train)) % max(1, -(-len(train) // LANES)), kind="stable")]
-    own = Levels([k for k, _ in kinds], [levels(k, n) for k, n in kinds])
-    mixer.learn(lambda _, rows: own.rows(batch.at, rows), batch.key[train], train, batch.times[train])
+    own = Inputs(Levels([k for k, _ in kinds], [levels(k, n) for k, n in kinds]), batch.at, less=True)
+    byte = (batch.key.take(train) & np.uint64(255)).view(np.int64)
+    mixer.learn(lambda lo, hi: own.rows(train[lo:hi]), byte, batch.times.take(train))
     return mixer.parts()
 
 
@@ -791,7 +875,8 @@ def _score_batch(buckets: int, taught: np.ndarray | None = None):
         batch = Batch(docs.column("text"), np.zeros(n, bool))
         known = Contexts([k for k, _ in batch.kinds()], buckets, asked)
         del asked, rows
-        model = Model(None, mixer, lambda _, rows: known.rows(batch.at, rows))
+        known = Inputs(known, batch.at, less=False)
+        model = Model(None, mixer, lambda _, rows: known.rows(rows))
         score = batch.sums(model.log10(batch.key, np.arange(len(batch.key))))
         size = docs.column("text").cast(pa.large_binary())
         size = pc.fill_null(pc.binary_length(size), 0).to_numpy()

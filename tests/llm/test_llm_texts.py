@@ -116,6 +116,31 @@ def test_batches_sort_contexts_once(monkeypatch, bits):
         assert sum(sorts) < 0.25 * sum(lengths)
 
 
+def test_levels_are_made_once(monkeypatch):
+    """However many buckets answer, small answers' levels are made together; a mixer's inputs are those of its contexts' levels."""
+    texts = [f"lorem ipsum {'dolor sit amet ' * k}{k % 7}\n" for k in range(60)] + ["", None, "é \x00\x00", "lorem" * 900]
+    batch = mixing.Batch(pa.array(texts), np.arange(len(texts)) % 3 > 0)
+    kinds, buckets, made, calls = batch.kinds(), 50, mixing.levels, []
+    own = [mixing._buckets(key, k, buckets) for k, (key, _) in enumerate(kinds)]
+    asked = [mixing.pack_counts([(key[x == b], n[x == b]) for x, (key, n) in zip(own, kinds, strict=True)]) for b in range(buckets)]
+    rows = [{"bucket": b, "levels": mixing._answers([x])[0]} for b, x in enumerate(asked)]
+    monkeypatch.setattr(mixing, "levels", lambda key, *more: calls.append(len(key)) or made(key, *more))
+    found = mixing.Contexts([key for key, _ in kinds], buckets, rows)
+    assert len(calls) == mixing.INPUTS
+    for (key, n), level in zip(kinds, found.level, strict=True):
+        seen = collections.Counter()
+        for x, times in zip(key.tolist(), n.tolist(), strict=True):
+            for i in range(8):
+                seen[x >> 8, i, x >> 7 - i & (2 << i) - 1] += times
+        for x, got in zip(key.tolist(), level.tolist(), strict=True):
+            sides = [[seen[x >> 8, i, (x >> 7 - i & (2 << i) - 1) & ~1 | bit] for bit in (0, 1)] for i in range(8)]
+            assert [[p >> 8, p & 255] for p in got] == mixing.to_level(np.array(sides).ravel()).reshape(8, 2).tolist()
+    pair, bit = np.stack([x[at].T for x, at in zip(found.level, batch.at, strict=True)]), mixing._bits(batch.key)
+    for less, p, logits, seen in [(False, pair, mixing.LOGIT, mixing.SEEN), (True, pair + (bit << 16), mixing.LOGIT_LESS, mixing.SEEN_LESS)]:
+        logit, gate = mixing.Inputs(mixing.Levels(found.keys, list(found.level)), batch.at, less).rows(np.arange(len(batch.key)))
+        assert (logit == logits[p]).all() and (gate == seen[p[4]] * 16 + seen[p[3]] * 4 + seen[p[2]]).all()
+
+
 def test_mixer_learns_from_whole_training_texts():
     """Every bit of every training text, beyond any window, moves weights and map; held-out texts move none."""
     texts = [f"lorem ipsum {i * i} dolor " * 300 for i in range(9)] + ["", None]
