@@ -204,9 +204,8 @@ def _less_one(pair: np.ndarray, bit: np.ndarray) -> np.ndarray:
     return pair - ((low > 0) & (low <= 32)) * np.where(set_, np.uint16(1), np.uint16(256))
 
 
-#: Logit and amount seen of a pair of levels less one occurrence of the bit: by 65536 * bit + pair.
-_LESS = np.concatenate([_less_one(_PAIRS.astype(np.uint16), np.int64(bit)) for bit in (0, 1)])
-LOGIT_LESS, SEEN_LESS = LOGIT[_LESS], SEEN[_LESS]
+#: A pair of levels less one occurrence of the bit: by 65536 * bit + pair.
+LESS = np.concatenate([_less_one(_PAIRS.astype(np.uint16), np.int64(bit)) for bit in (0, 1)])
 
 #: First weight set of each bit.
 _SETS = np.arange(0, 512, 64)[:, None]
@@ -656,25 +655,23 @@ class Levels:
 
 
 class Inputs:
-    """A mixer's inputs by a batch's contexts: logits and gates, made once for each key of each kind. The levels are used up.
+    """A mixer's inputs by a batch's contexts, from each kind's levels, which are changed in place; gates are made once
+    for each key.
 
     ``less``: without one occurrence of each key.
     """
 
     def __init__(self, levels: Levels, at: list[np.ndarray], less: bool):
-        self.at, self.logit, self.gate = at, [], []
-        logits, seen = (LOGIT_LESS, SEEN_LESS) if less else (LOGIT, SEEN)
-        for k, key in enumerate(levels.keys):
-            logit, gate = np.empty((len(key), 8), np.float32), np.empty((len(key), 8), np.uint8)
+        self.at, self.level, self.gate = at, levels.level, []
+        bits = (BITS.T << 16).astype(np.int32)
+        for k, (key, level) in enumerate(zip(levels.keys, levels.level, strict=True)):
+            gate = np.empty((len(key), 8), np.uint8)
             for lo in range(0, len(key), FOUND):
-                pair = levels.level[k][lo : lo + FOUND].astype(np.intp)
+                pair = level[lo : lo + FOUND]
                 if less:
-                    pair += (BITS.T << 16).take((key[lo : lo + FOUND] & np.uint64(255)).view(np.int64), axis=0)
-                logit[lo : lo + FOUND] = logits.take(pair)
+                    pair[:] = LESS.take(pair + bits.take((key[lo : lo + FOUND] & np.uint64(255)).view(np.int64), axis=0))
                 if k >= ORDERS - 2:
-                    gate[lo : lo + FOUND] = _gate(seen.take(pair), k)
-            levels.level[k] = None
-            self.logit.append(logit)
+                    gate[lo : lo + FOUND] = _gate(SEEN.take(pair), k)
             if k >= ORDERS - 2:
                 self.gate.append(gate.view(np.uint64).ravel())
 
@@ -682,8 +679,8 @@ class Inputs:
         """Logits (inputs, 8, rows) and gates (8, rows) of some contexts."""
         own = [at.take(rows) for at in self.at]
         out = np.empty((INPUTS, 8, len(rows)), np.float32)
-        for k, logit in enumerate(self.logit):
-            out[k] = logit.take(own[k], axis=0).T
+        for k, level in enumerate(self.level):
+            out[k] = LOGIT.take(level.take(own[k], axis=0).T)
         # The eight bits' gates are added as one number: none is above 63.
         gate = sum(x.take(at) for x, at in zip(self.gate, own[ORDERS - 2 :], strict=True))
         return out, np.ascontiguousarray(gate.view(np.uint8).reshape(-1, 8).T)

@@ -136,9 +136,10 @@ def test_levels_are_made_once(monkeypatch):
             sides = [[seen[x >> 8, i, (x >> 7 - i & (2 << i) - 1) & ~1 | bit] for bit in (0, 1)] for i in range(8)]
             assert [[p >> 8, p & 255] for p in got] == mixing.to_level(np.array(sides).ravel()).reshape(8, 2).tolist()
     pair, bit = np.stack([x[at].T for x, at in zip(found.level, batch.at, strict=True)]), mixing._bits(batch.key)
-    for less, p, logits, seen in [(False, pair, mixing.LOGIT, mixing.SEEN), (True, pair + (bit << 16), mixing.LOGIT_LESS, mixing.SEEN_LESS)]:
-        logit, gate = mixing.Inputs(mixing.Levels(found.keys, list(found.level)), batch.at, less).rows(np.arange(len(batch.key)))
-        assert (logit == logits[p]).all() and (gate == seen[p[4]] * 16 + seen[p[3]] * 4 + seen[p[2]]).all()
+    for less, p in [(False, pair), (True, mixing.LESS[pair + (bit << 16)])]:
+        logit, gate = mixing.Inputs(found, batch.at, less).rows(np.arange(len(batch.key)))
+        seen = mixing.SEEN[p]
+        assert (logit == mixing.LOGIT[p]).all() and (gate == seen[4] * 16 + seen[3] * 4 + seen[2]).all()
 
 
 def test_mixer_learns_from_whole_training_texts():
