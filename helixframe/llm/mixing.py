@@ -50,8 +50,8 @@ from helixframe.llm._text import (
     distinct_sorted,
     merge_counts,
     mix,
+    powers,
     prefix_hash,
-    span_hash,
     spread,
     text_slices,
     word_bounds,
@@ -114,8 +114,16 @@ def grams(data: np.ndarray, off: np.ndarray):
     begin = place[1:] * _OUTSIDE.take(text)
     begin = np.maximum.accumulate(begin, out=begin)[lead - 1 : -1]
     c, word = prefix_hash(LOWER.take(text)), np.empty(n, np.uint64)
+    back = powers(len(c))[1]
     for lo in range(0, n, BLOCK):
-        part = span_hash(c, begin[lo : lo + BLOCK], place[lead + lo : lead + min(n, lo + BLOCK)])
+        # The hashes of spans that end at one place after the other.
+        start, ends = begin[lo : lo + BLOCK], slice(lead + lo, lead + min(n, lo + BLOCK))
+        part = c[ends] - c.take(start)
+        part *= back.take(start)
+        long = (place[ends] - start).view(np.uint64)
+        long *= np.uint64(0xD6E8FEB86659FD93)
+        part += long
+        part = mix(part)
         part >>= np.uint64(24)
         part <<= np.uint64(8)
         np.bitwise_or(part, text[lead + lo : lead + lo + BLOCK], out=word[lo : lo + BLOCK])
