@@ -361,3 +361,28 @@ def test_dimer_observations_are_made_once(spark):
     from helixframe.plans import structural
 
     assert not any("lineitem" in f for f in structural.dimer_signatures(spark, SF).inputFiles())
+
+
+def test_equal_line_items_are_interfaces_each(spark, tmp_path):
+    # Observations were told apart by their id: equal line items became one, and SQL counts both.
+    from helixframe.plans import structural
+
+    for t in ("part", "supplier"):
+        spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    line = spark.read.parquet(f"{SF}/lineitem.parquet").limit(300)
+    line.unionByName(line.limit(100)).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {tuple(r) for r in structural.dimer_signatures(spark, str(tmp_path)).select("signature_cluster_id", "signature_cluster_size", "signature_key").collect()}
+    want = duckdb.connect().execute(f"create view lineitem as select * from read_parquet('{tmp_path}/lineitem.parquet/*.parquet')").execute(catalogue.ORACLE_SQL["dimer_signatures"]).fetchall()
+    assert got == set(want) and sum(r[1] for r in got) == 400
+
+
+def test_rows_of_signatures_are_not_broadcast(spark):
+    # Equal texts take little of a file: 300,000 rows were taken for the small side of the join and sent to the driver.
+    from helixframe.operators import clustering
+    from helixframe.operators.tables import written
+
+    rows = written(spark.range(300_000).selectExpr("id as item", "repeat(cast(id % 5 as string), 500) as sig").coalesce(1))
+    found = clustering.signature_groups(rows, "item", "sig", "g_")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "LeftOuter" in plan and "BuildLeft" not in plan
+    assert found.where("cluster_id is null").isEmpty() and found.count() == 300_000
