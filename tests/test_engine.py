@@ -386,3 +386,13 @@ def test_rows_of_signatures_are_not_broadcast(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "LeftOuter" in plan and "BuildLeft" not in plan
     assert found.where("cluster_id is null").isEmpty() and found.count() == 300_000
+
+
+def test_only_named_categories_are_kept(spark):
+    # All rows of all categories were written, whatever a query reads of them; damage elsewhere in a file still counts.
+    text = b"data_a\n_entry.id a\nloop_\n_x.a\n_x.b\n1 'b c'\n3 \"4\" # n\nloop_\n_y.a\n_y.b\n5 6\n"
+    df = spark.createDataFrame([("p", bytearray(text)), ("bad", bytearray(text + b"7"))], "path string, content binary")
+    rows = mmcif.parsed(df, "x").collect()
+    assert [(r.path, r.row_idx, r.cells) for r in rows if r.category != mmcif.FILE and r.path == "p"] == [("p", 0, {"a": "1", "b": "b c"}), ("p", 1, {"a": "3", "b": "4"})]
+    assert {r.category for r in rows} == {"x", mmcif.FILE}
+    assert {(r.path, r.error is None) for r in rows if r.category == mmcif.FILE} == {("p", True), ("bad", False)}
