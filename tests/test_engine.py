@@ -396,3 +396,21 @@ def test_only_named_categories_are_kept(spark):
     assert [(r.path, r.row_idx, r.cells) for r in rows if r.category != mmcif.FILE and r.path == "p"] == [("p", 0, {"a": "1", "b": "b c"}), ("p", 1, {"a": "3", "b": "4"})]
     assert {r.category for r in rows} == {"x", mmcif.FILE}
     assert {(r.path, r.error is None) for r in rows if r.category == mmcif.FILE} == {("p", True), ("bad", False)}
+
+
+def test_edges_kept_by_flat_arrays():
+    # One large component took sets and tuples of all its edges: 285 bytes each.
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    for k in range(300):
+        n = int(rng.integers(2, 30))
+        tree = {tuple(sorted((i, int(rng.integers(0, i))))): float(rng.integers(1, 9)) for i in range(1, n)}
+        more = {(int(min(a, b)), int(max(a, b))): 5.0 for a, b in rng.integers(0, n, (k % 12, 2)) if a != b}
+        weights = dict(sorted((tree | more).items()))
+        assert {(u, v): w for u, v, w in graphs.kept_edges(((u, v, w) for (u, v), w in weights.items()), 2, 8)} == graphs.pruned(weights, 2, 8)
+    tracemalloc.start()
+    count = sum(1 for _ in graphs.kept_edges(((i, 1_000_000 + j, 1.0) for i in range(300) for j in range(i, i + 300)), 2, 8))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert count == 89_998 and peak / count < 150
